@@ -248,6 +248,9 @@ UNION ALL
 SELECT 'event_log_topic', event_id, 'event', 'mid_' || CAST(user_id % 25 AS VARCHAR),
        'uid' || CAST(user_id AS VARCHAR), {_EVENT_NAME}, json_extract_string(props, '$.k'), epoch_us(ts) // 1000
 FROM events""",
+    "stream_dau": _with(("startup_log",), "SELECT DISTINCT log_date, mid FROM startup_log"),
+    "stream_alerts": _with(("alerts",), f"SELECT {_ALERT_COLS} FROM alerts"),
+    "stream_sale_wide": _with(("sale_bounded",), "SELECT * FROM sale_bounded"),
     "upsert_latest": """
 SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_shipdate FROM (
   SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_shipdate,
