@@ -123,8 +123,9 @@ def sale_stream(orders: DataFrame, details: DataFrame, users: DataFrame, as_of:
 
 def start_sales(orders: DataFrame, details: DataFrame, users: DataFrame, path: str,
                 checkpoint: str, as_of: str, bound: str = "30 minutes",
-                trigger: dict | None = None) -> StreamingQuery:
-    out = sale_stream(orders, details, users, as_of, bound)
+                trigger: dict | None = None, order_lateness: str = "30 minutes",
+                detail_lateness: str = "30 minutes") -> StreamingQuery:
+    out = sale_stream(orders, details, users, as_of, bound, order_lateness, detail_lateness)
     writer = sinks.batch_writer(path, transform=sinks.with_doc_id(sales.SALE_KEY, trailing=":"))
     return sinks.start_foreach(out, writer, checkpoint, "append", trigger or DEFAULT_TRIGGER, "sales")
 
