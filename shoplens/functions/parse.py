@@ -80,17 +80,26 @@ def typed_users(users: DataFrame) -> DataFrame:
         F.to_date(F.col("birthday").cast("string")).alias("birthday"))
 
 
-def add_server_ts(json_col, ts: Column) -> Column:
-    """Set ``ts`` in a JSON object to the server's time, replacing any client
-    value. Other fields are re-serialised as strings (they bind to string
-    fields downstream); ``ts`` is written as a JSON number."""
+def json_fields(json_col) -> Column:
+    """A JSON object's top-level fields as map<string,string> (null if the
+    text is not a JSON object)."""
     c = F.col(json_col) if isinstance(json_col, str) else json_col
-    fields = F.map_filter(F.from_json(c, "map<string,string>"), lambda k, v: k != F.lit("ts"))
-    body = F.to_json(fields)
-    inner = F.substring(body, F.lit(2), F.length(body) - 2)
-    sep = F.when(F.length(inner) > 0, F.lit(",")).otherwise(F.lit(""))
-    return F.when(fields.isNull(), F.lit(None).cast("string")).otherwise(
-        F.concat(F.lit("{"), inner, sep, F.lit('"ts":'), ts.cast("string"), F.lit("}")))
+    return F.from_json(c, "map<string,string>")
+
+
+def stamp_fields(fields, ts: Column) -> Column:
+    """JSON text of ``fields`` with ``ts`` set to the server's time, replacing
+    any client value. Other fields are re-serialised as strings (they bind to
+    string fields downstream); ``ts`` is written last, as a JSON number."""
+    f = F.col(fields) if isinstance(fields, str) else fields
+    kept = F.map_filter(f, lambda k, v: k != F.lit("ts"))
+    text = F.to_json(F.map_concat(kept, F.create_map(F.lit("ts"), ts.cast("string"))))
+    return F.regexp_replace(text, r'"ts":"(-?[0-9]+)"\}$', '"ts":$1}')
+
+
+def add_server_ts(json_col, ts: Column) -> Column:
+    """``stamp_fields`` over JSON text; null when the text is not an object."""
+    return stamp_fields(json_fields(json_col), ts)
 
 
 def columns_to_json(columns) -> Column:

@@ -52,26 +52,32 @@ def bm25_score(matches: DataFrame, corpus: DataFrame, keyword: str | None,
                field: str = "sku_name") -> DataFrame:
     """Add ``score``: BM25 of ``keyword`` against each row's ``field``.
 
-    N, average length and each query token's document frequency come from
-    ``corpus`` as scalar subqueries.
+    N, the mean length and every query token's document frequency come from
+    ``corpus`` in one aggregate, used as a single struct-valued scalar
+    subquery (one extra pass over the corpus, evaluated once).
     """
     q = query_tokens(keyword)
     if not q:
         return matches.withColumn("score", F.lit(0.0))
     ctoks = corpus.select(tokens(field).alias("_t"))
-    n_docs = ctoks.select(F.count(F.lit(1)).cast("double")).scalar()
-    avg_len = ctoks.select(F.avg(F.size("_t")).cast("double")).scalar()
+    stats = ctoks.agg(F.struct(
+        F.count(F.lit(1)).cast("double").alias("n"),
+        F.avg(F.size("_t")).cast("double").alias("avgdl"),
+        *[F.count_if(F.array_contains("_t", F.lit(t))).cast("double").alias(f"df{i}")
+          for i, t in enumerate(q)]).alias("s")).scalar()
+    # projected once, so the subquery is planned (and run) once
+    matches = matches.withColumn("_bm25", stats)
+    n_docs, avg_len = F.col("_bm25.n"), F.col("_bm25.avgdl")
     toks = tokens(field)
     dl = F.size(toks).cast("double")
     score: Column = F.lit(0.0)
-    for t in q:
-        df_t = ctoks.where(F.array_contains("_t", F.lit(t))).select(
-            F.count(F.lit(1)).cast("double")).scalar()
+    for i, t in enumerate(q):
+        df_t = F.col(f"_bm25.df{i}")
         idf = F.log(F.lit(1.0) + (n_docs - df_t + F.lit(0.5)) / (df_t + F.lit(0.5)))
         tf = F.size(F.filter(toks, _equals(t))).cast("double")
         part = idf * tf * F.lit(BM25_K1 + 1) / (tf + F.lit(BM25_K1) * (F.lit(1 - BM25_B) + F.lit(BM25_B) * dl / avg_len))
         score = score + part
-    return matches.withColumn("score", score)
+    return matches.withColumn("score", score).drop("_bm25")
 
 
 def _equals(token: str):
