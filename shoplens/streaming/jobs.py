@@ -130,6 +130,50 @@ def start_sales(orders: DataFrame, details: DataFrame, users: DataFrame, path: s
     return sinks.start_foreach(out, writer, checkpoint, "append", trigger or DEFAULT_TRIGGER, "sales")
 
 
+def start_sales_fresh_users(orders: DataFrame, details: DataFrame, read_users, path: str,
+                            checkpoint: str, as_of: str, bound: str = "30 minutes",
+                            trigger: dict | None = None, order_lateness: str = "30 minutes",
+                            detail_lateness: str = "30 minutes") -> StreamingQuery:
+    """Like ``start_sales`` but the user dimension is re-read for every
+    micro-batch (``read_users()`` returns a fresh DataFrame), restricted to
+    the batch's user ids by a semi-join, then joined - the per-batch
+    transform for a dimension that changes while the stream runs."""
+    from shoplens.sources.tables import lookup_by_ids
+    o = as_event_time(orders, "order_ts").withWatermark("order_ts", order_lateness)
+    d = as_event_time(details, "detail_ts").withWatermark("detail_ts", detail_lateness)
+    pairs = sales.sale_rows(sales.join_orders_details(o, d, bound))
+    keyed = sinks.with_doc_id(sales.SALE_KEY, trailing=":")
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        users = lookup_by_ids(read_users(), batch)
+        wide = sales.enrich_users(batch, users, as_of)
+        keyed(wide).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+    return sinks.start_foreach(pairs, write, checkpoint, "append", trigger or DEFAULT_TRIGGER,
+                               "sales_fresh_users")
+
+
+def start_alerts_with_console(events: DataFrame, path: str, checkpoint: str, length: str = "5 minutes",
+                              slide: str = "6 seconds", lateness: str = "0 seconds",
+                              min_accounts: int = 3, rows: int = 1000,
+                              trigger: dict | None = None) -> StreamingQuery:
+    """Alert job with two consumers of each batch: the keyed store and a
+    console print of the batch's alerting windows. The batch is persisted
+    once for both and released afterwards."""
+    out = alert_window_stream(events, length, slide, lateness)
+    store = sinks.batch_writer(path)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.persist()
+        try:
+            store(batch, batch_id)
+            batch.where((F.col("coupon_accounts") >= min_accounts) & ~F.col("clicked")) \
+                .show(rows, truncate=False)
+        finally:
+            batch.unpersist()
+    return sinks.start_foreach(out, write, checkpoint, "update", trigger or DEFAULT_TRIGGER,
+                               "alerts_console")
+
+
 def read_sales(spark: SparkSession, path: str) -> DataFrame:
     return sinks.read_latest(spark, path, ["doc_id"]).drop("doc_id")
 

@@ -116,3 +116,36 @@ def test_keyed_sink_replay_is_idempotent(spark):
     latest = {r.k: r.v for r in sinks.read_latest(spark, out, ["k"]).collect()}
     assert latest == {"k1": 2, "k2": 1}
     assert sinks.read_batches(spark, out).count() == 3
+
+
+def test_sale_stream_with_per_batch_user_lookup(spark):
+    from shoplens.sources.tables import lookup_by_ids
+    src = tempfile.mkdtemp(prefix="sale2-src-")
+    out = tempfile.mkdtemp(prefix="sale2-out-")
+    bounds = ["1990-01-01", "1997-01-01", "2003-01-01"]
+    _chunks(src, "orders", "o_orderdate", bounds)
+    _chunks(src, "lineitem", "l_shipdate", bounds)
+    o_schema = spark.read.parquet(f"{SF}/orders.parquet").schema
+    l_schema = spark.read.parquet(f"{SF}/lineitem.parquet").schema
+    orders = parse.ingest_orders(td.raw_order_info_from(
+        table_stream(spark, src, "orders", o_schema, 1), td.table(spark, SF, "customer")))
+    details = td.order_detail_from(table_stream(spark, src, "lineitem", l_schema, 1), td.table(spark, SF, "part"))
+    q = jobs.start_sales_fresh_users(orders, details, lambda: td.user_info(spark, SF), f"{out}/data",
+                                     f"{out}/ckpt", "2020-08-25", bound="30 days", trigger=ONCE,
+                                     order_lateness="31 days", detail_lateness="31 days")
+    _run(q)
+    assert jobs.read_sales(spark, f"{out}/data").count() == 1450
+    ids = spark.createDataFrame([("1",), ("1",), ("999999",)], "user_id string")
+    assert lookup_by_ids(td.user_info(spark, SF), ids).count() == 1
+
+
+def test_serving_table_partition_pruning(spark):
+    from shoplens.operators import dau as dau_ops
+    from shoplens.sources.tables import read_serving_table
+    out = tempfile.mkdtemp(prefix="dau-table-")
+    dau = dau_ops.daily_actives(td.startup_log(spark, SF))
+    dau.write.mode("overwrite").partitionBy("log_date").parquet(out)
+    one = read_serving_table(spark, out, "log_date", ["2024-01-15"])
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(log_date" in plan
+    assert one.count() == dau.where("log_date = '2024-01-15'").count()
