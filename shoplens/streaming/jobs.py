@@ -15,7 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from shoplens.constants import CLICK_EVENT, COUPON_EVENT
 from shoplens.functions import parse
-from shoplens.functions.timeparts import interval_micros
+from shoplens.functions.timeparts import epoch_micros_to_ntz, interval_micros, ntz_to_epoch_micros
 from shoplens.operators import dau as dau_ops
 from shoplens.operators import routing, sales
 from shoplens.streaming import sinks
@@ -73,7 +73,11 @@ def alert_window_stream(events: DataFrame, length: str = "5 minutes", slide: str
         raise ValueError("window length must be a multiple of the slide")
     k = L // S
     delay_s = (L + interval_micros(lateness)) // 1_000_000
-    us = F.unix_micros(F.col(time_col).cast("timestamp"))
+    # wall-clock micros: NTZ arithmetic keeps windows independent of the
+    # session time zone; window_end is then an instant (UTC micros) so it can
+    # carry the watermark
+    is_ntz = dict(events.dtypes).get(time_col) == "timestamp_ntz"
+    us = ntz_to_epoch_micros(time_col) if is_ntz else F.unix_micros(F.col(time_col))
     pane_start = us - F.pmod(us, F.lit(S))
     x = (events.select("mid", "uid", "event_name", pane_start.alias("_p"),
                        F.explode(F.sequence(F.lit(0), F.lit(k - 1))).alias("_j"))
@@ -89,8 +93,10 @@ def alert_window_stream(events: DataFrame, length: str = "5 minutes", slide: str
     agg = accounts.unionByName(counts).groupBy("mid", "window_end").agg(
         F.sum("_a").alias("coupon_accounts"), F.sum("_n").alias("n_events"),
         (F.max("_c") > 0).alias("clicked"))
-    return agg.withColumn("window_start", F.col("window_end") - F.make_dt_interval(
-        secs=F.lit(L / 1_000_000)))
+    end_us = F.unix_micros("window_end")
+    return agg.select("mid", epoch_micros_to_ntz(end_us - F.lit(L)).alias("window_start"),
+                      epoch_micros_to_ntz(end_us).alias("window_end_ntz"), "window_end",
+                      "coupon_accounts", "n_events", "clicked")
 
 
 def start_alerts(events: DataFrame, path: str, checkpoint: str, length: str = "5 minutes",

@@ -40,8 +40,7 @@ def stream_alerts(spark: SparkSession, sf: str) -> DataFrame:
     _run(jobs.start_alerts(events, f"{base}/out", f"{base}/ckpt", R.ALERT_LENGTH, R.ALERT_SLIDE,
                            trigger=ONCE))
     a = jobs.read_alerts(spark, f"{base}/out", R.ALERT_MIN_ACCOUNTS)
-    return a.select("mid", F.col("window_start").cast("timestamp_ntz").alias("window_start"),
-                    F.col("window_end").cast("timestamp_ntz").alias("window_end"),
+    return a.select("mid", "window_start", F.col("window_end_ntz").alias("window_end"),
                     "coupon_accounts", "n_events")
 
 
