@@ -148,3 +148,55 @@ def test_serving_table_partition_pruning(spark):
     plan = one._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(log_date" in plan
     assert one.count() == dau.where("log_date = '2024-01-15'").count()
+
+
+def test_change_router_stream_equals_batch(spark):
+    from shoplens import schemas
+    from shoplens.operators import routing
+    src = tempfile.mkdtemp(prefix="cdc-src-")
+    out = tempfile.mkdtemp(prefix="cdc-out-")
+    small = "/root/testdata/sf0.001"
+    feed = td.change_feed(spark, small)
+    feed.write.mode("overwrite").json(f"{src}/feed")
+    stream = spark.readStream.schema(schemas.CHANGE_ENTRY).json(f"{src}/feed")
+    _run(jobs.start_change_router(stream, f"{out}/ckpt", fmt="files", path=f"{out}/topics", trigger=ONCE))
+    got = spark.read.text(f"{out}/topics").select("topic", "value")
+    want = routing.route_changes(feed).select("topic", "value")
+    assert got.count() == want.count() > 0
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+
+def test_log_collector_routes_and_archives(spark):
+    out = tempfile.mkdtemp(prefix="logs-")
+    src = tempfile.mkdtemp(prefix="logs-src-")
+    raw = td.raw_logs(spark, "/root/testdata/sf0.001").select("value", "received_ts")
+    raw.write.mode("overwrite").parquet(f"{src}/raw")
+    stream = spark.readStream.schema(raw.schema).parquet(f"{src}/raw")
+    qs = jobs.start_log_collector(stream, f"{out}/ckpt", f"{out}/archive", fmt="files",
+                                  path=f"{out}/topics", trigger=ONCE)
+    for q in qs:
+        _run(q)
+    topics = spark.read.text(f"{out}/topics")
+    n = raw.count()
+    assert topics.count() == n
+    by_topic = {r.topic: r["count"] for r in topics.groupBy("topic").count().collect()}
+    assert by_topic == {"startup_log_topic": n // 2, "event_log_topic": n // 2}
+    archive = spark.read.text(f"{out}/archive")
+    assert archive.count() == n
+    assert archive.select("dt").distinct().count() == raw.select(
+        F.date_format(F.timestamp_millis("received_ts"), "yyyy-MM-dd")).distinct().count()
+
+
+def test_order_ingest_stream_splits_rejects(spark):
+    src = tempfile.mkdtemp(prefix="orders-src-")
+    out = tempfile.mkdtemp(prefix="orders-out-")
+    good = ('{"id":"1","consignee":"Wang","consignee_tel":"13812345678","total_amount":"9.90",'
+            '"create_time":"2020-08-19 00:08:13","user_id":"7","order_status":"1001"}')
+    lines = [good, "{broken", '{"id":"2","consignee":"Li"}']
+    spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1).write.mode("overwrite").text(src)
+    stream = spark.readStream.format("text").load(src)
+    _run(jobs.start_orders(stream, f"{out}/orders", f"{out}/rejects", f"{out}/ckpt", ONCE))
+    rows = spark.read.parquet(f"{out}/orders").collect()
+    assert [(r.id, r.consignee, r.consignee_tel, str(r.create_date), r.create_hour) for r in rows] == \
+        [("1", "W**", "138****5678", "2020-08-19", "00")]
+    assert spark.read.parquet(f"{out}/rejects").count() == 2
