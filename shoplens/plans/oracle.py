@@ -251,6 +251,7 @@ FROM events""",
     "stream_dau": _with(("startup_log",), "SELECT DISTINCT log_date, mid FROM startup_log"),
     "stream_alerts": _with(("alerts",), f"SELECT {_ALERT_COLS} FROM alerts"),
     "stream_sale_wide": _with(("sale_bounded",), "SELECT * FROM sale_bounded"),
+    "stream_alerts_throttled": None,
     "upsert_latest": """
 SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_shipdate FROM (
   SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_shipdate,
@@ -258,3 +259,5 @@ SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_shipdate FR
                             ORDER BY l_shipdate DESC, l_partkey DESC, l_suppkey DESC) AS rn
   FROM lineitem) WHERE rn = 1""",
 }
+
+SQL["stream_alerts_throttled"] = SQL["coupon_alerts_throttled"]

@@ -114,6 +114,16 @@ def read_alerts(spark: SparkSession, path: str, min_accounts: int = 3) -> DataFr
     return latest.where((F.col("coupon_accounts") >= min_accounts) & ~F.col("clicked"))
 
 
+def read_throttled_alerts(spark: SparkSession, path: str, min_accounts: int = 3,
+                          every: str = "1 minute") -> DataFrame:
+    """At most one alert per device per ``every`` (latest window wins), keyed
+    by ``doc_id`` = 'mid:bucket', over the latest state of every window."""
+    from shoplens.operators.alerts import throttle_alerts
+    a = read_alerts(spark, path, min_accounts).drop("window_end") \
+        .withColumnRenamed("window_end_ntz", "window_end")
+    return throttle_alerts(a, every)
+
+
 # --- sales wide table ------------------------------------------------------------
 
 def sale_stream(orders: DataFrame, details: DataFrame, users: DataFrame, as_of: str,

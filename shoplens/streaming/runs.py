@@ -44,6 +44,15 @@ def stream_alerts(spark: SparkSession, sf: str) -> DataFrame:
                     "coupon_accounts", "n_events")
 
 
+def stream_alerts_throttled(spark: SparkSession, sf: str) -> DataFrame:
+    base = scratch_path(spark, "stream_alerts_throttled")
+    events = td.event_log_from(table_stream(spark, sf, "events"))
+    _run(jobs.start_alerts(events, f"{base}/out", f"{base}/ckpt", R.ALERT_LENGTH, R.ALERT_SLIDE,
+                           trigger=ONCE))
+    t = jobs.read_throttled_alerts(spark, f"{base}/out", R.ALERT_MIN_ACCOUNTS, R.ALERT_THROTTLE)
+    return t.select("doc_id", "mid", "window_start", "window_end", "coupon_accounts", "n_events")
+
+
 def stream_sale_wide(spark: SparkSession, sf: str) -> DataFrame:
     base = scratch_path(spark, "stream_sales")
     orders = parse.ingest_orders(td.raw_order_info_from(table_stream(spark, sf, "orders"),
@@ -58,5 +67,6 @@ def stream_sale_wide(spark: SparkSession, sf: str) -> DataFrame:
 STREAM_QUERIES = {
     "stream_dau": stream_dau,
     "stream_alerts": stream_alerts,
+    "stream_alerts_throttled": stream_alerts_throttled,
     "stream_sale_wide": stream_sale_wide,
 }
