@@ -155,12 +155,24 @@ def _with_share(stat: DataFrame) -> DataFrame:
 
 
 def sale_report(table: DataFrame, date: str, keyword: str, page_no: int, size: int,
-                empty_keyword: str = "none", persist: bool = False) -> dict[str, DataFrame]:
+                empty_keyword: str = "none", materialize: str = "none") -> dict[str, DataFrame]:
     """The flexible-search answer: total, one page and the two pies, all
-    derived from one filtered DataFrame (optionally persisted once)."""
+    derived from one filtered, scored DataFrame.
+
+    ``materialize``: 'none' (each answer re-plans from the table), 'persist'
+    (executor cache; lost blocks are recomputed from lineage) or 'checkpoint'
+    (written once to the shared ``spark.checkpoint.dir``, lineage cut, so the
+    four answers survive executor loss without recomputing the join).
+    """
+    from shoplens.config import checkpoint_root
     matches = search(table, date, keyword, empty_keyword=empty_keyword)
     matches = bm25_score(matches, table, keyword)
-    if persist:
+    if materialize == "persist":
         matches = matches.persist()
+    elif materialize == "checkpoint":
+        checkpoint_root(matches.sparkSession)
+        matches = matches.checkpoint(eager=True)
+    elif materialize != "none":
+        raise ValueError("materialize is 'none', 'persist' or 'checkpoint'")
     return {"total": total(matches), "detail": page(matches, page_no, size),
             "gender": gender_stats(matches), "age": age_stats(matches)}

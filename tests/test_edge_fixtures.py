@@ -194,3 +194,14 @@ def test_pages_concatenate(spark):
     for p in range(1, 5):
         pages += [r.order_id for r in search.page(df, p, 7).collect()]
     assert pages == full
+
+
+def test_sale_report_parts_agree(spark):
+    from shoplens.plans import registry as R
+    sf = "/root/testdata/sf0.01"
+    idx = R.sale_index(spark, sf)
+    rep = search.sale_report(idx, R.SEARCH_DATE, R.SEARCH_KEYWORD, 2, 5, materialize="checkpoint")
+    assert rep["total"].first()["total"] == 8
+    assert rep["detail"].count() == 3
+    assert sum(r.value for r in rep["gender"].collect()) == 8
+    assert sum(r.value for r in rep["age"].collect()) == 8
