@@ -11,7 +11,7 @@ from typing import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shoplens.functions import parse
+from shoplens.functions import parse, timeparts
 from shoplens.operators import alerts as alert_ops
 from shoplens.operators import dau as dau_ops
 from shoplens.operators import dedup
@@ -38,6 +38,14 @@ def dau_table(spark, sf) -> DataFrame:
     return dau_ops.daily_actives(td.startup_log(spark, sf))
 
 
+def dau_table_for_days(spark, sf, first: str, last: str) -> DataFrame:
+    """DAU rows of whole days only. ``log_date`` is the UTC date of
+    ``event_time`` and part of the dedup key, so restricting the raw rows to
+    those days is exact, and the range reaches the Parquet scan."""
+    startups = td.startup_log(spark, sf).where(timeparts.day_range("event_time", first, last))
+    return dau_ops.daily_actives(startups)
+
+
 def order_table(spark, sf) -> DataFrame:
     return parse.ingest_orders(td.raw_order_info(spark, sf))
 
@@ -81,7 +89,7 @@ def q_dau_hourly(spark, sf):
 
 
 def q_dau_for_date(spark, sf):
-    return dau_ops.dau_for_date(dau_table(spark, sf), DAU_DATE)
+    return dau_ops.dau_for_date(dau_table_for_days(spark, sf, DAU_DATE, DAU_DATE), DAU_DATE)
 
 
 def q_new_devices(spark, sf):
@@ -109,7 +117,8 @@ def q_sales_by_province(spark, sf):
 
 
 def q_hourly_compare_dau(spark, sf):
-    return reports.realtime_hour("dau", dau_table(spark, sf), DAU_DATE)
+    days = dau_table_for_days(spark, sf, timeparts.previous_day(DAU_DATE), DAU_DATE)
+    return reports.realtime_hour("dau", days, DAU_DATE)
 
 
 def q_hourly_compare_amount(spark, sf):

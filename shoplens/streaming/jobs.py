@@ -18,6 +18,7 @@ from shoplens.functions import parse
 from shoplens.functions.timeparts import epoch_micros_to_ntz, interval_micros, ntz_to_epoch_micros
 from shoplens.operators import dau as dau_ops
 from shoplens.operators import routing, sales
+from shoplens.operators.joins import broadcast_if_small
 from shoplens.streaming import sinks
 from shoplens.streaming.sources import as_event_time
 
@@ -134,7 +135,9 @@ def sale_stream(orders: DataFrame, details: DataFrame, users: DataFrame, as_of:
     o = as_event_time(orders, "order_ts").withWatermark("order_ts", order_lateness)
     d = as_event_time(details, "detail_ts").withWatermark("detail_ts", detail_lateness)
     pairs = sales.join_orders_details(o, d, bound)
-    return sales.enrich_users(sales.sale_rows(pairs), users, as_of)
+    # no AQE in streaming: broadcast the static dimension only behind a size
+    # check, otherwise every micro-batch shuffles against it
+    return sales.enrich_users(sales.sale_rows(pairs), broadcast_if_small(users), as_of)
 
 
 def start_sales(orders: DataFrame, details: DataFrame, users: DataFrame, path: str,
