@@ -51,10 +51,14 @@ def start_orders(raw_orders: DataFrame, path: str, rejects_path: str, checkpoint
     """Order ingestion: parse, mask, derive date/hour; malformed rows to a
     rejects folder in the same batch."""
     def write(df: DataFrame, batch_id: int) -> None:
-        rows, rejects = parse.order_infos(df)
-        rows.drop("order_ts").write.mode("overwrite").partitionBy("create_date") \
-            .parquet(f"{path}/batch_id={batch_id}")
-        rejects.write.mode("overwrite").parquet(f"{rejects_path}/batch_id={batch_id}")
+        df.persist()  # parsed by two consumers: rows and rejects
+        try:
+            rows, rejects = parse.order_infos(df)
+            rows.drop("order_ts").write.mode("overwrite").partitionBy("create_date") \
+                .parquet(f"{path}/batch_id={batch_id}")
+            rejects.write.mode("overwrite").parquet(f"{rejects_path}/batch_id={batch_id}")
+        finally:
+            df.unpersist()
     return sinks.start_foreach(raw_orders, write, checkpoint, "append", trigger or DEFAULT_TRIGGER, "orders")
 
 
