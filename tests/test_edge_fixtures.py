@@ -27,7 +27,7 @@ def test_phone_and_name_masking(spark):
 
 def test_golden_event_json(spark):
     line = ('{"logType":"event","area":"beijing","uid":"uid5774","eventId":"coupon","itemId":38,'
-            '"os":"android","nextPageId":33,"appId":"gmall","mid":"mid_58","pageId":50,"ts":1598000978921}')
+            '"os":"android","nextPageId":33,"appId":"shop","mid":"mid_58","pageId":50,"ts":1598000978921}')
     rows, rejects = parse.event_logs(spark.createDataFrame([(line,)], "value string"), tz="UTC")
     r = rows.first()
     assert (r.itemId, r.log_date, r.log_hour, r.pageId) == ("38", "2020-08-21", "09", "50")
