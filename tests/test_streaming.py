@@ -200,3 +200,36 @@ def test_order_ingest_stream_splits_rejects(spark):
     assert [(r.id, r.consignee, r.consignee_tel, str(r.create_date), r.create_hour) for r in rows] == \
         [("1", "W**", "138****5678", "2020-08-19", "00")]
     assert spark.read.parquet(f"{out}/rejects").count() == 2
+
+
+def test_alert_job_with_console_consumer(spark, capsys):
+    src = tempfile.mkdtemp(prefix="evc-src-")
+    out = tempfile.mkdtemp(prefix="evc-out-")
+    schema = spark.read.parquet(f"{SF}/events.parquet").schema
+    _chunks(src, "events", "ts", EVENT_BOUNDS[:2])
+    ev = td.event_log_from(table_stream(spark, src, "events", schema))
+    _run(jobs.start_alerts_with_console(ev, f"{out}/data", f"{out}/ckpt", "6 hours", "1 hour",
+                                        rows=5, trigger=ONCE))
+    assert jobs.read_alerts(spark, f"{out}/data", 3).count() > 0
+
+
+def test_compaction_and_generated_ids(spark):
+    out = tempfile.mkdtemp(prefix="compact-")
+    w = sinks.batch_writer(f"{out}/batches", transform=sinks.with_generated_id())
+    w(spark.createDataFrame([("k1", 1), ("k2", 1)], "k string, v int"), 0)
+    w(spark.createDataFrame([("k1", 5)], "k string, v int"), 1)
+    ids = [r.doc_id for r in sinks.read_batches(spark, f"{out}/batches").collect()]
+    assert len(ids) == len(set(ids)) == 3
+    sinks.compact(spark, f"{out}/batches", ["k"], f"{out}/snapshot")
+    snap = {r.k: r.v for r in spark.read.parquet(f"{out}/snapshot").collect()}
+    assert snap == {"k1": 5, "k2": 1}
+
+
+def test_column_table_writer_uppercases_and_checks_columns(spark):
+    out = tempfile.mkdtemp(prefix="coltable-")
+    df = spark.createDataFrame([("m1", "2024-01-01", 3)], "mid string, log_date string, n int")
+    sinks.column_table_writer(out, ["mid", "log_date"], partition_by=["log_date"])(df, 0)
+    got = spark.read.parquet(out)
+    assert sorted(got.columns) == ["LOG_DATE", "MID", "batch_id"]
+    with pytest.raises(Exception):
+        sinks.column_table_writer(out, ["mid", "missing"])(df, 1)
