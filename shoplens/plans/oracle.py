@@ -261,3 +261,4 @@ SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_shipdate FR
 }
 
 SQL["stream_alerts_throttled"] = SQL["coupon_alerts_throttled"]
+SQL["stream_dau_hourly"] = SQL["dau_hourly"]

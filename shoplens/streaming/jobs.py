@@ -36,6 +36,35 @@ def dau_stream(startups: DataFrame, time_col: str = "event_time", lateness: str
             .dropDuplicatesWithinWatermark(dau_ops.DAU_KEYS))
 
 
+def dau_earliest_stream(startups: DataFrame, time_col: str = "event_time",
+                        lateness: str = "1 day", order: tuple[str, ...] = ("ts", "event_id")) -> DataFrame:
+    """Keep the *earliest* startup per (date, device), whatever the arrival
+    order: an update-mode ``min(struct)`` per (day, device). State is one row
+    per key and expires once the watermark passes the day plus ``lateness``;
+    the keyed store (latest batch per key) then holds exactly the batch form.
+    """
+    order = [c for c in order if c in startups.columns]
+    delay_s = (interval_micros("1 day") + interval_micros(lateness)) // 1_000_000
+    s = startups.withColumn("_day", F.to_timestamp(F.col("log_date"), "yyyy-MM-dd")) \
+        .withWatermark("_day", f"{delay_s} seconds")
+    rest = [c for c in startups.columns if c not in ("log_date", "mid", *order)]
+    packed = F.struct(*[F.col(c).alias(f"o{i}") for i, c in enumerate(order)], *[F.col(c) for c in rest])
+    agg = s.groupBy("_day", "log_date", "mid").agg(F.min(packed).alias("_r"))
+    return agg.select("log_date", "mid", *[F.col(f"_r.o{i}").alias(c) for i, c in enumerate(order)],
+                      *[F.col(f"_r.{c}") for c in rest])
+
+
+def start_dau_earliest(startups: DataFrame, path: str, checkpoint: str,
+                       trigger: dict | None = None, lateness: str = "1 day") -> StreamingQuery:
+    out = dau_earliest_stream(startups, lateness=lateness)
+    return sinks.start_foreach(out, sinks.batch_writer(path), checkpoint, "update",
+                               trigger or DEFAULT_TRIGGER, "dau_earliest")
+
+
+def read_dau_earliest(spark: SparkSession, path: str) -> DataFrame:
+    return sinks.read_latest(spark, path, dau_ops.DAU_KEYS)
+
+
 def start_dau(startups: DataFrame, path: str, checkpoint: str, trigger: dict | None = None,
               columns: list[str] | None = None) -> StreamingQuery:
     out = dau_stream(startups)

@@ -34,6 +34,15 @@ def stream_dau(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.parquet(f"{base}/out").select("log_date", "mid")
 
 
+def stream_dau_hourly(spark: SparkSession, sf: str) -> DataFrame:
+    """Hourly DAU from the earliest-startup stream: equal to the batch form."""
+    from shoplens.operators import dau as dau_ops
+    base = scratch_path(spark, "stream_dau_hourly")
+    startups = td.startup_log_from(table_stream(spark, sf, "events"))
+    _run(jobs.start_dau_earliest(startups, f"{base}/out", f"{base}/ckpt", ONCE))
+    return dau_ops.dau_by_hour(jobs.read_dau_earliest(spark, f"{base}/out"))
+
+
 def stream_alerts(spark: SparkSession, sf: str) -> DataFrame:
     base = scratch_path(spark, "stream_alerts")
     events = td.event_log_from(table_stream(spark, sf, "events"))
@@ -66,6 +75,7 @@ def stream_sale_wide(spark: SparkSession, sf: str) -> DataFrame:
 
 STREAM_QUERIES = {
     "stream_dau": stream_dau,
+    "stream_dau_hourly": stream_dau_hourly,
     "stream_alerts": stream_alerts,
     "stream_alerts_throttled": stream_alerts_throttled,
     "stream_sale_wide": stream_sale_wide,
