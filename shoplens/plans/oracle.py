@@ -224,13 +224,12 @@ LEFT JOIN (SELECT CASE WHEN user_age < 20 THEN 0 WHEN user_age < 30 THEN 1 ELSE
     "age_terms_top": _with(("sale",), """
 SELECT user_age, count(*) AS value FROM sale WHERE user_age IS NOT NULL
 GROUP BY 1 ORDER BY value DESC, user_age LIMIT 100"""),
-    "cdc_insert_route": """
+    "cdc_insert_route": _with(("raw_order_info",), """
 SELECT 'order_info_topic' AS topic, 'order_info' AS "table",
-       CAST(json_object('id', CAST(o_orderkey AS VARCHAR), 'user_id', CAST(o_custkey AS VARCHAR),
-                        'order_status', o_orderstatus,
-                        'total_amount', CAST(CAST(o_totalprice AS DECIMAL(16,2)) AS VARCHAR),
-                        'create_time', strftime(o_orderdate, '%Y-%m-%d %H:%M:%S')) AS VARCHAR) AS value
-FROM orders
+       CAST(json_object('id', id, 'province_id', province_id, 'consignee', consignee,
+                        'consignee_tel', consignee_tel, 'order_status', order_status, 'user_id', user_id,
+                        'total_amount', total_amount, 'create_time', create_time) AS VARCHAR) AS value
+FROM raw_order_info
 UNION ALL
 SELECT 'order_detail_topic', 'order_detail',
        CAST(json_object('id', CAST(l_orderkey AS VARCHAR) || ':' || CAST(l_linenumber AS VARCHAR) || ':' ||
@@ -238,7 +237,7 @@ SELECT 'order_detail_topic', 'order_detail',
                         'order_id', CAST(l_orderkey AS VARCHAR), 'sku_id', CAST(l_partkey AS VARCHAR),
                         'order_price', CAST(CAST(l_extendedprice AS DECIMAL(16,2)) AS VARCHAR),
                         'sku_num', CAST(CAST(l_quantity AS INTEGER) AS VARCHAR)) AS VARCHAR)
-FROM lineitem""",
+FROM lineitem"""),
     "log_route": f"""
 SELECT 'startup_log_topic' AS topic, event_id, 'startup' AS logType,
        'mid_' || CAST(user_id AS VARCHAR) AS mid, 'uid' || CAST(user_id AS VARCHAR) AS uid,
@@ -262,3 +261,4 @@ SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_shipdate FR
 
 SQL["stream_alerts_throttled"] = SQL["coupon_alerts_throttled"]
 SQL["stream_dau_hourly"] = SQL["dau_hourly"]
+SQL["stream_order_ingest"] = SQL["order_mask"]

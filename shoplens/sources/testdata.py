@@ -144,6 +144,10 @@ def user_info(spark: SparkSession, sf_dir: str) -> DataFrame:
     return user_info_from(table(spark, sf_dir, "customer"))
 
 
+ORDER_ROW_COLUMNS = ["id", "province_id", "consignee", "consignee_tel", "order_status", "user_id",
+                     "total_amount", "create_time"]
+
+
 def _pairs(*name_cols) -> F.Column:
     return F.array(*[F.struct(F.lit(n).alias("name"), c.alias("value")).cast(schemas.COLUMN_VALUE)
                      for n, c in name_cols])
@@ -152,18 +156,15 @@ def _pairs(*name_cols) -> F.Column:
 def change_feed_from(orders: DataFrame, lineitem: DataFrame, customers: DataFrame) -> DataFrame:
     """A binlog-style change feed derived from the tables.
 
-    Every order is an INSERT of ``order_info``; fulfilled orders ('F') also
+    Every order is an INSERT of ``order_info`` carrying the full row image
+    (the columns of ``raw_order_info``); fulfilled orders ('F') also
     carry an UPDATE and pending ones ('P') a DELETE; each order also closes a
     transaction (a non-row entry). Every line is an INSERT of
     ``order_detail``; every customer an INSERT of ``user_info`` (a table the
     router ignores); returned lines ('R') add an INSERT with no rows.
     """
-    o = orders.select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate")
-    order_row = _pairs(
-        ("id", _s("o_orderkey")), ("user_id", _s("o_custkey")),
-        ("order_status", F.col("o_orderstatus")),
-        ("total_amount", _s(F.col("o_totalprice").cast(schemas.MONEY))),
-        ("create_time", F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss")))
+    info = raw_order_info_from(orders, customers)
+    order_row = _pairs(*[(c, F.col(c)) for c in ORDER_ROW_COLUMNS])
     ops = F.array(
         F.struct(F.lit("ROWDATA").alias("entry_type"), F.lit("INSERT").alias("op"), F.lit(True).alias("has_rows")),
         F.when(F.col("o_orderstatus") == "F", F.struct(
@@ -173,7 +174,8 @@ def change_feed_from(orders: DataFrame, lineitem: DataFrame, customers: DataFram
         F.struct(F.lit("TRANSACTIONEND").alias("entry_type"), F.lit(None).cast("string").alias("op"),
                  F.lit(False).alias("has_rows")))
     empty_rows = F.array().cast("array<array<struct<name:string,value:string>>>")
-    order_entries = (o.select(order_row.alias("row"), F.explode(ops).alias("e"))
+    order_entries = (info.select(order_row.alias("row"), F.col("order_status").alias("o_orderstatus"))
+                     .select("row", F.explode(ops).alias("e"))
                      .where(F.col("e").isNotNull())
                      .select(F.lit("order_info").alias("table"),
                              F.col("e.entry_type").alias("entry_type"), F.col("e.op").alias("op"),

@@ -69,7 +69,9 @@ def start_dau(startups: DataFrame, path: str, checkpoint: str, trigger: dict | N
               columns: list[str] | None = None) -> StreamingQuery:
     out = dau_stream(startups)
     cols = [c for c in (columns or DAU_COLUMNS) if c in out.columns]
-    writer = sinks.column_table_writer(path, cols, partition_by=["log_date"], upper=False)
+    # per-batch folders sorted by day; ``sinks.compact(..., partition_by=["log_date"])``
+    # builds the day-partitioned serving table
+    writer = sinks.column_table_writer(path, cols, upper=False, sort_by=["log_date"])
     return sinks.start_foreach(out, writer, checkpoint, "append", trigger or DEFAULT_TRIGGER, "dau")
 
 
@@ -83,8 +85,10 @@ def start_orders(raw_orders: DataFrame, path: str, rejects_path: str, checkpoint
         df.persist()  # parsed by two consumers: rows and rejects
         try:
             rows, rejects = parse.order_infos(df)
-            rows.drop("order_ts").write.mode("overwrite").partitionBy("create_date") \
-                .parquet(f"{path}/batch_id={batch_id}")
+            # sorted by day within the batch folder: bounded files per batch
+            # whatever the day spread; compaction partitions by day
+            rows.drop("order_ts").sortWithinPartitions("create_date") \
+                .write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
             rejects.write.mode("overwrite").parquet(f"{rejects_path}/batch_id={batch_id}")
         finally:
             df.unpersist()

@@ -43,6 +43,26 @@ def stream_dau_hourly(spark: SparkSession, sf: str) -> DataFrame:
     return dau_ops.dau_by_hour(jobs.read_dau_earliest(spark, f"{base}/out"))
 
 
+def stream_order_ingest(spark: SparkSession, sf: str) -> DataFrame:
+    """Change feed -> router -> order_info topic -> bind, mask -> orders.
+
+    The feed derived from the tables is first written to the run's folder so
+    it can be read as a stream, as a change-feed topic would be."""
+    from shoplens import schemas
+    from shoplens.constants import ORDER_INFO_TOPIC
+    from shoplens.streaming.sources import topic_stream
+    base = scratch_path(spark, "stream_orders")
+    td.change_feed(spark, sf).write.json(f"{base}/feed")
+    feed = spark.readStream.schema(schemas.CHANGE_ENTRY).json(f"{base}/feed")
+    _run(jobs.start_change_router(feed, f"{base}/ckpt-route", fmt="files", path=f"{base}/topics",
+                                  trigger=ONCE))
+    raw_orders = topic_stream(spark, ORDER_INFO_TOPIC, fmt="files", path=f"{base}/topics")
+    _run(jobs.start_orders(raw_orders, f"{base}/orders", f"{base}/rejects", f"{base}/ckpt-orders", ONCE))
+    out = spark.read.parquet(f"{base}/orders")
+    return out.select("id", "province_id", "consignee", "consignee_tel", "order_status", "user_id",
+                      "total_amount", "create_time", "create_date", "create_hour")
+
+
 def stream_alerts(spark: SparkSession, sf: str) -> DataFrame:
     base = scratch_path(spark, "stream_alerts")
     events = td.event_log_from(table_stream(spark, sf, "events"))
@@ -79,4 +99,5 @@ STREAM_QUERIES = {
     "stream_alerts": stream_alerts,
     "stream_alerts_throttled": stream_alerts_throttled,
     "stream_sale_wide": stream_sale_wide,
+    "stream_order_ingest": stream_order_ingest,
 }

@@ -21,9 +21,15 @@ BatchFn = Callable[[DataFrame, int], None]
 
 
 def batch_writer(path: str, fmt: str = "parquet", partition_by: list[str] | None = None,
-                 transform: Callable[[DataFrame], DataFrame] | None = None) -> BatchFn:
+                 transform: Callable[[DataFrame], DataFrame] | None = None,
+                 sort_by: list[str] | None = None) -> BatchFn:
+    """Write each micro-batch to ``{path}/batch_id=N``. ``sort_by`` orders rows
+    within each file so Parquet min/max statistics let filters on those
+    columns skip row groups without partitioning every batch by them."""
     def write(df: DataFrame, batch_id: int) -> None:
         out = transform(df) if transform else df
+        if sort_by:
+            out = out.sortWithinPartitions(*sort_by)
         w = out.write.mode("overwrite").format(fmt)
         if partition_by:
             w = w.partitionBy(*partition_by)
@@ -32,13 +38,17 @@ def batch_writer(path: str, fmt: str = "parquet", partition_by: list[str] | None
 
 
 def column_table_writer(path: str, columns: list[str], partition_by: list[str] | None = None,
-                        upper: bool = True) -> BatchFn:
+                        upper: bool = True, sort_by: list[str] | None = None) -> BatchFn:
     """Table write by an explicit column list (names upper-cased like the
     serving tables); a missing column fails the batch."""
+    def name(c: str) -> str:
+        return c.upper() if upper else c
+
     def select(df: DataFrame) -> DataFrame:
-        return df.select(*[F.col(c).alias(c.upper() if upper else c) for c in columns])
-    parts = [p.upper() if upper else p for p in (partition_by or [])]
-    return batch_writer(path, partition_by=parts or None, transform=select)
+        return df.select(*[F.col(c).alias(name(c)) for c in columns])
+    parts = [name(p) for p in (partition_by or [])]
+    return batch_writer(path, partition_by=parts or None, transform=select,
+                        sort_by=[name(c) for c in sort_by] if sort_by else None)
 
 
 def with_generated_id(id_col: str = "doc_id") -> Callable[[DataFrame], DataFrame]:
@@ -64,9 +74,17 @@ def read_latest(spark: SparkSession, path: str, keys: list[str],
     return keep_last(df, keys, ["batch_id", *(version or [])]).drop("batch_id")
 
 
-def compact(spark: SparkSession, path: str, keys: list[str], out: str,
-            version: list[str] | None = None) -> None:
-    read_latest(spark, path, keys, version).write.mode("overwrite").parquet(out)
+def compact(spark: SparkSession, path: str, keys: list[str] | None, out: str,
+            version: list[str] | None = None, partition_by: list[str] | None = None) -> None:
+    """Fold the batch folders into one snapshot: latest row per key (or all
+    rows when ``keys`` is None), optionally partitioned (e.g. by day) - the
+    periodic job that turns many small per-batch files into a serving table."""
+    df = (read_latest(spark, path, keys, version) if keys
+          else read_batches(spark, path).drop("batch_id"))
+    w = df.write.mode("overwrite")
+    if partition_by:
+        w = w.partitionBy(*partition_by)
+    w.parquet(out)
 
 
 def start_foreach(df: DataFrame, fn: BatchFn, checkpoint: str, output_mode: str = "append",

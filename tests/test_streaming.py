@@ -197,7 +197,7 @@ def test_order_ingest_stream_splits_rejects(spark):
     stream = spark.readStream.format("text").load(src)
     _run(jobs.start_orders(stream, f"{out}/orders", f"{out}/rejects", f"{out}/ckpt", ONCE))
     rows = spark.read.parquet(f"{out}/orders").collect()
-    assert [(r.id, r.consignee, r.consignee_tel, str(r.create_date), r.create_hour) for r in rows] == \
+    assert [(r.id, r.consignee, r.consignee_tel, r.create_date, r.create_hour) for r in rows] == \
         [("1", "W**", "138****5678", "2020-08-19", "00")]
     assert spark.read.parquet(f"{out}/rejects").count() == 2
 
