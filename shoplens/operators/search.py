@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from shoplens.constants import (AGE_BANDS, AGE_TERMS_SIZE, AGE_TITLE, GENDER_MALE_LABEL,
                                 GENDER_OTHER_LABEL, GENDER_TERMS_SIZE, GENDER_TITLE)
 from shoplens.functions.text import query_tokens, tokens
+from shoplens.operators.joins import bounded_broadcast
 
 BM25_K1 = 1.2
 BM25_B = 0.75
@@ -141,7 +142,7 @@ def age_stats(matches: DataFrame) -> DataFrame:
         band_of = F.when(cond, F.lit(i)) if band_of is None else band_of.when(cond, F.lit(i))
     per_band = t.groupBy(band_of.alias("band_order")).agg(F.sum("n").alias("value"))
     # both sides hold at most three rows (the fixed bands)
-    out = F.broadcast(bands).join(F.broadcast(per_band), "band_order", "left").select(
+    out = bounded_broadcast(bands).join(bounded_broadcast(per_band), "band_order", "left").select(
         F.lit(AGE_TITLE).alias("title"), "band_order", "name",
         F.coalesce(F.col("value"), F.lit(0)).cast("long").alias("value"))
     return _with_share(out)

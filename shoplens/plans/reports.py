@@ -12,6 +12,7 @@ from shoplens.constants import KPI_DAU, KPI_NEW_MID, KPI_ORDER_AMOUNT
 from shoplens.functions.timeparts import previous_day
 from shoplens.operators import dau as dau_ops
 from shoplens.operators import orders as order_ops
+from shoplens.operators.joins import bounded_broadcast
 
 
 def kpi_panel(dau: DataFrame, orders: DataFrame) -> DataFrame:
@@ -49,7 +50,8 @@ def kpi_panel_for_date(dau: DataFrame, orders: DataFrame, date: str) -> DataFram
     # aggregates, but new devices need each device's whole history.
     panel = kpi_panel(dau, orders).where(F.col("log_date") == date)
     spine = _kpi_spine(dau.sparkSession, date)
-    return spine.join(F.broadcast(panel.select("id", "value")), "id", "left").select(
+    # the panel of one date has three rows
+    return spine.join(bounded_broadcast(panel.select("id", "value")), "id", "left").select(
         "log_date", "id", "name", F.coalesce("value", F.lit("0")).alias("value"))
 
 
@@ -77,7 +79,7 @@ def today_vs_yesterday(hourly: DataFrame, date: str, date_col: str, hour_col: st
         F.sum(F.when(F.col(date_col) == date, F.col(value_col))).alias("today"),
         F.sum(F.when(F.col(date_col) == yday, F.col(value_col))).alias("yesterday"))
     spine = hour_spine(hourly.sparkSession)
-    return F.broadcast(spine).join(F.broadcast(per_hour), "hour", "left").select(
+    return bounded_broadcast(spine).join(bounded_broadcast(per_hour), "hour", "left").select(
         "hour", F.coalesce("today", zero).alias("today"),
         F.coalesce("yesterday", zero).alias("yesterday"))
 

@@ -2,7 +2,6 @@
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
-from pyspark.sql import functions as F
 
 from shoplens.functions import masking
 from shoplens.functions.text import query_tokens, tokens

@@ -233,3 +233,13 @@ def test_column_table_writer_uppercases_and_checks_columns(spark):
     assert sorted(got.columns) == ["LOG_DATE", "MID", "batch_id"]
     with pytest.raises(Exception):
         sinks.column_table_writer(out, ["mid", "missing"])(df, 1)
+
+
+def test_read_dimension_from_files(spark):
+    from shoplens.sources.tables import read_dimension
+    out = tempfile.mkdtemp(prefix="dim-")
+    users = td.user_info(spark, SF)
+    users.withColumn("birthday", F.col("birthday").cast("string")).write.mode("overwrite").parquet(out)
+    dim = read_dimension(spark, fmt="parquet", path=out)
+    assert dict(dim.dtypes)["birthday"] == "date"
+    assert dim.count() == users.count()
