@@ -81,11 +81,11 @@ def q_dau_dedup(spark, sf):
 
 
 def q_dau_total(spark, sf):
-    return dau_ops.dau_by_date(dau_table(spark, sf))
+    return dau_ops.dau_by_date_from_startups(td.startup_log(spark, sf))
 
 
 def q_dau_hourly(spark, sf):
-    return dau_ops.dau_by_hour(dau_table(spark, sf))
+    return dau_ops.dau_by_hour_from_startups(td.startup_log(spark, sf))
 
 
 def q_dau_for_date(spark, sf):
@@ -93,7 +93,7 @@ def q_dau_for_date(spark, sf):
 
 
 def q_new_devices(spark, sf):
-    return dau_ops.new_devices_by_date(dau_table(spark, sf))
+    return dau_ops.new_devices_from_startups(td.startup_log(spark, sf))
 
 
 def q_order_mask(spark, sf):
@@ -126,11 +126,12 @@ def q_hourly_compare_amount(spark, sf):
 
 
 def q_kpi_panel(spark, sf):
-    return reports.kpi_panel(dau_table(spark, sf), order_table(spark, sf))
+    return reports.kpi_panel_from_startups(td.startup_log(spark, sf), order_table(spark, sf))
 
 
 def q_kpi_panel_for_date(spark, sf):
-    return reports.kpi_panel_for_date(dau_table(spark, sf), order_table(spark, sf), DAU_DATE)
+    return reports.kpi_panel_for_date(td.startup_log(spark, sf), order_table(spark, sf), DAU_DATE,
+                                      from_startups=True)
 
 
 def q_coupon_alert_windows(spark, sf):

@@ -18,19 +18,30 @@ from shoplens.operators.joins import bounded_broadcast
 def kpi_panel(dau: DataFrame, orders: DataFrame) -> DataFrame:
     """Per date: three rows (id, name, value) - daily actives, new devices,
     order amount - values as strings, zero for a metric with no rows that day.
+    ``dau`` is the DAU table (one row per date and device)."""
+    return kpi_panel_of(dau_ops.dau_by_date(dau), dau_ops.new_devices_by_date(dau),
+                        order_ops.amount_by_date(orders))
 
-    Metrics are stacked as one long table and summed per date (one small
-    shuffle over pre-aggregated rows), then unpivoted; no joins.
-    """
+
+def kpi_panel_from_startups(startups: DataFrame, orders: DataFrame) -> DataFrame:
+    """The same panel counted straight from startup rows (hash aggregates
+    only, no DAU rows materialised)."""
+    return kpi_panel_of(dau_ops.dau_by_date_from_startups(startups),
+                        dau_ops.new_devices_from_startups(startups),
+                        order_ops.amount_by_date(orders))
+
+
+def kpi_panel_of(dau_per_date: DataFrame, new_per_date: DataFrame,
+                 amount_per_date: DataFrame) -> DataFrame:
+    """Metrics are stacked as one long table and summed per date (one small
+    shuffle over pre-aggregated rows), then unpivoted; no joins."""
     zero = F.lit(0).cast("long")
     zero_amt = F.lit(0).cast(schemas.MONEY)
-    a = dau_ops.dau_by_date(dau).select("log_date", F.col("dau"), zero.alias("new_mid"),
-                                        zero_amt.alias("order_amount"))
-    b = dau_ops.new_devices_by_date(dau).select("log_date", zero.alias("dau"), "new_mid",
-                                                zero_amt.alias("order_amount"))
-    c = order_ops.amount_by_date(orders).select(F.col("create_date").alias("log_date"),
-                                                zero.alias("dau"), zero.alias("new_mid"),
-                                                "order_amount")
+    a = dau_per_date.select("log_date", F.col("dau"), zero.alias("new_mid"),
+                            zero_amt.alias("order_amount"))
+    b = new_per_date.select("log_date", zero.alias("dau"), "new_mid", zero_amt.alias("order_amount"))
+    c = amount_per_date.select(F.col("create_date").alias("log_date"), zero.alias("dau"),
+                               zero.alias("new_mid"), "order_amount")
     per_date = a.unionByName(b).unionByName(c).groupBy("log_date").agg(
         F.sum("dau").alias("dau"), F.sum("new_mid").alias("new_mid"),
         F.sum("order_amount").cast(schemas.MONEY).alias("order_amount"))
@@ -44,11 +55,14 @@ def kpi_panel(dau: DataFrame, orders: DataFrame) -> DataFrame:
     return per_date.select("log_date", F.inline(rows))
 
 
-def kpi_panel_for_date(dau: DataFrame, orders: DataFrame, date: str) -> DataFrame:
-    """The panel of one date; all three rows exist even for an empty day."""
+def kpi_panel_for_date(dau: DataFrame, orders: DataFrame, date: str,
+                       from_startups: bool = False) -> DataFrame:
+    """The panel of one date; all three rows exist even for an empty day.
+    ``from_startups``: ``dau`` holds raw startup rows, not the DAU table."""
     # Filter after the panel: Catalyst pushes the date below the per-date
     # aggregates, but new devices need each device's whole history.
-    panel = kpi_panel(dau, orders).where(F.col("log_date") == date)
+    panel = (kpi_panel_from_startups(dau, orders) if from_startups
+             else kpi_panel(dau, orders)).where(F.col("log_date") == date)
     spine = _kpi_spine(dau.sparkSession, date)
     # the panel of one date has three rows
     return spine.join(bounded_broadcast(panel.select("id", "value")), "id", "left").select(

@@ -205,3 +205,19 @@ def test_sale_report_parts_agree(spark):
     assert rep["detail"].count() == 3
     assert sum(r.value for r in rep["gender"].collect()) == 8
     assert sum(r.value for r in rep["age"].collect()) == 8
+
+
+def test_counts_from_startups_equal_counts_from_dau_table(spark):
+    from shoplens.operators import dau as dau_ops
+    from shoplens.sources import testdata as td
+    st = td.startup_log(spark, "/root/testdata/sf0.001")
+    table = dau_ops.daily_actives(st)
+    pairs = [(dau_ops.dau_by_date(table), dau_ops.dau_by_date_from_startups(st)),
+             (dau_ops.dau_by_hour(table), dau_ops.dau_by_hour_from_startups(st)),
+             (dau_ops.new_devices_by_date(table), dau_ops.new_devices_from_startups(st)),
+             (reports.kpi_panel(table, st.limit(0).select(F.lit("x").alias("create_date"),
+                                                          F.lit("1").alias("total_amount"))),
+              reports.kpi_panel_from_startups(st, st.limit(0).select(F.lit("x").alias("create_date"),
+                                                                     F.lit("1").alias("total_amount"))))]
+    for a, b in pairs:
+        assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
