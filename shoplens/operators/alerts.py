@@ -42,6 +42,18 @@ def _with_pane(events: DataFrame, S: int, time_col: str) -> DataFrame:
     return events.withColumn("pane", bucket_index(ntz_to_epoch_micros(time_col), S))
 
 
+def _pane_partials(events: DataFrame, S: int, time_col: str) -> DataFrame:
+    """Per (device, pane, coupon account): event count and click flag, the
+    account being set only for coupon events (null otherwise). Every per-pane
+    input of the alert derives from this one definition; Catalyst prunes and
+    pushes each branch's filter (e.g. coupon events only) toward the scan."""
+    base = _with_pane(events.select("mid", "uid", "event_name", time_col), S, time_col)
+    coupon_uid = F.when(F.col("event_name") == COUPON_EVENT, F.col("uid"))
+    return base.groupBy("mid", "pane", coupon_uid.alias("uid")).agg(
+        F.count(F.lit(1)).alias("n"),
+        F.max((F.col("event_name") == CLICK_EVENT).cast("int")).alias("clicked"))
+
+
 def _window_bounds(df: DataFrame, S: int, L: int) -> DataFrame:
     start_us = F.col("w") * F.lit(S)
     return (df.withColumn("window_start", epoch_micros_to_ntz(start_us))
@@ -61,12 +73,10 @@ def alert_windows(events: DataFrame, length: str = "5 minutes", slide: str = "6
     ``events`` needs mid, uid, event_name and an NTZ ``time_col``.
     """
     L, S, k = _geometry(length, slide)
-    base = _with_pane(events.select("mid", "uid", "event_name", time_col), S, time_col)
-    pane_stats = base.groupBy("mid", "pane").agg(
-        F.count(F.lit(1)).alias("n_events"),
-        F.max((F.col("event_name") == CLICK_EVENT).cast("int")).alias("clicked"))
-    pane_accounts = (base.where((F.col("event_name") == COUPON_EVENT) & F.col("uid").isNotNull())
-                     .select("mid", "pane", "uid").distinct()
+    parts = _pane_partials(events, S, time_col)
+    pane_stats = parts.groupBy("mid", "pane").agg(
+        F.sum("n").alias("n_events"), F.max("clicked").alias("clicked"))
+    pane_accounts = (parts.where(F.col("uid").isNotNull()).select("mid", "pane", "uid")
                      .withColumn("n_events", F.lit(0).cast("long"))
                      .withColumn("clicked", F.lit(0)))
     partials = pane_stats.withColumn("uid", F.lit(None).cast("string")).unionByName(pane_accounts)
@@ -90,17 +100,16 @@ def coupon_alerts(events: DataFrame, length: str = "5 minutes", slide: str = "6
     filtering ``alert_windows``, with less expansion.
     """
     L, S, k = _geometry(length, slide)
-    base = _with_pane(events.select("mid", "uid", "event_name", time_col), S, time_col)
-    accounts = (base.where((F.col("event_name") == COUPON_EVENT) & F.col("uid").isNotNull())
-                .select("mid", "pane", "uid").distinct())
+    parts = _pane_partials(events, S, time_col)
+    accounts = parts.where(F.col("uid").isNotNull()).select("mid", "pane", "uid")
     candidates = (_expand_to_windows(accounts, k).groupBy("mid", "w")
                   .agg(F.count_distinct("uid").alias("coupon_accounts"))
                   .where(F.col("coupon_accounts") >= min_accounts))
     click_windows = _expand_to_windows(
-        base.where(F.col("event_name") == CLICK_EVENT).select("mid", "pane").distinct(), k
+        parts.where(F.col("clicked") > 0).select("mid", "pane").distinct(), k
     ).select("mid", "w").distinct()
     candidates = candidates.join(click_windows, ["mid", "w"], "left_anti")
-    pane_counts = base.groupBy("mid", "pane").agg(F.count(F.lit(1)).alias("n"))
+    pane_counts = parts.groupBy("mid", "pane").agg(F.sum("n").alias("n"))
     candidate_panes = (candidates.select("mid", "w", F.explode(F.sequence(F.lit(0), F.lit(k - 1))).alias("_i"))
                        .withColumn("pane", F.col("w") + F.col("_i")).drop("_i"))
     counts = (candidate_panes.join(pane_counts, ["mid", "pane"], "inner")
