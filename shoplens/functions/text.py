@@ -18,11 +18,25 @@ _HAN_PY = regex.compile(r"(\p{Han})")
 _SPLIT_PY = regex.compile(r"[^\p{L}\p{N}]+")
 
 
+_EDGES_JAVA = r"^[^\p{L}\p{N}]+|[^\p{L}\p{N}]+$"
+
+
 def tokens(c) -> Column:
-    """array<string> of tokens of a text column."""
+    """array<string> of tokens of a text column.
+
+    Separators at both ends are stripped before splitting, so no empty token
+    appears and no lambda (interpreted) is needed; empty text -> [].
+    """
     c = F.col(c) if isinstance(c, str) else c
     spaced = F.regexp_replace(F.lower(c), _HAN_JAVA, " $1 ")
-    return F.filter(F.split(spaced, _SPLIT_JAVA), lambda t: t != F.lit(""))
+    trimmed = F.regexp_replace(spaced, _EDGES_JAVA, "")
+    return F.when(trimmed == F.lit(""), F.array().cast("array<string>")).otherwise(
+        F.split(trimmed, _SPLIT_JAVA))
+
+
+def term_count(toks: Column, token: str) -> Column:
+    """Occurrences of ``token`` in a token array (no lambda)."""
+    return F.size(toks) - F.size(F.array_remove(toks, F.lit(token)))
 
 
 def query_tokens(text: str | None) -> list[str]:

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from shoplens.constants import (AGE_BANDS, AGE_TERMS_SIZE, AGE_TITLE, GENDER_MALE_LABEL,
                                 GENDER_OTHER_LABEL, GENDER_TERMS_SIZE, GENDER_TITLE)
-from shoplens.functions.text import query_tokens, tokens
+from shoplens.functions.text import query_tokens, term_count, tokens
 from shoplens.operators.joins import bounded_broadcast
 
 BM25_K1 = 1.2
@@ -75,16 +75,12 @@ def bm25_score(matches: DataFrame, corpus: DataFrame, keyword: str | None,
     for i, t in enumerate(q):
         df_t = F.col(f"_bm25.df{i}")
         idf = F.log(F.lit(1.0) + (n_docs - df_t + F.lit(0.5)) / (df_t + F.lit(0.5)))
-        tf = F.size(F.filter(toks, _equals(t))).cast("double")
+        tf = term_count(toks, t).cast("double")
         part = idf * tf * F.lit(BM25_K1 + 1) / (tf + F.lit(BM25_K1) * (F.lit(1 - BM25_B) + F.lit(BM25_B) * dl / avg_len))
         score = score + part
     return matches.withColumn("score", score).drop("_bm25")
 
 
-def _equals(token: str):
-    return lambda x: x == F.lit(token)
-
-
 def ranked(matches: DataFrame) -> list[Column]:
     return [F.col("score").desc()] + [F.col(c).asc() for c in TIE_BREAK]
 
