@@ -92,7 +92,9 @@ def stamp_fields(fields, ts: Column) -> Column:
     any client value. Other fields are re-serialised as strings (they bind to
     string fields downstream); ``ts`` is written last, as a JSON number."""
     f = F.col(fields) if isinstance(fields, str) else fields
-    kept = F.map_filter(f, lambda k, v: k != F.lit("ts"))
+    # the (interpreted) key filter runs only for lines that carry a client ts
+    kept = F.when(F.map_contains_key(f, F.lit("ts")),
+                  F.map_filter(f, lambda k, v: k != F.lit("ts"))).otherwise(f)
     text = F.to_json(F.map_concat(kept, F.create_map(F.lit("ts"), ts.cast("string"))))
     return F.regexp_replace(text, r'"ts":"(-?[0-9]+)"\}$', '"ts":$1}')
 
