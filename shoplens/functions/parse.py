@@ -22,12 +22,17 @@ def bind_json(df: DataFrame, schema: T.StructType, value_col: str = "value",
     """Parse ``value_col`` into the fields of ``schema``.
 
     Returns ``(rows, rejects)``: rejects keep the raw text plus a reason.
+    Other input columns (e.g. the message's ``received_ts``) are carried
+    along with the parsed fields.
     """
     with_corrupt = T.StructType(schema.fields + [T.StructField(_CORRUPT, T.StringType())])
+    field_names = {f.name for f in schema.fields}
+    carried = [c for c in df.columns if c != value_col and c not in field_names]
     parsed = df.select(
         F.col(value_col).alias("_raw"),
         F.from_json(F.col(value_col), with_corrupt,
-                    {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT}).alias("_j"))
+                    {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT}).alias("_j"),
+        *carried)
     missing = [F.when(F.col(f"_j.{f}").isNull(), F.lit(f)) for f in required]
     reason = F.when(F.col("_raw").isNull(), F.lit("null message")) \
         .when(F.col("_j").isNull() | F.col(f"_j.{_CORRUPT}").isNotNull(), F.lit("malformed json"))
@@ -35,7 +40,7 @@ def bind_json(df: DataFrame, schema: T.StructType, value_col: str = "value",
         reason = reason.otherwise(
             F.when(F.concat_ws(",", *missing) != "", F.concat(F.lit("missing: "), F.concat_ws(",", *missing))))
     tagged = parsed.withColumn("_reason", reason)
-    rows = tagged.where(F.col("_reason").isNull()).select("_j.*").drop(_CORRUPT)
+    rows = tagged.where(F.col("_reason").isNull()).select("_j.*", *carried).drop(_CORRUPT)
     rejects = tagged.where(F.col("_reason").isNotNull()).select(
         F.col("_raw").alias("value"), F.col("_reason").alias("reason"))
     return rows, rejects
