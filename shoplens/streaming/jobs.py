@@ -201,9 +201,14 @@ def start_sales_fresh_users(orders: DataFrame, details: DataFrame, read_users, p
     keyed = sinks.with_doc_id(sales.SALE_KEY, trailing=":")
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        users = lookup_by_ids(read_users(), batch)
-        wide = sales.enrich_users(batch, users, as_of)
-        keyed(wide).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        # the batch feeds both the id lookup and the join: computed once
+        batch.persist()
+        try:
+            users = lookup_by_ids(read_users(), batch)
+            wide = sales.enrich_users(batch, users, as_of)
+            keyed(wide).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        finally:
+            batch.unpersist()
     return sinks.start_foreach(pairs, write, checkpoint, "append", trigger or DEFAULT_TRIGGER,
                                "sales_fresh_users")
 
