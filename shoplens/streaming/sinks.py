@@ -92,7 +92,9 @@ def start_foreach(df: DataFrame, fn: BatchFn, checkpoint: str, output_mode: str
     w: DataStreamWriter = (df.writeStream.outputMode(output_mode).foreachBatch(fn)
                            .option("checkpointLocation", checkpoint))
     if name:
-        w = w.queryName(name)
+        # one query per checkpoint, so the name stays unique among active queries
+        import zlib
+        w = w.queryName(f"{name}-{zlib.crc32(checkpoint.encode()):08x}")
     return w.trigger(**(trigger or {"processingTime": "3 seconds"})).start()
 
 
