@@ -172,10 +172,9 @@ def q_sale_wide_unbounded(spark, sf):
 
 
 def q_sale_pairs_full(spark, sf):
-    pairs = sales.join_orders_details(order_table(spark, sf), td.order_detail(spark, sf),
-                                      bound=None, how="full")
-    return pairs.select(F.col("o.id").alias("order_id"), F.col("d.order_id").alias("detail_order_id"),
-                        F.col("d.id").alias("order_detail_id"))
+    pairs = sales.full_pairs(order_table(spark, sf), td.order_detail(spark, sf), bound=None)
+    return pairs.select(F.col("order_id"), F.col("detail_order_id"),
+                        F.col("detail_id").alias("order_detail_id"))
 
 
 def q_sale_search_total(spark, sf):

@@ -59,3 +59,17 @@ def test_sale_join_with_a_hot_order(spark, duck_parity):
     problems, n_spark, n_duck = compare(got, duck_parity, sql)
     assert not problems, problems
     assert got.where("order_id = '0'").count() > 10000
+
+
+def test_full_pairs_equal_full_outer_join(spark):
+    li = td.table(spark, SF, "lineitem").withColumn(
+        "l_orderkey", F.when(F.col("l_linenumber") % 3 == 0, F.lit(0).cast("long")).otherwise(F.col("l_orderkey")))
+    orders = R.order_table(spark, SF)
+    details = td.order_detail_from(li, td.table(spark, SF, "part"))
+    for bound in (None, "30 days"):
+        flat = sales.full_pairs(orders, details, bound).select("order_id", "detail_order_id", "detail_id")
+        outer = sales.join_orders_details(orders, details, bound, how="full").select(
+            F.col("o.id"), F.col("d.order_id"), F.col("d.id"))
+        assert flat.exceptAll(outer).count() == 0 and outer.exceptAll(flat).count() == 0
+    plan = flat._jdf.queryExecution().executedPlan().toString()
+    assert "FullOuter" not in plan
