@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-DEFAULT_BROADCAST_LIMIT = 64 * 1024 * 1024
+# The estimate of a file scan is its (compressed) size on disk; rows in memory
+# take several times that, hence a limit well below executor memory.
+DEFAULT_BROADCAST_LIMIT = 32 * 1024 * 1024
 
 
 def estimated_bytes(df: DataFrame) -> int | None:
