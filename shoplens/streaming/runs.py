@@ -52,8 +52,8 @@ def stream_order_ingest(spark: SparkSession, sf: str) -> DataFrame:
     from shoplens.constants import ORDER_INFO_TOPIC
     from shoplens.streaming.sources import topic_stream
     base = scratch_path(spark, "stream_orders")
-    td.change_feed(spark, sf).write.json(f"{base}/feed")
-    feed = spark.readStream.schema(schemas.CHANGE_ENTRY).json(f"{base}/feed")
+    td.change_feed(spark, sf).write.parquet(f"{base}/feed")
+    feed = spark.readStream.schema(schemas.CHANGE_ENTRY).parquet(f"{base}/feed")
     _run(jobs.start_change_router(feed, f"{base}/ckpt-route", fmt="files", path=f"{base}/topics",
                                   trigger=ONCE))
     raw_orders = topic_stream(spark, ORDER_INFO_TOPIC, fmt="files", path=f"{base}/topics")
