@@ -36,8 +36,8 @@ def dau_stream(startups: DataFrame, time_col: str = "event_time", lateness: str
             .dropDuplicatesWithinWatermark(dau_ops.DAU_KEYS))
 
 
-def dau_earliest_stream(startups: DataFrame, time_col: str = "event_time",
-                        lateness: str = "1 day", order: tuple[str, ...] = ("ts", "event_id")) -> DataFrame:
+def dau_earliest_stream(startups: DataFrame, lateness: str = "1 day",
+                        order: tuple[str, ...] = ("ts", "event_id")) -> DataFrame:
     """Keep the *earliest* startup per (date, device), whatever the arrival
     order: an update-mode ``min(struct)`` per (day, device). State is one row
     per key and expires once the watermark passes the day plus ``lateness``;
