@@ -20,8 +20,6 @@ SESSION_DEFAULTS = {
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
-    # Keep-first by row_number() = 1 gets a map-side partial limit.
-    "spark.sql.optimizer.windowGroupLimitThreshold": "1000",
 }
 
 
