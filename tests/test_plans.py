@@ -54,3 +54,14 @@ def test_search_statistics_are_one_subquery(spark):
     plan = _plan(R.QUERIES["sale_search_bm25"](spark, SF))
     ids = set(re.findall(r"Subquery subquery#(\d+)", plan))
     assert len(ids) == 1
+
+
+@pytest.mark.parametrize("name", ["dau_for_date", "hourly_compare_dau"])
+def test_one_day_reports_push_a_time_range_to_the_scan(spark, name):
+    plan = _formatted(R.QUERIES[name](spark, SF))
+    pushed = re.findall(r"PushedFilters: \[([^\n]*)\]", plan)
+    assert any("GreaterThanOrEqual(ts," in p and "LessThan(ts," in p for p in pushed), pushed
+
+
+def test_full_pairing_has_no_full_outer_join(spark):
+    assert "FullOuter" not in _plan(R.QUERIES["sale_pairs_full"](spark, SF))
