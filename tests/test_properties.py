@@ -63,3 +63,49 @@ def test_long_digit_run_masks_again_like_the_reference(spark):
     twice = once.select(masking.mask_phone("v").alias("v"))
     assert once.first().v == "000****0000" + "0" * 7
     assert twice.first().v == "000****" + "000****0000"
+
+
+_EVENTS = st.lists(st.tuples(st.sampled_from(["m1", "m2"]),
+                             st.one_of(st.none(), st.sampled_from(["u1", "u2", "u3", "u4"])),
+                             st.sampled_from(["coupon", "coupon", "clickItem", "addCart"]),
+                             st.integers(0, 3600)),
+                   min_size=1, max_size=40)
+
+
+def _brute_force_windows(rows, length_s, slide_s):
+    """Every (device, window start) a sliding window assigns an event to."""
+    out = {}
+    for mid, uid, name, t in rows:
+        first = (t // slide_s) * slide_s - length_s + slide_s
+        for start in range(first, t + 1, slide_s):
+            if start <= t < start + length_s:
+                w = out.setdefault((mid, start), {"accounts": set(), "n": 0, "clicked": False})
+                w["n"] += 1
+                if name == "coupon" and uid is not None:
+                    w["accounts"].add(uid)
+                if name == "clickItem":
+                    w["clicked"] = True
+    return out
+
+
+@settings(max_examples=12, deadline=None)
+@given(_EVENTS)
+def test_sliding_alerts_equal_brute_force(spark, rows):
+    import datetime as dt
+    from shoplens.operators import alerts
+    t0 = dt.datetime(2024, 1, 1)
+    df = spark.createDataFrame(
+        [(m, u, n, t0 + dt.timedelta(seconds=t)) for m, u, n, t in rows],
+        "mid string, uid string, event_name string, event_time timestamp_ntz")
+    want = _brute_force_windows(rows, 600, 120)
+    got = {(r.mid, int((r.window_start - t0).total_seconds())): r
+           for r in alerts.alert_windows(df, "10 minutes", "2 minutes").collect()}
+    assert set(got) == set(want)
+    for key, w in want.items():
+        r = got[key]
+        assert (r.coupon_accounts, r.n_events, r.clicked) == (len(w["accounts"]), w["n"], w["clicked"])
+    alerting = {k for k, w in want.items() if len(w["accounts"]) >= 2 and not w["clicked"]}
+    got_alerts = {(r.mid, int((r.window_start - t0).total_seconds())): r.n_events
+                  for r in alerts.coupon_alerts(df, "10 minutes", "2 minutes", 2).collect()}
+    assert set(got_alerts) == alerting
+    assert all(got_alerts[k] == want[k]["n"] for k in alerting)
