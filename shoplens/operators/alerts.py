@@ -110,11 +110,13 @@ def coupon_alerts(events: DataFrame, length: str = "5 minutes", slide: str = "6
     ).select("mid", "w").distinct()
     candidates = candidates.join(click_windows, ["mid", "w"], "left_anti")
     pane_counts = parts.groupBy("mid", "pane").agg(F.sum("n").alias("n"))
-    candidate_panes = (candidates.select("mid", "w", F.explode(F.sequence(F.lit(0), F.lit(k - 1))).alias("_i"))
+    # coupon_accounts rides along (it is fixed per window), so the candidates
+    # are computed once - no second join back to them
+    candidate_panes = (candidates.select("mid", "w", "coupon_accounts",
+                                         F.explode(F.sequence(F.lit(0), F.lit(k - 1))).alias("_i"))
                        .withColumn("pane", F.col("w") + F.col("_i")).drop("_i"))
-    counts = (candidate_panes.join(pane_counts, ["mid", "pane"], "inner")
-              .groupBy("mid", "w").agg(F.sum("n").alias("n_events")))
-    out = candidates.join(counts, ["mid", "w"], "inner")
+    out = (candidate_panes.join(pane_counts, ["mid", "pane"], "inner")
+           .groupBy("mid", "w", "coupon_accounts").agg(F.sum("n").alias("n_events")))
     return _window_bounds(out, S, L).select(
         "mid", "window_start", "window_end", "w", "coupon_accounts", "n_events")
 

@@ -49,29 +49,27 @@ def full_pairs(orders: DataFrame, details: DataFrame, bound: str | None = "30 mi
     and ``detail_<c>``: matched pairs, orders without a line, lines without an
     order.
 
-    Built as an inner join plus two anti-joins rather than a full outer join:
-    AQE splits a hot order id in all three (the hot key's line rows are on a
-    splittable side), while a full outer join's skewed partition cannot be
-    split.
+    A full outer join's skewed partition cannot be split by AQE, so this is
+    (a) lines LEFT JOIN orders - matched pairs and order-less lines, with the
+    lines (where a hot order's rows are) on the splittable side - plus (b)
+    orders LEFT ANTI the lines' keys, where the lines are first reduced to
+    distinct keys (a hot order collapses to one row map-side).
     """
     o_keep = sorted({"id", *order_cols} | ({order_time} if bound else set()))
     d_keep = sorted({"order_id", *detail_cols} | ({detail_time} if bound else set()))
-    o = orders.select(*o_keep)
-    d = details.select(*d_keep)
-    o_out = [F.col(f"o.{c}").alias(f"order_{c}") for c in order_cols]
-    d_out = [F.col(f"d.{c}").alias(f"detail_{c}") for c in detail_cols]
-    o_null = [F.lit(None).cast(orders.schema[c].dataType).alias(f"order_{c}") for c in order_cols]
-    d_null = [F.lit(None).cast(details.schema[c].dataType).alias(f"detail_{c}") for c in detail_cols]
-    matched = join_orders_details(o, d, bound, "inner", order_time, detail_time).select(*o_out, *d_out)
-    lonely_orders = join_orders_details(o, d, bound, "left_anti", order_time, detail_time) \
-        .select(*o_out, *d_null)
-    # lines without an order: the lines are the left (splittable) side
+    o = orders.select(*o_keep).alias("o")
+    d = details.select(*d_keep).alias("d")
     cond = F.col("d.order_id") == F.col("o.id")
     if bound is not None:
         cond = cond & F.col(f"d.{detail_time}").between(
             F.col(f"o.{order_time}") - _bound(bound), F.col(f"o.{order_time}") + _bound(bound))
-    lonely_lines = d.alias("d").join(o.alias("o"), cond, "left_anti").select(*o_null, *d_out)
-    return matched.unionByName(lonely_orders).unionByName(lonely_lines)
+    o_out = [F.col(f"o.{c}").alias(f"order_{c}") for c in order_cols]
+    d_out = [F.col(f"d.{c}").alias(f"detail_{c}") for c in detail_cols]
+    d_null = [F.lit(None).cast(details.schema[c].dataType).alias(f"detail_{c}") for c in detail_cols]
+    lines = d.join(o, cond, "left").select(*o_out, *d_out)
+    line_keys = details.select(*(["order_id", detail_time] if bound else ["order_id"])).distinct().alias("d")
+    lonely_orders = o.join(line_keys, cond, "left_anti").select(*o_out, *d_null)
+    return lines.unionByName(lonely_orders)
 
 
 def sale_rows(pairs: DataFrame) -> DataFrame:
