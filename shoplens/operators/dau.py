@@ -46,11 +46,15 @@ def new_devices_by_date(dau: DataFrame) -> DataFrame:
 # The counts need neither whole rows nor a sort: every aggregate below keeps a
 # fixed-width buffer, so Spark plans hash aggregation with map-side combine.
 
+def date_device_pairs(startups: DataFrame) -> DataFrame:
+    """Distinct (date, device) pairs: the DAU keys without the rows."""
+    return startups.select(*DAU_KEYS).distinct()
+
+
 def dau_by_date_from_startups(startups: DataFrame) -> DataFrame:
     """Distinct (date, device) pairs per date: equal to ``dau_by_date`` of the
     DAU table."""
-    pairs = startups.select(*DAU_KEYS).distinct()
-    return pairs.groupBy("log_date").agg(F.count(F.lit(1)).alias("dau"))
+    return date_device_pairs(startups).groupBy("log_date").agg(F.count(F.lit(1)).alias("dau"))
 
 
 def first_hours(startups: DataFrame) -> DataFrame:
@@ -71,7 +75,10 @@ def dau_by_hour_from_startups(startups: DataFrame) -> DataFrame:
 
 def new_devices_from_startups(startups: DataFrame) -> DataFrame:
     """Equal to ``new_devices_by_date`` of the DAU table (a device's first day
-    is the same whichever of its startups is kept)."""
-    first = startups.groupBy("mid").agg(F.min(F.to_date("log_date")).alias("_d"))
+    is the same whichever of its startups is kept). ``min`` ignores
+    duplicates, so Catalyst drops the distinct below it and aggregates the
+    startups directly; the partial ``min`` per task collapses a busy device to
+    one row per task before the shuffle."""
+    first = date_device_pairs(startups).groupBy("mid").agg(F.min(F.to_date("log_date")).alias("_d"))
     return first.groupBy(F.date_format("_d", "yyyy-MM-dd").alias("log_date")) \
         .agg(F.count(F.lit(1)).alias("new_mid"))
