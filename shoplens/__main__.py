@@ -57,7 +57,9 @@ def run_job(spark, args) -> list:
         orders = orders.withColumn("order_ts", epoch_millis_to_ntz("received_ts"))
         details = details.withColumn("detail_ts", epoch_millis_to_ntz("received_ts"))
         users = read_dimension(spark, fmt=args.users_format, path=args.users)
-        return [jobs.start_sales(orders, details, users, args.out, args.checkpoint, args.as_of,
+        import datetime
+        as_of = args.as_of or datetime.date.today().isoformat()   # ages as of today by default
+        return [jobs.start_sales(orders, details, users, args.out, args.checkpoint, as_of,
                                  args.bound, trigger, args.lateness, args.lateness)]
     if args.name == "router":
         feed = spark.readStream.schema(schemas.CHANGE_ENTRY).json(args.changes)
