@@ -36,6 +36,11 @@ def test_jobs_and_reports(spark, capsys):
     hours = [json.loads(x) for x in capsys.readouterr().out.splitlines()]
     assert len(hours) == 24
 
+    main(["report", "hourly", "--id", "order_amount", "--orders", f"{base}/orders", "--date", "1996-09-17"],
+         spark=spark)
+    amounts = [json.loads(x) for x in capsys.readouterr().out.splitlines()]
+    assert len(amounts) == 24 and {"hour", "today", "yesterday"} <= set(amounts[0])
+
     main(["report", "search", "--sales", f"{base}/sales", "--date", "1996-09-17", "--keyword", "red",
           "--page", "1", "--size", "5"], spark=spark)
     parts = {p["part"]: p["rows"] for p in map(json.loads, capsys.readouterr().out.splitlines())}
