@@ -98,7 +98,8 @@ def deduplicate(docs: DataFrame, index: DigestIndex | None = None, id_col: str =
             part = part.filter(F.col("doc_id") < high)
         index.ingest(part)
     sizes = rows.groupBy("digest").agg(F.count("*").alias("group_size"))
-    known = index.read().select("digest", "keep_id", F.col("row_key").alias("keep_row")).join(sizes, "digest")
+    # written out, so that the join below stands alone in its stage and Spark can split a hot digest
+    known = materialize(index.read().select("digest", "keep_id", F.col("row_key").alias("keep_row")).join(sizes, "digest"))
     return rows.join(known, "digest").select(
         "doc_id", "keep_id", "group_size",
         (F.col("row_key") == F.col("keep_row")).alias("kept"), F.col("digest").alias("text_sha256"))

@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
-from shoplens.llm import exact_dedup, line_dedup, mixing
+from shoplens.llm import decontaminate, exact_dedup, jaccard_join, line_dedup, mixing, ngram_lm, toxicity
 
 QUERIES = {
+    "op2_ngram_lm": ngram_lm.op2_ngram_lm,
+    "op3_decontaminate": decontaminate.op3_decontaminate,
+    "op6_jaccard_join": jaccard_join.op6_jaccard_join,
     "op7_line_dedup": line_dedup.op7_line_dedup,
+    "op8_toxicity": toxicity.op8_toxicity,
     "op9_pareto_mix": mixing.op9_pareto_mix,
     "op10_exact_dedup": exact_dedup.op10_exact_dedup,
 }
 
 SQL = {
+    "op3_decontaminate": decontaminate.OP3_SQL,
     "op7_line_dedup": line_dedup.OP7_SQL,
     "op10_exact_dedup": exact_dedup.OP10_SQL,
 }
