@@ -15,12 +15,13 @@ from __future__ import annotations
 
 import math
 import re
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import batches, held_out, materialize
@@ -29,6 +30,8 @@ from .common import batches, held_out, materialize
 MAX_LABELLED, MAX_TERMS = 20_000, 5_000
 STEMS = range(4, 10)
 FUZZY_LENGTH = 5
+#: Lower confidence limit of a term's share of toxic documents; six toxic and no clean ones reach it.
+SHARE_LIMIT = 0.66
 SLICE_CHARS = 4 << 20
 #: Signs that stand for letters inside a word.
 LOOKALIKES = str.maketrans({"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "@": "a", "$": "s", "!": "i", "|": "l"})
@@ -64,30 +67,38 @@ class Lexicon:
                 half = len(word) // 2
                 self.heads.add(word[:half])
                 self.tails.add(word[half:])
+        self.longest = max(map(len, words), default=0) + 1
         self.head_sizes = sorted({len(x) for x in self.heads})
         self.tail_sizes = sorted({len(x) for x in self.tails})
 
     def near(self, word: str) -> str | None:
         """A term one edit away. One half of the term is then untouched, which most words fail."""
-        if len(word) < FUZZY_LENGTH - 1 or word in self.innocent:
+        if not FUZZY_LENGTH - 1 <= len(word) <= self.longest or word in self.innocent:
             return None
         if not (any(word[:k] in self.heads for k in self.head_sizes) or any(word[-k:] in self.tails for k in self.tail_sizes)):
             return None
-        return self._walk(self.trie, word, tuple(range(len(word) + 1)))
-
-    def _walk(self, node: dict, word: str, row: tuple) -> str | None:
-        """The automaton's state is a row of edit distances to the word's prefixes; it dies above 1."""
-        if row[-1] <= 1 and "" in node:
-            return node[""]
-        for c, child in node.items():
-            if c:
-                new = [row[0] + 1]
-                for i, x in enumerate(word):
-                    new.append(min(new[-1] + 1, row[i + 1] + 1, row[i] + (x != c)))
-                if min(new) <= 1:
-                    found = self._walk(child, word, tuple(new))
-                    if found:
-                        return found
+        return self._walk(word)
+
+    def _walk(self, word: str) -> str | None:
+        """The automaton run along the trie. Bit i of a state stands for i letters of the word
+        read, ``even`` without an edit and ``odd`` with one at most; it dies when no bit is left."""
+        masks: dict[str, int] = {}
+        for i, c in enumerate(word):
+            masks[c] = masks.get(c, 0) | 1 << i
+        end, full = 1 << len(word), (2 << len(word)) - 1
+        stack = [(self.trie, 1, 3)]
+        while stack:
+            node, even, odd = stack.pop()
+            for c, child in node.items():
+                if not c:
+                    if odd & end:
+                        return child
+                    continue
+                mask = masks.get(c, 0)
+                now = (even & mask) << 1
+                odd_now = ((odd & mask) << 1 | even | even << 1 | now | now << 1) & full
+                if odd_now:
+                    stack.append((child, now, odd_now))
         return None
 
     def find(self, word: str) -> tuple[float, bool] | None:
@@ -141,6 +152,28 @@ class Finder:
         return [math.log1p(exact), math.log1p(near), math.log1p(quote), math.log1p(100 * exact / max(1, len(tokens)))]
 
 
+def _signatures(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(id, toxic, text) with ``s0`` to ``s2``, each the smallest hash of the text's three-word runs."""
+    for ids, labels, texts in batches(it, ["id", "toxic", "text"], SLICE_CHARS):
+        least = []
+        for text in texts:
+            w = (text or "").lower().split()
+            runs = {" ".join(w[i:i + 3]).encode("utf-8", "surrogatepass") for i in range(max(1, len(w) - 2))}
+            least.append([min(zlib.crc32(r, seed) for r in runs) for seed in (1, 2, 3)])
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(ids, pa.string()), pa.array(labels, pa.int32()), pa.array(texts, pa.string()),
+             *(pa.array([x[k] for x in least], pa.int64()) for k in range(3))], names=["id", "toxic", "text", "s0", "s1", "s2"])
+
+
+def _without_copies(rows: DataFrame) -> DataFrame:
+    """Of rows that share a signature, the one of smallest id: copies of a document would make all
+    its words look telling."""
+    rows = rows.mapInArrow(_signatures, "id string, toxic int, text string, s0 long, s1 long, s2 long")
+    for s in ("s0", "s1", "s2"):
+        rows = rows.withColumn("__k", F.row_number().over(Window.partitionBy(s).orderBy("id"))).filter("__k = 1").drop("__k")
+    return rows
+
+
 def _count(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(toxic, text) to (term, stem, pos, neg): documents per term, added up within the task."""
     pos, neg = Counter(), Counter()
@@ -160,11 +193,11 @@ def _near_words(lexicon: Lexicon):
     """(toxic, text) to (term, pos, neg) of the words that match a term by one edit only."""
 
     def run(it):
+        finder = Finder(lexicon)
         for labels, texts in batches(it, ["toxic", "text"], SLICE_CHARS):
             pos, neg = Counter(), Counter()
             for label, text in zip(labels, texts):
-                words = {plain(t) for t in set((text or "").lower().split())}
-                hits = [w for w in words if (f := lexicon.find(w)) and not f[1]]
+                hits = {plain(t) for t in set((text or "").lower().split()) if (f := finder.look(t)) and not f[1]}
                 (pos if label else neg).update(hits)
             t = sorted(set(pos) | set(neg))
             yield pa.RecordBatch.from_arrays([pa.array(t, pa.string()), pa.array([pos[x] for x in t], pa.int64()),
@@ -196,7 +229,7 @@ def choose_terms(counts: list[tuple[str, int, int]], n_pos: int, n_neg: int) ->
     and a term under a kept stem is dropped."""
     weight = {t: math.log((p + 0.5) / (n_pos + 1)) - math.log((n + 0.5) / (n_neg + 1)) for t, p, n in counts}
     pos = {t: p for t, p, _ in counts}
-    good = sorted((t for t, p, n in counts if _share_limit(p, n) >= 0.6 and weight[t] > 2), key=lambda t: (len(t), t))
+    good = sorted((t for t, p, n in counts if _share_limit(p, n) >= SHARE_LIMIT and weight[t] > 2), key=lambda t: (len(t), t))
     best = Counter()
     for t in good:
         if not t.endswith("*"):
@@ -249,7 +282,8 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     sample = known.withColumn("__h", F.xxhash64("__id")).orderBy("__h", "__id").limit(max_labelled)
     # max_labelled rows of two numbers at most
     rows = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("text")).join(F.broadcast(sample), "__id")
-    rows = materialize(rows.select(F.col("toxic"), "text", (F.pmod(F.xxhash64("__id", F.lit(7)), F.lit(2)) == 0).alias("first")))
+    rows = _without_copies(rows.select(F.col("__id").cast("string").alias("id"), "toxic", "text"))
+    rows = materialize(rows.select("toxic", "text", (F.pmod(F.xxhash64("id", F.lit(7)), F.lit(2)) == 0).alias("first")))
     one, two = rows.filter("first").select("toxic", "text"), rows.filter("not first").select("toxic", "text")
     sizes = {r[0]: r[1] for r in one.groupBy("toxic").count().collect()}
     n_pos, n_neg = sizes.get(1, 0), sizes.get(0, 0)
@@ -285,12 +319,13 @@ def _score(model: Model):
     return run
 
 
-def score(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
-    """``docs`` with ``__score`` in 0 to 1. Null and empty texts score what a text without hits
-    does. Texts go through as they are, in one pass without a shuffle; nothing but the text is
-    looked at, and no rows give no rows."""
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    return docs.withColumn("__text", F.col(text_col)).mapInArrow(_score(model), f"{schema}, __score double")
+def score(docs: DataFrame, model: Model, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
+    """The columns ``keep`` (default: all) of ``docs`` and ``__score`` in 0 to 1. Null and empty
+    texts score what a text without hits does. One pass without a shuffle; nothing but the text
+    is looked at, and no rows give no rows."""
+    kept = docs.select(*[F.col(f"`{c}`") for c in (docs.columns if keep is None else keep)], F.col(text_col).alias("__text"))
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema if f.name != "__text")
+    return kept.mapInArrow(_score(model), f"{schema}, __score double")
 
 
 def fit_tables(spark: SparkSession, sf_dir: str) -> Model:
@@ -300,7 +335,6 @@ def fit_tables(spark: SparkSession, sf_dir: str) -> Model:
 
 
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    out = score(docs, fit_tables(spark, sf_dir))
+    out = score(spark.read.parquet(f"{sf_dir}/documents.parquet"), fit_tables(spark, sf_dir), keep=["doc_id"])
     return out.select("doc_id", held_out(F.col("doc_id"), 0).alias("held_out"), F.col("__score").alias("score"),
                       (F.col("__score") >= 0.5).cast("int").alias("predicted"))
