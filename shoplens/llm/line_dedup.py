@@ -141,7 +141,8 @@ def shared_lines(docs: DataFrame, min_docs: int = MIN_DOCS, min_chars: int = MIN
     suspects = materialize(packed.groupBy("segment").applyInArrow(_suspects, "digest binary, doc_id long"))
     holders = suspects.groupBy("digest", "doc_id").agg(F.lit(1).alias("one"))
     shared = holders.groupBy("digest").agg(F.count("*").alias("n"), F.max("doc_id").alias("keeper")).filter(F.col("n") >= min_docs)
-    return suspects, shared.select("digest", "keeper")
+    # written out, so that a join with it stands alone in its stage and Spark can split a hot digest
+    return suspects, materialize(shared.select("digest", "keeper"))
 
 
 def _rewrite(id_col: str, text_col: str, min_chars: int):

@@ -98,7 +98,8 @@ def _with_source(rows: DataFrame, facts: DataFrame) -> DataFrame:
 def pareto_mix(docs: DataFrame, weights: list[int] = (5, 2, 1), budget_percent: int = 150, cap: int = 2,
                seed: str = "mix", id_col: str = "doc_id", text_col: str = "text",
                source_col: str = "source") -> DataFrame:
-    """One row per document: doc_id, source, size, source_size, target, n_copies, taken.
+    """One row per document: doc_id, text_key (MD5 of the text), source, size, source_size, target,
+    n_copies, taken.
 
     ``size`` is the text's words (null: 0), ``n_copies`` how often the mix holds the document, at
     most ``cap``, ``taken`` the words of these copies. The outcome depends on the rows and
@@ -108,9 +109,10 @@ def pareto_mix(docs: DataFrame, weights: list[int] = (5, 2, 1), budget_percent:
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = materialize(docs.select(
-        F.col(id_col).alias("doc_id"), F.col(source_col).cast("string").alias("source"), word_count(F.col(text_col)).alias("size"),
-        uniform(F.concat_ws(":", F.col(id_col).cast("string"), F.md5(text.cast("binary"))), seed).alias("u"),
+        F.col(id_col).alias("doc_id"), F.md5(text.cast("binary")).alias("text_key"),
+        F.col(source_col).cast("string").alias("source"), word_count(F.col(text_col)).alias("size"),
         F.monotonically_increasing_id().alias("row_key")))
+    rows = rows.withColumn("u", uniform(F.concat_ws(":", F.col("doc_id").cast("string"), "text_key"), seed))
     sizes = rows.groupBy("source").agg(F.sum("size").alias("source_size"))
     targets = source_targets(sizes, list(weights), budget_percent, cap)
     rows = rows.withColumn("weight", F.col("size") / (F.col("size") + F.lit(float(HALF_WEIGHT_WORDS))))
@@ -144,7 +146,7 @@ def pareto_mix(docs: DataFrame, weights: list[int] = (5, 2, 1), budget_percent:
     rest = joined.filter("band is null or cut_band is null or band <> cut_band").withColumn(
         "drawn", (F.col("band").isNotNull() & (F.col("cut_band").isNull() | (F.col("band") < F.col("cut_band")))).cast("long"))
     out = rest.unionByName(edge).withColumn("n_copies", F.col("certain") + F.col("drawn"))
-    return out.select("doc_id", "source", "size", "source_size", "target", "n_copies",
+    return out.select("doc_id", "text_key", "source", "size", "source_size", "target", "n_copies",
                       (F.col("n_copies") * F.col("size")).alias("taken"))
 
 

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from shoplens.llm import decontaminate, exact_dedup, jaccard_join, line_dedup, mixing, ngram_lm, toxicity
+from shoplens.llm import decontaminate, exact_dedup, jaccard_join, line_dedup, mixing, ngram_lm, pii, secrets, toxicity, warc
 
 QUERIES = {
+    "op1_warc": warc.op1_warc,
     "op2_ngram_lm": ngram_lm.op2_ngram_lm,
     "op3_decontaminate": decontaminate.op3_decontaminate,
+    "op4_pii_surrogates": pii.op4_pii_surrogates,
+    "op5_secrets": secrets.op5_secrets,
     "op6_jaccard_join": jaccard_join.op6_jaccard_join,
     "op7_line_dedup": line_dedup.op7_line_dedup,
     "op8_toxicity": toxicity.op8_toxicity,
@@ -15,6 +18,7 @@ QUERIES = {
 }
 
 SQL = {
+    "op1_warc": warc.OP1_SQL,
     "op3_decontaminate": decontaminate.OP3_SQL,
     "op7_line_dedup": line_dedup.OP7_SQL,
     "op10_exact_dedup": exact_dedup.OP10_SQL,
