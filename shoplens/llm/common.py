@@ -51,6 +51,14 @@ def drop_table(df: DataFrame) -> None:
         p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, or with underscores appended where a column of ``df`` has that name."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def shuffle_width(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
 

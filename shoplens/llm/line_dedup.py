@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import batches, materialize, shuffle_width
+from .common import batches, free_name, materialize, shuffle_width
 
 STRIPPED = " \t\n\x0b\x0c\r"
 MIN_CHARS = 40
@@ -145,12 +145,12 @@ def shared_lines(docs: DataFrame, min_docs: int = MIN_DOCS, min_chars: int = MIN
     return suspects, materialize(shared.select("digest", "keeper"))
 
 
-def _rewrite(id_col: str, text_col: str, min_chars: int):
+def _rewrite(text_col: str, drop_col: str, min_chars: int):
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in it:
             n_lines, n_dropped, kept = [], [], []
-            at = {c: batch.schema.get_field_index(c) for c in (text_col, "__drop")}
-            for text, drop in zip(batch.column(at[text_col]).to_pylist(), batch.column(at["__drop"]).to_pylist()):
+            at = {c: batch.schema.get_field_index(c) for c in (text_col, drop_col)}
+            for text, drop in zip(batch.column(at[text_col]).to_pylist(), batch.column(at[drop_col]).to_pylist()):
                 lines = (text or "").split("\n")
                 stay = lines
                 if drop:
@@ -160,8 +160,8 @@ def _rewrite(id_col: str, text_col: str, min_chars: int):
                 n_dropped.append(len(lines) - len(stay))
                 kept.append(text if len(stay) == len(lines) else "\n".join(stay))
             columns = [pa.array(kept, pa.string()) if i == at[text_col] else batch.column(i)
-                       for i in range(batch.num_columns) if i != at["__drop"]]
-            names = [n for n in batch.schema.names if n != "__drop"]
+                       for i in range(batch.num_columns) if i != at[drop_col]]
+            names = [n for n in batch.schema.names if n != drop_col]
             yield pa.RecordBatch.from_arrays(
                 [*columns, pa.array(n_lines, pa.int64()), pa.array(n_dropped, pa.int64())],
                 names=[*names, "__n_lines", "__n_dropped"])
@@ -171,7 +171,8 @@ def _rewrite(id_col: str, text_col: str, min_chars: int):
 
 def dedup_lines(docs: DataFrame, min_docs: int = MIN_DOCS, min_chars: int = MIN_CHARS,
                 id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """All columns of ``docs``, the text without the dropped lines, and __n_lines, __n_dropped.
+    """All columns of ``docs``, the text without the dropped lines, and __n_lines, __n_dropped (in
+    place of columns with these names).
 
     A line's key is the line without blanks at its ends, A-Z lowered. Keys of ``min_chars`` code
     points or more held by ``min_docs`` documents or more lose all their lines except in the
@@ -179,15 +180,17 @@ def dedup_lines(docs: DataFrame, min_docs: int = MIN_DOCS, min_chars: int = MIN_
     line and come back as they are. Rows with the same id count as one document, and so do all
     rows without an id, which rank lowest. No rows in, no rows out.
     """
-    suspects, shared = shared_lines(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")), min_docs, min_chars)
+    docs = docs.drop("__n_lines", "__n_dropped")
+    pairs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    suspects, shared = shared_lines(pairs, min_docs, min_chars)
+    of, drop = free_name(docs, "__doc"), free_name(docs, "__drop")
     drops = (
         suspects.join(shared, "digest").filter(~F.col("doc_id").eqNullSafe(F.col("keeper")))
-        .groupBy("doc_id").agg(F.collect_set("digest").alias("__drop"))
-        .withColumnRenamed("doc_id", "__doc")
+        .groupBy(F.col("doc_id").alias(of)).agg(F.collect_set("digest").alias(drop))
     )
-    joined = docs.join(drops, docs[id_col].cast("long").eqNullSafe(F.col("__doc")), "left").drop("__doc")
+    joined = docs.join(drops, docs[id_col].cast("long").eqNullSafe(drops[of]), "left").drop(of)
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    return joined.mapInArrow(_rewrite(id_col, text_col, min_chars), f"{schema}, __n_lines long, __n_dropped long")
+    return joined.mapInArrow(_rewrite(text_col, drop, min_chars), f"{schema}, __n_lines long, __n_dropped long")
 
 
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

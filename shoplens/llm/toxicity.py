@@ -21,10 +21,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import batches, held_out, materialize
+from .common import batches, free_name, held_out, materialize
 
 #: Bounds of the model: labelled rows it is fitted on, and lexicon terms it holds.
 MAX_LABELLED, MAX_TERMS = 20_000, 5_000
@@ -168,10 +168,11 @@ def _signatures(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _without_copies(rows: DataFrame) -> DataFrame:
     """Of rows that share a signature, the one of smallest id: copies of a document would make all
     its words look telling."""
-    rows = rows.mapInArrow(_signatures, "id string, toxic int, text string, s0 long, s1 long, s2 long")
+    rows = materialize(rows.mapInArrow(_signatures, "id string, toxic int, text string, s0 long, s1 long, s2 long"))
+    left = rows.select("id", "s0", "s1", "s2")
     for s in ("s0", "s1", "s2"):
-        rows = rows.withColumn("__k", F.row_number().over(Window.partitionBy(s).orderBy("id"))).filter("__k = 1").drop("__k")
-    return rows
+        left = left.join(left.groupBy(s).agg(F.min("id").alias("id")).select("id"), "id", "left_semi")
+    return rows.join(left.select("id"), "id", "left_semi")
 
 
 def _count(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -306,13 +307,13 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     return Model(lexicon, _fit(np.array([r[1] for r in fit], float), y).tolist())
 
 
-def _score(model: Model):
+def _score(model: Model, text_col: str):
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         finder = Finder(model.lexicon)
         for batch in it:
-            texts = batch.column(batch.schema.get_field_index("__text")).to_pylist()
+            texts = batch.column(batch.schema.get_field_index(text_col)).to_pylist()
             scores = [model.score(finder.features(t)) for t in texts]
-            rest = [(n, c) for n, c in zip(batch.schema.names, batch.columns) if n != "__text"]
+            rest = [(n, c) for n, c in zip(batch.schema.names, batch.columns) if n != text_col]
             yield pa.RecordBatch.from_arrays([*(c for _, c in rest), pa.array(scores, pa.float64())],
                                              names=[*(n for n, _ in rest), "__score"])
 
@@ -320,12 +321,15 @@ def _score(model: Model):
 
 
 def score(docs: DataFrame, model: Model, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
-    """The columns ``keep`` (default: all) of ``docs`` and ``__score`` in 0 to 1. Null and empty
+    """The columns ``keep`` (default: all) of ``docs`` and ``__score`` (in place of
+    a column of that name) in 0 to 1. Null and empty
     texts score what a text without hits does. One pass without a shuffle; nothing but the text
     is looked at, and no rows give no rows."""
-    kept = docs.select(*[F.col(f"`{c}`") for c in (docs.columns if keep is None else keep)], F.col(text_col).alias("__text"))
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema if f.name != "__text")
-    return kept.mapInArrow(_score(model), f"{schema}, __score double")
+    docs = docs.drop("__score")
+    text = free_name(docs, "__text")
+    kept = docs.select(*[F.col(f"`{c}`") for c in (docs.columns if keep is None else keep)], F.col(text_col).alias(text))
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema if f.name != text)
+    return kept.mapInArrow(_score(model, text), f"{schema}, __score double")
 
 
 def fit_tables(spark: SparkSession, sf_dir: str) -> Model:
