@@ -31,17 +31,21 @@ CLUSTER_DEFAULTS = {
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
     "spark.sql.files.maxPartitionBytes": "256m",
+    # upper bound of the reduce side; AQE merges what turns out small
+    "spark.sql.shuffle.partitions": "8000",
     "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "3",
 }
 
 
 def build_session(master: str | None = None, app: str = "shoplens",
                   shuffle_partitions: int | None = None,
-                  extra: dict[str, str] | None = None) -> SparkSession:
+                  extra: dict[str, str] | None = None, cluster: bool = False) -> SparkSession:
+    """``cluster`` adds ``CLUSTER_DEFAULTS``; settings of spark-submit's --conf
+    and spark-defaults.conf that ``extra`` does not name still hold otherwise."""
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    for key, value in SESSION_DEFAULTS.items():
+    for key, value in (SESSION_DEFAULTS | (CLUSTER_DEFAULTS if cluster else {})).items():
         builder = builder.config(key, value)
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
@@ -55,13 +59,16 @@ def build_session(master: str | None = None, app: str = "shoplens",
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only when the session has none (local tests) is a private folder created
-    and registered, so ``DataFrame.checkpoint()`` works the same way.
+    Only a local session (tests) that has none gets a private folder, which is
+    registered, so ``DataFrame.checkpoint()`` works the same way; on a cluster
+    executors could not see it, so there the setting must be given.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="shoplens-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
         spark.sparkContext.setCheckpointDir(root)

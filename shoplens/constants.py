@@ -21,7 +21,6 @@ GENDER_MALE_LABEL = "男"
 GENDER_OTHER_LABEL = "女"
 AGE_TITLE = "用户年龄占比"
 AGE_BANDS = [("20岁以下", None, 20), ("20岁到30岁", 20, 30), ("30岁及以上", 30, None)]
-GENDER_TERMS_SIZE = 2
 AGE_TERMS_SIZE = 100
 
 # --- fixed values: change-feed filter --------------------------------------

@@ -56,22 +56,44 @@ def event_logs(raw: DataFrame, value_col: str = "value", tz: str | None = "UTC")
     return timeparts.with_log_parts(rows, "ts", tz), rejects
 
 
+_CREATE_TIME = r"^\d{4}-\d{2}-\d{2} \d{2}"
+
+
+def _split(rows: DataFrame, rejects: DataFrame, reason: Column, fields: list[str]) -> tuple[DataFrame, DataFrame]:
+    """Move the rows with a ``reason`` to the rejects, as JSON of their fields."""
+    tagged = rows.withColumn("_reason", reason)
+    bad = tagged.where(F.col("_reason").isNotNull()).select(
+        F.to_json(F.struct(*fields)).alias("value"), F.col("_reason").alias("reason"))
+    return tagged.where(F.col("_reason").isNull()).drop("_reason"), rejects.unionByName(bad)
+
+
+def _not_money(c: str) -> Column:
+    return F.col(c).isNotNull() & F.col(c).try_cast(schemas.MONEY).isNull()
+
+
 def order_infos(raw: DataFrame, value_col: str = "value"):
-    """JSON order rows -> masked, typed order rows (see ``ingest_orders``)."""
+    """JSON order rows -> masked, typed order rows (see ``ingest_orders``). An
+    amount that is no number and a ``create_time`` without date and hour are
+    rejects."""
     rows, rejects = bind_json(raw, schemas.ORDER_INFO, value_col,
                               required=("id", "create_time", "consignee"))
+    reason = (F.when(_not_money("total_amount"), F.lit("bad total_amount"))
+              .when(~F.col("create_time").rlike(_CREATE_TIME), F.lit("bad create_time")))
+    rows, rejects = _split(rows, rejects, reason, schemas.ORDER_INFO_FIELDS)
     return ingest_orders(rows), rejects
 
 
 def order_details(raw: DataFrame, value_col: str = "value"):
-    return bind_json(raw, schemas.ORDER_DETAIL, value_col, required=("id", "order_id"))
+    rows, rejects = bind_json(raw, schemas.ORDER_DETAIL, value_col, required=("id", "order_id"))
+    return _split(rows, rejects, F.when(_not_money("order_price"), F.lit("bad order_price")),
+                  schemas.ORDER_DETAIL_FIELDS)
 
 
 def ingest_orders(orders: DataFrame) -> DataFrame:
     """Order ingestion: date and hour by substring of ``create_time``, amount
     as DECIMAL(16,2), consignee name and phone masked."""
     return (orders
-            .withColumn("total_amount", F.col("total_amount").cast(schemas.MONEY))
+            .withColumn("total_amount", F.col("total_amount").try_cast(schemas.MONEY))
             .withColumn("create_date", F.substring("create_time", 1, 10))
             .withColumn("create_hour", F.substring("create_time", 12, 2))
             .withColumn("consignee", masking.mask_name("consignee"))
@@ -79,34 +101,30 @@ def ingest_orders(orders: DataFrame) -> DataFrame:
 
 
 def typed_users(users: DataFrame) -> DataFrame:
-    """Row -> typed user rows: string columns, birthday as DATE."""
+    """Row -> typed user rows: string columns, birthday as DATE (null where
+    the text is no date, so the user's age is unknown)."""
     return users.select(
         *[F.col(f).cast("string").alias(f) for f in schemas.USER_INFO_FIELDS if f != "birthday"],
-        F.to_date(F.col("birthday").cast("string")).alias("birthday"))
-
-
-def json_fields(json_col) -> Column:
-    """A JSON object's top-level fields as map<string,string> (null if the
-    text is not a JSON object)."""
-    c = F.col(json_col) if isinstance(json_col, str) else json_col
-    return F.from_json(c, "map<string,string>")
-
-
-def stamp_fields(fields, ts: Column) -> Column:
-    """JSON text of ``fields`` with ``ts`` set to the server's time, replacing
-    any client value. Other fields are re-serialised as strings (they bind to
-    string fields downstream); ``ts`` is written last, as a JSON number."""
-    f = F.col(fields) if isinstance(fields, str) else fields
-    # the (interpreted) key filter runs only for lines that carry a client ts
-    kept = F.when(F.map_contains_key(f, F.lit("ts")),
-                  F.map_filter(f, lambda k, v: k != F.lit("ts"))).otherwise(f)
-    text = F.to_json(F.map_concat(kept, F.create_map(F.lit("ts"), ts.cast("string"))))
-    return F.regexp_replace(text, r'"ts":"(-?[0-9]+)"\}$', '"ts":$1}')
-
-
-def add_server_ts(json_col, ts: Column) -> Column:
-    """``stamp_fields`` over JSON text; null when the text is not an object."""
-    return stamp_fields(json_fields(json_col), ts)
+        F.col("birthday").cast("string").try_cast("date").alias("birthday"))
+
+
+def is_json_object(value: Column) -> Column:
+    """Whether the text is one JSON object without repeated keys."""
+    return F.coalesce(F.schema_of_variant(F.try_parse_json(value)).startswith("OBJECT"), F.lit(False))
+
+
+def stamp_ts(value: Column, ts: Column) -> Column:
+    """A JSON object's text with ``ts`` set to the server's time; null when the
+    text is no JSON object. A line without a client ``ts`` keeps its text and
+    gains the field at the end; otherwise the fields are written anew, nested
+    values as they were."""
+    added = F.regexp_replace(value, r"\}\s*$", F.concat(F.lit(',"ts":'), ts.cast("string"), F.lit("}")))
+    fields = F.from_json(value, "map<string,variant>")
+    kept = F.map_filter(fields, lambda k, v: k != "ts")
+    anew = F.to_json(F.map_concat(kept, F.create_map(F.lit("ts"), ts.cast("long").cast("variant"))))
+    # an object with a field and without the text "ts" in it
+    simple = ~value.contains('"ts"') & value.rlike(r'^\s*\{\s*"')
+    return F.when(is_json_object(value), F.when(simple, added).otherwise(anew))
 
 
 def columns_to_json(columns) -> Column:

@@ -25,6 +25,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from shoplens.config import scratch_path
 from shoplens.constants import CLICK_EVENT, COUPON_EVENT
 from shoplens.functions.timeparts import (bucket_index, epoch_micros_to_ntz,
                                           interval_micros, ntz_to_epoch_micros)
@@ -47,11 +48,11 @@ def _pane_partials(events: DataFrame, S: int, time_col: str) -> DataFrame:
     account being set only for coupon events (null otherwise). Every per-pane
     input of the alert derives from this one definition; Catalyst prunes and
     pushes each branch's filter (e.g. coupon events only) toward the scan."""
-    base = _with_pane(events.select("mid", "uid", "event_name", time_col), S, time_col)
-    coupon_uid = F.when(F.col("event_name") == COUPON_EVENT, F.col("uid"))
+    base = _with_pane(events.select("mid", "uid", "eventId", time_col), S, time_col)
+    coupon_uid = F.when(F.col("eventId") == COUPON_EVENT, F.col("uid"))
     return base.groupBy("mid", "pane", coupon_uid.alias("uid")).agg(
         F.count(F.lit(1)).alias("n"),
-        F.max((F.col("event_name") == CLICK_EVENT).cast("int")).alias("clicked"))
+        F.max((F.col("eventId") == CLICK_EVENT).cast("int")).alias("clicked"))
 
 
 def _window_bounds(df: DataFrame, S: int, L: int) -> DataFrame:
@@ -66,14 +67,20 @@ def _expand_to_windows(df: DataFrame, k: int) -> DataFrame:
               .withColumn("w", F.col("pane") - F.col("_j")).drop("_j"))
 
 
-def alert_windows(events: DataFrame, length: str = "5 minutes", slide: str = "6 seconds",
-                  time_col: str = "event_time") -> DataFrame:
-    """Per (device, window): coupon_accounts, n_events, clicked.
+def pane_table(events: DataFrame, slide: str = "6 seconds", time_col: str = "event_time") -> DataFrame:
+    """The pane partials of ``events`` (mid, uid, eventId and an NTZ
+    ``time_col``) written once to the shared folder: one pass over the events,
+    whatever number of branches read the panes afterwards."""
+    spark = events.sparkSession
+    path = scratch_path(spark, "panes")
+    parts = _pane_partials(events, interval_micros(slide), time_col)
+    parts.write.parquet(path)
+    return spark.read.schema(parts.schema).parquet(path)
 
-    ``events`` needs mid, uid, event_name and an NTZ ``time_col``.
-    """
+
+def alert_windows(parts: DataFrame, length: str = "5 minutes", slide: str = "6 seconds") -> DataFrame:
+    """Per (device, window) of a pane table: coupon_accounts, n_events, clicked."""
     L, S, k = _geometry(length, slide)
-    parts = _pane_partials(events, S, time_col)
     pane_stats = parts.groupBy("mid", "pane").agg(
         F.sum("n").alias("n_events"), F.max("clicked").alias("clicked"))
     pane_accounts = (parts.where(F.col("uid").isNotNull()).select("mid", "pane", "uid")
@@ -88,9 +95,9 @@ def alert_windows(events: DataFrame, length: str = "5 minutes", slide: str = "6
         "mid", "window_start", "window_end", "w", "coupon_accounts", "n_events", "clicked")
 
 
-def coupon_alerts(events: DataFrame, length: str = "5 minutes", slide: str = "6 seconds",
-                  min_accounts: int = 3, time_col: str = "event_time") -> DataFrame:
-    """Windows that raise an alert.
+def coupon_alerts(parts: DataFrame, length: str = "5 minutes", slide: str = "6 seconds",
+                  min_accounts: int = 3) -> DataFrame:
+    """Windows of a pane table that raise an alert.
 
     Only windows reaching ``min_accounts`` distinct coupon accounts can
     alert, so only the coupon-account partials are expanded into windows;
@@ -100,7 +107,6 @@ def coupon_alerts(events: DataFrame, length: str = "5 minutes", slide: str = "6
     filtering ``alert_windows``, with less expansion.
     """
     L, S, k = _geometry(length, slide)
-    parts = _pane_partials(events, S, time_col)
     accounts = parts.where(F.col("uid").isNotNull()).select("mid", "pane", "uid")
     candidates = (_expand_to_windows(accounts, k).groupBy("mid", "w")
                   .agg(F.count_distinct("uid").alias("coupon_accounts"))
@@ -139,7 +145,7 @@ def alert_accounts(events: DataFrame, alerts: DataFrame, length: str = "5 minute
                    slide: str = "6 seconds", time_col: str = "event_time") -> DataFrame:
     """(alert window, account) pairs: the coupon accounts behind each alert."""
     L, S, k = _geometry(length, slide)
-    acc = (_with_pane(events.where(F.col("event_name") == COUPON_EVENT)
+    acc = (_with_pane(events.where(F.col("eventId") == COUPON_EVENT)
                       .select("mid", "uid", time_col), S, time_col)
            .where(F.col("uid").isNotNull()).select("mid", "pane", "uid").distinct())
     return (_expand_to_windows(acc, k).join(_alert_keys(alerts), ["mid", "w"], "inner")
@@ -150,16 +156,16 @@ def alert_items(events: DataFrame, alerts: DataFrame, length: str = "5 minutes",
                 slide: str = "6 seconds", time_col: str = "event_time") -> DataFrame:
     """(alert window, item) pairs: items whose coupons were taken."""
     L, S, k = _geometry(length, slide)
-    it = (_with_pane(events.where(F.col("event_name") == COUPON_EVENT)
-                     .select("mid", "item_id", time_col), S, time_col)
-          .select("mid", "pane", "item_id").distinct())
+    it = (_with_pane(events.where(F.col("eventId") == COUPON_EVENT)
+                     .select("mid", "itemId", time_col), S, time_col)
+          .select("mid", "pane", "itemId").distinct())
     return (_expand_to_windows(it, k).join(_alert_keys(alerts), ["mid", "w"], "inner")
-            .select("mid", "window_start", "window_end", "item_id").distinct())
+            .select("mid", "window_start", "window_end", "itemId").distinct())
 
 
 def alert_events(events: DataFrame, alerts: DataFrame, length: str = "5 minutes",
                  slide: str = "6 seconds", time_col: str = "event_time",
-                 cols: tuple[str, ...] = ("event_id", "ts", "event_name")) -> DataFrame:
+                 cols: tuple[str, ...] = ("event_id", "ts", "eventId")) -> DataFrame:
     """Every event of every alert window, one row each (duplicates kept).
 
     The alert keys are expanded to their k panes and joined to the events by

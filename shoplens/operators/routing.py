@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from shoplens.constants import (CDC_INSERT, CDC_ROUTES, CDC_ROWDATA, EVENT_LOG_TOPIC,
                                 STARTUP_LOG_TOPIC)
-from shoplens.functions.parse import columns_to_json, json_fields, stamp_fields
+from shoplens.functions.parse import columns_to_json, stamp_ts
 
 
 def _route_expr(c: Column, routes: dict[str, str]) -> Column:
@@ -32,34 +32,32 @@ def route_changes(feed: DataFrame, routes: dict[str, str] | None = None,
                        columns_to_json("columns").alias("value"))
 
 
-def log_topic(value: Column, mode: str = "field", fields: Column | None = None) -> Column:
+def log_topic(value: Column, mode: str = "field") -> Column:
     """Topic of a raw log line: startup logs to the startup topic, everything
-    else to the event topic. ``mode='field'`` reads ``logType`` (from the
-    already parsed ``fields`` map when given); ``mode='substring'``
-    reproduces the collector's test for the text 'startup' anywhere in the
-    line."""
+    else to the event topic. ``mode='field'`` reads ``logType``;
+    ``mode='substring'`` reproduces the collector's test for the text
+    'startup' anywhere in the line."""
     if mode == "substring":
         is_startup = value.contains("startup")
     elif mode == "field":
-        log_type = (F.element_at(fields, F.lit("logType")) if fields is not None
-                    else F.get_json_object(value, "$.logType"))
-        is_startup = log_type == F.lit("startup")
+        is_startup = F.get_json_object(value, "$.logType") == F.lit("startup")
     else:
         raise ValueError("mode is 'field' or 'substring'")
     return F.when(is_startup, F.lit(STARTUP_LOG_TOPIC)).otherwise(F.lit(EVENT_LOG_TOPIC))
 
 
-def route_logs(raw: DataFrame, value_col: str = "value", received_col: str = "received_ts",
+def stamp_logs(raw: DataFrame, value_col: str = "value", received_col: str = "received_ts",
                mode: str = "field") -> DataFrame:
     """Collector path: stamp the server time as ``ts`` (overwriting any client
-    value) and pick the topic. Lines that are not a JSON object are dropped.
-
-    The line is parsed once into a map column; the filter, the stamped text
-    and the topic all read that column.
-    """
+    value) and pick the topic; a line that is no JSON object has neither
+    (``value`` null) and keeps its text in ``raw``."""
     rest = [c for c in raw.columns if c != value_col]
-    parsed = raw.select(F.col(value_col).alias("_raw"), json_fields(F.col(value_col)).alias("_f"), *rest)
-    kept = parsed.where(F.col("_f").isNotNull())
-    return kept.select(
-        log_topic(F.col("_raw"), mode, F.col("_f")).alias("topic"),
-        stamp_fields(F.col("_f"), F.col(received_col)).alias("value"), *rest)
+    stamped = raw.select(F.col(value_col).alias("raw"),
+                         stamp_ts(F.col(value_col), F.col(received_col)).alias("value"), *rest)
+    return stamped.withColumn("topic", F.when(F.col("value").isNotNull(), log_topic(F.col("raw"), mode)))
+
+
+def route_logs(raw: DataFrame, value_col: str = "value", received_col: str = "received_ts",
+               mode: str = "field") -> DataFrame:
+    """The stamped lines that have a topic (``stamp_logs`` has the others too)."""
+    return stamp_logs(raw, value_col, received_col, mode).where(F.col("value").isNotNull()).drop("raw")

@@ -83,18 +83,20 @@ def sale_rows(pairs: DataFrame) -> DataFrame:
         F.col("o.user_id").alias("user_id"),
         F.col("d.sku_id").alias("sku_id"),
         F.col("d.sku_name").alias("sku_name"),
-        F.col("d.order_price").cast(schemas.MONEY).alias("sku_price"),
+        F.col("d.order_price").try_cast(schemas.MONEY).alias("sku_price"),
         F.substring(F.col("o.create_time"), 1, 10).alias("dt"))
 
 
-def age_years(birthday: Column, as_of: str) -> Column:
+def age_years(birthday: Column, as_of: str | None) -> Column:
     """Whole 365-day years between birthday and ``as_of`` (integer division
-    of the day difference, like the reference's millisecond arithmetic)."""
-    days = F.datediff(F.lit(as_of).cast("date"), birthday.cast("date"))
+    of the day difference, like the reference's millisecond arithmetic); None
+    is the day the query runs."""
+    day = F.current_date() if as_of is None else F.lit(as_of).cast("date")
+    days = F.datediff(day, birthday.cast("date"))
     return F.when(days >= 0, F.floor(days / F.lit(365))).otherwise(F.ceil(days / F.lit(365))).cast("int")
 
 
-def enrich_users(sales: DataFrame, users: DataFrame, as_of: str, how: str = "inner") -> DataFrame:
+def enrich_users(sales: DataFrame, users: DataFrame, as_of: str | None, how: str = "inner") -> DataFrame:
     """Join the user dimension on user_id (inner by default: sales of unknown
     users drop out, as in the reference; ``how='left'`` keeps them).
 
@@ -109,11 +111,6 @@ def enrich_users(sales: DataFrame, users: DataFrame, as_of: str, how: str = "inn
     return joined.select(*[f.name for f in schemas.SALE_DETAIL.fields])
 
 
-def dedupe_sales(sales: DataFrame) -> DataFrame:
-    """Each (order, line) pair once, whatever number of deliveries."""
-    return sales.dropDuplicates(SALE_KEY)
-
-
 def sale_wide(orders: DataFrame, details: DataFrame, users: DataFrame, as_of: str,
               bound: str | None = "30 minutes", user_how: str = "inner") -> DataFrame:
     pairs = join_orders_details(orders, details, bound)

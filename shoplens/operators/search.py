@@ -13,8 +13,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shoplens.constants import (AGE_BANDS, AGE_TERMS_SIZE, AGE_TITLE, GENDER_MALE_LABEL,
-                                GENDER_OTHER_LABEL, GENDER_TERMS_SIZE, GENDER_TITLE)
+from shoplens.constants import (AGE_BANDS, AGE_TITLE, GENDER_MALE_LABEL, GENDER_OTHER_LABEL,
+                                GENDER_TITLE)
 from shoplens.functions.text import query_tokens, term_count, tokens
 from shoplens.operators.joins import bounded_broadcast
 
@@ -94,6 +94,42 @@ def page(matches: DataFrame, page_no: int, size: int) -> DataFrame:
     return matches.orderBy(*order).offset((page_no - 1) * size).limit(size)
 
 
+def page_after(matches: DataFrame, last: tuple | None, size: int) -> DataFrame:
+    """The ``size`` rows that follow ``last`` (score and tie-break ids of the
+    row before; None: the start). A deep page costs what the first one does:
+    each task keeps ``size`` rows, where an offset would gather all before it."""
+    rows = matches
+    if last is not None:
+        score, *ids = last
+        after = F.col("score") < F.lit(score)
+        same = F.col("score") == F.lit(score)
+        for c, v in zip(TIE_BREAK, ids):
+            after = after | (same & (F.col(c) > F.lit(v)))
+            same = same & (F.col(c) == F.lit(v))
+        rows = rows.where(after)
+    return rows.orderBy(*ranked(matches)).limit(size)
+
+
+def report_json(report: dict[str, DataFrame]) -> DataFrame:
+    """The search answer as one JSON text: total, the two pies (title with
+    options name and value) and the page's rows. All parts are bounded: one
+    number, five pie slices and one page."""
+    slices = F.struct("name", "value", "share")
+    gender = report["gender"].groupBy("title").agg(F.array_sort(F.collect_list(slices)).alias("options"))
+    age = report["age"].groupBy("title").agg(
+        F.array_sort(F.collect_list(F.struct("band_order", "name", "value", "share"))).alias("o")).select(
+        "title", F.transform("o", lambda x: F.struct(x["name"].alias("name"), x["value"].alias("value"),
+                                                     x["share"].alias("share"))).alias("options"))
+    stat = gender.unionByName(age).agg(F.array_sort(F.collect_list(F.struct("title", "options"))).alias("stat"))
+    page_rows = report["detail"]
+    keyed = page_rows.select(F.struct((-F.col("score")).alias("rank"), *TIE_BREAK,
+                                      F.struct(*page_rows.columns).alias("row")).alias("r"))
+    detail = keyed.agg(F.transform(F.array_sort(F.collect_list("r")), lambda x: x["row"]).alias("detail"))
+    whole = report["total"].select(F.struct(
+        "total", stat.scalar().alias("stat"), detail.scalar().alias("detail")).alias("answer"))
+    return whole.select(F.to_json("answer").alias("answer"))
+
+
 def total(matches: DataFrame) -> DataFrame:
     return matches.agg(F.count(F.lit(1)).alias("total"))
 
@@ -107,16 +143,13 @@ def terms(matches: DataFrame, field: str, size: int) -> DataFrame:
 
 
 def gender_stats(matches: DataFrame) -> DataFrame:
-    """Gender pie: top-2 gender buckets, 'M' labelled male, anything else
-    female; absent genders are not zero-filled. ``share`` is the pie's
+    """Gender pie over all rows with a gender: 'M' labelled male, anything else
+    female; absent labels are not zero-filled. ``share`` is the pie's
     percentage basis."""
-    t = terms(matches, "user_gender", GENDER_TERMS_SIZE)
-    labelled = t.select(
-        F.lit(GENDER_TITLE).alias("title"),
-        F.when(F.col("user_gender") == "M", F.lit(GENDER_MALE_LABEL))
-         .otherwise(F.lit(GENDER_OTHER_LABEL)).alias("name"),
-        F.col("n").alias("value"))
-    return _with_share(labelled)
+    name = F.when(F.col("user_gender") == "M", F.lit(GENDER_MALE_LABEL)).otherwise(F.lit(GENDER_OTHER_LABEL))
+    per_label = (matches.where(F.col("user_gender").isNotNull()).groupBy(name.alias("name"))
+                 .agg(F.count(F.lit(1)).alias("value")))
+    return _with_share(per_label.select(F.lit(GENDER_TITLE).alias("title"), "name", "value"))
 
 
 def _band_table(spark) -> DataFrame:
@@ -125,8 +158,8 @@ def _band_table(spark) -> DataFrame:
 
 
 def age_stats(matches: DataFrame) -> DataFrame:
-    """Age pie: top-100 age buckets rolled into three bands, zero-filled."""
-    t = terms(matches, "user_age", AGE_TERMS_SIZE)
+    """Age pie: all rows with an age in three bands, zero-filled."""
+    t = matches.where(F.col("user_age").isNotNull())
     bands = _band_table(matches.sparkSession)
     band_of = None
     for i, (_, lo, hi) in enumerate(AGE_BANDS):
@@ -136,7 +169,7 @@ def age_stats(matches: DataFrame) -> DataFrame:
         if hi is not None:
             cond = cond & (F.col("user_age") < hi)
         band_of = F.when(cond, F.lit(i)) if band_of is None else band_of.when(cond, F.lit(i))
-    per_band = t.groupBy(band_of.alias("band_order")).agg(F.sum("n").alias("value"))
+    per_band = t.groupBy(band_of.alias("band_order")).agg(F.count(F.lit(1)).alias("value"))
     # both sides hold at most three rows (the fixed bands)
     out = bounded_broadcast(bands).join(bounded_broadcast(per_band), "band_order", "left").select(
         F.lit(AGE_TITLE).alias("title"), "band_order", "name",

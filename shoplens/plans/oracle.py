@@ -7,6 +7,7 @@ written independently of the Spark plan (window functions, range joins,
 
 from __future__ import annotations
 
+from shoplens import schemas
 from shoplens.plans import registry as R
 
 _EVENT_NAME = ("CASE event_type WHEN 'purchase' THEN 'coupon' WHEN 'click' THEN 'clickItem' "
@@ -101,6 +102,15 @@ VIEWS["alert_windows"] = (("event_log",), f"""
   GROUP BY mid, window_start""")
 VIEWS["alerts"] = (("alert_windows",), f"""
   SELECT * FROM alert_windows WHERE coupon_accounts >= {R.ALERT_MIN_ACCOUNTS} AND NOT clicked""")
+VIEWS["short_windows"] = (("event_log",), """
+  SELECT mid, window_start, window_start + INTERVAL 5 MINUTE AS window_end,
+         count(DISTINCT uid) FILTER (WHERE event_name = 'coupon') AS coupon_accounts,
+         count(*) AS n_events, bool_or(event_name = 'clickItem') AS clicked
+  FROM (SELECT mid, uid, event_name, time_bucket(INTERVAL 6 SECOND, event_time) - to_seconds(6 * j) AS window_start
+        FROM event_log, unnest(range(0, 50)) AS r(j))
+  GROUP BY mid, window_start""")
+VIEWS["short_alerts"] = (("short_windows",), f"""
+  SELECT * FROM short_windows WHERE coupon_accounts >= {R.SHORT_MIN_ACCOUNTS} AND NOT clicked""")
 VIEWS["alert_hits"] = (("alerts", "event_log"), """
   SELECT a.mid, a.window_start, a.window_end, e.event_id, e.uid, e.item_id, e.ts, e.event_name
   FROM alerts a JOIN event_log e
@@ -166,8 +176,15 @@ SELECT create_date, sum(total_amount) AS order_amount FROM order_info GROUP BY 1
     "order_amount_hourly": _with(("order_info",), """
 SELECT create_date, create_hour, sum(total_amount) AS order_amount FROM order_info GROUP BY 1, 2"""),
     "order_amount_for_date": _with(("order_info",), f"""
+SELECT '{R.ORDER_DATE}' AS create_date, coalesce(sum(total_amount), 0) AS order_amount
+FROM order_info WHERE create_date = '{R.ORDER_DATE}'"""),
+    "order_amount_empty_day": _with(("order_info",), f"""
 SELECT '{R.DAU_DATE}' AS create_date, coalesce(sum(total_amount), 0) AS order_amount
 FROM order_info WHERE create_date = '{R.DAU_DATE}'"""),
+    "order_rejects": """
+SELECT CASE o_orderkey % 50 WHEN 0 THEN 'bad total_amount' WHEN 1 THEN 'bad create_time' WHEN 2 THEN 'missing: consignee'
+            WHEN 3 THEN 'malformed json' ELSE 'null message' END AS reason, count(*) AS n
+FROM orders JOIN customer ON o_custkey = c_custkey WHERE o_orderkey % 50 < 5 GROUP BY 1""",
     "sales_by_province": _with(("order_info",), """
 SELECT create_date, province_id, sum(total_amount) AS order_amount, count(*) AS orders
 FROM order_info GROUP BY 1, 2"""),
@@ -179,6 +196,16 @@ FROM order_info GROUP BY 1, 2"""),
     "kpi_panel": _with(("kpi_p",), _KPI_BASE),
     "kpi_panel_for_date": _with(("kpi_p",), f"""
 SELECT * FROM ({_KPI_BASE}) WHERE log_date = '{R.DAU_DATE}'"""),
+    "kpi_panel_order_day": _with(("kpi_p",), f"""
+SELECT '{R.ORDER_DATE}' AS log_date, s.id, s.name, coalesce(k.value, '0') AS value
+FROM (VALUES ('dau', '新增日活'), ('new_mid', '新增设备'), ('order_amount', '新增交易额')) AS s(id, name)
+LEFT JOIN (SELECT * FROM ({_KPI_BASE}) WHERE log_date = '{R.ORDER_DATE}') k ON s.id = k.id"""),
+    "coupon_alerts_5min": _with(("short_alerts",), f"SELECT {_ALERT_COLS} FROM short_alerts"),
+    "coupon_alerts_5min_throttled": _with(("short_alerts",), f"""
+SELECT mid || ':' || CAST(epoch_us(window_end) // 60000000 AS VARCHAR) AS doc_id, {_ALERT_COLS}
+FROM (SELECT *, row_number() OVER (PARTITION BY mid, epoch_us(window_end) // 60000000
+                                   ORDER BY window_end DESC, window_start DESC) AS rn FROM short_alerts)
+WHERE rn = 1"""),
     "coupon_alert_windows": _with(("alert_windows",), f"SELECT {_ALERT_COLS}, clicked FROM alert_windows"),
     "coupon_alerts": _with(("alerts",), f"SELECT {_ALERT_COLS} FROM alerts"),
     "coupon_alerts_throttled": _with(("alerts",), f"""
@@ -204,14 +231,20 @@ SELECT * EXCLUDE (tok, tf, score), round(score, 6) AS score FROM bm25
 WHERE dt = '{R.SEARCH_DATE}' AND list_contains(tok, '{R.SEARCH_KEYWORD}')
 ORDER BY bm25.score DESC, order_id, order_detail_id
 LIMIT {R.SEARCH_SIZE} OFFSET {(R.SEARCH_PAGE - 1) * R.SEARCH_SIZE}"""),
+    "sale_search_page2": _with(("bm25",), f"""
+SELECT * EXCLUDE (tok, tf, score), round(score, 6) AS score FROM bm25
+WHERE dt = '{R.SEARCH_DATE}' AND list_contains(tok, '{R.SEARCH_KEYWORD}')
+ORDER BY bm25.score DESC, order_id, order_detail_id LIMIT {R.SEARCH_SIZE} OFFSET {R.SEARCH_SIZE}"""),
+    "sale_search_two_tokens": _with(("sale_tok",), f"""
+SELECT order_id, order_detail_id, sku_name FROM sale_tok WHERE dt = '{R.SEARCH_DATE}'
+AND {" AND ".join(f"list_contains(tok, '{t}')" for t in R.SEARCH_TWO_TOKENS.split())}"""),
     "sale_search_bm25": _with(("bm25",), f"""
 SELECT order_id, order_detail_id, dt, sku_name, round(score, 6) AS score FROM bm25
 WHERE list_contains(tok, '{R.SEARCH_KEYWORD}')"""),
     "sale_gender_stats": _with(("matches",), """
 SELECT '用户性别占比' AS title, CASE WHEN user_gender = 'M' THEN '男' ELSE '女' END AS name, n AS value,
        round(n / sum(n) OVER (), 6) AS share
-FROM (SELECT user_gender, count(*) AS n FROM matches WHERE user_gender IS NOT NULL
-      GROUP BY 1 ORDER BY n DESC, user_gender LIMIT 2)"""),
+FROM (SELECT user_gender, count(*) AS n FROM matches WHERE user_gender IS NOT NULL GROUP BY 1)"""),
     "sale_age_stats": _with(("matches",), """
 SELECT '用户年龄占比' AS title, b.band_order, b.name, CAST(coalesce(p.value, 0) AS BIGINT) AS value,
        round(CASE WHEN sum(coalesce(p.value, 0)) OVER () > 0
@@ -219,8 +252,8 @@ SELECT '用户年龄占比' AS title, b.band_order, b.name, CAST(coalesce(p.valu
 FROM (VALUES (0, '20岁以下'), (1, '20岁到30岁'), (2, '30岁及以上')) AS b(band_order, name)
 LEFT JOIN (SELECT CASE WHEN user_age < 20 THEN 0 WHEN user_age < 30 THEN 1 ELSE 2 END AS band_order,
                   sum(n) AS value
-           FROM (SELECT user_age, count(*) AS n FROM matches WHERE user_age IS NOT NULL
-                 GROUP BY 1 ORDER BY n DESC, user_age LIMIT 100) GROUP BY 1) p USING (band_order)"""),
+           FROM (SELECT user_age, count(*) AS n FROM matches WHERE user_age IS NOT NULL GROUP BY 1)
+           GROUP BY 1) p USING (band_order)"""),
     "age_terms_top": _with(("sale",), """
 SELECT user_age, count(*) AS value FROM sale WHERE user_age IS NOT NULL
 GROUP BY 1 ORDER BY value DESC, user_age LIMIT 100"""),
@@ -247,7 +280,12 @@ UNION ALL
 SELECT 'event_log_topic', event_id, 'event', 'mid_' || CAST(user_id % 25 AS VARCHAR),
        'uid' || CAST(user_id AS VARCHAR), {_EVENT_NAME}, json_extract_string(props, '$.k'), epoch_us(ts) // 1000
 FROM events""",
-    "stream_dau": _with(("startup_log",), "SELECT DISTINCT log_date, mid FROM startup_log"),
+    "stream_dau": """
+SELECT 'mid_' || user_id AS mid, 'uid' || user_id AS uid, 'app' AS "appId", 'area_' || (user_id % 34) AS area,
+       CASE WHEN user_id % 2 = 0 THEN 'ios' ELSE 'android' END AS os, 'ch_' || (user_id % 10) AS channel,
+       'startup' AS "logType", '1.' || (user_id % 5) AS version, epoch_us(min(ts)) // 1000 AS ts,
+       strftime(min(ts), '%Y-%m-%d') AS log_date, strftime(min(ts), '%H') AS log_hour
+FROM events GROUP BY user_id, strftime(ts, '%Y-%m-%d')""",
     "stream_alerts": _with(("alerts",), f"SELECT {_ALERT_COLS} FROM alerts"),
     "stream_sale_wide": _with(("sale_bounded",), "SELECT * FROM sale_bounded"),
     "stream_alerts_throttled": None,
@@ -261,4 +299,20 @@ SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_shipdate FR
 
 SQL["stream_alerts_throttled"] = SQL["coupon_alerts_throttled"]
 SQL["stream_dau_hourly"] = SQL["dau_hourly"]
-SQL["stream_order_ingest"] = SQL["order_mask"]
+SQL["stream_alerts_from_logs"] = SQL["stream_alerts"]
+SQL["stream_order_ingest"] = _with(("order_info",), "SELECT " + ", ".join(
+    c if c in ("id", "province_id", "consignee", "consignee_tel", "order_status", "user_id", "total_amount", "create_time",
+               "create_date", "create_hour") else f"CAST(NULL AS VARCHAR) AS {c}" for c in schemas.ORDER_TABLE) + " FROM order_info")
+SQL["stream_order_redelivery"] = SQL["order_amount_total"]
+SQL["sale_report_json"] = _with(("matches", "bm25"), f"""
+SELECT (SELECT count(*) FROM matches) AS total,
+       (SELECT string_agg(order_detail_id, ',' ORDER BY score DESC, order_id, order_detail_id) FROM (
+          SELECT score, order_id, order_detail_id FROM bm25 WHERE dt = '{R.SEARCH_DATE}' AND list_contains(tok, '{R.SEARCH_KEYWORD}')
+          ORDER BY score DESC, order_id, order_detail_id LIMIT {R.SEARCH_SIZE})) AS detail_ids, title, name, value
+FROM (SELECT '用户性别占比' AS title, CASE WHEN user_gender = 'M' THEN '男' ELSE '女' END AS name, count(*) AS value
+      FROM matches WHERE user_gender IS NOT NULL GROUP BY 2
+      UNION ALL
+      SELECT '用户年龄占比', b.name, CAST(coalesce(p.value, 0) AS BIGINT)
+      FROM (VALUES (0, '20岁以下'), (1, '20岁到30岁'), (2, '30岁及以上')) AS b(band_order, name)
+      LEFT JOIN (SELECT CASE WHEN user_age < 20 THEN 0 WHEN user_age < 30 THEN 1 ELSE 2 END AS band_order, count(*) AS value
+                 FROM matches WHERE user_age IS NOT NULL GROUP BY 1) p USING (band_order))""")

@@ -11,6 +11,7 @@ from typing import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shoplens.config import scratch_path
 from shoplens.functions import parse, timeparts
 from shoplens.operators import alerts as alert_ops
 from shoplens.operators import dau as dau_ops
@@ -28,6 +29,8 @@ ALERT_THROTTLE = "1 day"
 JOIN_BOUND = "30 days"
 AS_OF = "2020-08-25"
 SEARCH_DATE, SEARCH_KEYWORD, SEARCH_PAGE, SEARCH_SIZE = "1996-09-17", "red", 1, 5
+SEARCH_TWO_TOKENS = "red widget"
+SHORT_LENGTH, SHORT_SLIDE, SHORT_MIN_ACCOUNTS, SHORT_THROTTLE = "5 minutes", "6 seconds", 2, "1 minute"
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -54,9 +57,18 @@ def _alert_args():
     return dict(length=ALERT_LENGTH, slide=ALERT_SLIDE)
 
 
+def panes(spark, sf) -> DataFrame:
+    return alert_ops.pane_table(td.event_log(spark, sf), ALERT_SLIDE)
+
+
 def alert_table(spark, sf) -> DataFrame:
-    return alert_ops.coupon_alerts(td.event_log(spark, sf), min_accounts=ALERT_MIN_ACCOUNTS,
-                                   **_alert_args())
+    return alert_ops.coupon_alerts(panes(spark, sf), min_accounts=ALERT_MIN_ACCOUNTS, **_alert_args())
+
+
+def short_alert_table(spark, sf) -> DataFrame:
+    """The reference's geometry: 50 windows an event."""
+    parts = alert_ops.pane_table(td.event_log(spark, sf), SHORT_SLIDE)
+    return alert_ops.coupon_alerts(parts, SHORT_LENGTH, SHORT_SLIDE, SHORT_MIN_ACCOUNTS)
 
 
 def _alert_out(df: DataFrame) -> DataFrame:
@@ -69,9 +81,23 @@ def sale_index(spark, sf, bound=None) -> DataFrame:
                            td.user_info(spark, sf), AS_OF, bound=bound)
 
 
-def _search_matches(spark, sf) -> DataFrame:
+def sale_index_for_day(spark, sf, date: str) -> DataFrame:
+    """The wide rows of one day: the order date's range reaches the scan."""
+    info = td.raw_order_info(spark, sf).where(timeparts.day_range("order_ts", timeparts.previous_day(date), date))
+    return sales.sale_wide(parse.ingest_orders(info), td.order_detail(spark, sf), td.user_info(spark, sf), AS_OF, bound=None)
+
+
+def stored_sale_index(spark, sf) -> DataFrame:
+    """The wide table written once, in day order: a day's rows are found by the
+    files' statistics, and whatever reads it needs no join."""
     idx = sale_index(spark, sf)
-    return search.search(idx, SEARCH_DATE, SEARCH_KEYWORD)
+    path = scratch_path(spark, "sale_index")
+    idx.repartitionByRange("dt").sortWithinPartitions("dt").write.parquet(path)
+    return spark.read.schema(idx.schema).parquet(path)
+
+
+def _search_matches(spark, sf) -> DataFrame:
+    return search.search(sale_index_for_day(spark, sf, SEARCH_DATE), SEARCH_DATE, SEARCH_KEYWORD)
 
 
 # --- queries -------------------------------------------------------------------
@@ -101,15 +127,20 @@ def q_order_mask(spark, sf):
 
 
 def q_order_amount_total(spark, sf):
-    return order_ops.amount_by_date(order_table(spark, sf))
+    return order_ops.amount_by_date(td.order_amounts(spark, sf))
 
 
 def q_order_amount_hourly(spark, sf):
-    return order_ops.amount_by_hour(order_table(spark, sf))
+    return order_ops.amount_by_hour(td.order_amounts(spark, sf))
 
 
 def q_order_amount_for_date(spark, sf):
-    return order_ops.amount_for_date(order_table(spark, sf), DAU_DATE)
+    return order_ops.amount_for_date(td.order_amounts(spark, sf, ORDER_DATE, ORDER_DATE), ORDER_DATE)
+
+
+def q_order_amount_empty_day(spark, sf):
+    """A day without orders: 0, not null."""
+    return order_ops.amount_for_date(td.order_amounts(spark, sf, DAU_DATE, DAU_DATE), DAU_DATE)
 
 
 def q_sales_by_province(spark, sf):
@@ -122,20 +153,45 @@ def q_hourly_compare_dau(spark, sf):
 
 
 def q_hourly_compare_amount(spark, sf):
-    return reports.realtime_hour("order_amount", order_table(spark, sf), ORDER_DATE)
+    days = td.order_amounts(spark, sf, timeparts.previous_day(ORDER_DATE), ORDER_DATE)
+    return reports.realtime_hour("order_amount", days, ORDER_DATE)
 
 
 def q_kpi_panel(spark, sf):
-    return reports.kpi_panel_from_startups(td.startup_log(spark, sf), order_table(spark, sf))
+    return reports.kpi_panel_from_startups(td.startup_log(spark, sf), td.order_amounts(spark, sf))
+
+
+def _kpi_panel_of_day(spark, sf, date):
+    startups = td.startup_log(spark, sf)
+    one_day = startups.where(timeparts.day_range("event_time", date, date))
+    return reports.kpi_panel_of_day(one_day, startups, td.order_amounts(spark, sf, date, date), date)
 
 
 def q_kpi_panel_for_date(spark, sf):
-    return reports.kpi_panel_for_date(td.startup_log(spark, sf), order_table(spark, sf), DAU_DATE,
-                                      from_startups=True)
+    return _kpi_panel_of_day(spark, sf, DAU_DATE)
+
+
+def q_kpi_panel_order_day(spark, sf):
+    """A day that has orders."""
+    return _kpi_panel_of_day(spark, sf, ORDER_DATE)
+
+
+def q_coupon_alerts_5min(spark, sf):
+    return _alert_out(short_alert_table(spark, sf))
+
+
+def q_coupon_alerts_5min_throttled(spark, sf):
+    t = alert_ops.throttle_alerts(short_alert_table(spark, sf), every=SHORT_THROTTLE)
+    return t.select("doc_id", "mid", "window_start", "window_end", "coupon_accounts", "n_events")
+
+
+def q_order_rejects(spark, sf):
+    _, rejects = parse.order_infos(td.flawed_order_messages(spark, sf))
+    return rejects.groupBy("reason").agg(F.count("*").alias("n"))
 
 
 def q_coupon_alert_windows(spark, sf):
-    w = alert_ops.alert_windows(td.event_log(spark, sf), **_alert_args())
+    w = alert_ops.alert_windows(panes(spark, sf), **_alert_args())
     return w.select("mid", "window_start", "window_end", "coupon_accounts", "n_events", "clicked")
 
 
@@ -155,12 +211,12 @@ def q_coupon_alert_accounts(spark, sf):
 
 def q_coupon_alert_items(spark, sf):
     ev = td.event_log(spark, sf)
-    return alert_ops.alert_items(ev, alert_table(spark, sf), **_alert_args())
+    return alert_ops.alert_items(ev, alert_table(spark, sf), **_alert_args()).withColumnRenamed("itemId", "item_id")
 
 
 def q_coupon_alert_events(spark, sf):
     ev = td.event_log(spark, sf)
-    return alert_ops.alert_events(ev, alert_table(spark, sf), **_alert_args())
+    return alert_ops.alert_events(ev, alert_table(spark, sf), **_alert_args()).withColumnRenamed("eventId", "event_name")
 
 
 def q_sale_wide(spark, sf):
@@ -181,15 +237,42 @@ def q_sale_search_total(spark, sf):
     return search.total(_search_matches(spark, sf))
 
 
+def _scored(spark, sf) -> DataFrame:
+    idx = stored_sale_index(spark, sf)
+    return search.bm25_score(search.search(idx, SEARCH_DATE, SEARCH_KEYWORD), idx, SEARCH_KEYWORD)
+
+
 def q_sale_search_page(spark, sf):
-    idx = sale_index(spark, sf)
-    m = search.bm25_score(search.search(idx, SEARCH_DATE, SEARCH_KEYWORD), idx, SEARCH_KEYWORD)
-    p = search.page(m, SEARCH_PAGE, SEARCH_SIZE)
+    return search.page(_scored(spark, sf), SEARCH_PAGE, SEARCH_SIZE).withColumn("score", F.round("score", 6))
+
+
+def q_sale_search_page2(spark, sf):
+    """The second page, by the keys of the first page's last row."""
+    m = _scored(spark, sf)
+    first = search.page(m, 1, SEARCH_SIZE).collect()  # one page
+    last = (first[-1].score, *[first[-1][c] for c in search.TIE_BREAK]) if len(first) == SEARCH_SIZE else None
+    p = search.page_after(m, last, SEARCH_SIZE) if last else m.limit(0)
     return p.withColumn("score", F.round("score", 6))
 
 
+def q_sale_search_two_tokens(spark, sf):
+    m = search.search(sale_index_for_day(spark, sf, SEARCH_DATE), SEARCH_DATE, SEARCH_TWO_TOKENS)
+    return m.select("order_id", "order_detail_id", "sku_name")
+
+
+def q_sale_report_json(spark, sf):
+    """The whole search answer as one JSON text; only its fixed parts are compared."""
+    answer = search.report_json(search.sale_report(stored_sale_index(spark, sf), SEARCH_DATE, SEARCH_KEYWORD, 1, SEARCH_SIZE))
+    j = F.from_json("answer", "total long, stat array<struct<title:string,options:array<struct<name:string,value:long>>>>, "
+                              "detail array<struct<order_id:string,order_detail_id:string>>")
+    return answer.select(j.alias("j")).select(
+        F.col("j.total").alias("total"), F.explode("j.stat").alias("s"),
+        F.array_join(F.col("j.detail.order_detail_id"), ",").alias("detail_ids")).select(
+        "total", "detail_ids", "s.title", F.explode("s.options").alias("o")).select("total", "detail_ids", "title", "o.name", "o.value")
+
+
 def q_sale_search_bm25(spark, sf):
-    idx = sale_index(spark, sf)
+    idx = stored_sale_index(spark, sf)
     m = search.bm25_score(search.search(idx, None, SEARCH_KEYWORD), idx, SEARCH_KEYWORD)
     return m.select("order_id", "order_detail_id", "dt", "sku_name", F.round("score", 6).alias("score"))
 
@@ -238,6 +321,14 @@ QUERIES: dict[str, Query] = {
     "hourly_compare_amount": q_hourly_compare_amount,
     "kpi_panel": q_kpi_panel,
     "kpi_panel_for_date": q_kpi_panel_for_date,
+    "kpi_panel_order_day": q_kpi_panel_order_day,
+    "order_amount_empty_day": q_order_amount_empty_day,
+    "order_rejects": q_order_rejects,
+    "coupon_alerts_5min": q_coupon_alerts_5min,
+    "coupon_alerts_5min_throttled": q_coupon_alerts_5min_throttled,
+    "sale_search_page2": q_sale_search_page2,
+    "sale_search_two_tokens": q_sale_search_two_tokens,
+    "sale_report_json": q_sale_report_json,
     "coupon_alert_windows": q_coupon_alert_windows,
     "coupon_alerts": q_coupon_alerts,
     "coupon_alerts_throttled": q_coupon_alerts_throttled,

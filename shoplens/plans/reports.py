@@ -55,17 +55,26 @@ def kpi_panel_of(dau_per_date: DataFrame, new_per_date: DataFrame,
     return per_date.select("log_date", F.inline(rows))
 
 
-def kpi_panel_for_date(dau: DataFrame, orders: DataFrame, date: str,
-                       from_startups: bool = False) -> DataFrame:
-    """The panel of one date; all three rows exist even for an empty day.
-    ``from_startups``: ``dau`` holds raw startup rows, not the DAU table."""
-    # Filter after the panel: Catalyst pushes the date below the per-date
-    # aggregates, but new devices need each device's whole history.
-    panel = (kpi_panel_from_startups(dau, orders) if from_startups
-             else kpi_panel(dau, orders)).where(F.col("log_date") == date)
-    spine = _kpi_spine(dau.sparkSession, date)
+def kpi_panel_for_date(dau: DataFrame, orders: DataFrame, date: str) -> DataFrame:
+    """The panel of one date from the DAU and order tables; all three rows exist
+    even for an empty day. The date prunes the day's actives and orders; new
+    devices need each device's whole history."""
+    new = dau_ops.new_devices_by_date(dau).where(F.col("log_date") == date)
+    panel = kpi_panel_of(dau_ops.dau_by_date(dau.where(F.col("log_date") == date)), new,
+                         order_ops.amount_by_date(orders.where(F.col("create_date") == date)))
+    return _dense_panel(panel, date)
+
+
+def kpi_panel_of_day(startups: DataFrame, history: DataFrame, orders: DataFrame, date: str) -> DataFrame:
+    """The same from raw startup rows: those of the day, those of all days, and
+    the day's orders."""
+    new = dau_ops.new_devices_from_startups(history).where(F.col("log_date") == date)
+    return _dense_panel(kpi_panel_of(dau_ops.dau_by_date_from_startups(startups), new, order_ops.amount_by_date(orders)), date)
+
+
+def _dense_panel(panel: DataFrame, date: str) -> DataFrame:
     # the panel of one date has three rows
-    return spine.join(bounded_broadcast(panel.select("id", "value")), "id", "left").select(
+    return _kpi_spine(panel.sparkSession, date).join(bounded_broadcast(panel.select("id", "value")), "id", "left").select(
         "log_date", "id", "name", F.coalesce("value", F.lit("0")).alias("value"))
 
 

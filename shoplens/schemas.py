@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 S = T.StringType()
 
+# --- fixed values: field names and their order ------------------------------
 STARTUP_LOG = T.StructType([
     T.StructField("mid", S), T.StructField("uid", S), T.StructField("appId", S),
     T.StructField("area", S), T.StructField("os", S), T.StructField("channel", S),
@@ -30,6 +31,10 @@ ORDER_INFO_FIELDS = [
 ]
 ORDER_INFO = T.StructType([T.StructField(f, S) for f in ORDER_INFO_FIELDS])
 
+# columns that ingestion adds to the bound fields of the serving tables
+DAU_TABLE = [f.name for f in STARTUP_LOG.fields] + ["log_date", "log_hour"]
+ORDER_TABLE = ORDER_INFO_FIELDS + ["create_date", "create_hour"]
+
 ORDER_DETAIL_FIELDS = ["id", "order_id", "sku_name", "sku_id", "order_price", "img_url", "sku_num"]
 ORDER_DETAIL = T.StructType([T.StructField(f, S) for f in ORDER_DETAIL_FIELDS])
 

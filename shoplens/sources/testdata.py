@@ -68,8 +68,8 @@ def event_log_from(events: DataFrame) -> DataFrame:
                 F.concat(F.lit("mid_"), _s(F.col("user_id") % DEVICES_PER_ACCOUNT_GROUP)).alias("mid"),
                 F.concat(F.lit("uid"), _s("user_id")).alias("uid"),
                 F.lit("event").alias("log_type"),
-                _event_name("event_type").alias("event_name"),
-                F.get_json_object("props", "$.k").alias("item_id"),
+                _event_name("event_type").alias("eventId"),
+                F.get_json_object("props", "$.k").alias("itemId"),
                 timeparts.ntz_to_epoch_millis("ts").alias("ts"),
                 F.col("ts").alias("event_time"))
             .withColumn("log_date", timeparts.date_string("event_time"))
@@ -101,6 +101,20 @@ def raw_order_info_from(orders: DataFrame, customers: DataFrame) -> DataFrame:
         F.col("o_orderdate").alias("order_ts"))
 
 
+def order_amounts(spark: SparkSession, sf_dir: str, first: str | None = None, last: str | None = None) -> DataFrame:
+    """What amount reports need of the orders (id, total_amount, create_date,
+    create_hour), without the customer. With ``first`` and ``last`` only orders
+    created on these days: the order date lies less than a day before the
+    creation, and its range reaches the scan."""
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice", "o_orderdate")
+    if first is not None:
+        o = o.where(timeparts.day_range("o_orderdate", timeparts.previous_day(first), last))
+    created = F.timestamp_add("HOUR", (F.col("o_orderkey") % 24).cast("int"), F.col("o_orderdate"))
+    out = o.select(_s("o_orderkey").alias("id"), F.col("o_totalprice").cast(schemas.MONEY).alias("total_amount"),
+                   F.date_format(created, "yyyy-MM-dd").alias("create_date"), F.date_format(created, "HH").alias("create_hour"))
+    return out if first is None else out.where(F.col("create_date").between(first, last))
+
+
 def raw_order_info(spark: SparkSession, sf_dir: str) -> DataFrame:
     return raw_order_info_from(table(spark, sf_dir, "orders"), table(spark, sf_dir, "customer"))
 
@@ -144,6 +158,53 @@ def user_info(spark: SparkSession, sf_dir: str) -> DataFrame:
     return user_info_from(table(spark, sf_dir, "customer"))
 
 
+# --- messages as the topics carry them: (value, received_ts) ---------------------
+
+def startup_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Startup logs as JSON with all fields; those without a source are derived
+    from the user id."""
+    u = F.col("user_id")
+    return table(spark, sf_dir, "events").select(
+        F.to_json(F.struct(
+            F.concat(F.lit("mid_"), _s(u)).alias("mid"), F.concat(F.lit("uid"), _s(u)).alias("uid"),
+            F.lit("app").alias("appId"), F.concat(F.lit("area_"), _s(u % 34)).alias("area"),
+            F.when(u % 2 == 0, "ios").otherwise("android").alias("os"), F.concat(F.lit("ch_"), _s(u % 10)).alias("channel"),
+            F.lit("startup").alias("logType"), F.concat(F.lit("1."), _s(u % 5)).alias("version"),
+            timeparts.ntz_to_epoch_millis("ts").alias("ts"))).alias("value"),
+        timeparts.ntz_to_epoch_millis("ts").alias("received_ts"))
+
+
+def event_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return event_log(spark, sf_dir).select(
+        F.to_json(F.struct("mid", "uid", F.lit("event").alias("logType"), "eventId", "itemId", "ts")).alias("value"),
+        F.col("ts").alias("received_ts"))
+
+
+def order_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """order_info rows as JSON; the message's time is the order date."""
+    return raw_order_info(spark, sf_dir).select(
+        F.to_json(F.struct(*ORDER_ROW_COLUMNS)).alias("value"), timeparts.ntz_to_epoch_millis("order_ts").alias("received_ts"))
+
+
+def detail_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """order_detail rows as JSON; the message's time is the ship date."""
+    d = order_detail(spark, sf_dir)
+    fields = [c for c in d.columns if c != "detail_ts"]
+    return d.select(F.to_json(F.struct(*fields)).alias("value"), timeparts.ntz_to_epoch_millis("detail_ts").alias("received_ts"))
+
+
+def flawed_order_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order messages of which some are spoilt, by order key modulo 50."""
+    k = F.col("id").cast("long") % 50
+    o = raw_order_info(spark, sf_dir)
+    o = (o.withColumn("k", k).withColumn("total_amount", F.when(F.col("k") == 0, "abc").otherwise(F.col("total_amount")))
+         .withColumn("create_time", F.when(F.col("k") == 1, "2020").otherwise(F.col("create_time")))
+         .withColumn("consignee", F.when(F.col("k") != 2, F.col("consignee"))))
+    text = F.to_json(F.struct(*ORDER_ROW_COLUMNS))
+    text = F.when(F.col("k") == 3, F.substring(text, 1, 20)).when(F.col("k") == 4, F.lit(None)).otherwise(text)
+    return o.select(text.alias("value"), F.lit(0).cast("long").alias("received_ts"))
+
+
 ORDER_ROW_COLUMNS = ["id", "province_id", "consignee", "consignee_tel", "order_status", "user_id",
                      "total_amount", "create_time"]
 
@@ -214,8 +275,7 @@ def raw_logs_from(events: DataFrame) -> DataFrame:
         F.col("ts").alias("received_ts"), "event_id")
     ev = event_log_from(events).select(
         F.to_json(F.struct(F.col("log_type").alias("logType"), "mid", "uid",
-                           F.col("event_name").alias("eventId"),
-                           F.col("item_id").cast("int").alias("itemId"))).alias("value"),
+                           "eventId", F.col("itemId").cast("int").alias("itemId"))).alias("value"),
         F.col("ts").alias("received_ts"), "event_id")
     return st.unionByName(ev)
 

@@ -1,242 +1,265 @@
 """Streaming jobs: DAU, order ingestion, coupon alerts, sales wide table,
 change-feed routing and log collection.
 
-Each ``*_stream`` function is a pure transform of streaming DataFrames; the
-``start_*`` functions add the sink, checkpoint and trigger. Event time is
-TIMESTAMP with a watermark so that state is bounded; rows later than the
-watermark are dropped.
+A job's state is its stored table, not a watermark: each micro-batch is
+compared with what earlier batches stored for the days it touches, so no row
+is dropped however late or in whatever order it arrives. A batch writes only
+its own ``batch_id=N`` folders (overwritten by a replay) and reads only batches
+below N. Batches are written out first and joined from there with the job's own
+session, where AQE splits hot keys. Messages that cannot be parsed go to a
+rejects folder.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from typing import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from shoplens.constants import CLICK_EVENT, COUPON_EVENT
+from shoplens import schemas
 from shoplens.functions import parse
-from shoplens.functions.timeparts import epoch_micros_to_ntz, interval_micros, ntz_to_epoch_micros
+from shoplens.functions.timeparts import bucket_index, interval_micros, ntz_to_epoch_micros
+from shoplens.operators import alerts as alert_ops
 from shoplens.operators import dau as dau_ops
 from shoplens.operators import routing, sales
-from shoplens.operators.joins import broadcast_if_small
+from shoplens.operators.dedup import keep_first, keep_last
+from shoplens.sources.tables import lookup_by_ids
 from shoplens.streaming import sinks
-from shoplens.streaming.sources import as_event_time
 
 DEFAULT_TRIGGER = {"processingTime": "3 seconds"}
-DAU_COLUMNS = ["mid", "uid", "appId", "area", "os", "channel", "logType", "version", "ts",
-               "log_date", "log_hour"]
+Parser = Callable[[DataFrame], tuple[DataFrame, DataFrame]]
 
 
-# --- daily actives -----------------------------------------------------------
+def _days(df: DataFrame, col: str) -> list:
+    """The distinct days of a batch: one value per calendar day."""
+    return [r[0] for r in df.select(col).distinct().collect()]
 
-def dau_stream(startups: DataFrame, time_col: str = "event_time", lateness: str = "1 day") -> DataFrame:
-    """Keep the first startup to arrive per (date, device). The key state
-    expires once the watermark passes, unlike an ever-growing set."""
-    return (as_event_time(startups, time_col).withWatermark(time_col, lateness)
-            .dropDuplicatesWithinWatermark(dau_ops.DAU_KEYS))
 
+def _write_rejects(rejects: DataFrame, path: str, batch_id: int) -> None:
+    rejects.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
-def dau_earliest_stream(startups: DataFrame, lateness: str = "1 day",
-                        order: tuple[str, ...] = ("ts", "event_id")) -> DataFrame:
-    """Keep the *earliest* startup per (date, device), whatever the arrival
-    order: an update-mode ``min(struct)`` per (day, device). State is one row
-    per key and expires once the watermark passes the day plus ``lateness``;
-    the keyed store (latest batch per key) then holds exactly the batch form.
-    """
-    order = [c for c in order if c in startups.columns]
-    delay_s = (interval_micros("1 day") + interval_micros(lateness)) // 1_000_000
-    s = startups.withColumn("_day", F.to_timestamp(F.col("log_date"), "yyyy-MM-dd")) \
-        .withWatermark("_day", f"{delay_s} seconds")
-    rest = [c for c in startups.columns if c not in ("log_date", "mid", *order)]
-    packed = F.struct(*[F.col(c).alias(f"o{i}") for i, c in enumerate(order)], *[F.col(c) for c in rest])
-    agg = s.groupBy("_day", "log_date", "mid").agg(F.min(packed).alias("_r"))
-    return agg.select("log_date", "mid", *[F.col(f"_r.o{i}").alias(c) for i, c in enumerate(order)],
-                      *[F.col(f"_r.{c}") for c in rest])
 
+def _start(raw: DataFrame, write, checkpoint: str, trigger: dict | None, name: str) -> StreamingQuery:
+    return sinks.start_foreach(raw, write, checkpoint, "append", trigger or DEFAULT_TRIGGER, name)
 
-def start_dau_earliest(startups: DataFrame, path: str, checkpoint: str,
-                       trigger: dict | None = None, lateness: str = "1 day") -> StreamingQuery:
-    out = dau_earliest_stream(startups, lateness=lateness)
-    return sinks.start_foreach(out, sinks.batch_writer(path), checkpoint, "update",
-                               trigger or DEFAULT_TRIGGER, "dau_earliest")
 
+# --- daily actives -----------------------------------------------------------
 
-def read_dau_earliest(spark: SparkSession, path: str) -> DataFrame:
-    return sinks.read_latest(spark, path, dau_ops.DAU_KEYS)
+def start_dau(raw: DataFrame, path: str, checkpoint: str, trigger: dict | None = None,
+              parser: Parser = parse.startup_logs, keep: str = "arrival") -> StreamingQuery:
+    """Keep one startup per (date, device) in the 11-column table, names upper-cased.
+
+    A batch is reduced to its earliest row per key (a partial aggregate, so a
+    busy device is one row per task) and compared with the stored rows of its
+    days. ``keep='arrival'`` adds keys not stored yet; ``keep='earliest'`` also
+    adds a row earlier than the stored one, which ``read_dau`` then returns.
+    """
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        batch.persist()
+        try:
+            rows, rejects = parser(batch)
+            _write_rejects(rejects, f"{path}_rejects", batch_id)
+            table = rows.select(*schemas.DAU_TABLE)
+            first = keep_first(table, dau_ops.DAU_KEYS, ["ts"]).persist()
+            if sinks.has_batches(spark, path, batch_id):
+                stored = sinks.read_batches(spark, path, before=batch_id).where(F.col("LOG_DATE").isin(_days(first, "log_date")))
+                known = stored.groupBy(F.col("LOG_DATE").alias("log_date"), F.col("MID").alias("mid")).agg(F.min("TS").alias("_ts"))
+                joined = first.join(known, dau_ops.DAU_KEYS, "left")
+                new = F.col("_ts").isNull()
+                out = joined.where(new | (F.col("ts") < F.col("_ts")) if keep == "earliest" else new).drop("_ts")
+            else:
+                out = first
+            # one folder per day: a report or the next batch reads its days only
+            upper = out.select(*[F.col(c).alias(c.upper()) for c in schemas.DAU_TABLE])
+            upper.write.mode("overwrite").partitionBy("LOG_DATE").parquet(f"{path}/batch_id={batch_id}")
+            first.unpersist()
+        finally:
+            batch.unpersist()
+    return _start(raw, write, checkpoint, trigger, "dau")
 
 
-def start_dau(startups: DataFrame, path: str, checkpoint: str, trigger: dict | None = None,
-              columns: list[str] | None = None) -> StreamingQuery:
-    out = dau_stream(startups)
-    cols = [c for c in (columns or DAU_COLUMNS) if c in out.columns]
-    # per-batch folders sorted by day; ``sinks.compact(..., partition_by=["log_date"])``
-    # builds the day-partitioned serving table
-    writer = sinks.column_table_writer(path, cols, upper=False, sort_by=["log_date"])
-    return sinks.start_foreach(out, writer, checkpoint, "append", trigger or DEFAULT_TRIGGER, "dau")
+def read_dau(spark: SparkSession, path: str) -> DataFrame:
+    """The DAU table with lower-case names, one row per (date, device)."""
+    t = sinks.read_batches(spark, path).withColumn("LOG_DATE", F.col("LOG_DATE").cast("string"))
+    t = t.select(*[F.col(c.upper()).alias(c) for c in schemas.DAU_TABLE])
+    return keep_first(t, dau_ops.DAU_KEYS, ["ts"])
 
 
 # --- orders ------------------------------------------------------------------
 
 def start_orders(raw_orders: DataFrame, path: str, rejects_path: str, checkpoint: str,
                  trigger: dict | None = None) -> StreamingQuery:
-    """Order ingestion: parse, mask, derive date/hour; malformed rows to a
-    rejects folder in the same batch."""
-    def write(df: DataFrame, batch_id: int) -> None:
-        df.persist()  # parsed by two consumers: rows and rejects
+    """Order ingestion: parse, mask, derive date/hour into the 20-column table,
+    names upper-cased; malformed rows to a rejects folder in the same batch.
+    The table's key is the order id (``read_orders``): a redelivery replaces."""
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.persist()  # parsed by two consumers: rows and rejects
         try:
-            rows, rejects = parse.order_infos(df)
-            # sorted by day within the batch folder: bounded files per batch
-            # whatever the day spread; compaction partitions by day
-            rows.drop("order_ts").sortWithinPartitions("create_date") \
-                .write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
-            rejects.write.mode("overwrite").parquet(f"{rejects_path}/batch_id={batch_id}")
+            rows, rejects = parse.order_infos(batch)
+            rows = keep_last(rows.select(*schemas.ORDER_TABLE), ["id"], ["operate_time", "create_time"])
+            upper = rows.select(*[F.col(c).alias(c.upper()) for c in schemas.ORDER_TABLE])
+            upper.write.mode("overwrite").partitionBy("CREATE_DATE").parquet(f"{path}/batch_id={batch_id}")
+            _write_rejects(rejects, rejects_path, batch_id)
         finally:
-            df.unpersist()
-    return sinks.start_foreach(raw_orders, write, checkpoint, "append", trigger or DEFAULT_TRIGGER, "orders")
-
-
-# --- coupon alerts ---------------------------------------------------------------
-
-def alert_window_stream(events: DataFrame, length: str = "5 minutes", slide: str = "6 seconds",
-                        lateness: str = "0 seconds", time_col: str = "event_time") -> DataFrame:
-    """Per (device, window end): coupon_accounts, n_events, clicked (update mode).
-
-    Each event is assigned to the ends of the k windows containing it. The
-    distinct-account count is a de-duplication on (device, window, account)
-    feeding a plain sum, so per-key state is a key or three longs instead of
-    a set of accounts; both expire with the watermark on the window end.
-    """
-    L, S = interval_micros(length), interval_micros(slide)
-    if L % S:
-        raise ValueError("window length must be a multiple of the slide")
-    k = L // S
-    delay_s = (L + interval_micros(lateness)) // 1_000_000
-    # wall-clock micros: NTZ arithmetic keeps windows independent of the
-    # session time zone; window_end is then an instant (UTC micros) so it can
-    # carry the watermark
-    is_ntz = dict(events.dtypes).get(time_col) == "timestamp_ntz"
-    us = ntz_to_epoch_micros(time_col) if is_ntz else F.unix_micros(F.col(time_col))
-    pane_start = us - F.pmod(us, F.lit(S))
-    x = (events.select("mid", "uid", "event_name", pane_start.alias("_p"),
-                       F.explode(F.sequence(F.lit(0), F.lit(k - 1))).alias("_j"))
-         .withColumn("window_end", F.timestamp_micros(F.col("_p") - F.col("_j") * F.lit(S) + F.lit(L)))
-         .drop("_p", "_j")
-         .withWatermark("window_end", f"{delay_s} seconds"))
-    accounts = (x.where((F.col("event_name") == COUPON_EVENT) & F.col("uid").isNotNull())
-                .dropDuplicatesWithinWatermark(["mid", "window_end", "uid"])
-                .select("mid", "window_end", F.lit(1).alias("_a"), F.lit(0).alias("_n"),
-                        F.lit(0).alias("_c")))
-    counts = x.select("mid", "window_end", F.lit(0).alias("_a"), F.lit(1).alias("_n"),
-                      (F.col("event_name") == CLICK_EVENT).cast("int").alias("_c"))
-    agg = accounts.unionByName(counts).groupBy("mid", "window_end").agg(
-        F.sum("_a").alias("coupon_accounts"), F.sum("_n").alias("n_events"),
-        (F.max("_c") > 0).alias("clicked"))
-    end_us = F.unix_micros("window_end")
-    return agg.select("mid", epoch_micros_to_ntz(end_us - F.lit(L)).alias("window_start"),
-                      epoch_micros_to_ntz(end_us).alias("window_end_ntz"), "window_end",
-                      "coupon_accounts", "n_events", "clicked")
-
-
-def start_alerts(events: DataFrame, path: str, checkpoint: str, length: str = "5 minutes",
-                 slide: str = "6 seconds", lateness: str = "0 seconds",
-                 trigger: dict | None = None) -> StreamingQuery:
-    """Window states upserted by (device, window end); ``read_alerts`` applies
-    the rule to the latest state of each window."""
-    out = alert_window_stream(events, length, slide, lateness)
-    return sinks.start_foreach(out, sinks.batch_writer(path), checkpoint, "update",
-                               trigger or DEFAULT_TRIGGER, "alerts")
-
-
-def read_alerts(spark: SparkSession, path: str, min_accounts: int = 3) -> DataFrame:
-    latest = sinks.read_latest(spark, path, ["mid", "window_end"])
-    return latest.where((F.col("coupon_accounts") >= min_accounts) & ~F.col("clicked"))
+            batch.unpersist()
+    return _start(raw_orders, write, checkpoint, trigger, "orders")
 
 
-def read_throttled_alerts(spark: SparkSession, path: str, min_accounts: int = 3,
-                          every: str = "1 minute") -> DataFrame:
-    """At most one alert per device per ``every`` (latest window wins), keyed
-    by ``doc_id`` = 'mid:bucket', over the latest state of every window."""
-    from shoplens.operators.alerts import throttle_alerts
-    a = read_alerts(spark, path, min_accounts).drop("window_end") \
-        .withColumnRenamed("window_end_ntz", "window_end")
-    return throttle_alerts(a, every)
+def read_orders(spark: SparkSession, path: str) -> DataFrame:
+    """The order table with lower-case names: the latest row of each id."""
+    t = sinks.read_batches(spark, path).withColumn("CREATE_DATE", F.col("CREATE_DATE").cast("string"))
+    t = t.select("batch_id", *[F.col(c.upper()).alias(c) for c in schemas.ORDER_TABLE])
+    return keep_last(t, ["id"], ["batch_id"]).drop("batch_id")
 
 
-# --- sales wide table ------------------------------------------------------------
+# --- coupon alerts ---------------------------------------------------------------
 
-def sale_stream(orders: DataFrame, details: DataFrame, users: DataFrame, as_of: str,
-                bound: str = "30 minutes", order_lateness: str = "30 minutes",
-                detail_lateness: str = "30 minutes") -> DataFrame:
-    """Stream-stream interval join (state bounded by the watermarks plus the
-    bound), then a stream-static join with the user dimension."""
-    o = as_event_time(orders, "order_ts").withWatermark("order_ts", order_lateness)
-    d = as_event_time(details, "detail_ts").withWatermark("detail_ts", detail_lateness)
-    pairs = sales.join_orders_details(o, d, bound)
-    # no AQE in streaming: broadcast the static dimension only behind a size
-    # check, otherwise every micro-batch shuffles against it
-    return sales.enrich_users(sales.sale_rows(pairs), broadcast_if_small(users), as_of)
-
-
-def start_sales(orders: DataFrame, details: DataFrame, users: DataFrame, path: str,
-                checkpoint: str, as_of: str, bound: str = "30 minutes",
-                trigger: dict | None = None, order_lateness: str = "30 minutes",
-                detail_lateness: str = "30 minutes") -> StreamingQuery:
-    out = sale_stream(orders, details, users, as_of, bound, order_lateness, detail_lateness)
-    writer = sinks.batch_writer(path, transform=sinks.with_doc_id(sales.SALE_KEY, trailing=":"))
-    return sinks.start_foreach(out, writer, checkpoint, "append", trigger or DEFAULT_TRIGGER, "sales")
-
-
-def start_sales_fresh_users(orders: DataFrame, details: DataFrame, read_users, path: str,
-                            checkpoint: str, as_of: str, bound: str = "30 minutes",
-                            trigger: dict | None = None, order_lateness: str = "30 minutes",
-                            detail_lateness: str = "30 minutes") -> StreamingQuery:
-    """Like ``start_sales`` but the user dimension is re-read for every
-    micro-batch (``read_users()`` returns a fresh DataFrame), restricted to
-    the batch's user ids by a semi-join, then joined - the per-batch
-    transform for a dimension that changes while the stream runs."""
-    from shoplens.sources.tables import lookup_by_ids
-    o = as_event_time(orders, "order_ts").withWatermark("order_ts", order_lateness)
-    d = as_event_time(details, "detail_ts").withWatermark("detail_ts", detail_lateness)
-    pairs = sales.sale_rows(sales.join_orders_details(o, d, bound))
-    keyed = sinks.with_doc_id(sales.SALE_KEY, trailing=":")
+def start_alerts(raw: DataFrame, path: str, checkpoint: str, length: str = "5 minutes",
+                 slide: str = "6 seconds", min_accounts: int = 3, every: str = "1 minute",
+                 trigger: dict | None = None, parser: Parser = parse.event_logs,
+                 show: int = 0) -> StreamingQuery:
+    """Alerts, and no other windows, in ``{path}/alerts``; pane partials in ``{path}/panes``.
+
+    A batch adds its pane partials, not its events times the windows they are
+    in. Of the devices and panes it touched the windows are worked out again
+    from all stored panes of those days, whichever batch brought them. A window that no
+    longer alerts (a click came late) is written with ``alerting`` false.
+    ``show``: also print so many of the batch's alerts.
+    """
+    L, S, k = alert_ops._geometry(length, slide)
+    per_day = 86_400_000_000 // S
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        # the batch feeds both the id lookup and the join: computed once
+        spark = batch.sparkSession
         batch.persist()
         try:
-            users = lookup_by_ids(read_users(), batch)
-            wide = sales.enrich_users(batch, users, as_of)
-            keyed(wide).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+            events, rejects = parser(batch)
+            _write_rejects(rejects, f"{path}/rejects", batch_id)
+            new = alert_ops._pane_partials(events, S, "event_time")
+            new.withColumn("day", F.floor(F.col("pane") / per_day).cast("int")) \
+                .write.mode("overwrite").partitionBy("day").parquet(f"{path}/panes/batch_id={batch_id}")
         finally:
             batch.unpersist()
-    return sinks.start_foreach(pairs, write, checkpoint, "append", trigger or DEFAULT_TRIGGER,
-                               "sales_fresh_users")
+        stored = spark.read.parquet(f"{path}/panes").where(F.col("batch_id") <= batch_id)
+        mine = stored.where(F.col("batch_id") == batch_id)
+        days = _days(mine, "day")
+        reach = -(-k // per_day)
+        near = sorted({d + i for d in days for i in range(-reach, reach + 1)})
+        # panes that share a window with a touched pane of the device: by device
+        # and block of k panes, then merged over batches
+        block = F.floor(F.col("pane") / k)
+        touched = mine.select("mid", F.explode(F.array(block - 1, block, block + 1)).alias("block")).distinct()
+        panes = (stored.where(F.col("day").isin(near)).withColumn("block", block).join(touched, ["mid", "block"], "left_semi")
+                 .groupBy("mid", "pane", "uid").agg(F.sum("n").alias("n"), F.max("clicked").alias("clicked")))
+        windows = alert_ops._expand_to_windows(mine.select("mid", "pane").distinct(), k).select("mid", "w").distinct()
+        alerts = alert_ops.coupon_alerts(panes, length, slide, min_accounts).join(windows, ["mid", "w"], "left_semi")
+        alerts = alerts.withColumn("alerting", F.lit(True))
+        if sinks.has_batches(spark, f"{path}/alerts", batch_id):
+            before = keep_last(sinks.read_batches(spark, f"{path}/alerts", before=batch_id), ["mid", "w"], ["batch_id"])
+            over = (before.where("alerting").join(windows, ["mid", "w"], "left_semi").join(alerts, ["mid", "w"], "left_anti")
+                    .drop("batch_id", "doc_id").withColumn("alerting", F.lit(False)))
+            alerts = alerts.unionByName(over)
+        step = interval_micros(every)
+        keyed = alerts.withColumn("doc_id", F.concat_ws(
+            ":", "mid", bucket_index(ntz_to_epoch_micros("window_end"), step).cast("string")))
+        keyed.write.mode("overwrite").parquet(f"{path}/alerts/batch_id={batch_id}")
+        if show:
+            spark.read.parquet(f"{path}/alerts/batch_id={batch_id}").where("alerting").show(show, truncate=False)
+    return _start(raw, write, checkpoint, trigger, "alerts")
+
+
+def read_alerts(spark: SparkSession, path: str) -> DataFrame:
+    """The windows that alert, by their latest state."""
+    latest = keep_last(sinks.read_batches(spark, f"{path}/alerts"), ["mid", "w"], ["batch_id"])
+    return latest.where("alerting").drop("alerting", "batch_id")
+
+
+def read_throttled_alerts(spark: SparkSession, path: str) -> DataFrame:
+    """One alert per ``doc_id`` ('mid:bucket'): the latest window wins."""
+    return keep_last(read_alerts(spark, path), ["doc_id"], ["window_end", "window_start"])
 
 
-def start_alerts_with_console(events: DataFrame, path: str, checkpoint: str, length: str = "5 minutes",
-                              slide: str = "6 seconds", lateness: str = "0 seconds",
-                              min_accounts: int = 3, rows: int = 1000,
-                              trigger: dict | None = None) -> StreamingQuery:
-    """Alert job with two consumers of each batch: the keyed store and a
-    console print of the batch's alerting windows. The batch is persisted
-    once for both and released afterwards."""
-    out = alert_window_stream(events, length, slide, lateness)
-    store = sinks.batch_writer(path)
+# --- sales wide table ------------------------------------------------------------
+
+def order_and_detail_messages(orders: DataFrame, details: DataFrame) -> DataFrame:
+    """Both topics as one stream of (kind, value, received_ts), so that a
+    micro-batch sees orders and lines together."""
+    return (orders.select(F.lit("order").alias("kind"), "value", "received_ts")
+            .unionByName(details.select(F.lit("detail").alias("kind"), "value", "received_ts")))
+
+
+def start_sales(messages: DataFrame, path: str, checkpoint: str,
+                read_users: Callable[[DataFrame], DataFrame], as_of: str | None = None,
+                bound: str = "30 minutes", trigger: dict | None = None,
+                order_time: Column | None = None, detail_time: Column | None = None) -> StreamingQuery:
+    """Pairs of orders and lines at most ``bound`` apart, in either order of arrival.
+
+    New orders meet stored and new lines, new lines meet stored orders, of the
+    days the bound reaches. ``read_users`` is called for each batch with its
+    user ids and returns their rows as they are then; ages are as of the day of
+    the batch unless ``as_of`` is given. Pairs whose user is unknown yet wait
+    in ``{path}/waiting`` and are tried again with each batch.
+    Event time is the message's unless a column of the bound fields is given.
+    """
+    reach = -(-interval_micros(bound) // 86_400_000_000)
+
+    def store(kind: str, rows: DataFrame, time: Column | None, batch_id: int) -> None:
+        ts = F.timestamp_millis("received_ts") if time is None else time
+        out = rows.withColumn(f"{kind}_ts", ts.cast("timestamp_ntz")).withColumn("day", F.to_date(f"{kind}_ts"))
+        out.write.mode("overwrite").partitionBy("day").parquet(f"{path}/{kind}s/batch_id={batch_id}")
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
         batch.persist()
         try:
-            store(batch, batch_id)
-            batch.where((F.col("coupon_accounts") >= min_accounts) & ~F.col("clicked")) \
-                .show(rows, truncate=False)
+            orders, bad_orders = parse.order_infos(batch.where("kind = 'order'").drop("kind"))
+            details, bad_details = parse.order_details(batch.where("kind = 'detail'").drop("kind"))
+            store("order", orders, order_time, batch_id)
+            store("detail", details, detail_time, batch_id)
+            _write_rejects(bad_orders.unionByName(bad_details), f"{path}/rejects", batch_id)
         finally:
             batch.unpersist()
-    return sinks.start_foreach(out, write, checkpoint, "update", trigger or DEFAULT_TRIGGER,
-                               "alerts_console")
+        o = spark.read.parquet(f"{path}/orders").where(F.col("batch_id") <= batch_id)
+        d = spark.read.parquet(f"{path}/details").where(F.col("batch_id") <= batch_id)
+        new_o, new_d = o.where(F.col("batch_id") == batch_id), d.where(F.col("batch_id") == batch_id)
+
+        def within(side: DataFrame, of: DataFrame) -> DataFrame:
+            first, last = of.agg(F.min("day"), F.max("day")).first()
+            if first is None:
+                return side.where(F.lit(False))
+            return side.where(F.col("day").between(F.date_sub(F.lit(first), reach), F.date_add(F.lit(last), reach)))
+
+        old_o = o.where(F.col("batch_id") < batch_id)
+        pairs = sales.sale_rows(sales.join_orders_details(new_o, within(d, new_o), bound)).unionByName(
+            sales.sale_rows(sales.join_orders_details(within(old_o, new_d), new_d, bound)))
+        if batch_id > 0 and sinks.has_batches(spark, f"{path}/waiting", batch_id):
+            waiting = spark.read.parquet(f"{path}/waiting/batch_id={batch_id - 1}")
+            pairs = pairs.unionByName(waiting)
+        pairs.write.mode("overwrite").parquet(f"{path}/pairs/batch_id={batch_id}")
+        pairs = spark.read.parquet(f"{path}/pairs/batch_id={batch_id}")
+        users = read_users(pairs)
+        wide = sales.enrich_users(pairs, users, as_of)
+        sinks.with_doc_id(sales.SALE_KEY, trailing=":")(wide).write.mode("overwrite").partitionBy("dt").parquet(
+            f"{path}/sales/batch_id={batch_id}")
+        known = users.select(F.col("id").alias("user_id")).distinct()
+        pairs.join(known, "user_id", "left_anti").select(*pairs.columns).write.mode("overwrite").parquet(
+            f"{path}/waiting/batch_id={batch_id}")
+    return _start(messages, write, checkpoint, trigger, "sales")
+
+
+def dimension_lookup(read: Callable[[], DataFrame]) -> Callable[[DataFrame], DataFrame]:
+    """Re-read a dimension for each batch, restricted to the batch's users."""
+    return lambda pairs: lookup_by_ids(read(), pairs)
 
 
 def read_sales(spark: SparkSession, path: str) -> DataFrame:
-    return sinks.read_latest(spark, path, ["doc_id"]).drop("doc_id")
+    """The wide table: the latest row of each (order, line), however often delivered."""
+    t = sinks.read_batches(spark, f"{path}/sales").withColumn("dt", F.col("dt").cast("string"))
+    latest = keep_last(t, ["doc_id"], ["batch_id"])
+    return latest.select(*[f.name for f in schemas.SALE_DETAIL.fields])
 
 
 # --- change feed and logs ----------------------------------------------------------
@@ -251,15 +274,19 @@ def start_change_router(feed: DataFrame, checkpoint: str, fmt: str = "kafka",
 def start_log_collector(raw: DataFrame, checkpoint: str, archive_path: str,
                         fmt: str = "kafka", path: str | None = None,
                         bootstrap_servers: str | None = None,
-                        trigger: dict | None = None) -> list[StreamingQuery]:
-    """Stamp server time, archive the line by day, route it to its topic."""
-    routed = routing.route_logs(raw)
-    return [
-        sinks.archive_sink(routed, archive_path, f"{checkpoint}/archive", trigger=trigger),
-        sinks.topic_sink(routed, f"{checkpoint}/route", fmt, bootstrap_servers, path, trigger),
-    ]
-
-
-def await_all(spark: SparkSession, timeout: float | None = None) -> None:
-    """Block until any query stops (and surface its error)."""
-    spark.streams.awaitAnyTermination(timeout)
+                        trigger: dict | None = None) -> StreamingQuery:
+    """Stamp server time once, archive the line by day, route it to its topic.
+    Lines that are no JSON object are archived too, as rejects."""
+    def write(batch: DataFrame, batch_id: int) -> None:
+        stamped = routing.stamp_logs(batch).persist()
+        try:
+            good = stamped.where(F.col("value").isNotNull())
+            day = F.date_format(F.timestamp_millis("received_ts"), "yyyy-MM-dd")
+            good.select("value", day.alias("dt")).write.mode("overwrite").partitionBy("dt").text(
+                f"{archive_path}/batch_id={batch_id}")
+            stamped.where(F.col("value").isNull()).select("raw", "received_ts").write.mode("overwrite").parquet(
+                f"{archive_path}_rejects/batch_id={batch_id}")
+            sinks.write_topics(good, batch_id, fmt, bootstrap_servers, path)
+        finally:
+            stamped.unpersist()
+    return _start(raw, write, checkpoint, trigger, "collector")

@@ -1,9 +1,9 @@
 """Streaming jobs run to completion over the driver's tables.
 
-Each run reads the tables as file streams with an ``availableNow`` trigger,
-writes through the replay-safe sinks into a fresh folder under the
-checkpoint root, and returns the sink's read-back view, whose rows are
-comparable with the batch twin.
+Each run writes its messages to a fresh folder under the checkpoint root, dealt
+by hash over ``FILES`` files, and streams them with one file per micro-batch: rows
+arrive in no order of time, and every batch but the first meets what earlier
+ones stored. What the job's reader returns is comparable with the batch twin.
 """
 
 from __future__ import annotations
@@ -11,14 +11,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shoplens import schemas
 from shoplens.config import scratch_path
-from shoplens.functions import parse
+from shoplens.constants import EVENT_LOG_TOPIC, ORDER_INFO_TOPIC
+from shoplens.operators import dau as dau_ops
+from shoplens.operators import orders as order_ops
 from shoplens.plans import registry as R
 from shoplens.sources import testdata as td
 from shoplens.streaming import jobs
-from shoplens.streaming.sources import table_stream
+from shoplens.streaming.sources import topic_stream
 
 ONCE = {"availableNow": True}
+FILES = 4
 
 
 def _run(query) -> None:
@@ -27,70 +31,86 @@ def _run(query) -> None:
         raise RuntimeError(str(query.exception()))
 
 
+def dealt_stream(messages: DataFrame, path: str, files: int = FILES) -> DataFrame:
+    """``messages`` as a stream of ``files`` micro-batches, dealt by hash."""
+    spark = messages.sparkSession
+    part = F.pmod(F.xxhash64(*messages.columns), F.lit(files))
+    messages.withColumn("part", part).repartitionByRange(files, "part").drop("part").write.parquet(path)
+    return spark.readStream.schema(messages.schema).option("maxFilesPerTrigger", "1").parquet(path)
+
+
+def _dau(spark: SparkSession, sf: str, name: str) -> DataFrame:
+    base = scratch_path(spark, name)
+    raw = dealt_stream(td.startup_messages(spark, sf), f"{base}/in")
+    _run(jobs.start_dau(raw, f"{base}/out", f"{base}/ckpt", ONCE, keep="earliest"))
+    return jobs.read_dau(spark, f"{base}/out")
+
+
 def stream_dau(spark: SparkSession, sf: str) -> DataFrame:
-    base = scratch_path(spark, "stream_dau")
-    startups = td.startup_log_from(table_stream(spark, sf, "events"))
-    _run(jobs.start_dau(startups, f"{base}/out", f"{base}/ckpt", ONCE))
-    return spark.read.parquet(f"{base}/out").select("log_date", "mid")
+    return _dau(spark, sf, "stream_dau")
 
 
 def stream_dau_hourly(spark: SparkSession, sf: str) -> DataFrame:
-    """Hourly DAU from the earliest-startup stream: equal to the batch form."""
-    from shoplens.operators import dau as dau_ops
-    base = scratch_path(spark, "stream_dau_hourly")
-    startups = td.startup_log_from(table_stream(spark, sf, "events"))
-    _run(jobs.start_dau_earliest(startups, f"{base}/out", f"{base}/ckpt", ONCE))
-    return dau_ops.dau_by_hour(jobs.read_dau_earliest(spark, f"{base}/out"))
+    return dau_ops.dau_by_hour(_dau(spark, sf, "stream_dau_hourly"))
 
 
-def stream_order_ingest(spark: SparkSession, sf: str) -> DataFrame:
-    """Change feed -> router -> order_info topic -> bind, mask -> orders.
-
-    The feed derived from the tables is first written to the run's folder so
-    it can be read as a stream, as a change-feed topic would be."""
-    from shoplens import schemas
-    from shoplens.constants import ORDER_INFO_TOPIC
-    from shoplens.streaming.sources import topic_stream
-    base = scratch_path(spark, "stream_orders")
-    td.change_feed(spark, sf).write.parquet(f"{base}/feed")
-    feed = spark.readStream.schema(schemas.CHANGE_ENTRY).parquet(f"{base}/feed")
-    _run(jobs.start_change_router(feed, f"{base}/ckpt-route", fmt="files", path=f"{base}/topics",
-                                  trigger=ONCE))
-    raw_orders = topic_stream(spark, ORDER_INFO_TOPIC, fmt="files", path=f"{base}/topics")
+def _orders(spark: SparkSession, feed: DataFrame, name: str) -> DataFrame:
+    """Change feed -> router -> order_info topic -> bind, mask -> order table."""
+    base = scratch_path(spark, name)
+    stream = dealt_stream(feed, f"{base}/feed")
+    _run(jobs.start_change_router(stream, f"{base}/ckpt-route", fmt="files", path=f"{base}/topics", trigger=ONCE))
+    raw_orders = topic_stream(spark, ORDER_INFO_TOPIC, fmt="files", path=f"{base}/topics", options={"maxFilesPerTrigger": "4"})
     _run(jobs.start_orders(raw_orders, f"{base}/orders", f"{base}/rejects", f"{base}/ckpt-orders", ONCE))
-    out = spark.read.parquet(f"{base}/orders")
-    return out.select("id", "province_id", "consignee", "consignee_tel", "order_status", "user_id",
-                      "total_amount", "create_time", "create_date", "create_hour")
+    return jobs.read_orders(spark, f"{base}/orders")
+
+
+def stream_order_ingest(spark: SparkSession, sf: str) -> DataFrame:
+    return _orders(spark, td.change_feed(spark, sf), "stream_orders")
+
+
+def stream_order_redelivery(spark: SparkSession, sf: str) -> DataFrame:
+    """Every message delivered twice; the amounts count each order once."""
+    feed = td.change_feed(spark, sf)
+    return order_ops.amount_by_date(_orders(spark, feed.unionByName(feed), "stream_redelivery"))
+
+
+_ALERT_COLUMNS = ["mid", "window_start", "window_end", "coupon_accounts", "n_events"]
+
+
+def _alerts(spark: SparkSession, raw: DataFrame, base: str) -> str:
+    _run(jobs.start_alerts(raw, f"{base}/out", f"{base}/ckpt", R.ALERT_LENGTH, R.ALERT_SLIDE, R.ALERT_MIN_ACCOUNTS,
+                           R.ALERT_THROTTLE, ONCE))
+    return f"{base}/out"
 
 
 def stream_alerts(spark: SparkSession, sf: str) -> DataFrame:
     base = scratch_path(spark, "stream_alerts")
-    events = td.event_log_from(table_stream(spark, sf, "events"))
-    _run(jobs.start_alerts(events, f"{base}/out", f"{base}/ckpt", R.ALERT_LENGTH, R.ALERT_SLIDE,
-                           trigger=ONCE))
-    a = jobs.read_alerts(spark, f"{base}/out", R.ALERT_MIN_ACCOUNTS)
-    return a.select("mid", "window_start", F.col("window_end_ntz").alias("window_end"),
-                    "coupon_accounts", "n_events")
+    out = _alerts(spark, dealt_stream(td.event_messages(spark, sf), f"{base}/in"), base)
+    return jobs.read_alerts(spark, out).select(*_ALERT_COLUMNS)
 
 
 def stream_alerts_throttled(spark: SparkSession, sf: str) -> DataFrame:
     base = scratch_path(spark, "stream_alerts_throttled")
-    events = td.event_log_from(table_stream(spark, sf, "events"))
-    _run(jobs.start_alerts(events, f"{base}/out", f"{base}/ckpt", R.ALERT_LENGTH, R.ALERT_SLIDE,
-                           trigger=ONCE))
-    t = jobs.read_throttled_alerts(spark, f"{base}/out", R.ALERT_MIN_ACCOUNTS, R.ALERT_THROTTLE)
-    return t.select("doc_id", "mid", "window_start", "window_end", "coupon_accounts", "n_events")
+    out = _alerts(spark, dealt_stream(td.event_messages(spark, sf), f"{base}/in"), base)
+    return jobs.read_throttled_alerts(spark, out).select("doc_id", *_ALERT_COLUMNS)
+
+
+def stream_alerts_from_logs(spark: SparkSession, sf: str) -> DataFrame:
+    """Raw log lines -> collector -> event topic -> bind -> alerts."""
+    base = scratch_path(spark, "stream_alerts_logs")
+    raw = dealt_stream(td.raw_logs(spark, sf).select("value", "received_ts"), f"{base}/in")
+    _run(jobs.start_log_collector(raw, f"{base}/ckpt-logs", f"{base}/archive", fmt="files", path=f"{base}/topics", trigger=ONCE))
+    events = topic_stream(spark, EVENT_LOG_TOPIC, fmt="files", path=f"{base}/topics", options={"maxFilesPerTrigger": "4"})
+    return jobs.read_alerts(spark, _alerts(spark, events, base)).select(*_ALERT_COLUMNS)
 
 
 def stream_sale_wide(spark: SparkSession, sf: str) -> DataFrame:
     base = scratch_path(spark, "stream_sales")
-    orders = parse.ingest_orders(td.raw_order_info_from(table_stream(spark, sf, "orders"),
-                                                        td.table(spark, sf, "customer")))
-    details = td.order_detail_from(table_stream(spark, sf, "lineitem"), td.table(spark, sf, "part"))
-    users = td.user_info(spark, sf)
-    _run(jobs.start_sales(orders, details, users, f"{base}/out", f"{base}/ckpt", R.AS_OF,
-                          bound=R.JOIN_BOUND, trigger=ONCE))
-    return jobs.read_sales(spark, f"{base}/out")
+    messages = jobs.order_and_detail_messages(td.order_messages(spark, sf), td.detail_messages(spark, sf))
+    raw = dealt_stream(messages, f"{base}/in")
+    lookup = jobs.dimension_lookup(lambda: td.user_info(spark, sf))
+    _run(jobs.start_sales(raw, f"{base}/out", f"{base}/ckpt", lookup, R.AS_OF, bound=R.JOIN_BOUND, trigger=ONCE))
+    return jobs.read_sales(spark, f"{base}/out").select(*[f.name for f in schemas.SALE_DETAIL.fields])
 
 
 STREAM_QUERIES = {
@@ -98,6 +118,8 @@ STREAM_QUERIES = {
     "stream_dau_hourly": stream_dau_hourly,
     "stream_alerts": stream_alerts,
     "stream_alerts_throttled": stream_alerts_throttled,
+    "stream_alerts_from_logs": stream_alerts_from_logs,
     "stream_sale_wide": stream_sale_wide,
     "stream_order_ingest": stream_order_ingest,
+    "stream_order_redelivery": stream_order_redelivery,
 }

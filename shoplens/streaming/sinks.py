@@ -63,8 +63,20 @@ def with_doc_id(keys: list[str], id_col: str = "doc_id", trailing: str = "") ->
         F.concat_ws(":", *[F.col(k).cast("string") for k in keys]), F.lit(trailing)))
 
 
-def read_batches(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    return spark.read.format(fmt).load(path)
+def read_batches(spark: SparkSession, path: str, fmt: str = "parquet", before: int | None = None) -> DataFrame:
+    """All rows with their ``batch_id``. ``before``: only batches below it, which
+    is what a batch may look at, so that a replay sees what the first run saw."""
+    df = spark.read.format(fmt).load(path)
+    return df if before is None else df.where(F.col("batch_id") < before)
+
+
+def has_batches(spark: SparkSession, path: str, before: int | None = None) -> bool:
+    """Whether the folder holds a batch (below ``before``)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/batch_id=*")
+    found = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(p) or []
+    ids = [int(f.getPath().getName().split("=")[1]) for f in found]
+    return any(before is None or i < before for i in ids)
 
 
 def read_latest(spark: SparkSession, path: str, keys: list[str],
@@ -116,18 +128,19 @@ def topic_sink(df: DataFrame, checkpoint: str, fmt: str = "kafka",
             .trigger(**(trigger or {"processingTime": "3 seconds"})).start())
 
 
-def archive_sink(df: DataFrame, path: str, checkpoint: str, received_col: str = "received_ts",
-                 trigger: dict | None = None) -> StreamingQuery:
-    """Raw JSON lines archived per day of arrival (``dt=yyyy-MM-dd``)."""
-    out = df.select("value", F.date_format(F.timestamp_millis(F.col(received_col)),
-                                           "yyyy-MM-dd").alias("dt"))
-    return (out.writeStream.format("text").partitionBy("dt").option("path", path)
-            .option("checkpointLocation", checkpoint)
-            .trigger(**(trigger or {"processingTime": "3 seconds"})).start())
-
-
-def console_sink(df: DataFrame, rows: int = 1000, output_mode: str = "append",
-                 trigger: dict | None = None) -> StreamingQuery:
-    return (df.writeStream.format("console").outputMode(output_mode)
-            .option("numRows", rows).option("truncate", False)
-            .trigger(**(trigger or {"processingTime": "3 seconds"})).start())
+def write_topics(df: DataFrame, batch_id: int, fmt: str = "kafka", bootstrap_servers: str | None = None,
+                 path: str | None = None) -> None:
+    """One micro-batch of (topic, value) rows: to Kafka, or as text lines under
+    ``{path}/topic=<t>/batch-N-*`` (a replay replaces the batch's files)."""
+    out = df.select("topic", F.col("value").cast("string").alias("value"))
+    if fmt == "kafka":
+        w = out.write.format("kafka")
+        if bootstrap_servers:
+            w = w.option("kafka.bootstrap.servers", bootstrap_servers)
+        w.save()
+        return
+    if path is None:
+        raise ValueError("a file-backed topic sink needs a path")
+    for topic in [r[0] for r in out.select("topic").distinct().collect()]:  # two topics
+        out.where(F.col("topic") == topic).select("value").write.mode("overwrite").text(
+            f"{path.rstrip('/')}/topic={topic}/batch-{batch_id}")

@@ -34,7 +34,7 @@ def topic_stream(spark: SparkSession, topic: str, fmt: str = "kafka",
                                     F.unix_millis(F.col("timestamp")).alias("received_ts"))
     if path is None:
         raise ValueError("a file-backed topic needs a path")
-    reader = spark.readStream.format("text")
+    reader = spark.readStream.format("text").option("recursiveFileLookup", "true")
     for k, v in opts.items():
         reader = reader.option(k, v)
     return reader.load(f"{path.rstrip('/')}/topic={topic}").select(
@@ -51,8 +51,3 @@ def table_stream(spark: SparkSession, folder: str, name: str, schema: T.StructTy
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     return reader.parquet(folder)
-
-
-def as_event_time(df: DataFrame, col: str) -> DataFrame:
-    """Watermarks need TIMESTAMP (not TIMESTAMP_NTZ) event time."""
-    return df.withColumn(col, F.col(col).cast("timestamp"))
