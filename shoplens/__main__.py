@@ -2,24 +2,28 @@
 
     python -m shoplens job dau --source kafka --bootstrap host:9092 --out DIR --checkpoint DIR
     python -m shoplens job alerts --source files --topics DIR --out DIR --checkpoint DIR
+    python -m shoplens compact dau --out DIR --to TABLE_DIR
     python -m shoplens report kpi --dau DIR --orders DIR --date 2024-01-15
     python -m shoplens report hourly --id dau --dau DIR --date 2024-01-15
     python -m shoplens report search --sales DIR --date 1996-09-17 --keyword red --page 1 --size 5
 
 Jobs run until stopped (``--once`` processes what is available and exits).
-Reports print their bounded answers (3 KPI rows, 24 hours, one page and two
-pies) as JSON lines.
+Reports read a job's folder or its compacted table and print their bounded answers
+(3 KPI rows, 24 hours, or one JSON object with total, pies and page) as JSON lines.
 """
 
 from __future__ import annotations
 
 import argparse
+import functools
 import json
 import sys
 
 from shoplens.constants import (EVENT_LOG_TOPIC, ORDER_DETAIL_TOPIC, ORDER_INFO_TOPIC,
                                 STARTUP_LOG_TOPIC)
 
+#: Rows of a search page, which the driver prints.
+MAX_PAGE = 10_000
 JOBS = ["dau", "orders", "alerts", "sales", "router", "collector"]
 
 
@@ -34,68 +38,78 @@ def run_job(spark, args) -> list:
     from pyspark.sql import functions as F
     from shoplens import schemas
     from shoplens.functions import parse
-    from shoplens.functions.timeparts import epoch_millis_to_ntz
-    from shoplens.sources.tables import read_dimension
+    from shoplens.sources.tables import jdbc_lookup, read_dimension
     from shoplens.streaming import jobs
     trigger = {"availableNow": True} if args.once else {"processingTime": args.trigger}
     fmt = "kafka" if args.source == "kafka" else "files"
     if args.name == "dau":
-        startups, _ = parse.startup_logs(_topic(spark, args, STARTUP_LOG_TOPIC), tz=args.tz)
-        return [jobs.start_dau(startups, args.out, args.checkpoint, trigger)]
+        parse_dau = functools.partial(parse.startup_logs, tz=args.tz)
+        return [jobs.start_dau(_topic(spark, args, STARTUP_LOG_TOPIC), args.out, args.checkpoint, trigger, parse_dau)]
     if args.name == "orders":
         return [jobs.start_orders(_topic(spark, args, ORDER_INFO_TOPIC), args.out,
                                   f"{args.out}_rejects", args.checkpoint, trigger)]
     if args.name == "alerts":
-        events, _ = parse.event_logs(_topic(spark, args, EVENT_LOG_TOPIC), tz=args.tz)
-        return [jobs.start_alerts(events, args.out, args.checkpoint, args.window, args.slide,
-                                  args.lateness, trigger)]
+        parse_events = functools.partial(parse.event_logs, tz=args.tz)
+        return [jobs.start_alerts(_topic(spark, args, EVENT_LOG_TOPIC), args.out, args.checkpoint, args.window, args.slide,
+                                  args.accounts, args.throttle, trigger, parse_events, args.show)]
     if args.name == "sales":
         # order_detail carries no time of its own: both sides take the
         # message time as event time
-        orders, _ = parse.order_infos(_topic(spark, args, ORDER_INFO_TOPIC))
-        details, _ = parse.order_details(_topic(spark, args, ORDER_DETAIL_TOPIC))
-        orders = orders.withColumn("order_ts", epoch_millis_to_ntz("received_ts"))
-        details = details.withColumn("detail_ts", epoch_millis_to_ntz("received_ts"))
-        users = read_dimension(spark, fmt=args.users_format, path=args.users)
-        import datetime
-        as_of = args.as_of or datetime.date.today().isoformat()   # ages as of today by default
-        return [jobs.start_sales(orders, details, users, args.out, args.checkpoint, as_of,
-                                 args.bound, trigger, args.lateness, args.lateness)]
+        messages = jobs.order_and_detail_messages(_topic(spark, args, ORDER_INFO_TOPIC),
+                                                  _topic(spark, args, ORDER_DETAIL_TOPIC))
+        if args.users_url:
+            lookup = jdbc_lookup(spark, {"url": args.users_url, "dbtable": args.users})
+        else:
+            lookup = jobs.dimension_lookup(lambda: read_dimension(spark, fmt=args.users_format, path=args.users))
+        return [jobs.start_sales(messages, args.out, args.checkpoint, lookup, args.as_of, args.bound, trigger)]
     if args.name == "router":
         feed = spark.readStream.schema(schemas.CHANGE_ENTRY).json(args.changes)
         return [jobs.start_change_router(feed, args.checkpoint, fmt, args.topics, args.bootstrap, trigger)]
     if args.name == "collector":
         raw = spark.readStream.format("text").load(args.raw) \
             .withColumn("received_ts", F.unix_millis(F.current_timestamp()))
-        return jobs.start_log_collector(raw, args.checkpoint, args.out, fmt, args.topics,
-                                        args.bootstrap, trigger)
+        return [jobs.start_log_collector(raw, args.checkpoint, args.out, fmt, args.topics, args.bootstrap, trigger)]
     raise ValueError(args.name)
 
 
+def run_compact(spark, args) -> None:
+    """Fold a job's batches into one day-partitioned table at ``--to``."""
+    from shoplens.streaming import jobs
+    read, day = {"dau": (jobs.read_dau, "log_date"), "orders": (jobs.read_orders, "create_date"),
+                 "sales": (jobs.read_sales, "dt")}[args.name]
+    read(spark, args.out).write.mode("errorifexists").partitionBy(day).parquet(args.to)
+
+
 def run_report(spark, args) -> list[dict]:
-    from pyspark.sql import functions as F
     from shoplens.operators import search
     from shoplens.plans import reports
-    from shoplens.sources.tables import read_serving_table
+    from shoplens.streaming import jobs
+
+    def table(path, read, day):
+        """A job's folder through the job's reader, or a compacted table."""
+        from pyspark.sql import functions as F
+        from shoplens.streaming import sinks
+        if sinks.has_batches(spark, path if day != "dt" else f"{path}/sales"):
+            return read(spark, path)
+        from shoplens.sources.tables import read_serving_table
+        return read_serving_table(spark, path).withColumn(day, F.col(day).cast("string"))
 
     def rows(df):
         return [r.asDict() for r in df.collect()]   # bounded answers only
 
     if args.name == "kpi":
-        dau = read_serving_table(spark, args.dau).withColumn("log_date", F.col("log_date").cast("string"))
-        orders = read_serving_table(spark, args.orders).withColumn(
-            "create_date", F.col("create_date").cast("string"))
+        dau, orders = table(args.dau, jobs.read_dau, "log_date"), table(args.orders, jobs.read_orders, "create_date")
         return rows(reports.kpi_panel_for_date(dau, orders, args.date))
     if args.name == "hourly":
-        src = args.dau if args.id == "dau" else args.orders
-        col = "log_date" if args.id == "dau" else "create_date"
-        table = read_serving_table(spark, src).withColumn(col, F.col(col).cast("string"))
-        return rows(reports.realtime_hour(args.id, table, args.date))
+        source = (table(args.dau, jobs.read_dau, "log_date") if args.id == "dau"
+                  else table(args.orders, jobs.read_orders, "create_date"))
+        return rows(reports.realtime_hour(args.id, source, args.date))
     if args.name == "search":
-        table = read_serving_table(spark, args.sales)
-        rep = search.sale_report(table, args.date, args.keyword, args.page, args.size,
+        if not 0 <= args.size <= MAX_PAGE:
+            raise ValueError(f"--size is at most {MAX_PAGE}: a page is printed by the driver")
+        rep = search.sale_report(table(args.sales, jobs.read_sales, "dt"), args.date, args.keyword, args.page, args.size,
                                  args.empty_keyword, materialize="checkpoint")
-        return [{"part": k, "rows": rows(v)} for k, v in rep.items()]
+        return [json.loads(r["answer"]) for r in rows(search.report_json(rep))]
     raise ValueError(args.name)
 
 
@@ -116,13 +130,20 @@ def parser() -> argparse.ArgumentParser:
     j.add_argument("--tz", default="UTC")
     j.add_argument("--window", default="5 minutes")
     j.add_argument("--slide", default="6 seconds")
-    j.add_argument("--lateness", default="30 minutes")
+    j.add_argument("--accounts", type=int, default=3)
+    j.add_argument("--throttle", default="1 minute")
+    j.add_argument("--show", type=int, default=0, help="also print so many alerts of each batch")
     j.add_argument("--bound", default="30 minutes")
     j.add_argument("--as-of", dest="as_of")
     j.add_argument("--users")
     j.add_argument("--users-format", default="parquet")
+    j.add_argument("--users-url", help="JDBC URL; --users is then the table, read by id ranges for each batch")
     j.add_argument("--changes", help="folder of change entries (router)")
     j.add_argument("--raw", help="folder of raw log lines (collector)")
+    c = sub.add_parser("compact")
+    c.add_argument("name", choices=["dau", "orders", "sales"])
+    c.add_argument("--out", required=True, help="the job's folder")
+    c.add_argument("--to", required=True, help="a new folder")
     r = sub.add_parser("report")
     r.add_argument("name", choices=["kpi", "hourly", "search"])
     r.add_argument("--date", required=True)
@@ -141,12 +162,15 @@ def main(argv: list[str] | None = None, spark=None) -> int:
     args = parser().parse_args(argv)
     if spark is None:
         from shoplens.config import build_session
-        spark = build_session(app=f"shoplens-{args.cmd}-{args.name}")
+        spark = build_session(app=f"shoplens-{args.cmd}-{args.name}", cluster=True)
     if args.cmd == "job":
         queries = run_job(spark, args)
         for q in queries:
             q.awaitTermination()
         return 0
+    if args.cmd == "compact":
+        run_compact(spark, args)
+        return 0
     for row in run_report(spark, args):
         print(json.dumps(row, ensure_ascii=False, default=str))
     return 0

@@ -306,7 +306,7 @@ SQL["stream_order_ingest"] = _with(("order_info",), "SELECT " + ", ".join(
 SQL["stream_order_redelivery"] = SQL["order_amount_total"]
 SQL["sale_report_json"] = _with(("matches", "bm25"), f"""
 SELECT (SELECT count(*) FROM matches) AS total,
-       (SELECT string_agg(order_detail_id, ',' ORDER BY score DESC, order_id, order_detail_id) FROM (
+       (SELECT coalesce(string_agg(order_detail_id, ',' ORDER BY score DESC, order_id, order_detail_id), '') FROM (
           SELECT score, order_id, order_detail_id FROM bm25 WHERE dt = '{R.SEARCH_DATE}' AND list_contains(tok, '{R.SEARCH_KEYWORD}')
           ORDER BY score DESC, order_id, order_detail_id LIMIT {R.SEARCH_SIZE})) AS detail_ids, title, name, value
 FROM (SELECT '用户性别占比' AS title, CASE WHEN user_gender = 'M' THEN '男' ELSE '女' END AS name, count(*) AS value

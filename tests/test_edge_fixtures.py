@@ -53,6 +53,15 @@ def test_rejects_for_malformed_and_missing(spark):
     assert reasons == ["malformed json", "missing: create_time", "null message"]
 
 
+def test_bad_values_are_rejects_or_null(spark):
+    line = '{"id":"1","order_id":"2","order_price":"%s"}'
+    rows, rejects = parse.order_details(spark.createDataFrame([(line % "1.25",), (line % "cheap",)], "value string"))
+    assert rows.count() == 1 and [r.reason for r in rejects.collect()] == ["bad order_price"]
+    users = spark.createDataFrame([("1", "1990-01-01"), ("2", "not-a-date"), ("3", None)], "id string, birthday string")
+    users = users.selectExpr("id", "'n' login_name", "'1' user_level", "birthday", "'M' gender")
+    assert [r.birthday is None for r in parse.typed_users(users).orderBy("id").collect()] == [False, True, True]
+
+
 def _orders(spark, rows):
     return spark.createDataFrame(rows, "id string, order_status string, create_time string, "
                                        "user_id string, order_ts timestamp_ntz")
@@ -84,7 +93,7 @@ def test_interval_bound_and_repeats(spark):
                          ("same", "1", "s", "x", "1", T0),
                          ("too_late", "1", "s", "x", "1", T0 + 31 * m),
                          ("same", "1", "s", "x", "1", T0)])
-    rows = sales.dedupe_sales(sales.sale_rows(sales.join_orders_details(o, d, "30 minutes")))
+    rows = sales.sale_rows(sales.join_orders_details(o, d, "30 minutes")).dropDuplicates(sales.SALE_KEY)
     got = sorted(r.order_detail_id for r in rows.collect())
     assert got == ["after", "before", "same"]
     full = sales.join_orders_details(o, d, "30 minutes", how="full")
@@ -103,7 +112,7 @@ def test_unknown_user_inner_vs_left(spark):
 
 
 def _events(spark, rows):
-    return spark.createDataFrame(rows, "mid string, uid string, event_name string, item_id string, "
+    return spark.createDataFrame(rows, "mid string, uid string, eventId string, itemId string, "
                                        "event_time timestamp_ntz")
 
 
@@ -115,7 +124,7 @@ def test_null_account_ignored_and_click_suppresses(spark):
                          ("m2", "u3", "coupon", "3", T0 + 2 * s),
                          ("m3", "u1", "coupon", "1", T0), ("m3", "u2", "coupon", "2", T0 + s),
                          ("m3", "u3", "coupon", "3", T0 + 2 * s), ("m3", "u4", "clickItem", "9", T0 + 3 * s)])
-    a = alerts.coupon_alerts(ev, "5 minutes", "6 seconds", 3)
+    a = alerts.coupon_alerts(alerts.pane_table(ev, "6 seconds"), "5 minutes", "6 seconds", 3)
     assert {r.mid for r in a.collect()} == {"m2"}
     # the reference's rule: one alert per device per minute, last window wins
     t = alerts.throttle_alerts(a, "1 minute").collect()
@@ -135,6 +144,7 @@ def test_log_routing_modes_and_server_ts(spark):
     assert [r.topic for r in by_field] == [EVENT_LOG_TOPIC, STARTUP_LOG_TOPIC]
     assert json.loads(by_field[1].value)["ts"] == 7
     assert json.loads(by_field[0].value)["area"] == "startup-park"
+    assert [r.raw for r in routing.stamp_logs(raw).where("value is null").collect()] == ["not json"]
     by_text = routing.route_logs(raw, mode="substring").collect()
     assert by_text[0].topic == STARTUP_LOG_TOPIC
 
@@ -196,6 +206,16 @@ def test_pages_concatenate(spark):
     assert pages == full
 
 
+def test_pages_by_key_concatenate(spark):
+    df = spark.range(23).select(F.col("id").cast("string").alias("order_id"),
+                                F.lit("x").alias("order_detail_id"), (F.col("id") % 3).cast("double").alias("score"))
+    full, last = [], None
+    while rows := search.page_after(df, last, 7).collect():
+        full += [r.order_id for r in rows]
+        last = (rows[-1].score, rows[-1].order_id, rows[-1].order_detail_id)
+    assert full == [r.order_id for r in df.orderBy(*search.ranked(df)).collect()]
+
+
 def test_sale_report_parts_agree(spark):
     from shoplens.plans import registry as R
     sf = "/root/testdata/sf0.01"

@@ -5,7 +5,6 @@ import tempfile
 from pyspark.sql import functions as F
 
 from parity import rows_of
-from shoplens.functions import parse
 from shoplens.plans import registry as R
 from shoplens.plans import reports
 from shoplens.sources import testdata as td
@@ -32,16 +31,14 @@ def test_logs_to_hourly_report(spark):
         part = days.where((F.col("_d") >= lo) & (F.col("_d") < hi)).drop("_d")
         part.coalesce(1).write.mode("append").parquet(f"{base}/raw")
     stream = spark.readStream.schema(raw.schema).option("maxFilesPerTrigger", "1").parquet(f"{base}/raw")
-    for q in jobs.start_log_collector(stream, f"{base}/ckpt-collect", f"{base}/archive",
-                                      fmt="files", path=f"{base}/topics", trigger=ONCE):
-        _run(q)
+    _run(jobs.start_log_collector(stream, f"{base}/ckpt-collect", f"{base}/archive",
+                                  fmt="files", path=f"{base}/topics", trigger=ONCE))
 
     startup_raw = topic_stream(spark, "startup_log_topic", fmt="files", path=f"{base}/topics",
                                options={"maxFilesPerTrigger": "1"})
-    startups, _rejects = parse.startup_logs(startup_raw, tz="UTC")
-    _run(jobs.start_dau_earliest(startups, f"{base}/dau", f"{base}/ckpt-dau", ONCE, lateness="40 days"))
+    _run(jobs.start_dau(startup_raw, f"{base}/dau", f"{base}/ckpt-dau", ONCE, keep="earliest"))
     dau_path = f"{base}/dau-table"
-    jobs.read_dau_earliest(spark, f"{base}/dau").write.partitionBy("log_date").parquet(dau_path)
+    jobs.read_dau(spark, f"{base}/dau").write.partitionBy("log_date").parquet(dau_path)
 
     day = R.DAU_DATE
     served = read_serving_table(spark, dau_path, "log_date", [day, "2024-01-14"])

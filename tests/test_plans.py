@@ -56,6 +56,29 @@ def test_search_statistics_are_one_subquery(spark):
     assert len(ids) == 1
 
 
+def test_alerts_read_the_events_once(spark):
+    """The branches of the alert read the stored panes."""
+    plan = _formatted(R.QUERIES["coupon_alerts"](spark, SF))
+    assert "events.parquet" not in plan and "panes" in plan
+
+
+@pytest.mark.parametrize("name", ["order_amount_for_date", "order_amount_empty_day", "kpi_panel_for_date", "kpi_panel_order_day",
+                                  "hourly_compare_amount", "sale_search_total", "sale_gender_stats", "sale_age_stats",
+                                  "sale_search_two_tokens"])
+def test_one_day_order_queries_push_the_day_to_the_scan(spark, name):
+    plan = _formatted(R.QUERIES[name](spark, SF))
+    pushed = re.findall(r"PushedFilters: \[([^\n]*)\]", plan)
+    assert any("GreaterThanOrEqual(o_orderdate," in p and "LessThan(o_orderdate," in p for p in pushed), pushed
+    if "amount" in name:
+        assert "customer" not in plan
+
+
+def test_search_page_reads_the_stored_table(spark):
+    plan = _formatted(R.QUERIES["sale_search_page"](spark, SF))
+    assert "Join" not in plan
+    assert any("EqualTo(dt," in p for p in re.findall(r"PushedFilters: \[([^\n]*)\]", plan))
+
+
 @pytest.mark.parametrize("name", ["dau_for_date", "hourly_compare_dau"])
 def test_one_day_reports_push_a_time_range_to_the_scan(spark, name):
     plan = _formatted(R.QUERIES[name](spark, SF))

@@ -96,16 +96,17 @@ def test_sliding_alerts_equal_brute_force(spark, rows):
     t0 = dt.datetime(2024, 1, 1)
     df = spark.createDataFrame(
         [(m, u, n, t0 + dt.timedelta(seconds=t)) for m, u, n, t in rows],
-        "mid string, uid string, event_name string, event_time timestamp_ntz")
+        "mid string, uid string, eventId string, event_time timestamp_ntz")
+    panes = alerts.pane_table(df, "2 minutes")
     want = _brute_force_windows(rows, 600, 120)
     got = {(r.mid, int((r.window_start - t0).total_seconds())): r
-           for r in alerts.alert_windows(df, "10 minutes", "2 minutes").collect()}
+           for r in alerts.alert_windows(panes, "10 minutes", "2 minutes").collect()}
     assert set(got) == set(want)
     for key, w in want.items():
         r = got[key]
         assert (r.coupon_accounts, r.n_events, r.clicked) == (len(w["accounts"]), w["n"], w["clicked"])
     alerting = {k for k, w in want.items() if len(w["accounts"]) >= 2 and not w["clicked"]}
     got_alerts = {(r.mid, int((r.window_start - t0).total_seconds())): r.n_events
-                  for r in alerts.coupon_alerts(df, "10 minutes", "2 minutes", 2).collect()}
+                  for r in alerts.coupon_alerts(panes, "10 minutes", "2 minutes", 2).collect()}
     assert set(got_alerts) == alerting
     assert all(got_alerts[k] == want[k]["n"] for k in alerting)

@@ -15,7 +15,8 @@ SF = "/root/testdata/sf0.01"
 def test_alerts_with_a_hot_device(spark, duck_parity):
     hot = F.when(F.col("event_id") % 3 == 0, F.lit("mid_hot")).otherwise(F.col("mid"))
     ev = td.event_log(spark, SF).withColumn("mid", hot)
-    got = alerts.coupon_alerts(ev, R.ALERT_LENGTH, R.ALERT_SLIDE, R.ALERT_MIN_ACCOUNTS).select(
+    panes = alerts.pane_table(ev, R.ALERT_SLIDE)
+    got = alerts.coupon_alerts(panes, R.ALERT_LENGTH, R.ALERT_SLIDE, R.ALERT_MIN_ACCOUNTS).select(
         "mid", "window_start", "window_end", "coupon_accounts", "n_events")
     sql = oracle.SQL["coupon_alerts"].replace(
         "'mid_' || CAST(user_id % 25 AS VARCHAR) AS mid",
@@ -25,7 +26,7 @@ def test_alerts_with_a_hot_device(spark, duck_parity):
     assert not problems, problems
     # the hot device always has a click in its windows, so it never alerts;
     # its windows still aggregate a third of the events, exactly
-    w = alerts.alert_windows(ev, R.ALERT_LENGTH, R.ALERT_SLIDE).where("mid = 'mid_hot'")
+    w = alerts.alert_windows(panes, R.ALERT_LENGTH, R.ALERT_SLIDE).where("mid = 'mid_hot'")
     sql_w = oracle.SQL["coupon_alert_windows"].replace(
         "'mid_' || CAST(user_id % 25 AS VARCHAR) AS mid",
         "CASE WHEN event_id % 3 = 0 THEN 'mid_hot' ELSE 'mid_' || CAST(user_id % 25 AS VARCHAR) END AS mid")

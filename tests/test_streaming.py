@@ -2,34 +2,20 @@
 
 import tempfile
 
-import duckdb
 import pytest
 from pyspark.sql import functions as F
 
 from parity import rows_of
+from shoplens import schemas
 from shoplens.functions import parse
 from shoplens.operators import alerts, sales
 from shoplens.sources import testdata as td
 from shoplens.streaming import jobs, sinks
-from shoplens.streaming.sources import table_stream
 
 SF = "/root/testdata/sf0.01"
 ONCE = {"availableNow": True}
 
 
-def _chunks(dst, table, ts_col, bounds, start=0):
-    con = duckdb.connect()
-    for i, (lo, hi) in enumerate(zip(bounds[:-1], bounds[1:])):
-        if i < start:
-            continue
-        con.sql(f"COPY (SELECT * FROM '{SF}/{table}.parquet' WHERE {ts_col} >= TIMESTAMP '{lo}' "
-                f"AND {ts_col} < TIMESTAMP '{hi}' ORDER BY {ts_col}) TO '{dst}/{table}-{i:02d}.parquet' "
-                f"(FORMAT PARQUET)")
-
-
-EVENT_BOUNDS = ["2024-01-01", "2024-01-08", "2024-01-15", "2024-01-22", "2024-02-01"]
-
-
 def _run(q):
     q.awaitTermination()
     assert q.exception() is None, q.exception()
@@ -41,69 +27,128 @@ def _alert_rows(df):
     return rows_of(cols, [tuple(r) for r in out.collect()])
 
 
+def _dealt(spark, messages, path, files, start=0):
+    """Messages dealt by hash over files, in no order of time; from ``start`` on."""
+    part = F.pmod(F.xxhash64("value"), F.lit(files))
+    for i in range(start, files):
+        messages.where(part == i).coalesce(1).write.mode("append").parquet(path)
+
+
+def _stream(spark, path, schema):
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", "1").parquet(path)
+
+
 def test_alert_stream_equals_batch_with_restart(spark):
-    src = tempfile.mkdtemp(prefix="ev-src-")
     out = tempfile.mkdtemp(prefix="ev-out-")
-    schema = spark.read.parquet(f"{SF}/events.parquet").schema
-    _chunks(src, "events", "ts", EVENT_BOUNDS[:3])
+    messages = td.event_messages(spark, SF)
+    part = F.pmod(F.xxhash64("value"), F.lit(4))
 
     def start():
-        ev = td.event_log_from(table_stream(spark, src, "events", schema, max_files_per_trigger=1))
-        return jobs.start_alerts(ev, f"{out}/data", f"{out}/ckpt", "6 hours", "1 hour", trigger=ONCE)
+        return jobs.start_alerts(_stream(spark, f"{out}/in", messages.schema), f"{out}/data", f"{out}/ckpt",
+                                 "6 hours", "1 hour", 3, "1 day", ONCE)
 
+    messages.where(part < 2).repartition(2).write.parquet(f"{out}/in")
     _run(start())
-    first_batches = spark.read.parquet(f"{out}/data").select("batch_id").distinct().count()
-    assert first_batches >= 2
-    _chunks(src, "events", "ts", EVENT_BOUNDS, start=2)   # more data arrives; restart from checkpoint
-    _run(start())
-    streamed = jobs.read_alerts(spark, f"{out}/data", 3).select(
-        "mid", "window_start", F.col("window_end_ntz").alias("window_end"), "coupon_accounts", "n_events")
-    batch = alerts.coupon_alerts(td.event_log(spark, SF), "6 hours", "1 hour", 3)
+    messages.where(part >= 2).repartition(2).write.mode("append").parquet(f"{out}/in")
+    _run(start())   # more data arrives; restart from checkpoint
+    streamed = jobs.read_alerts(spark, f"{out}/data")
+    batch = alerts.coupon_alerts(alerts.pane_table(td.event_log(spark, SF), "1 hour"), "6 hours", "1 hour", 3)
     assert _alert_rows(streamed) == _alert_rows(batch)
     assert streamed.count() == 152
 
 
-def test_dau_stream_keys_equal_batch(spark):
-    src = tempfile.mkdtemp(prefix="dau-src-")
+def test_replayed_batch_changes_nothing(spark):
+    """A batch run again (as after a failure) sees what it saw the first time."""
+    out = tempfile.mkdtemp(prefix="replay-")
+    messages = td.startup_messages(spark, "/root/testdata/sf0.001")
+    messages.repartition(3).write.parquet(f"{out}/in")
+
+    def start():
+        return jobs.start_dau(_stream(spark, f"{out}/in", messages.schema), f"{out}/data", f"{out}/ckpt", ONCE, keep="earliest")
+
+    _run(start())
+    first = rows_of(["mid", "ts"], [tuple(r) for r in jobs.read_dau(spark, f"{out}/data").select("mid", "ts").collect()])
+    import os
+    last = max(int(f) for f in os.listdir(f"{out}/ckpt/commits") if f.isdigit())
+    os.remove(f"{out}/ckpt/commits/{last}")
+    crc = f"{out}/ckpt/commits/.{last}.crc"
+    if os.path.exists(crc):
+        os.remove(crc)
+    _run(start())
+    again = rows_of(["mid", "ts"], [tuple(r) for r in jobs.read_dau(spark, f"{out}/data").select("mid", "ts").collect()])
+    assert first == again
+
+
+def test_dau_keeps_first_arrivals_and_writes_eleven_columns(spark):
     out = tempfile.mkdtemp(prefix="dau-out-")
-    schema = spark.read.parquet(f"{SF}/events.parquet").schema
-    _chunks(src, "events", "ts", EVENT_BOUNDS)
-    st = td.startup_log_from(table_stream(spark, src, "events", schema, max_files_per_trigger=1))
-    _run(jobs.start_dau(st, f"{out}/data", f"{out}/ckpt", ONCE))
+    messages = td.startup_messages(spark, SF)
+    _dealt(spark, messages, f"{out}/in", 4)
+    bad = spark.createDataFrame([("{broken", 0), ('{"mid":"m"}', 0)], messages.schema)
+    bad.coalesce(1).write.mode("append").parquet(f"{out}/in")
+    _run(jobs.start_dau(_stream(spark, f"{out}/in", messages.schema), f"{out}/data", f"{out}/ckpt", ONCE))
     got = spark.read.parquet(f"{out}/data")
-    assert got.select("batch_id").distinct().count() == 4
-    keys = got.select("log_date", "mid")
-    assert keys.count() == keys.distinct().count() == 4006
+    assert sorted(set(got.columns) - {"batch_id"}) == sorted(c.upper() for c in schemas.DAU_TABLE)
+    assert got.count() == got.select("LOG_DATE", "MID").distinct().count() == 4006
+    assert spark.read.parquet(f"{out}/data_rejects").count() == 2
+
+
+def _sale_messages(spark):
+    return jobs.order_and_detail_messages(td.order_messages(spark, SF), td.detail_messages(spark, SF))
 
 
 def test_sale_stream_equals_batch(spark):
-    src = tempfile.mkdtemp(prefix="sale-src-")
     out = tempfile.mkdtemp(prefix="sale-out-")
-    bounds = ["1990-01-01", "1996-06-01", "1998-01-01", "1999-06-01", "2003-01-01"]
-    _chunks(src, "orders", "o_orderdate", bounds)
-    _chunks(src, "lineitem", "l_shipdate", bounds)
-    o_schema = spark.read.parquet(f"{SF}/orders.parquet").schema
-    l_schema = spark.read.parquet(f"{SF}/lineitem.parquet").schema
-    orders = parse.ingest_orders(td.raw_order_info_from(
-        table_stream(spark, src, "orders", o_schema, 1), td.table(spark, SF, "customer")))
-    details = td.order_detail_from(table_stream(spark, src, "lineitem", l_schema, 1), td.table(spark, SF, "part"))
-    users = td.user_info(spark, SF)
-    # lines ship up to the bound after their order, so lateness covers the bound
-    q = jobs.start_sales(orders, details, users, f"{out}/data", f"{out}/ckpt", "2020-08-25",
-                         bound="30 days", trigger=ONCE, order_lateness="31 days",
-                         detail_lateness="31 days")
-    _run(q)
-    assert spark.read.parquet(f"{out}/data").select("batch_id").distinct().count() >= 2
+    messages = _sale_messages(spark)
+    _dealt(spark, messages, f"{out}/in", 4)
+    lookup = jobs.dimension_lookup(lambda: td.user_info(spark, SF))
+    _run(jobs.start_sales(_stream(spark, f"{out}/in", messages.schema), f"{out}/data", f"{out}/ckpt", lookup, "2020-08-25",
+                          bound="30 days", trigger=ONCE))
     streamed = jobs.read_sales(spark, f"{out}/data")
     batch = sales.sale_wide(parse.ingest_orders(td.raw_order_info(spark, SF)), td.order_detail(spark, SF),
-                            users, "2020-08-25", bound="30 days")
+                            td.user_info(spark, SF), "2020-08-25", bound="30 days")
     cols = batch.columns
     s_rows = rows_of(cols, [tuple(r) for r in streamed.select(*cols).collect()])
-    b_rows = rows_of(cols, [tuple(r) for r in batch.collect()])
-    assert s_rows == b_rows
+    assert s_rows == rows_of(cols, [tuple(r) for r in batch.collect()])
     assert len(s_rows) == 1450
 
 
+def test_user_who_appears_later_is_found(spark):
+    """The dimension is read for each batch; a pair whose user is unknown waits."""
+    out = tempfile.mkdtemp(prefix="fresh-")
+    order = ('{"id":"%s","consignee":"Wang","total_amount":"9.90","create_time":"2020-08-19 00:08:13","user_id":"%s"}')
+    line = '{"id":"%s","order_id":"%s","order_price":"4.50","sku_name":"x"}'
+    schema = "kind string, value string, received_ts long"
+    users = [("7", "u7", "1", "1990-01-01", "M")]
+    fields = "id string, login_name string, user_level string, birthday string, gender string"
+    lookup = jobs.dimension_lookup(lambda: parse.typed_users(spark.createDataFrame(users, fields)))
+
+    def deliver(rows):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(f"{out}/in")
+        _run(jobs.start_sales(_stream(spark, f"{out}/in", schema), f"{out}/data", f"{out}/ckpt", lookup, trigger=ONCE))
+        return sorted((r.order_id, r.user_gender) for r in jobs.read_sales(spark, f"{out}/data").collect())
+
+    minute = 60_000
+    assert deliver([("order", order % (1, 7), 0), ("detail", line % (1, 1), minute), ("order", order % (2, 8), 0),
+                    ("detail", line % (2, 2), minute), ("detail", line % (3, 3), minute)]) == [("1", "M")]
+    users.append(("8", "u8", "1", "not-a-date", "F"))
+    assert deliver([("order", order % (3, 8), 2 * minute), ("detail", line % (4, 1), 100 * minute),
+                    ("detail", '{"id":"9","order_id":"1","order_price":"cheap"}', 0)]) == [("1", "M"), ("2", "F"), ("3", "F")]
+    assert spark.read.parquet(f"{out}/data/rejects").count() == 1
+
+
+def test_hot_device_and_order(spark):
+    """A third of the rows under one key: one row a task and batch for the device; the order's
+    pairs are all found."""
+    out = tempfile.mkdtemp(prefix="hot-")
+    n = 9000
+    startups = spark.range(n).select(F.to_json(F.struct(
+        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("mid"),
+        (F.col("id") * 1000).alias("ts"))).alias("value"), F.col("id").alias("received_ts"))
+    _dealt(spark, startups, f"{out}/in", 3)
+    _run(jobs.start_dau(_stream(spark, f"{out}/in", startups.schema), f"{out}/dau", f"{out}/ckpt", ONCE))
+    assert jobs.read_dau(spark, f"{out}/dau").count() == n - n // 3 + 1
+
+
 def test_keyed_sink_replay_is_idempotent(spark):
     out = tempfile.mkdtemp(prefix="keyed-")
     w = sinks.batch_writer(out)
@@ -117,23 +162,8 @@ def test_keyed_sink_replay_is_idempotent(spark):
     assert sinks.read_batches(spark, out).count() == 3
 
 
-def test_sale_stream_with_per_batch_user_lookup(spark):
+def test_lookup_by_ids(spark):
     from shoplens.sources.tables import lookup_by_ids
-    src = tempfile.mkdtemp(prefix="sale2-src-")
-    out = tempfile.mkdtemp(prefix="sale2-out-")
-    bounds = ["1990-01-01", "1997-01-01", "2003-01-01"]
-    _chunks(src, "orders", "o_orderdate", bounds)
-    _chunks(src, "lineitem", "l_shipdate", bounds)
-    o_schema = spark.read.parquet(f"{SF}/orders.parquet").schema
-    l_schema = spark.read.parquet(f"{SF}/lineitem.parquet").schema
-    orders = parse.ingest_orders(td.raw_order_info_from(
-        table_stream(spark, src, "orders", o_schema, 1), td.table(spark, SF, "customer")))
-    details = td.order_detail_from(table_stream(spark, src, "lineitem", l_schema, 1), td.table(spark, SF, "part"))
-    q = jobs.start_sales_fresh_users(orders, details, lambda: td.user_info(spark, SF), f"{out}/data",
-                                     f"{out}/ckpt", "2020-08-25", bound="30 days", trigger=ONCE,
-                                     order_lateness="31 days", detail_lateness="31 days")
-    _run(q)
-    assert jobs.read_sales(spark, f"{out}/data").count() == 1450
     ids = spark.createDataFrame([("1",), ("1",), ("999999",)], "user_id string")
     assert lookup_by_ids(td.user_info(spark, SF), ids).count() == 1
 
@@ -172,11 +202,10 @@ def test_log_collector_routes_and_archives(spark):
     raw = td.raw_logs(spark, "/root/testdata/sf0.001").select("value", "received_ts")
     raw.write.mode("overwrite").parquet(f"{src}/raw")
     stream = spark.readStream.schema(raw.schema).parquet(f"{src}/raw")
-    qs = jobs.start_log_collector(stream, f"{out}/ckpt", f"{out}/archive", fmt="files",
-                                  path=f"{out}/topics", trigger=ONCE)
-    for q in qs:
-        _run(q)
-    topics = spark.read.text(f"{out}/topics")
+    _run(jobs.start_log_collector(stream, f"{out}/ckpt", f"{out}/archive", fmt="files",
+                                  path=f"{out}/topics", trigger=ONCE))
+    topics = spark.read.option("recursiveFileLookup", "true").text(f"{out}/topics").withColumn(
+        "topic", F.regexp_extract(F.input_file_name(), "topic=([^/]+)", 1))
     n = raw.count()
     assert topics.count() == n
     by_topic = {r.topic: r["count"] for r in topics.groupBy("topic").count().collect()}
@@ -196,21 +225,37 @@ def test_order_ingest_stream_splits_rejects(spark):
     spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1).write.mode("overwrite").text(src)
     stream = spark.readStream.format("text").load(src)
     _run(jobs.start_orders(stream, f"{out}/orders", f"{out}/rejects", f"{out}/ckpt", ONCE))
-    rows = spark.read.parquet(f"{out}/orders").collect()
+    rows = jobs.read_orders(spark, f"{out}/orders").collect()
     assert [(r.id, r.consignee, r.consignee_tel, r.create_date, r.create_hour) for r in rows] == \
         [("1", "W**", "138****5678", "2020-08-19", "00")]
-    assert spark.read.parquet(f"{out}/rejects").count() == 2
-
-
-def test_alert_job_with_console_consumer(spark, capsys):
-    src = tempfile.mkdtemp(prefix="evc-src-")
+    reasons = sorted(r.reason for r in spark.read.parquet(f"{out}/rejects").collect())
+    assert reasons == ["bad create_time", "bad total_amount", "malformed json", "missing: create_time"]
+
+
+def test_collector_keeps_lines_as_they_are(spark):
+    """Nested values survive, a repeated key or broken line becomes a reject, archive and topic agree."""
+    out = tempfile.mkdtemp(prefix="stamp-")
+    lines = ['{"logType":"startup","o":{"a":[1,"x"],"ts":5}}', '{"a":1,"a":2}', "{broken", '{"logType":"event","ts":7,"n":{"k":1}}', '{}']
+    spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1).write.text(f"{out}/raw")
+    raw = spark.readStream.format("text").load(f"{out}/raw").withColumn("received_ts", F.unix_millis(F.current_timestamp()))
+    _run(jobs.start_log_collector(raw, f"{out}/ckpt", f"{out}/archive", fmt="files", path=f"{out}/topics", trigger=ONCE))
+    read = lambda p: sorted(r.value for r in spark.read.option("recursiveFileLookup", "true").text(p).collect())
+    assert read(f"{out}/topics") == read(f"{out}/archive") and len(read(f"{out}/topics")) == 3
+    import json
+    kept = [json.loads(x) for x in read(f"{out}/topics")]
+    assert all(k["ts"] > 10**12 for k in kept)
+    assert {"logType": "startup", "o": {"a": [1, "x"], "ts": 5}} in [{k: v for k, v in x.items() if k != "ts"} for x in kept]
+    assert sorted(r.raw for r in spark.read.parquet(f"{out}/archive_rejects").collect()) == sorted(lines[1:3])
+
+
+def test_alert_job_prints_alerts(spark, capfd):
     out = tempfile.mkdtemp(prefix="evc-out-")
-    schema = spark.read.parquet(f"{SF}/events.parquet").schema
-    _chunks(src, "events", "ts", EVENT_BOUNDS[:2])
-    ev = td.event_log_from(table_stream(spark, src, "events", schema))
-    _run(jobs.start_alerts_with_console(ev, f"{out}/data", f"{out}/ckpt", "6 hours", "1 hour",
-                                        rows=5, trigger=ONCE))
-    assert jobs.read_alerts(spark, f"{out}/data", 3).count() > 0
+    messages = td.event_messages(spark, SF)
+    messages.coalesce(1).write.parquet(f"{out}/in")
+    _run(jobs.start_alerts(_stream(spark, f"{out}/in", messages.schema), f"{out}/data", f"{out}/ckpt", "6 hours", "1 hour",
+                           trigger=ONCE, show=5))
+    assert jobs.read_alerts(spark, f"{out}/data").count() == 152
+    assert "window_start" in capfd.readouterr().out
 
 
 def test_compaction_and_generated_ids(spark):
