@@ -40,18 +40,23 @@ CLUSTER_DEFAULTS = {
 def build_session(master: str | None = None, app: str = "shoplens",
                   shuffle_partitions: int | None = None,
                   extra: dict[str, str] | None = None, cluster: bool = False) -> SparkSession:
-    """``cluster`` adds ``CLUSTER_DEFAULTS``; settings of spark-submit's --conf
-    and spark-defaults.conf that ``extra`` does not name still hold otherwise."""
+    """``cluster``: on a master that is not local, ``CLUSTER_DEFAULTS`` hold for
+    what the submitted configuration leaves open."""
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    for key, value in (SESSION_DEFAULTS | (CLUSTER_DEFAULTS if cluster else {})).items():
+    for key, value in SESSION_DEFAULTS.items():
         builder = builder.config(key, value)
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     for key, value in (extra or {}).items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
+    if cluster and not spark.sparkContext.master.startswith("local"):
+        given = spark.sparkContext.getConf()
+        for key, value in CLUSTER_DEFAULTS.items():
+            if not given.contains(key):
+                spark.conf.set(key, value)
     spark.sparkContext.setLogLevel("ERROR")
     return spark
 
