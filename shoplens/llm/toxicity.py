@@ -1,9 +1,9 @@
 """Toxicity scores from a learned lexicon, misspellings included.
 
-Learning. From a bounded sample of labelled rows one half gives the lexicon: words and stems
-(prefixes) that occur in far more toxic than clean documents, judged by the lower confidence limit
-of their share. The other half fits a logistic model on what the lexicon finds in a document, so
-terms that fitted the first half by chance get no credit.
+Learning. A bounded sample of labelled rows gives the lexicon: words and stems (prefixes) that
+occur in far more toxic than clean documents, judged by the lower confidence limit of their
+share. A logistic model is fitted on what a lexicon finds in a document, where that lexicon was
+learned from the other half of the sample, so terms that fit by chance get no credit.
 
 Scoring. Each document's words are looked up in the lexicon's trie. A Levenshtein automaton for
 the word, run along the trie, finds terms one edit away; letters written as digits or signs are
@@ -136,11 +136,12 @@ class Finder:
         return found
 
     def features(self, text: str | None) -> list[float]:
-        """log(1 + evidence) of plain exact, plain near, and quoted hits; and per 100 words."""
+        """log(1 + evidence) of plain exact, plain near, and quoted hits; and of exact ones per 100
+        different words. Each different word counts once, so repetition changes nothing."""
         low = (text or "").lower()
-        tokens = low.split()
+        tokens = sorted(set(low.split()))
         exact = near = quote = 0.0
-        for token in sorted(set(tokens)):
+        for token in tokens:
             found = self.look(token)
             if found:
                 if quoted(low, low.find(token)):
@@ -176,18 +177,19 @@ def _without_copies(rows: DataFrame) -> DataFrame:
 
 
 def _count(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(toxic, text) to (term, stem, pos, neg): documents per term, added up within the task."""
-    pos, neg = Counter(), Counter()
-    for labels, texts in batches(it, ["toxic", "text"], SLICE_CHARS):
-        for label, text in zip(labels, texts):
+    """(half, toxic, text) to (term, pos0, neg0, pos1, neg1): documents per term and half, added up
+    within the task."""
+    found = [Counter() for _ in range(4)]
+    for halves, labels, texts in batches(it, ["half", "toxic", "text"], SLICE_CHARS):
+        for half, label, text in zip(halves, labels, texts):
             words = {plain(t) for t in set((text or "").lower().split())}
             stems = {w[:k] + "*" for w in words for k in STEMS if k < len(w)}
-            (pos if label else neg).update(words | stems)
-    terms = sorted(set(pos) | set(neg))
+            found[2 * half + (0 if label else 1)].update(words | stems)
+    terms = sorted(set().union(*found))
     for at in range(0, len(terms), 50_000):
         t = terms[at:at + 50_000]
-        yield pa.RecordBatch.from_arrays([pa.array(t), pa.array([pos[x] for x in t], pa.int64()), pa.array([neg[x] for x in t], pa.int64())],
-                                         names=["term", "pos", "neg"])
+        yield pa.RecordBatch.from_arrays([pa.array(t, pa.string()), *(pa.array([c[x] for x in t], pa.int64()) for c in found)],
+                                         names=["term", "pos0", "neg0", "pos1", "neg1"])
 
 
 def _near_words(lexicon: Lexicon):
@@ -230,7 +232,7 @@ def choose_terms(counts: list[tuple[str, int, int]], n_pos: int, n_neg: int) ->
     and a term under a kept stem is dropped."""
     weight = {t: math.log((p + 0.5) / (n_pos + 1)) - math.log((n + 0.5) / (n_neg + 1)) for t, p, n in counts}
     pos = {t: p for t, p, _ in counts}
-    good = sorted((t for t, p, n in counts if _share_limit(p, n) >= SHARE_LIMIT and weight[t] > 2), key=lambda t: (len(t), t))
+    good = sorted((t for t, p, n in counts if p and _share_limit(p, n) >= SHARE_LIMIT and weight[t] > 2), key=lambda t: (len(t), t))
     best = Counter()
     for t in good:
         if not t.endswith("*"):
@@ -277,34 +279,38 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
           label_col: str = "toxic", max_labelled: int = MAX_LABELLED, max_terms: int = MAX_TERMS) -> Model:
     """Fit on at most ``max_labelled`` labelled rows, those of smallest hash of the id. Rows
     labelled more than once count as toxic if any label says so; null labels and ids are left
-    out. Without toxic or without clean rows the model scores 0."""
+    out. Without toxic or without clean rows in either half the model scores 0."""
     known = labels.filter(F.col(label_col).isNotNull() & F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("__id")).agg(
         F.max(F.col(label_col).cast("int")).alias("toxic"))
     sample = known.withColumn("__h", F.xxhash64("__id")).orderBy("__h", "__id").limit(max_labelled)
     # max_labelled rows of two numbers at most
     rows = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("text")).join(F.broadcast(sample), "__id")
     rows = _without_copies(rows.select(F.col("__id").cast("string").alias("id"), "toxic", "text"))
-    rows = materialize(rows.select("toxic", "text", (F.pmod(F.xxhash64("id", F.lit(7)), F.lit(2)) == 0).alias("first")))
-    one, two = rows.filter("first").select("toxic", "text"), rows.filter("not first").select("toxic", "text")
-    sizes = {r[0]: r[1] for r in one.groupBy("toxic").count().collect()}
-    n_pos, n_neg = sizes.get(1, 0), sizes.get(0, 0)
-    if not n_pos or not n_neg:
+    rows = materialize(rows.select("toxic", "text", F.pmod(F.xxhash64("id", F.lit(7)), F.lit(2)).cast("int").alias("half")))
+    sizes = {(r["half"], r["toxic"]): r["count"] for r in rows.groupBy("half", "toxic").count().collect()}
+    columns = ["pos0", "neg0", "pos1", "neg1"]
+    counts = rows.mapInArrow(_count, "term string, " + ", ".join(f"{c} long" for c in columns)).filter("term <> ''").groupBy("term").agg(
+        *[F.sum(c).alias(c) for c in columns]).filter("pos0 + pos1 >= 4 and pos0 + pos1 > neg0 + neg1")
+    # the terms that tell most: at most 4 * max_terms, whatever the vocabulary
+    top = [tuple(r) for r in counts.orderBy(F.expr("neg0 + neg1 - pos0 - pos1"), "term").limit(4 * max_terms).collect()]
+
+    def learn(halves: tuple[int, ...]) -> Lexicon:
+        n_pos, n_neg = (sum(sizes.get((h, y), 0) for h in halves) for y in (1, 0))
+        sums = [(t, sum(c[2 * h] for h in halves), sum(c[2 * h + 1] for h in halves)) for t, *c in top]
+        words, stems = choose_terms([x for x in sums if x[1]], n_pos, n_neg)
+        keep = set(sorted([*words, *stems], key=lambda t: -(words.get(t) or stems.get(t)))[:max_terms])
+        lexicon = Lexicon({w: v for w, v in words.items() if w in keep}, {s: v for s, v in stems.items() if s in keep})
+        seen = rows.filter(F.col("half").isin(list(halves))).mapInArrow(_near_words(lexicon), "term string, pos long, neg long")
+        # words of clean documents that happen to be one edit from a term; bounded as the sample is
+        lexicon.innocent = {r[0] for r in seen.groupBy("term").agg(F.sum("neg").alias("neg")).filter("neg > 0").select("term").collect()}
+        return lexicon
+
+    if not all(sizes.get((h, y)) for h in (0, 1) for y in (0, 1)):
         return Model(Lexicon({}, {}), None)
-    counts = one.mapInArrow(_count, "term string, pos long, neg long").filter("term <> ''").groupBy("term").agg(
-        F.sum("pos").alias("pos"), F.sum("neg").alias("neg")).filter("pos >= 4 and pos > neg")
-    # the terms that tell most: at most max_terms, whatever the vocabulary
-    top = counts.orderBy((F.col("pos") - F.col("neg")).desc(), "term").limit(4 * max_terms).collect()
-    words, stems = choose_terms([tuple(r) for r in top], n_pos, n_neg)
-    keep = set(sorted([*words, *stems], key=lambda t: -(words.get(t) or stems.get(t)))[:max_terms])
-    lexicon = Lexicon({w: v for w, v in words.items() if w in keep}, {s: v for s, v in stems.items() if s in keep})
-    near = one.mapInArrow(_near_words(lexicon), "term string, pos long, neg long").groupBy("term").agg(
-        F.sum("pos").alias("pos"), F.sum("neg").alias("neg")).filter("neg > 0").select("term").collect()
-    lexicon.innocent = {r[0] for r in near}
-    fit = two.mapInArrow(_features(lexicon), "toxic long, x array<double>").collect()
-    y = np.array([r[0] for r in fit], float)
-    if not len(y) or y.min() == y.max():
-        return Model(Lexicon({}, {}), None)
-    return Model(lexicon, _fit(np.array([r[1] for r in fit], float), y).tolist())
+    fit = [r for half in (0, 1) for r in rows.filter(F.col("half") != half).mapInArrow(
+        _features(learn((half,))), "toxic long, x array<double>").collect()]  # max_labelled rows of five numbers at most
+    beta = _fit(np.array([r[1] for r in fit], float), np.array([r[0] for r in fit], float))
+    return Model(learn((0, 1)), beta.tolist())
 
 
 def _score(model: Model, text_col: str):

@@ -158,7 +158,18 @@ def test_held_out_accuracy(spark):
 
 def test_hard_rows(spark, make):
     bad = "you are an idiot and a moron, worthless trash"
-    rows = [(i, f"{bad} number{i * 7919}") for i in range(60)] + [(100 + i, f"calm words about plant{i * 104729} and sea{i}") for i in range(60)]
+    rng = random.Random(9)
+
+    def prose():
+        return [f"word{rng.randrange(3000)}" for _ in range(40)]
+
+    rows = []
+    for i in range(160):
+        w = prose()
+        if i < 80:
+            for insult in rng.sample(["idiot", "moron", "worthless", "trash"], 3):
+                w.insert(rng.randrange(len(w)), insult)
+        rows.append((i if i < 80 else 100 + i, " ".join(w)))
     labels = spark.createDataFrame([(i, 1 if i < 100 else 0) for i, _ in rows] + [(None, 1), (5, 0), (7, None)], "doc_id long, toxic int")
     model = T.train(make(rows), labels)
     docs = [(1, None), (2, ""), (3, "an 1d1ot"), (4, "what an idiott and morron"), (5, bad * 5000), (None, bad), (6, "sea " * 60_000)]
