@@ -1,8 +1,9 @@
 """Serving tables and the user dimension.
 
-The jobs write each batch partitioned by day (``LOG_DATE`` for DAU,
-``CREATE_DATE`` for orders, ``dt`` for sales), so a report for one day reads
-that day's folders: the date predicate prunes partitions at planning time.
+The jobs write each batch sorted by day; the launcher's ``compact`` folds a job's
+batches into a table partitioned by day (``log_date`` for DAU, ``create_date``
+for orders, ``dt`` for sales), so a report for one day reads one partition: the
+date predicate prunes partitions at planning time.
 """
 
 from __future__ import annotations

@@ -37,6 +37,12 @@ def _days(df: DataFrame, col: str) -> list:
     return [r[0] for r in df.select(col).distinct().collect()]
 
 
+def _write_by_day(df: DataFrame, day: str, path: str) -> None:
+    """One folder per batch, rows in order of day: a backfill over years writes as few files as
+    a batch of one day, and day filters still skip row groups by their statistics."""
+    df.sortWithinPartitions(day).write.mode("overwrite").parquet(path)
+
+
 def _write_rejects(rejects: DataFrame, path: str, batch_id: int) -> None:
     rejects.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
@@ -72,9 +78,8 @@ def start_dau(raw: DataFrame, path: str, checkpoint: str, trigger: dict | None =
                 out = joined.where(new | (F.col("ts") < F.col("_ts")) if keep == "earliest" else new).drop("_ts")
             else:
                 out = first
-            # one folder per day: a report or the next batch reads its days only
             upper = out.select(*[F.col(c).alias(c.upper()) for c in schemas.DAU_TABLE])
-            upper.write.mode("overwrite").partitionBy("LOG_DATE").parquet(f"{path}/batch_id={batch_id}")
+            _write_by_day(upper, "LOG_DATE", f"{path}/batch_id={batch_id}")
             first.unpersist()
         finally:
             batch.unpersist()
@@ -83,8 +88,7 @@ def start_dau(raw: DataFrame, path: str, checkpoint: str, trigger: dict | None =
 
 def read_dau(spark: SparkSession, path: str) -> DataFrame:
     """The DAU table with lower-case names, one row per (date, device)."""
-    t = sinks.read_batches(spark, path).withColumn("LOG_DATE", F.col("LOG_DATE").cast("string"))
-    t = t.select(*[F.col(c.upper()).alias(c) for c in schemas.DAU_TABLE])
+    t = sinks.read_batches(spark, path).select(*[F.col(c.upper()).alias(c) for c in schemas.DAU_TABLE])
     return keep_first(t, dau_ops.DAU_KEYS, ["ts"])
 
 
@@ -101,7 +105,7 @@ def start_orders(raw_orders: DataFrame, path: str, rejects_path: str, checkpoint
             rows, rejects = parse.order_infos(batch)
             rows = keep_last(rows.select(*schemas.ORDER_TABLE), ["id"], ["operate_time", "create_time"])
             upper = rows.select(*[F.col(c).alias(c.upper()) for c in schemas.ORDER_TABLE])
-            upper.write.mode("overwrite").partitionBy("CREATE_DATE").parquet(f"{path}/batch_id={batch_id}")
+            _write_by_day(upper, "CREATE_DATE", f"{path}/batch_id={batch_id}")
             _write_rejects(rejects, rejects_path, batch_id)
         finally:
             batch.unpersist()
@@ -110,8 +114,7 @@ def start_orders(raw_orders: DataFrame, path: str, rejects_path: str, checkpoint
 
 def read_orders(spark: SparkSession, path: str) -> DataFrame:
     """The order table with lower-case names: the latest row of each id."""
-    t = sinks.read_batches(spark, path).withColumn("CREATE_DATE", F.col("CREATE_DATE").cast("string"))
-    t = t.select("batch_id", *[F.col(c.upper()).alias(c) for c in schemas.ORDER_TABLE])
+    t = sinks.read_batches(spark, path).select("batch_id", *[F.col(c.upper()).alias(c) for c in schemas.ORDER_TABLE])
     return keep_last(t, ["id"], ["batch_id"]).drop("batch_id")
 
 
@@ -139,8 +142,8 @@ def start_alerts(raw: DataFrame, path: str, checkpoint: str, length: str = "5 mi
             events, rejects = parser(batch)
             _write_rejects(rejects, f"{path}/rejects", batch_id)
             new = alert_ops._pane_partials(events, S, "event_time")
-            new.withColumn("day", F.floor(F.col("pane") / per_day).cast("int")) \
-                .write.mode("overwrite").partitionBy("day").parquet(f"{path}/panes/batch_id={batch_id}")
+            _write_by_day(new.withColumn("day", F.floor(F.col("pane") / per_day).cast("int")), "day",
+                          f"{path}/panes/batch_id={batch_id}")
         finally:
             batch.unpersist()
         stored = spark.read.parquet(f"{path}/panes").where(F.col("batch_id") <= batch_id)
@@ -209,7 +212,7 @@ def start_sales(messages: DataFrame, path: str, checkpoint: str,
     def store(kind: str, rows: DataFrame, time: Column | None, batch_id: int) -> None:
         ts = F.timestamp_millis("received_ts") if time is None else time
         out = rows.withColumn(f"{kind}_ts", ts.cast("timestamp_ntz")).withColumn("day", F.to_date(f"{kind}_ts"))
-        out.write.mode("overwrite").partitionBy("day").parquet(f"{path}/{kind}s/batch_id={batch_id}")
+        _write_by_day(out, "day", f"{path}/{kind}s/batch_id={batch_id}")
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
@@ -242,8 +245,7 @@ def start_sales(messages: DataFrame, path: str, checkpoint: str,
         pairs = spark.read.parquet(f"{path}/pairs/batch_id={batch_id}")
         users = read_users(pairs)
         wide = sales.enrich_users(pairs, users, as_of)
-        sinks.with_doc_id(sales.SALE_KEY, trailing=":")(wide).write.mode("overwrite").partitionBy("dt").parquet(
-            f"{path}/sales/batch_id={batch_id}")
+        _write_by_day(sinks.with_doc_id(sales.SALE_KEY, trailing=":")(wide), "dt", f"{path}/sales/batch_id={batch_id}")
         known = users.select(F.col("id").alias("user_id")).distinct()
         pairs.join(known, "user_id", "left_anti").select(*pairs.columns).write.mode("overwrite").parquet(
             f"{path}/waiting/batch_id={batch_id}")
@@ -257,8 +259,7 @@ def dimension_lookup(read: Callable[[], DataFrame]) -> Callable[[DataFrame], Dat
 
 def read_sales(spark: SparkSession, path: str) -> DataFrame:
     """The wide table: the latest row of each (order, line), however often delivered."""
-    t = sinks.read_batches(spark, f"{path}/sales").withColumn("dt", F.col("dt").cast("string"))
-    latest = keep_last(t, ["doc_id"], ["batch_id"])
+    latest = keep_last(sinks.read_batches(spark, f"{path}/sales"), ["doc_id"], ["batch_id"])
     return latest.select(*[f.name for f in schemas.SALE_DETAIL.fields])
 
 

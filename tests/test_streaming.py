@@ -221,7 +221,8 @@ def test_order_ingest_stream_splits_rejects(spark):
     out = tempfile.mkdtemp(prefix="orders-out-")
     good = ('{"id":"1","consignee":"Wang","consignee_tel":"13812345678","total_amount":"9.90",'
             '"create_time":"2020-08-19 00:08:13","user_id":"7","order_status":"1001"}')
-    lines = [good, "{broken", '{"id":"2","consignee":"Li"}']
+    lines = [good, "{broken", '{"id":"2","consignee":"Li"}', good.replace("9.90", "abc"),
+             good.replace("2020-08-19 00:08:13", "2020")]
     spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1).write.mode("overwrite").text(src)
     stream = spark.readStream.format("text").load(src)
     _run(jobs.start_orders(stream, f"{out}/orders", f"{out}/rejects", f"{out}/ckpt", ONCE))
