@@ -38,7 +38,7 @@ def materialize(df: DataFrame) -> DataFrame:
     lost executors do not bring the work back, and the planner knows the table's size."""
     spark = df.sparkSession
     path = scratch_dir(spark)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -92,6 +92,18 @@ def batches(it: Iterator[pa.RecordBatch], cols: list[str], chars: int) -> Iterat
             at = to
 
 
+def pack_ints(values: np.ndarray) -> bytes:
+    """Non-negative integers below 2^32, byte planes apart and compressed: small numbers cost little."""
+    planes = np.ascontiguousarray(values.astype("<u4")).view(np.uint8).reshape(-1, 4).T
+    return len(values).to_bytes(8, "little") + pa.compress(np.ascontiguousarray(planes), codec="zstd", asbytes=True)
+
+
+def unpack_ints(data: bytes) -> np.ndarray:
+    n = int.from_bytes(data[:8], "little")
+    planes = np.frombuffer(pa.decompress(data[8:], 4 * n, codec="zstd", asbytes=True), np.uint8) if n else np.empty(0, np.uint8)
+    return np.ascontiguousarray(planes.reshape(4, -1).T).view("<u4").reshape(-1).astype(np.int64)
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """An invertible scrambling of unsigned 64-bit values (xor-shift and multiply, twice)."""
     x = x ^ (x >> np.uint64(30))
@@ -119,16 +131,20 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         if not mark[0]:
             break
         both = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
+        # written out, so that the join stands alone in its stage and Spark can split a hub's links
+        least = materialize(both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m")))
         large = both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v").distinct()
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
+        large = materialize(large)
+        drop_table(least)
+        least = materialize(large.groupBy("u").agg(F.min("v").alias("m")))
         small = (
             large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v")
             .unionByName(least.withColumnRenamed("m", "v")).distinct()
         )
         new = materialize(small)
         new_mark = _mark(new)
-        drop_table(links)
+        for old in (links, large, least):
+            drop_table(old)
         links = new
         if new_mark == mark:
             break

@@ -15,6 +15,7 @@ state per document and adds up log-probabilities, all documents of the block sid
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,13 +24,12 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import batches, held_out, materialize, shuffle_width, tokens
+from .common import batches, held_out, materialize, pack_ints, shuffle_width, tokens, unpack_ints
 
 #: Characters of text in a block.
-BLOCK_CHARS = 16 << 20
+BLOCK_CHARS = 8 << 20
 #: Share of the training tokens from which on a word has a state.
 MIN_SHARE = 1e-4
-_EMPTY = np.empty(0, np.int64)
 
 
 def _blocks(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -42,12 +42,17 @@ def _blocks(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     def rows(block, docs, train, lengths, ids, vocab):
         ids = np.concatenate(ids)
-        mask = np.repeat(np.array(train, bool), lengths)
-        n = np.bincount(ids[mask], minlength=len(vocab))
+        # numbered anew by frequency, so that the numbers of most tokens are small
+        order = np.argsort(-np.bincount(ids, minlength=len(vocab)), kind="stable")
+        number = np.empty(len(order), np.int64)
+        number[order] = np.arange(len(order))
+        ids = number[ids]
         words = list(vocab)
+        words = [words[i] for i in order.tolist()]
+        n = np.bincount(ids[np.repeat(np.array(train, bool), lengths)], minlength=len(words))
         yield pa.RecordBatch.from_arrays([
             pa.array([block]), pa.array([docs], schema.field(1).type), pa.array([train], schema.field(2).type),
-            pa.array([lengths], schema.field(3).type), pa.array([ids.tobytes()], pa.binary()), pa.array([b"\n".join(words)], pa.binary()),
+            pa.array([lengths], schema.field(3).type), pa.array([pack_ints(ids)], pa.binary()), pa.array([zlib.compress(b"\n".join(words), 3)], pa.binary()),
             pa.nulls(1, pa.int32()), pa.nulls(1, pa.binary()), pa.nulls(1, pa.int64())], schema=schema)
         for at in range(0, len(words), 100_000):
             some = words[at:at + 100_000]
@@ -60,7 +65,7 @@ def _blocks(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for doc_ids, marks, texts in batches(it, ["doc_id", "train", "text"], BLOCK_CHARS >> 2):
         for doc, mark, text in zip(doc_ids, marks, texts):
             own = [vocab.setdefault(w, len(vocab)) for w in tokens(text)]
-            own.append(0)  # the end; no word is empty
+            own.append(0)  # the end: the empty word, which no text has
             docs.append(doc)
             train.append(mark)
             lengths.append(len(own))
@@ -90,9 +95,10 @@ def _bigrams(frequent: dict[bytes, int], buckets: int):
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in it:
-            for row in batch.to_pylist():
-                ids, lengths = np.frombuffer(row["ids"], np.int32), np.array(row["lengths"])
-                rank = np.array([frequent.get(w, -1) for w in row["words"].split(b"\n")], np.int64)
+            for i in range(batch.num_rows):
+                (row,) = batch.slice(i, 1).to_pylist()
+                ids, lengths = unpack_ints(row["ids"]), np.array(row["lengths"])
+                rank = np.array([frequent.get(w, -1) for w in zlib.decompress(row["words"]).split(b"\n")], np.int64)
                 keys, at = _pairs(ids, lengths, rank, width)
                 train = np.repeat(np.array(row["train"], bool), lengths)[at]
                 keys, place = np.unique(keys, return_inverse=True)
@@ -105,7 +111,7 @@ def _bigrams(frequent: dict[bytes, int], buckets: int):
                 yield pa.RecordBatch.from_arrays([
                     pa.array(names.astype(np.int32)), pa.array(np.full(len(names), row["block"], np.int64)),
                     pa.array([keys[a:b].tobytes() for a, b in cut], pa.binary()),
-                    pa.array([counts[a:b].tobytes() for a, b in cut], pa.binary())], names=["bucket", "block", "keys", "counts"])
+                    pa.array([pack_ints(counts[a:b]) for a, b in cut], pa.binary())], names=["bucket", "block", "keys", "counts"])
 
     return run
 
@@ -117,7 +123,7 @@ def _totals(width: int):
     def run(table: pa.Table) -> pa.Table:
         blocks = table.column("block").to_pylist()
         keys = [np.frombuffer(x, np.int64) for x in table.column("keys").to_pylist()]
-        counts = np.concatenate([np.frombuffer(x, np.int64) for x in table.column("counts").to_pylist()])
+        counts = np.concatenate([unpack_ints(x) for x in table.column("counts").to_pylist()])
         known, place = np.unique(np.concatenate(keys), return_inverse=True)
         total = np.bincount(place, weights=counts, minlength=len(known)).astype(np.int64)
         back = np.split(total[place], np.cumsum([len(k) for k in keys])[:-1])
@@ -140,6 +146,20 @@ def _discount(once: int, twice: int) -> float:
     return min(0.9, max(0.1, once / (once + 2 * twice))) if once + twice else 0.5
 
 
+def _answers(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (block, local, c, rank) to packed rows (block, locals, counts, ranks): those of a batch
+    for one block together. Counts above 2^32 keep their upper half apart."""
+    for batch in it:
+        block, local, c, rank = (batch.column(batch.schema.get_field_index(x)).to_numpy() for x in ("block", "local", "c", "rank"))
+        order = np.argsort(block, kind="stable")
+        block, local, c, rank = block[order], local[order], c[order], rank[order]
+        names, starts = np.unique(block, return_index=True)
+        cut = list(zip(starts, [*starts[1:], len(block)]))
+        packed = [[pack_ints(x[a:b]) for a, b in cut] for x in (local, c & 0xFFFFFFFF, c >> 32, rank + 1)]
+        yield pa.RecordBatch.from_arrays([pa.array(names), *(pa.array(x, pa.binary()) for x in packed)],
+                                         names=["block", "locals", "low", "high", "ranks"])
+
+
 class Automaton:
     """A block's part of the model. States are numbered by rank + 1; the root is 0."""
 
@@ -200,15 +220,13 @@ def _score(facts: dict):
 
     def run(blocks: pa.Table, answers: pa.Table) -> pa.Table:
         row = blocks.to_pylist()[0]
-        ids, lengths = np.frombuffer(row["ids"], np.int32), np.array(row["lengths"])
-        local = answers.column("local")
-        is_word = local.is_valid().to_numpy()
-        words = answers.filter(pa.array(is_word))
-        at = words.column("local").to_numpy()
+        ids, lengths = unpack_ints(row["ids"]), np.array(row["lengths"])
+        is_word = answers.column("locals").is_valid()
+        words, grams = answers.filter(is_word), answers.filter(pa.compute.invert(is_word))
+        at, low, high, ranks = (np.concatenate([unpack_ints(x) for x in words.column(c).to_pylist()]) for c in ("locals", "low", "high", "ranks"))
         counts, rank = np.zeros(len(at), np.int64), np.full(len(at), -1, np.int64)
-        counts[at] = words.column("c").to_numpy()
-        rank[at] = words.column("rank").to_numpy()
-        grams = answers.filter(pa.array(~is_word))
+        counts[at] = low + (high << 32)
+        rank[at] = ranks - 1
         keys = np.frombuffer(b"".join(grams.column("keys").to_pylist()), np.int64)
         totals = np.frombuffer(b"".join(grams.column("totals").to_pylist()), np.int64)
         model = Automaton(counts, rank, keys, totals, facts)
@@ -264,15 +282,16 @@ def score_documents(docs: DataFrame, train: Column, id_col: str = "doc_id", text
         facts["d2"] = _discount(sum(r["once"] for r in contexts), sum(r["twice"] for r in contexts))
         facts["contexts"] = {r["context"]: (often[r["context"]][1], r["mass"], r["kinds"]) for r in contexts}
         answers = answers.join(F.broadcast(ranks), "word", "left")
-        grams = totals.filter("keys is not null").select(
-            "block", F.lit(None).cast("int").alias("local"), F.lit(0).cast("long").alias("c"), F.lit(-1).cast("long").alias("rank"), "keys", "totals")
+        grams = totals.filter("keys is not null").select("block", "keys", "totals")
     else:
         answers, grams = answers.withColumn("rank", F.lit(-1).cast("long")), None
+    answers = answers.select("block", "local", F.coalesce("c", F.lit(0)).alias("c"), F.coalesce("rank", F.lit(-1)).alias("rank"))
+    answers = answers.mapInArrow(_answers, "block long, locals binary, low binary, high binary, ranks binary")
     none = F.lit(None).cast("binary")
-    answers = answers.select("block", "local", F.coalesce("c", F.lit(0)).alias("c"), F.coalesce("rank", F.lit(-1)).alias("rank"),
-                             none.alias("keys"), none.alias("totals"))
     if grams is not None:
-        answers = answers.unionByName(grams)
+        answers = answers.unionByName(grams, allowMissingColumns=True)
+    else:
+        answers = answers.withColumns({"keys": none, "totals": none})
     answers = answers.withColumnRenamed("block", "of_block")
     scored = blocks.select("block", "doc_ids", "train", "lengths", "ids").groupBy("block").cogroup(answers.groupBy("of_block")).applyInArrow(
         _score(facts), "doc_id long, train boolean, n_tokens long, n_known long, base_score double, score double")
