@@ -141,7 +141,8 @@ def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
 
     # one copy of each text with a match, cut into words again
     matched = materialize(found).withColumnRenamed("text_key", "key")
-    again = base.join(matched, (F.col("text_key") == F.col("key")) & F.col("doc_id").eqNullSafe(F.col("rep")))
+    # (matched texts may be many, so the texts are shuffled at any size)
+    again = base.hint("merge").join(matched.hint("merge"), (F.col("text_key") == F.col("key")) & F.col("doc_id").eqNullSafe(F.col("rep")))
     again = again.select("text_key", "span_words", "fps", words(F.col("text")).alias("w")).withColumn("h", _hashed(F.col("w")))
     near = None
     for n in lengths:
@@ -158,9 +159,10 @@ def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
     runs = ends.groupBy("text_key", "run").agg(
         F.struct(F.min("start").alias("start"), F.max("end").alias("end")).alias("span"),
         F.sum("fresh").alias("n"), F.array_distinct(F.flatten(F.collect_set("items"))).alias("items"))
-    result = runs.groupBy(F.col("text_key").alias("key")).agg(
+    # written out, so that the join stands alone in its stage and Spark can split a text with many copies
+    result = materialize(runs.groupBy(F.col("text_key").alias("key")).agg(
         F.sum("n").alias("n_hit"), F.array_sort(F.collect_list("span")).alias("spans"),
-        F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
+        F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items")))
     out = rows.select("doc_id", "text_key", "n_words").join(result, F.col("text_key") == F.col("key"), "left")
     return out.select(
         "doc_id", "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),
