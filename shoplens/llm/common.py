@@ -104,6 +104,18 @@ def unpack_ints(data: bytes) -> np.ndarray:
     return np.ascontiguousarray(planes.reshape(4, -1).T).view("<u4").reshape(-1).astype(np.int64)
 
 
+def pack_longs(values: np.ndarray) -> bytes:
+    """As ``pack_ints``, for non-negative integers below 2^63."""
+    planes = np.ascontiguousarray(values.astype("<i8")).view(np.uint8).reshape(-1, 8).T
+    return len(values).to_bytes(8, "little") + pa.compress(np.ascontiguousarray(planes), codec="zstd", asbytes=True)
+
+
+def unpack_longs(data: bytes) -> np.ndarray:
+    n = int.from_bytes(data[:8], "little")
+    planes = np.frombuffer(pa.decompress(data[8:], 8 * n, codec="zstd", asbytes=True), np.uint8) if n else np.empty(0, np.uint8)
+    return np.ascontiguousarray(planes.reshape(8, -1).T).view("<i8").reshape(-1).astype(np.int64)
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """An invertible scrambling of unsigned 64-bit values (xor-shift and multiply, twice)."""
     x = x ^ (x >> np.uint64(30))

@@ -1,16 +1,17 @@
 """Language-model scores from a weighted backoff automaton, trained and applied in blocks.
 
 The model is a bigram model with absolute discounting. Unigrams cover every word of the training
-documents. Bigrams are counted between words that make up at least ``MIN_SHARE`` of the training
-tokens; there are at most ``1 / MIN_SHARE`` such words in a corpus of any size, while their
-bigrams are all kept, whatever their count. As an automaton: the root reads any word; each frequent
-word is a state, with an arc for each bigram seen and a failure arc, weighted with the mass that
-discounting freed, back to the root.
-
-No task holds the whole model. Documents are cut into blocks; a block's distinct words and bigrams
-are sent to the tables of counts, and the totals come back to the block, whose own part of the
-automaton, complete for its documents, is built from them. One left-to-right traversal carries a
-state per document and adds up log-probabilities, all documents of the block side by side.
+documents, bigrams every two words that follow each other there, whatever their counts. As an
+automaton: the root reads any word; each word is a state, with an arc for each bigram seen and a
+failure arc, weighted with the mass that discounting freed, back to the root.
+
+No task holds the whole model. Documents are cut into blocks; a block's distinct words are sent to
+the table of counts and come back with count and global number. The bigrams, as pairs of numbers,
+are dealt to buckets by their context, a common context over several by its second words too. A
+bucket adds up and answers each block with the totals of its bigrams and what is known of their
+contexts, in the order asked. The block's own part of the automaton, complete for its documents, is
+built from them. One left-to-right traversal carries a state per document and adds up
+log-probabilities, all documents of the block side by side.
 """
 
 from __future__ import annotations
@@ -24,12 +25,14 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import batches, held_out, materialize, pack_ints, shuffle_width, tokens, unpack_ints
+from .common import batches, drop_table, held_out, materialize, mix64, pack_ints, pack_longs, shuffle_width, tokens, unpack_ints, unpack_longs
 
 #: Characters of text in a block.
 BLOCK_CHARS = 8 << 20
-#: Share of the training tokens from which on a word has a state.
-MIN_SHARE = 1e-4
+#: Share of the training tokens from which on a word has a state: all words have one.
+MIN_SHARE = 0.0
+#: Training tokens for each bucket of bigrams.
+BUCKET_TOKENS = 2 << 20
 
 
 def _blocks(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -79,65 +82,101 @@ def _blocks(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from rows((part << 32) + seq, docs, train, lengths, ids, vocab)
 
 
-def _pairs(ids: np.ndarray, lengths: np.ndarray, rank: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
-    """Keys of the bigrams of frequent words, and where each begins. None crosses an end."""
-    r = rank[ids]
-    inner = np.ones(len(ids), bool)
-    inner[np.cumsum(lengths) - 1] = False
-    at = np.flatnonzero(inner[:-1] & (r[:-1] >= 0) & (r[1:] >= 0))
-    return r[at] * width + r[at + 1], at
-
-
-def _bigrams(frequent: dict[bytes, int], buckets: int):
-    """Block rows to packed (bucket, block, keys, counts): distinct bigrams of the block, with
-    their counts in its training documents."""
-    width = len(frequent)
-
-    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in it:
-            for i in range(batch.num_rows):
-                (row,) = batch.slice(i, 1).to_pylist()
-                ids, lengths = unpack_ints(row["ids"]), np.array(row["lengths"])
-                rank = np.array([frequent.get(w, -1) for w in zlib.decompress(row["words"]).split(b"\n")], np.int64)
-                keys, at = _pairs(ids, lengths, rank, width)
-                train = np.repeat(np.array(row["train"], bool), lengths)[at]
-                keys, place = np.unique(keys, return_inverse=True)
-                counts = np.bincount(place, weights=train, minlength=len(keys)).astype(np.int64)
-                bucket = (keys * 0x9E3779B1 >> 16) % buckets
-                order = np.argsort(bucket, kind="stable")
-                keys, counts, bucket = keys[order], counts[order], bucket[order]
-                names, starts = np.unique(bucket, return_index=True)
-                cut = list(zip(starts, [*starts[1:], len(keys)]))
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(names.astype(np.int32)), pa.array(np.full(len(names), row["block"], np.int64)),
-                    pa.array([keys[a:b].tobytes() for a, b in cut], pa.binary()),
-                    pa.array([pack_ints(counts[a:b]) for a, b in cut], pa.binary())], names=["bucket", "block", "keys", "counts"])
+class Pairs:
+    """A block's distinct pairs (context, next word), by bucket and key, with counts in its training
+    documents. Words are local numbers; ``w`` is -1 for all words without a state, the end among
+    them, so each context is asked for. No pair crosses an end."""
+
+    def __init__(self, ids: np.ndarray, lengths: np.ndarray, train: np.ndarray, counts: np.ndarray, rank: np.ndarray, deal: dict):
+        inner = np.ones(len(ids), bool)
+        inner[np.cumsum(lengths) - 1] = False
+        state = rank >= 0
+        at = np.flatnonzero(inner & state[ids])
+        width = len(counts) + 1
+        second = np.where(state[ids[at + 1]], ids[at + 1] + 1, 0)
+        weights = np.repeat(train, lengths)[at] & (second > 0)
+        pair, place = np.unique(ids[at] * width + second, return_inverse=True)
+        n = np.bincount(place, weights=weights, minlength=len(pair)).astype(np.int64)
+        u, w = pair // width, pair % width - 1
+        second = np.where(w >= 0, rank[w] + 1, 0)
+        keys = rank[u] * deal["width"] + second
+        spread = np.where(rank[u] < deal["heavy"], np.minimum(deal["buckets"], counts[u] // deal["limit"] + 1), 1)
+        part = mix64(second.astype(np.uint64)) % spread.astype(np.uint64)
+        bucket = ((mix64(rank[u].astype(np.uint64)) + part) % np.uint64(deal["buckets"])).astype(np.int64)
+        order = np.lexsort((keys, bucket))
+        self.u, self.w, self.keys, self.n, self.bucket = u[order], w[order], keys[order], n[order], bucket[order]
+
+    def contexts(self) -> np.ndarray:
+        """Places at which a bucket or a context begins."""
+        if not len(self.u):
+            return np.empty(0, np.int64)
+        return np.flatnonzero(np.append(True, (self.u[1:] != self.u[:-1]) | (self.bucket[1:] != self.bucket[:-1])))
+
+
+BLOCK = "block long, doc_ids array<long>, train array<boolean>, lengths array<int>, ids binary, low binary, ranks binary"
+ASKED = "bucket int, keys binary, counts binary"
+
+
+def _bigrams(deal: dict):
+    """A block and the answers for its words to the block with their counts and ranks packed, and to
+    packed rows (bucket, block, keys, counts) of its pairs."""
+
+    def run(blocks: pa.Table, answers: pa.Table) -> pa.Table:
+        row = blocks.to_pylist()[0]
+        ids, lengths, train = unpack_ints(row["ids"]), np.array(row["lengths"], np.int64), np.array(row["train"], bool)
+        at, c, r = (np.concatenate([unpack_longs(x) for x in answers.column(name).to_pylist()]) for name in ("locals", "low", "ranks"))
+        counts, rank = np.zeros(len(at), np.int64), np.full(len(at), -1, np.int64)
+        counts[at], rank[at] = c, r - 1
+        pairs = Pairs(ids, lengths, train, counts, rank, deal)
+        names, starts = np.unique(pairs.bucket, return_index=True)
+        cut = list(zip(starts, [*starts[1:], len(pairs.keys)]))
+        k = len(names)
+        # keys ascend within a bucket: steps cost less
+        keys = [pack_longs(np.diff(pairs.keys[a:b], prepend=0)) for a, b in cut]
+        return pa.table({
+            "block": pa.array([row["block"]] * (k + 1), pa.int64()),
+            "doc_ids": pa.array([row["doc_ids"], *[None] * k], pa.list_(pa.int64())),
+            "train": pa.array([row["train"], *[None] * k], pa.list_(pa.bool_())),
+            "lengths": pa.array([row["lengths"], *[None] * k], pa.list_(pa.int32())),
+            "ids": pa.array([row["ids"], *[None] * k], pa.binary()),
+            "low": pa.array([pack_longs(counts), *[None] * k], pa.binary()),
+            "ranks": pa.array([pack_longs(rank + 1), *[None] * k], pa.binary()),
+            "bucket": pa.array([None, *names.tolist()], pa.int32()),
+            "keys": pa.array([None, *keys], pa.binary()),
+            "counts": pa.array([None, *(pack_longs(pairs.n[a:b]) for a, b in cut)], pa.binary())})
 
     return run
 
 
-def _totals(width: int):
-    """A bucket's packed rows to the totals for each block, and to facts on contexts (block null):
-    a key is in one bucket only, so sums over buckets are sums over bigrams."""
+TOTALS = "block long, bucket int, totals binary, masses binary, kinds binary, context long, mass long, kind long, once long, twice long"
+
+
+def _totals(deal: dict):
+    """A bucket's packed rows to an answer for each: the totals of its keys, and mass and kinds of
+    bigrams of its contexts, both in the order of the keys. A light context lies in this bucket
+    only; parts of heavy ones, and the bigrams seen once and twice, go out as rows without a block."""
 
     def run(table: pa.Table) -> pa.Table:
+        width = deal["width"]
+        bucket = table.column("bucket")[0].as_py()
         blocks = table.column("block").to_pylist()
-        keys = [np.frombuffer(x, np.int64) for x in table.column("keys").to_pylist()]
-        counts = np.concatenate([unpack_ints(x) for x in table.column("counts").to_pylist()])
+        keys = [np.cumsum(unpack_longs(x)) for x in table.column("keys").to_pylist()]
+        counts = np.concatenate([unpack_longs(x) for x in table.column("counts").to_pylist()])
         known, place = np.unique(np.concatenate(keys), return_inverse=True)
         total = np.bincount(place, weights=counts, minlength=len(known)).astype(np.int64)
-        back = np.split(total[place], np.cumsum([len(k) for k in keys])[:-1])
-        seen = total > 0
-        context, place = np.unique(known[seen] // width, return_inverse=True)
-        out = [(b, k[t > 0].tobytes(), t[t > 0].tobytes(), None, None, None, None, None) for b, k, t in zip(blocks, keys, back)]
-        if len(context):
-            mass = np.bincount(place, weights=total[seen]).astype(np.int64)
-            once, twice = (np.bincount(place, weights=total[seen] == x).astype(np.int64) for x in (1, 2))
-            kinds = np.bincount(place)
-            out += [(None, None, None, int(c), int(m), int(k), int(o), int(t)) for c, m, k, o, t in zip(context, mass, kinds, once, twice)]
-        names = ["block", "keys", "totals", "context", "mass", "kinds", "once", "twice"]
-        kinds = [pa.int64(), pa.binary(), pa.binary(), *[pa.int64()] * 5]
-        return pa.table([pa.array(c, t) for c, t in zip(zip(*out), kinds)], names=names)
+        context, of = np.unique(known // width, return_inverse=True)
+        mass = np.bincount(of, weights=total).astype(np.int64)
+        kinds = np.bincount(of, weights=total > 0).astype(np.int64)
+        out, at = [], 0
+        for block, k in zip(blocks, keys):
+            asked = np.searchsorted(context, np.unique(k // width))
+            out.append((block, bucket, pack_longs(total[place[at:at + len(k)]]), pack_longs(mass[asked]), pack_longs(kinds[asked]), *[None] * 5))
+            at += len(k)
+        for i in range(int(np.searchsorted(context, deal["heavy"]))):
+            out.append((*[None] * 5, int(context[i]), int(mass[i]), int(kinds[i]), None, None))
+        out.append((*[None] * 8, int((total == 1).sum()), int((total == 2).sum())))
+        types = [pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.binary(), *[pa.int64()] * 5]
+        return pa.table([pa.array(c, t) for c, t in zip(zip(*out), types)], names=[c.split()[0] for c in TOTALS.split(", ")])
 
     return run
 
@@ -147,44 +186,40 @@ def _discount(once: int, twice: int) -> float:
 
 
 def _answers(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (block, local, c, rank) to packed rows (block, locals, counts, ranks): those of a batch
-    for one block together. Counts above 2^32 keep their upper half apart."""
+    """Rows (block, local, c, rank) to packed rows (block, locals, low, ranks): those of a batch
+    for one block together."""
     for batch in it:
         block, local, c, rank = (batch.column(batch.schema.get_field_index(x)).to_numpy() for x in ("block", "local", "c", "rank"))
         order = np.argsort(block, kind="stable")
         block, local, c, rank = block[order], local[order], c[order], rank[order]
         names, starts = np.unique(block, return_index=True)
         cut = list(zip(starts, [*starts[1:], len(block)]))
-        packed = [[pack_ints(x[a:b]) for a, b in cut] for x in (local, c & 0xFFFFFFFF, c >> 32, rank + 1)]
+        packed = [[pack_longs(x[a:b]) for a, b in cut] for x in (local, c, rank + 1)]
         yield pa.RecordBatch.from_arrays([pa.array(names), *(pa.array(x, pa.binary()) for x in packed)],
-                                         names=["block", "locals", "low", "high", "ranks"])
+                                         names=["block", "locals", "low", "ranks"])
 
 
 class Automaton:
-    """A block's part of the model. States are numbered by rank + 1; the root is 0."""
+    """A block's part of the model. States are numbered by local word + 1; the root is 0."""
 
-    def __init__(self, counts: np.ndarray, rank: np.ndarray, keys: np.ndarray, totals: np.ndarray, facts: dict):
-        n, v, width = facts["tokens"], facts["types"], facts["width"]
+    def __init__(self, counts: np.ndarray, rank: np.ndarray, pairs: Pairs, totals: np.ndarray, mass: np.ndarray, kinds: np.ndarray, facts: dict):
+        n, v = facts["tokens"], facts["types"]
         d1, d2 = facts["d1"], facts["d2"]
         if n:
             p1 = np.where(counts > 0, (counts - d1) / n, d1 * v / n)
         else:
             p1 = np.ones(len(counts))
         self.root = np.log10(p1)
-        self.next = rank + 1
+        self.next = np.where(rank >= 0, np.arange(len(rank)) + 1, 0)
         self.words = len(counts)
         # failure arcs: what discounting leaves of each context
-        self.fail = np.zeros(width + 1)
-        left = np.ones(width + 1)
-        for c, (count, mass, kinds) in facts["contexts"].items():
-            left[c + 1] = 1 - (mass - d2 * kinds) / count
+        left = np.ones(self.words + 1)
+        left[1:] = 1 - (mass - d2 * kinds) / np.maximum(counts, 1)
         self.fail = np.log10(left)
-        local = np.full(width, -1, np.int64)
-        local[rank[rank >= 0]] = np.flatnonzero(rank >= 0)
-        u, w = keys // width, keys % width
-        count = np.array([facts["contexts"][c][0] for c in u.tolist()], float)
-        arcs = (u + 1) * self.words + local[w]
-        weight = np.log10((totals - d2) / count + left[u + 1] * p1[local[w]])
+        seen = (totals > 0) & (pairs.w >= 0)
+        u, w = pairs.u[seen], pairs.w[seen]
+        arcs = (u + 1) * self.words + w
+        weight = np.log10((totals[seen] - d2) / counts[u] + left[u + 1] * p1[w])
         order = np.argsort(arcs)
         self.arcs, self.weight = arcs[order], weight[order]
 
@@ -215,29 +250,31 @@ class Automaton:
         return out
 
 
-def _score(facts: dict):
-    """A block and the totals of its words and bigrams to its documents' scores."""
+def _score(facts: dict, deal: dict):
+    """A block and the totals of its bigrams to its documents' scores."""
 
     def run(blocks: pa.Table, answers: pa.Table) -> pa.Table:
         row = blocks.to_pylist()[0]
-        ids, lengths = unpack_ints(row["ids"]), np.array(row["lengths"])
-        is_word = answers.column("locals").is_valid()
-        words, grams = answers.filter(is_word), answers.filter(pa.compute.invert(is_word))
-        at, low, high, ranks = (np.concatenate([unpack_ints(x) for x in words.column(c).to_pylist()]) for c in ("locals", "low", "high", "ranks"))
-        counts, rank = np.zeros(len(at), np.int64), np.full(len(at), -1, np.int64)
-        counts[at] = low + (high << 32)
-        rank[at] = ranks - 1
-        keys = np.frombuffer(b"".join(grams.column("keys").to_pylist()), np.int64)
-        totals = np.frombuffer(b"".join(grams.column("totals").to_pylist()), np.int64)
-        model = Automaton(counts, rank, keys, totals, facts)
+        ids, lengths, train = unpack_ints(row["ids"]), np.array(row["lengths"], np.int64), np.array(row["train"], bool)
+        counts, rank = unpack_longs(row["low"]), unpack_longs(row["ranks"]) - 1
+        pairs = Pairs(ids, lengths, train, counts, rank, deal)
+        answers = answers.sort_by("bucket")
+        none = np.empty(0, np.int64)
+        totals, masses, several = (np.concatenate([none, *(unpack_longs(x) for x in answers.column(c).to_pylist())]) for c in ("totals", "masses", "kinds"))
+        mass, kinds = np.zeros(len(counts), np.int64), np.zeros(len(counts), np.int64)
+        of = pairs.u[pairs.contexts()]
+        mass[of], kinds[of] = masses, several
+        at = np.flatnonzero((rank >= 0) & (rank < deal["heavy"]))
+        mass[at], kinds[at] = facts["mass"][rank[at]], facts["kinds"][rank[at]]
+        model = Automaton(counts, rank, pairs, totals, mass, kinds, facts)
         base = np.log10((counts + 0.5) / (facts["tokens"] + 0.5 * (facts["types"] + 1)))
         starts = np.cumsum(lengths) - lengths
         return pa.table({
             "doc_id": pa.array(row["doc_ids"], pa.int64()), "train": pa.array(row["train"], pa.bool_()),
-            "n_tokens": pa.array(lengths.astype(np.int64)),
+            "n_tokens": pa.array(lengths),
             "n_known": pa.array(np.add.reduceat((counts > 0).astype(np.int64)[ids], starts)),
             "base_score": pa.array(np.add.reduceat(base[ids], starts)),
-            "score": pa.array(model.traverse(ids, lengths.astype(np.int64)))})
+            "score": pa.array(model.traverse(ids, lengths))})
 
     return run
 
@@ -264,37 +301,44 @@ def score_documents(docs: DataFrame, train: Column, id_col: str = "doc_id", text
     n, v, once, twice = counts.agg(
         F.sum("c"), F.count("*"), F.count_if(F.col("c") == 1), F.count_if(F.col("c") == 2)).first()
     n = n or 0
-    # at most 1 / min_share words; the end has no successor and no state
-    often = sorted((bytes(r[0]), r[1]) for r in counts.filter((F.col("c") >= n * min_share) & (F.length("word") > 0)).collect())
-    frequent = {w: i for i, (w, _) in enumerate(often)}
-    facts = {"tokens": n, "types": v, "width": len(frequent), "d1": _discount(once, twice), "d2": 0.5, "contexts": {}}
-
-    buckets = max(16, shuffle_width(spark))
-    answers = vocab.join(counts, "word", "left")
-    if frequent:
-        ranks = spark.createDataFrame([(w, i) for w, i in frequent.items()], "word binary, rank long")
-        packed = blocks.select("block", "train", "lengths", "ids", "words").mapInArrow(
-            _bigrams(frequent, buckets), "bucket int, block long, keys binary, counts binary")
-        totals = materialize(packed.groupBy("bucket").applyInArrow(
-            _totals(len(frequent)), "block long, keys binary, totals binary, context long, mass long, kinds long, once long, twice long"))
-        contexts = totals.filter("context is not null").groupBy("context").agg(
-            *[F.sum(c).alias(c) for c in ("mass", "kinds", "once", "twice")]).collect()  # one row per frequent word at most
-        facts["d2"] = _discount(sum(r["once"] for r in contexts), sum(r["twice"] for r in contexts))
-        facts["contexts"] = {r["context"]: (often[r["context"]][1], r["mass"], r["kinds"]) for r in contexts}
-        answers = answers.join(F.broadcast(ranks), "word", "left")
-        grams = totals.filter("keys is not null").select("block", "keys", "totals")
-    else:
-        answers, grams = answers.withColumn("rank", F.lit(-1).cast("long")), None
-    answers = answers.select("block", "local", F.coalesce("c", F.lit(0)).alias("c"), F.coalesce("rank", F.lit(-1)).alias("rank"))
-    answers = answers.mapInArrow(_answers, "block long, locals binary, low binary, high binary, ranks binary")
-    none = F.lit(None).cast("binary")
-    if grams is not None:
-        answers = answers.unionByName(grams, allowMissingColumns=True)
-    else:
-        answers = answers.withColumns({"keys": none, "totals": none})
-    answers = answers.withColumnRenamed("block", "of_block")
-    scored = blocks.select("block", "doc_ids", "train", "lengths", "ids").groupBy("block").cogroup(answers.groupBy("of_block")).applyInArrow(
-        _score(facts), "doc_id long, train boolean, n_tokens long, n_known long, base_score double, score double")
+    # numbers by falling count, words with a state first; the end has no successor and no state
+    state = (F.col("c") >= n * min_share) & (F.length("word") > 0)
+    order = [F.col("state").desc(), F.col("c").desc(), F.col("word")]
+    numbered = materialize(counts.withColumn("state", state).repartitionByRange(shuffle_width(spark), *order).sortWithinPartitions(
+        *order).withColumn("at", F.monotonically_increasing_id()))
+    part = F.shiftright("at", 33)
+    offsets, width = [], 0
+    for p, k in sorted(tuple(r) for r in numbered.groupBy(part.alias("p")).agg(F.count("*")).collect()):
+        offsets.append((p, width - (p << 33)))
+        width += k
+    if width >= 3 << 30:
+        raise ValueError("pairs of words do not fit 63 bits")
+    buckets = max(16, shuffle_width(spark), n // BUCKET_TOKENS)
+    limit = -(-n // (4 * buckets)) or 1
+    # contexts in more than one bucket: at most 4 * buckets
+    heavy = numbered.filter(F.col("state") & (F.col("c") >= limit)).count()
+    deal = {"width": width + 1, "buckets": buckets, "limit": limit, "heavy": heavy}
+    rank = F.when(F.col("state"), F.col("at") + F.col("offset"))
+    ranked = numbered.withColumn("p", part).join(
+        F.broadcast(spark.createDataFrame(offsets, "p long, offset long")), "p").select("word", "c", rank.alias("rank"))
+    answers = vocab.join(ranked, "word", "left").select(
+        "block", "local", F.coalesce("c", F.lit(0)).alias("c"), F.coalesce("rank", F.lit(-1)).alias("rank"))
+    answers = answers.mapInArrow(_answers, "block long, locals binary, low binary, ranks binary").withColumnRenamed("block", "of_block")
+    asked = materialize(blocks.select("block", "doc_ids", "train", "lengths", "ids").groupBy("block").cogroup(
+        answers.groupBy("of_block")).applyInArrow(_bigrams(deal), f"{BLOCK}, {ASKED}"))
+    for old in (pieces, counts, numbered):
+        drop_table(old)
+    totals = materialize(asked.filter("keys is not null").select("bucket", "block", "keys", "counts").groupBy("bucket").applyInArrow(
+        _totals(deal), TOTALS))
+    once2, twice2 = totals.agg(F.sum("once"), F.sum("twice")).first()
+    facts = {"tokens": n, "types": v, "d1": _discount(once, twice), "d2": _discount(once2 or 0, twice2 or 0),
+             "mass": np.zeros(heavy, np.int64), "kinds": np.zeros(heavy, np.int64)}
+    for c, m, k in totals.filter("context is not null").groupBy("context").agg(F.sum("mass"), F.sum("kind")).collect():
+        facts["mass"][c], facts["kinds"][c] = m, k
+    grams = totals.filter("block is not null").select(F.col("block").alias("of_block"), "bucket", "totals", "masses", "kinds")
+    scored = asked.filter("ids is not null").select(*[c.split()[0] for c in BLOCK.split(", ")]).groupBy("block").cogroup(
+        grams.groupBy("of_block")).applyInArrow(
+        _score(facts, deal), "doc_id long, train boolean, n_tokens long, n_known long, base_score double, score double")
     return scored.withColumn("train_tokens", F.lit(n).cast("long"))
 
 

@@ -62,6 +62,18 @@ def test_small_blocks_give_the_same(make, monkeypatch):
     test_scores_match_brute_force(make, 0.02)
 
 
+def test_every_bigram_counts_by_default(make, monkeypatch):
+    """Words of less than 1/10,000 of the tokens are contexts too, in one bucket or several."""
+    rows = LM_ROWS + [(200 + i, f"rare{i % 4} pair{i % 4} follows rare{i % 4}") for i in range(12)]
+    want = {(r[0], r[1]): r[5] for r in brute_lm(rows, 0)}
+    cut = {(r[0], r[1]): r[5] for r in brute_lm(rows, 1e-4)}
+    assert want[205, 5] > cut[205, 5] + 1
+    for block in (N.BLOCK_CHARS, 300):
+        monkeypatch.setattr(N, "BLOCK_CHARS", block)
+        got = {(r.doc_id, r.n_tokens): r.score for r in N.score_documents(make(rows), ~held_out(F.col("doc_id"), 1)).collect()}
+        assert got == pytest.approx(want, rel=1e-9)
+
+
 def test_no_training_rows_and_no_rows(make):
     assert N.score_documents(make([]), F.lit(True)).collect() == []
     (row,) = N.score_documents(make([(1, "a b")]), F.lit(False)).collect()
