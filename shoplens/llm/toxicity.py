@@ -6,7 +6,8 @@ share. A logistic model is fitted on what a lexicon finds in a document, where t
 learned from the other half of the sample, so terms that fit by chance get no credit.
 
 Scoring. Each document's words are looked up in the lexicon's trie. A Levenshtein automaton for
-the word, run along the trie, finds terms one edit away; letters written as digits or signs are
+the word, run along the trie, finds words one edit away, and stems one edit from its beginning,
+unless clean documents hold such a spelling; letters written as digits or signs are
 read as letters. Around each hit a window of the text is judged: quoted or reported use counts
 apart from plain use, and the model weighs the two. The whole text is read.
 """
@@ -29,7 +30,7 @@ from .common import batches, free_name, held_out, materialize
 #: Bounds of the model: labelled rows it is fitted on, and lexicon terms it holds.
 MAX_LABELLED, MAX_TERMS = 20_000, 5_000
 STEMS = range(4, 10)
-FUZZY_LENGTH = 5
+FUZZY_LENGTH = 4
 #: Lower confidence limit of a term's share of toxic documents; six toxic and no clean ones reach it.
 SHARE_LIMIT = 0.66
 SLICE_CHARS = 4 << 20
@@ -51,55 +52,70 @@ def plain(token: str) -> str:
 
 
 class Lexicon:
-    """Words and stems with weights, in a trie for automaton lookups."""
+    """Words and stems with weights, in a trie for automaton lookups. ``innocent`` holds spellings
+    that are no misspelt terms."""
 
     def __init__(self, words: dict[str, float], stems: dict[str, float], innocent: set[str] = frozenset()):
         self.words, self.stems, self.innocent = words, stems, innocent
         self.trie: dict = {}
         self.heads: set[str] = set()
         self.tails: set[str] = set()
-        for word in words:
+        #: Second halves of stems, with the place where they begin.
+        self.inner: set[tuple[int, str]] = set()
+        for term in [*words, *(s + "*" for s in stems)]:
+            word = term.rstrip("*")
             if len(word) >= FUZZY_LENGTH:
                 node = self.trie
                 for c in word:
                     node = node.setdefault(c, {})
-                node[""] = word
                 half = len(word) // 2
                 self.heads.add(word[:half])
-                self.tails.add(word[half:])
-        self.longest = max(map(len, words), default=0) + 1
+                if term == word:
+                    node[""] = word
+                    self.tails.add(word[half:])
+                else:
+                    node["*"] = word
+                    self.inner.add((half, word[half:]))
         self.head_sizes = sorted({len(x) for x in self.heads})
         self.tail_sizes = sorted({len(x) for x in self.tails})
-
-    def near(self, word: str) -> str | None:
-        """A term one edit away. One half of the term is then untouched, which most words fail."""
-        if not FUZZY_LENGTH - 1 <= len(word) <= self.longest or word in self.innocent:
-            return None
-        if not (any(word[:k] in self.heads for k in self.head_sizes) or any(word[-k:] in self.tails for k in self.tail_sizes)):
-            return None
+        self.inner_places = sorted({(half, len(x), half + d) for half, x in self.inner for d in (-1, 0, 1)})
+
+    def near(self, word: str) -> list[tuple[str, float]]:
+        """(spelling, weight) of the terms one edit away, innocent or not: the spelling is the word
+        or, of a stem, the word's beginning and a star. One half of the term is untouched, which
+        most words fail."""
+        if len(word) < FUZZY_LENGTH - 1:
+            return []
+        if not (any(word[:k] in self.heads for k in self.head_sizes) or any(word[-k:] in self.tails for k in self.tail_sizes)
+                or any((half, word[at:at + k]) in self.inner for half, k, at in self.inner_places)):
+            return []
         return self._walk(word)
 
-    def _walk(self, word: str) -> str | None:
+    def _walk(self, word: str) -> list[tuple[str, float]]:
         """The automaton run along the trie. Bit i of a state stands for i letters of the word
         read, ``even`` without an edit and ``odd`` with one at most; it dies when no bit is left."""
         masks: dict[str, int] = {}
         for i, c in enumerate(word):
             masks[c] = masks.get(c, 0) | 1 << i
         end, full = 1 << len(word), (2 << len(word)) - 1
-        stack = [(self.trie, 1, 3)]
+        stack, found = [(self.trie, 1, 3)], []
         while stack:
             node, even, odd = stack.pop()
             for c, child in node.items():
                 if not c:
                     if odd & end:
-                        return child
+                        found.append((word, self.words[child]))
+                    continue
+                if c == "*":
+                    # a state alive has read some beginning of the word
+                    found.append((word[:len(child) + 1] + "*", self.stems[child]))
                     continue
                 mask = masks.get(c, 0)
                 now = (even & mask) << 1
                 odd_now = ((odd & mask) << 1 | even | even << 1 | now | now << 1) & full
                 if odd_now:
                     stack.append((child, now, odd_now))
-        return None
+        return found
 
     def find(self, word: str) -> tuple[float, bool] | None:
         """(weight, exact) of the term that a plain word matches."""
@@ -108,8 +124,8 @@ class Lexicon:
         for k in STEMS:
             if k <= len(word) and word[:k] in self.stems:
                 return self.stems[word[:k]], True
-        term = self.near(word)
-        return (self.words[term], False) if term else None
+        weights = [w for spelling, w in self.near(word) if spelling not in self.innocent]
+        return (max(weights), False) if weights else None
 
 
 def quoted(text: str, at: int, window: int = 80) -> bool:
@@ -193,14 +209,24 @@ def _count(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _near_words(lexicon: Lexicon):
-    """(toxic, text) to (term, pos, neg) of the words that match a term by one edit only."""
+    """(toxic, text) to (term, pos, neg) of the spellings that match a term by one edit only."""
+
+    def spellings(word):
+        found = lexicon.find(word)
+        return () if not found or found[1] else [spelling for spelling, _ in lexicon.near(word)]
 
     def run(it):
-        finder = Finder(lexicon)
+        known: dict = {}
         for labels, texts in batches(it, ["toxic", "text"], SLICE_CHARS):
             pos, neg = Counter(), Counter()
             for label, text in zip(labels, texts):
-                hits = {plain(t) for t in set((text or "").lower().split()) if (f := finder.look(t)) and not f[1]}
+                hits = set()
+                for token in set((text or "").lower().split()):
+                    if token not in known:
+                        if len(known) >= 300_000:
+                            known.clear()
+                        known[token] = spellings(plain(token))
+                    hits.update(known[token])
                 (pos if label else neg).update(hits)
             t = sorted(set(pos) | set(neg))
             yield pa.RecordBatch.from_arrays([pa.array(t, pa.string()), pa.array([pos[x] for x in t], pa.int64()),
@@ -227,9 +253,20 @@ def _share_limit(pos: int, neg: int, z: float = 1.64) -> float:
     return (p + z * z / (2 * n) - z * math.sqrt(p * (1 - p) / n + z * z / (4 * n * n))) / (1 + z * z / n)
 
 
+def words_under(stems: dict[str, float], terms: list[str]) -> dict[str, float]:
+    """The words among ``terms`` that begin with a stem, with its weight: what they weigh as they are
+    written, and whole words to compare misspelt ones with."""
+    out = {}
+    for t in terms:
+        stem = next((t[:k] for k in STEMS if t[:k] in stems), None)
+        if stem and not t.endswith("*"):
+            out[t] = stems[stem]
+    return out
+
+
 def choose_terms(counts: list[tuple[str, int, int]], n_pos: int, n_neg: int) -> tuple[dict, dict]:
     """Words and stems (given with a star) worth keeping. A stem must say more than its best word,
-    and a term under a kept stem is dropped."""
+    and a term under a kept stem is left to it."""
     weight = {t: math.log((p + 0.5) / (n_pos + 1)) - math.log((n + 0.5) / (n_neg + 1)) for t, p, n in counts}
     pos = {t: p for t, p, _ in counts}
     good = sorted((t for t, p, n in counts if p and _share_limit(p, n) >= SHARE_LIMIT and weight[t] > 2), key=lambda t: (len(t), t))
@@ -299,7 +336,8 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         sums = [(t, sum(c[2 * h] for h in halves), sum(c[2 * h + 1] for h in halves)) for t, *c in top]
         words, stems = choose_terms([x for x in sums if x[1]], n_pos, n_neg)
         keep = set(sorted([*words, *stems], key=lambda t: -(words.get(t) or stems.get(t)))[:max_terms])
-        lexicon = Lexicon({w: v for w, v in words.items() if w in keep}, {s: v for s, v in stems.items() if s in keep})
+        words, stems = ({t: v for t, v in x.items() if t in keep} for x in (words, stems))
+        lexicon = Lexicon(words | words_under(stems, [x[0] for x in sums if x[1]]), stems)
         seen = rows.filter(F.col("half").isin(list(halves))).mapInArrow(_near_words(lexicon), "term string, pos long, neg long")
         # words of clean documents that happen to be one edit from a term; bounded as the sample is
         lexicon.innocent = {r[0] for r in seen.groupBy("term").agg(F.sum("neg").alias("neg")).filter("neg > 0").select("term").collect()}

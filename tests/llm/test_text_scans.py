@@ -178,3 +178,13 @@ def test_hard_rows(spark, make):
     assert got[4] > got[2] and got[3] > got[2] and got[None] > 0.5
     assert T.score(make([]), model).collect() == []
     assert T.train(make([]), labels).beta is None
+
+
+def test_misspelt_stems_and_four_letter_terms():
+    lexicon = T.Lexicon({"scum": 3.0} | T.words_under({"idiot": 4.0}, ["idiots", "idiotic", "idiom", "idioti*"]), {"idiot": 4.0}, {"sum", "idio*", "idiom*"})
+    assert set(lexicon.words) == {"scum", "idiots", "idiotic"}
+    for word in ("iddiot", "ibiot", "iddiots", "idotic", "idiiotically", "diots"):
+        assert lexicon.find(word) == (4.0, False), word
+    assert lexicon.find("idiotically") == (4.0, True)
+    assert lexicon.find("scumm") == lexicon.find("skum") == lexicon.find("scu") == (3.0, False)
+    assert lexicon.find("sum") is lexicon.find("ideas") is lexicon.find("patriot") is lexicon.find("idiom") is None
