@@ -153,19 +153,28 @@ class Finder:
 
     def features(self, text: str | None) -> list[float]:
         """log(1 + evidence) of plain exact, plain near, and quoted hits; and of exact ones per 100
-        different words. Each different word counts once, so repetition changes nothing."""
+        different words. Each different word counts once, so repetition changes nothing; it is
+        quoted only if it is at every place."""
         low = (text or "").lower()
-        tokens = sorted(set(low.split()))
+        tokens = set(low.split())
+        hits = {token: found for token in tokens if (found := self.look(token))}
+        words: dict[str, tuple] = {}
+        if hits:
+            for m in re.finditer(r"\S+", low):
+                token = m.group()
+                if token in hits:
+                    word = plain(token)
+                    if word not in words or words[word][1]:
+                        at = m.start() + len(token) - len(token.lstrip(EDGE))
+                        words[word] = (hits[token], quoted(low, at))
         exact = near = quote = 0.0
-        for token in tokens:
-            found = self.look(token)
-            if found:
-                if quoted(low, low.find(token)):
-                    quote += found[0]
-                elif found[1]:
-                    exact += found[0]
-                else:
-                    near += found[0]
+        for _, ((weight, as_written), in_quotes) in sorted(words.items()):
+            if in_quotes:
+                quote += weight
+            elif as_written:
+                exact += weight
+            else:
+                near += weight
         return [math.log1p(exact), math.log1p(near), math.log1p(quote), math.log1p(100 * exact / max(1, len(tokens)))]
 
 

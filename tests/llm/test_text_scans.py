@@ -188,3 +188,15 @@ def test_misspelt_stems_and_four_letter_terms():
     assert lexicon.find("idiotically") == (4.0, True)
     assert lexicon.find("scumm") == lexicon.find("skum") == lexicon.find("scu") == (3.0, False)
     assert lexicon.find("sum") is lexicon.find("ideas") is lexicon.find("patriot") is lexicon.find("idiom") is None
+
+
+def test_each_place_of_a_word_is_judged():
+    features = T.Finder(T.Lexicon({"idiot": 4.0}, {})).features
+    once = features("you are an idiot , really")
+    assert once[0] > 0 == once[2]
+    for text in ('he said "idiot" to me\nyou are an idiot', "he said idiot to me. and so on, you idiot", '"idiot," he said\nyou idiot!',
+                 'she called: idiotproof it is\nyou idiot'):
+        assert features(text)[:3] == once[:3], text
+    for text in ('he said "idiot" twice', 'the "idiot" and\nthe "idiot" again'):
+        got = features(text)
+        assert got[0] == 0 < got[2], text
