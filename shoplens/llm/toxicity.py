@@ -262,6 +262,12 @@ def _share_limit(pos: int, neg: int, z: float = 1.64) -> float:
     return (p + z * z / (2 * n) - z * math.sqrt(p * (1 - p) / n + z * z / (4 * n * n))) / (1 + z * z / n)
 
 
+def innocent(pos, neg):
+    """Whether too few of a spelling's documents are toxic for it to be a misspelt term. One clean,
+    quoting or mislabelled document among many toxic ones does not bar it."""
+    return pos < SHARE_LIMIT * (pos + neg)
+
+
 def words_under(stems: dict[str, float], terms: list[str]) -> dict[str, float]:
     """The words among ``terms`` that begin with a stem, with its weight: what they weigh as they are
     written, and whole words to compare misspelt ones with."""
@@ -348,8 +354,9 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         words, stems = ({t: v for t, v in x.items() if t in keep} for x in (words, stems))
         lexicon = Lexicon(words | words_under(stems, [x[0] for x in sums if x[1]]), stems)
         seen = rows.filter(F.col("half").isin(list(halves))).mapInArrow(_near_words(lexicon), "term string, pos long, neg long")
-        # words of clean documents that happen to be one edit from a term; bounded as the sample is
-        lexicon.innocent = {r[0] for r in seen.groupBy("term").agg(F.sum("neg").alias("neg")).filter("neg > 0").select("term").collect()}
+        # spellings that happen to be one edit from a term, clean by share; bounded as the sample is
+        seen = seen.groupBy("term").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
+        lexicon.innocent = {r[0] for r in seen.filter(innocent(F.col("pos"), F.col("neg"))).select("term").collect()}
         return lexicon
 
     if not all(sizes.get((h, y)) for h in (0, 1) for y in (0, 1)):

@@ -200,3 +200,24 @@ def test_each_place_of_a_word_is_judged():
     for text in ('he said "idiot" twice', 'the "idiot" and\nthe "idiot" again'):
         got = features(text)
         assert got[0] == 0 < got[2], text
+
+
+def test_a_spelling_is_barred_by_share():
+    assert T.innocent(0, 1) and T.innocent(1, 1) and T.innocent(5, 4)
+    assert not T.innocent(3, 0) and not T.innocent(30, 1)
+
+
+def test_one_clean_document_does_not_bar_a_misspelling(spark, make):
+    rng = random.Random(11)
+    rows, marks = [], []
+    for i in range(240):
+        w = [f"word{rng.randrange(3000)}" for _ in range(40)]
+        toxic = i < 120
+        if toxic:
+            w += ["moron", "morron"] if i % 8 == 0 else ["moron"]
+        elif i == 200:
+            w.append("morron")
+        rows.append((i, " ".join(w)))
+        marks.append((i, int(toxic)))
+    model = T.train(make(rows), spark.createDataFrame(marks, "doc_id long, toxic int"))
+    assert "morron" not in model.lexicon.innocent and model.lexicon.find("morron")
