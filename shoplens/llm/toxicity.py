@@ -22,7 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import batches, free_name, held_out, materialize
@@ -279,6 +279,15 @@ def words_under(stems: dict[str, float], terms: list[str]) -> dict[str, float]:
     return out
 
 
+def _telling(pos: Column, neg: Column, n_pos: int, n_neg: int, z: float = 1.64) -> Column:
+    """What ``choose_terms`` asks of a term, with a little room for rounding."""
+    n = F.greatest(pos + neg, F.lit(1))
+    p = pos / n
+    limit = (p + z * z / (2 * n) - z * F.sqrt(p * (1 - p) / n + z * z / (4 * n * n))) / (1 + z * z / n)
+    weight = F.log((pos + 0.5) / (n_pos + 1)) - F.log((neg + 0.5) / (n_neg + 1))
+    return (pos > 0) & (limit >= SHARE_LIMIT - 1e-9) & (weight > 2 - 1e-9)
+
+
 def choose_terms(counts: list[tuple[str, int, int]], n_pos: int, n_neg: int) -> tuple[dict, dict]:
     """Words and stems (given with a star) worth keeping. A stem must say more than its best word,
     and a term under a kept stem is left to it."""
@@ -342,9 +351,11 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     sizes = {(r["half"], r["toxic"]): r["count"] for r in rows.groupBy("half", "toxic").count().collect()}
     columns = ["pos0", "neg0", "pos1", "neg1"]
     counts = rows.mapInArrow(_count, "term string, " + ", ".join(f"{c} long" for c in columns)).filter("term <> ''").groupBy("term").agg(
-        *[F.sum(c).alias(c) for c in columns]).filter("pos0 + pos1 >= 4 and pos0 + pos1 > neg0 + neg1")
-    # the terms that tell most: at most 4 * max_terms, whatever the vocabulary
-    top = [tuple(r) for r in counts.orderBy(F.expr("neg0 + neg1 - pos0 - pos1"), "term").limit(4 * max_terms).collect()]
+        *[F.sum(c).alias(c) for c in columns])
+    # all that can tell in a half or in both, by the test of choose_terms; bounded as the sample is
+    telling = [_telling(F.col(f"pos{h}"), F.col(f"neg{h}"), *(sizes.get((h, y), 0) for y in (1, 0))) for h in (0, 1)]
+    telling.append(_telling(F.expr("pos0 + pos1"), F.expr("neg0 + neg1"), *(sum(sizes.get((h, y), 0) for h in (0, 1)) for y in (1, 0))))
+    top = [tuple(r) for r in counts.filter(telling[0] | telling[1] | telling[2]).collect()]
 
     def learn(halves: tuple[int, ...]) -> Lexicon:
         n_pos, n_neg = (sum(sizes.get((h, y), 0) for h in halves) for y in (1, 0))

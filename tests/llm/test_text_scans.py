@@ -221,3 +221,19 @@ def test_one_clean_document_does_not_bar_a_misspelling(spark, make):
         marks.append((i, int(toxic)))
     model = T.train(make(rows), spark.createDataFrame(marks, "doc_id long, toxic int"))
     assert "morron" not in model.lexicon.innocent and model.lexicon.find("morron")
+
+
+def test_rare_telling_terms_are_not_crowded_out(spark, make):
+    """Frequent words of little weight do not take the place of a rare term, however few places there are."""
+    rng = random.Random(12)
+    rows, marks = [], []
+    for i in range(400):
+        toxic = i < 200
+        w = [f"p{rng.randrange(10**6)}" for _ in range(30)]
+        w += [f"com{c}" for c in "abcdefghijkl" if rng.random() < (0.9 if toxic else 0.3)]
+        if toxic and i % 8 < 2:
+            w.append("vermin")
+        rows.append((i, " ".join(w)))
+        marks.append((i, int(toxic)))
+    model = T.train(make(rows), spark.createDataFrame(marks, "doc_id long, toxic int"), max_terms=2)
+    assert model.lexicon.find("vermin")
