@@ -8,7 +8,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -63,6 +63,26 @@ def shuffle_width(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
+def thin_parts(spark: SparkSession, groups: int) -> int:
+    """Partitions for ``groups`` groups of costly work: hashed so thin that two seldom meet while
+    there are few."""
+    return max(1, min(4 * groups, max(shuffle_width(spark), 1000)))
+
+
+def numbered(df: DataFrame, order: list, by: list[str] | None = None, name: str = "__n") -> DataFrame:
+    """A written copy of ``df`` with ``name``: the row's place (from 0) in ``order``, within rows of equal
+    ``by``. Rows are dealt by ranges of ``by`` and ``order`` and sorted there; only the ranges' counts
+    are added up, so no group is in one task, however large, if ``order`` tells its rows apart."""
+    by, cols = by or [], [f"`{c}`" for c in df.columns]
+    keys = [F.col(c) for c in by] + list(order)
+    rows = df.repartitionByRange(*keys).sortWithinPartitions(*keys)
+    rows = materialize(rows.withColumn("__part", F.spark_partition_id()).withColumn("__row", F.monotonically_increasing_id()))
+    size = rows.groupBy(*by, "__part").agg(F.count("*").alias("__size"), F.min("__row").alias("__first"))
+    before = F.sum("__size").over(Window.partitionBy(*by).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1))
+    begin = materialize(size.select(*by, "__part", (F.coalesce(before, F.lit(0)) - F.col("__first")).alias("__begin")))
+    return rows.join(begin, [*by, "__part"]).select(*cols, (F.col("__row") + F.col("__begin")).alias(name))
+
+
 def ascii_lower(c: Column) -> Column:
     """A-Z to a-z, all else as it is. All-ASCII texts take the JVM's quick path."""
     return F.when(F.octet_length(c) == F.length(c), F.lower(c)).otherwise(F.translate(c, UPPER, LOWER))
