@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from shoplens.llm import decontaminate, exact_dedup, jaccard_join, line_dedup, mixing, ngram_lm, pii, secrets, toxicity, warc
+from shoplens.llm import (decontaminate, exact_dedup, jaccard_join, line_dedup, merkle, mixing, ngram_lm, pii, resampling,
+                          secrets, toxicity, vector_graph, warc)
 
 QUERIES = {
     "op1_warc": warc.op1_warc,
@@ -15,6 +16,9 @@ QUERIES = {
     "op8_toxicity": toxicity.op8_toxicity,
     "op9_pareto_mix": mixing.op9_pareto_mix,
     "op10_exact_dedup": exact_dedup.op10_exact_dedup,
+    "op11_vector_graph": vector_graph.op11_vector_graph,
+    "op12_importance_resample": resampling.op12_importance_resample,
+    "op13_merkle_manifest": merkle.op13_merkle_manifest,
 }
 
 SQL = {
