@@ -26,4 +26,6 @@ SQL = {
     "op3_decontaminate": decontaminate.OP3_SQL,
     "op7_line_dedup": line_dedup.OP7_SQL,
     "op10_exact_dedup": exact_dedup.OP10_SQL,
+    "op12_importance_resample": resampling.OP12_SQL,
+    "op13_merkle_manifest": merkle.OP13_SQL,
 }

@@ -225,3 +225,44 @@ def op12_importance_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, target = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("documents", "benchmark"))
     out = resample(docs, target, keep=["doc_id"])
     return out.select("doc_id", *[F.col(f"__{c}").alias(n) for c, n in (("features", "n_features"), ("weight", "weight"), ("score", "score"), ("rank", "rank"))])
+
+
+#: Run hashes by CRC-32 over UTF-8 bytes, one hash a distinct run.
+OP12_SQL = r"""
+WITH RECURSIVE bits AS (SELECT i, 0 AS step, i AS crc FROM range(256) t(i)
+  UNION ALL SELECT i, step + 1, CASE WHEN crc & 1 = 1 THEN xor(crc >> 1, 3988292384) ELSE crc >> 1 END FROM bits WHERE step < 8),
+crc_of AS (SELECT list(crc ORDER BY i) AS tab FROM bits WHERE step = 8),
+items AS (
+  SELECT row_number() OVER () AS r, doc_id, text FROM documents
+  UNION ALL SELECT -row_number() OVER (), NULL, text FROM benchmark),
+split AS (
+  SELECT r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM items),
+found AS (
+  SELECT r, f, count(*) AS n FROM (SELECT r, unnest(list_concat(w,
+      list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]),
+      list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]))) AS f FROM split) GROUP BY ALL),
+hashed AS (
+  SELECT f, xor(list_reduce(list_prepend(4294967295::BIGINT, flatten(list_transform(string_split(f, ''), lambda c:
+        CASE WHEN unicode(c) < 128 THEN [unicode(c)::BIGINT]
+          WHEN unicode(c) < 2048 THEN [192 + (unicode(c) >> 6), 128 + (unicode(c) & 63)]::BIGINT[]
+          WHEN unicode(c) < 65536 THEN [224 + (unicode(c) >> 12), 128 + ((unicode(c) >> 6) & 63), 128 + (unicode(c) & 63)]::BIGINT[]
+          ELSE [240 + (unicode(c) >> 18), 128 + ((unicode(c) >> 12) & 63), 128 + ((unicode(c) >> 6) & 63), 128 + (unicode(c) & 63)]::BIGINT[] END))),
+      lambda crc, b: xor(crc >> 8, tab[1 + (xor(crc, b) & 255)])), 4294967295) % 10000 AS bucket
+  FROM (SELECT DISTINCT f FROM found), crc_of),
+per AS (SELECT r, bucket, sum(n) AS n FROM found JOIN hashed USING (f) GROUP BY ALL),
+shares AS (
+  SELECT bucket, coalesce(sum(n) FILTER (r > 0), 0)::DOUBLE AS s, coalesce(sum(n) FILTER (r < 0), 0)::DOUBLE AS t FROM per GROUP BY bucket),
+gain AS (
+  SELECT bucket, floor(1000 * ln((t + 1) * ((SELECT sum(s) FROM shares) + 10000) / ((s + 1) * ((SELECT sum(t) FROM shares) + 10000))))::BIGINT AS g FROM shares),
+weighed AS (
+  SELECT d.r, any_value(d.doc_id) AS doc_id, any_value(len(d.w)) AS n_words, coalesce(sum(p.n), 0)::BIGINT AS n_features, coalesce(sum(p.n * g.g), 0)::BIGINT AS weight
+  FROM split d LEFT JOIN per p ON p.r = d.r LEFT JOIN gain g ON g.bucket = p.bucket WHERE d.r > 0 GROUP BY d.r),
+scored AS (
+  SELECT *, (weight + floor(-1000 * ln(-ln((('0x' || substr(sha256('42:' || coalesce(doc_id::VARCHAR, '')), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296::DOUBLE))))::BIGINT AS score
+  FROM weighed),
+ordered AS (
+  SELECT *, row_number() OVER (PARTITION BY n_words >= 20 ORDER BY score DESC, doc_id NULLS LAST, r) AS place, 5 * count(*) FILTER (n_words >= 20) OVER () // 100 AS k
+  FROM scored)
+SELECT doc_id, n_features, weight, score, CASE WHEN n_words >= 20 AND place <= k THEN place END AS rank FROM ordered
+"""
