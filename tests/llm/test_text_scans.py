@@ -126,7 +126,7 @@ def distance(a, b):
 
 def test_automaton_finds_what_is_one_edit_away():
     rng = random.Random(2)
-    terms = {"".join(rng.choice("abcde") for _ in range(rng.randrange(5, 9))): 1.0 for _ in range(60)}
+    terms = {"".join(rng.choice("abcde") for _ in range(rng.randrange(5, 9))): float(i) for i in range(60)}
     lexicon = T.Lexicon(terms, {})
     for _ in range(4000):
         word = list(rng.choice(list(terms)))
@@ -135,9 +135,7 @@ def test_automaton_finds_what_is_one_edit_away():
             word[at:at + rng.randrange(3)] = rng.choice(["", "x", "ab"])
             word = word or ["a"]
         word = "".join(word)
-        found = lexicon.near(word)
-        near = {t for t in terms if distance(word, t) <= 1}
-        assert (found in near) if near else (found is None)
+        assert sorted(lexicon.near(word)) == sorted((word, weight) for t, weight in terms.items() if distance(word, t) <= 1)
 
 
 def test_quotation():
@@ -156,6 +154,25 @@ def test_held_out_accuracy(spark):
     assert all(0 <= r.score <= 1 for r in out)
 
 
+@pytest.mark.parametrize("sf,share", [("sf0.001", 0.5), ("sf0.01", 0.6), ("sf0.1", 0.9)])
+def test_toxic_documents_are_found_at_every_size(spark, sf, share):
+    """Of all labelled rows. In the smaller tables a third of the toxic documents hold only words of
+    languages with a handful of examples, too few to learn from; clean documents stay clean."""
+    sf = f"/root/testdata/{sf}"
+    out = T.op8_toxicity(spark, sf).join(spark.read.parquet(f"{sf}/labels.parquet"), "doc_id").collect()
+    toxic, clean = ([r.predicted for r in out if r.toxic == y] for y in (1, 0))
+    assert sum(toxic) >= share * len(toxic) and sum(clean) <= 0.01 * len(clean)
+
+
+def test_chance_terms_are_not_telling():
+    # 400 terms in three documents of which a tenth is toxic: chance gives 0.4 with three toxic ones
+    cells = {(0, 3): 290, (1, 2): 100, (2, 1): 9, (3, 0): 1}
+    assert T.telling(cells, 10, 90) == {}
+    assert set(T.telling(cells | {(3, 0): 8}, 10, 90)) == {(3, 0)}
+    assert T.telling({(9, 0): 1, (0, 1): 500}, 10, 90) and T.telling(cells, 0, 90) == T.telling(cells, 10, 0) == {}
+    assert abs(T._at_least(3, 5, 0.3) - (10 * 0.3 ** 3 * 0.7 ** 2 + 5 * 0.3 ** 4 * 0.7 + 0.3 ** 5)) < 1e-12
+
+
 def test_hard_rows(spark, make):
     bad = "you are an idiot and a moron, worthless trash"
     rng = random.Random(9)
@@ -224,7 +241,7 @@ def test_one_clean_document_does_not_bar_a_misspelling(spark, make):
 
 
 def test_rare_telling_terms_are_not_crowded_out(spark, make):
-    """Frequent words of little weight do not take the place of a rare term, however few places there are."""
+    """Frequent words of little weight do not take the place of a rare term."""
     rng = random.Random(12)
     rows, marks = [], []
     for i in range(400):
@@ -235,5 +252,5 @@ def test_rare_telling_terms_are_not_crowded_out(spark, make):
             w.append("vermin")
         rows.append((i, " ".join(w)))
         marks.append((i, int(toxic)))
-    model = T.train(make(rows), spark.createDataFrame(marks, "doc_id long, toxic int"), max_terms=2)
+    model = T.train(make(rows), spark.createDataFrame(marks, "doc_id long, toxic int"))
     assert model.lexicon.find("vermin")
