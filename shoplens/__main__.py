@@ -2,7 +2,7 @@
 
     python -m shoplens job dau --source kafka --bootstrap host:9092 --out DIR --checkpoint DIR
     python -m shoplens job alerts --source files --topics DIR --out DIR --checkpoint DIR
-    python -m shoplens compact dau --out DIR --to TABLE_DIR
+    python -m shoplens compact dau --out DIR [--to TABLE_DIR]
     python -m shoplens report kpi --dau DIR --orders DIR --date 2024-01-15
     python -m shoplens report hourly --id dau --dau DIR --date 2024-01-15
     python -m shoplens report search --sales DIR --date 1996-09-17 --keyword red --page 1 --size 5
@@ -73,11 +73,15 @@ def run_job(spark, args) -> list:
 
 
 def run_compact(spark, args) -> None:
-    """Fold a job's batches into one day-partitioned table at ``--to``."""
+    """Fold a stopped job's batches into its base, in place; with ``--to``, also write the table, partitioned
+    by day, to a new folder."""
     from shoplens.streaming import jobs
-    read, day = {"dau": (jobs.read_dau, "log_date"), "orders": (jobs.read_orders, "create_date"),
-                 "sales": (jobs.read_sales, "dt")}[args.name]
-    read(spark, args.out).write.mode("errorifexists").partitionBy(day).parquet(args.to)
+    for store in jobs.STORES[args.name](spark, args.out):
+        store.compact()
+    if args.to:
+        read, day = {"dau": (jobs.read_dau, "log_date"), "orders": (jobs.read_orders, "create_date"),
+                     "sales": (jobs.read_sales, "dt")}[args.name]
+        read(spark, args.out).write.mode("errorifexists").partitionBy(day).parquet(args.to)
 
 
 def run_report(spark, args) -> list[dict]:
@@ -85,29 +89,32 @@ def run_report(spark, args) -> list[dict]:
     from shoplens.plans import reports
     from shoplens.streaming import jobs
 
-    def table(path, read, day):
-        """A job's folder through the job's reader, or a compacted table."""
+    def table(path, kind, read, day, days):
+        """The days of a job's table (batches and base alike), or of an exported one."""
         from pyspark.sql import functions as F
-        from shoplens.streaming import sinks
-        if sinks.has_batches(spark, path if day != "dt" else f"{path}/sales"):
-            return read(spark, path)
+        if jobs.STORES[kind](spark, path)[-1 if kind != "sales" else 2].manifest():
+            return read(spark, path, days)
         from shoplens.sources.tables import read_serving_table
         return read_serving_table(spark, path).withColumn(day, F.col(day).cast("string"))
 
+    from shoplens.functions.timeparts import previous_day
+    both = [args.date, previous_day(args.date)]
+
     def rows(df):
         return [r.asDict() for r in df.collect()]   # bounded answers only
 
     if args.name == "kpi":
-        dau, orders = table(args.dau, jobs.read_dau, "log_date"), table(args.orders, jobs.read_orders, "create_date")
+        dau = table(args.dau, "dau", jobs.read_dau, "log_date", None)   # a device's first day may be any
+        orders = table(args.orders, "orders", jobs.read_orders, "create_date", [args.date])
         return rows(reports.kpi_panel_for_date(dau, orders, args.date))
     if args.name == "hourly":
-        source = (table(args.dau, jobs.read_dau, "log_date") if args.id == "dau"
-                  else table(args.orders, jobs.read_orders, "create_date"))
+        source = (table(args.dau, "dau", jobs.read_dau, "log_date", both) if args.id == "dau"
+                  else table(args.orders, "orders", jobs.read_orders, "create_date", both))
         return rows(reports.realtime_hour(args.id, source, args.date))
     if args.name == "search":
         if not 0 <= args.size <= MAX_PAGE:
             raise ValueError(f"--size is at most {MAX_PAGE}: a page is printed by the driver")
-        rep = search.sale_report(table(args.sales, jobs.read_sales, "dt"), args.date, args.keyword, args.page, args.size,
+        rep = search.sale_report(table(args.sales, "sales", jobs.read_sales, "dt", None), args.date, args.keyword, args.page, args.size,
                                  args.empty_keyword, materialize="checkpoint")
         return [json.loads(r["answer"]) for r in rows(search.report_json(rep))]
     raise ValueError(args.name)
@@ -141,9 +148,9 @@ def parser() -> argparse.ArgumentParser:
     j.add_argument("--changes", help="folder of change entries (router)")
     j.add_argument("--raw", help="folder of raw log lines (collector)")
     c = sub.add_parser("compact")
-    c.add_argument("name", choices=["dau", "orders", "sales"])
+    c.add_argument("name", choices=["dau", "orders", "alerts", "sales"])
     c.add_argument("--out", required=True, help="the job's folder")
-    c.add_argument("--to", required=True, help="a new folder")
+    c.add_argument("--to", help="a new folder for a day-partitioned copy")
     r = sub.add_parser("report")
     r.add_argument("name", choices=["kpi", "hourly", "search"])
     r.add_argument("--date", required=True)

@@ -205,8 +205,8 @@ def q_coupon_alerts_throttled(spark, sf):
 
 
 def q_coupon_alert_accounts(spark, sf):
-    ev = td.event_log(spark, sf)
-    return alert_ops.alert_accounts(ev, alert_table(spark, sf), **_alert_args())
+    parts = panes(spark, sf)
+    return alert_ops.alert_accounts(parts, alert_ops.coupon_alerts(parts, **_alert_args(), min_accounts=ALERT_MIN_ACCOUNTS), **_alert_args())
 
 
 def q_coupon_alert_items(spark, sf):

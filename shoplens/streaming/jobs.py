@@ -1,17 +1,18 @@
 """Streaming jobs: DAU, order ingestion, coupon alerts, sales wide table,
 change-feed routing and log collection.
 
-A job's state is its stored table, not a watermark: each micro-batch is
+A job's state is its stored tables (``state.DayTable``), not a watermark: each micro-batch is
 compared with what earlier batches stored for the days it touches, so no row
 is dropped however late or in whatever order it arrives. A batch writes only
-its own ``batch_id=N`` folders (overwritten by a replay) and reads only batches
-below N. Batches are written out first and joined from there with the job's own
-session, where AQE splits hot keys. Messages that cannot be parsed go to a
-rejects folder.
+its own folders (overwritten by a replay), reads only batches below its own, and
+opens the files of its days only. Batches are written out first and joined from there with
+the job's own session, where AQE splits hot keys. Messages that cannot be parsed go to a
+rejects folder. ``layout``: arguments of the job's tables (``span``, ``fold_every``, ``grace``).
 """
 
 from __future__ import annotations
 
+import datetime as dt
 from typing import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -27,22 +28,12 @@ from shoplens.operators import routing, sales
 from shoplens.operators.dedup import keep_first, keep_last
 from shoplens.sources.tables import lookup_by_ids
 from shoplens.streaming import sinks
+from shoplens.streaming.state import DayTable
 
 DEFAULT_TRIGGER = {"processingTime": "3 seconds"}
 Parser = Callable[[DataFrame], tuple[DataFrame, DataFrame]]
 
 
-def _days(df: DataFrame, col: str) -> list:
-    """The distinct days of a batch: one value per calendar day."""
-    return [r[0] for r in df.select(col).distinct().collect()]
-
-
-def _write_by_day(df: DataFrame, day: str, path: str) -> None:
-    """One folder per batch, rows in order of day: a backfill over years writes as few files as
-    a batch of one day, and day filters still skip row groups by their statistics."""
-    df.sortWithinPartitions(day).write.mode("overwrite").parquet(path)
-
-
 def _write_rejects(rejects: DataFrame, path: str, batch_id: int) -> None:
     rejects.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
@@ -53,8 +44,12 @@ def _start(raw: DataFrame, write, checkpoint: str, trigger: dict | None, name: s
 
 # --- daily actives -----------------------------------------------------------
 
+def dau_store(spark: SparkSession, path: str, **layout) -> DayTable:
+    return DayTable(spark, path, "LOG_DATE", lambda t: keep_first(t, ["LOG_DATE", "MID"], ["TS"]), ["LOG_DATE", "MID"], **layout)
+
+
 def start_dau(raw: DataFrame, path: str, checkpoint: str, trigger: dict | None = None,
-              parser: Parser = parse.startup_logs, keep: str = "arrival") -> StreamingQuery:
+              parser: Parser = parse.startup_logs, keep: str = "arrival", layout: dict | None = None) -> StreamingQuery:
     """Keep one startup per (date, device) in the 11-column table, names upper-cased.
 
     A batch is reduced to its earliest row per key (a partial aggregate, so a
@@ -63,67 +58,85 @@ def start_dau(raw: DataFrame, path: str, checkpoint: str, trigger: dict | None =
     adds a row earlier than the stored one, which ``read_dau`` then returns.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
+        store = dau_store(batch.sparkSession, path, **(layout or {}))
         batch.persist()
         try:
             rows, rejects = parser(batch)
             _write_rejects(rejects, f"{path}_rejects", batch_id)
-            table = rows.select(*schemas.DAU_TABLE)
-            first = keep_first(table, dau_ops.DAU_KEYS, ["ts"]).persist()
-            if sinks.has_batches(spark, path, batch_id):
-                stored = sinks.read_batches(spark, path, before=batch_id).where(F.col("LOG_DATE").isin(_days(first, "log_date")))
-                known = stored.groupBy(F.col("LOG_DATE").alias("log_date"), F.col("MID").alias("mid")).agg(F.min("TS").alias("_ts"))
-                joined = first.join(known, dau_ops.DAU_KEYS, "left")
+            table = rows.select(*[F.col(c).alias(c.upper()) for c in schemas.DAU_TABLE])
+            first = keep_first(table, store.keys, ["TS"]).persist()
+            stored = store.rows(store.days(first), before=batch_id)
+            out = first
+            if stored is not None:
+                known = stored.groupBy(*store.keys).agg(F.min("TS").alias("_ts"))
                 new = F.col("_ts").isNull()
-                out = joined.where(new | (F.col("ts") < F.col("_ts")) if keep == "earliest" else new).drop("_ts")
-            else:
-                out = first
-            upper = out.select(*[F.col(c).alias(c.upper()) for c in schemas.DAU_TABLE])
-            _write_by_day(upper, "LOG_DATE", f"{path}/batch_id={batch_id}")
+                out = first.join(known, store.keys, "left").where(new | (F.col("TS") < F.col("_ts")) if keep == "earliest" else new)
+            store.write(out.select(*first.columns), batch_id)
             first.unpersist()
         finally:
             batch.unpersist()
     return _start(raw, write, checkpoint, trigger, "dau")
 
 
-def read_dau(spark: SparkSession, path: str) -> DataFrame:
-    """The DAU table with lower-case names, one row per (date, device)."""
-    t = sinks.read_batches(spark, path).select(*[F.col(c.upper()).alias(c) for c in schemas.DAU_TABLE])
-    return keep_first(t, dau_ops.DAU_KEYS, ["ts"])
+def read_dau(spark: SparkSession, path: str, days: list[str] | None = None) -> DataFrame:
+    """The DAU table (of ``days``) with lower-case names, one row per (date, device)."""
+    return dau_store(spark, path).read(days).select(*[F.col(c.upper()).alias(c) for c in schemas.DAU_TABLE])
 
 
 # --- orders ------------------------------------------------------------------
 
+#: Which of an order's versions stands: the last change, then the last delivery.
+ORDER_VERSION = ["operate_time", "create_time"]
+
+
+def order_store(spark: SparkSession, path: str, **layout) -> DayTable:
+    version = [*(c.upper() for c in ORDER_VERSION), "batch_id"]
+    return DayTable(spark, path, "CREATE_DATE", lambda t: keep_last(t, ["ID"], version), ["ID"], **layout)
+
+
 def start_orders(raw_orders: DataFrame, path: str, rejects_path: str, checkpoint: str,
-                 trigger: dict | None = None) -> StreamingQuery:
+                 trigger: dict | None = None, layout: dict | None = None) -> StreamingQuery:
     """Order ingestion: parse, mask, derive date/hour into the 20-column table,
     names upper-cased; malformed rows to a rejects folder in the same batch.
-    The table's key is the order id (``read_orders``): a redelivery replaces."""
+    The table's key is the order id (``read_orders``): a redelivery replaces, an older version does not."""
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.persist()  # parsed by two consumers: rows and rejects
         try:
             rows, rejects = parse.order_infos(batch)
-            rows = keep_last(rows.select(*schemas.ORDER_TABLE), ["id"], ["operate_time", "create_time"])
+            rows = keep_last(rows.select(*schemas.ORDER_TABLE), ["id"], ORDER_VERSION)
             upper = rows.select(*[F.col(c).alias(c.upper()) for c in schemas.ORDER_TABLE])
-            _write_by_day(upper, "CREATE_DATE", f"{path}/batch_id={batch_id}")
+            order_store(batch.sparkSession, path, **(layout or {})).write(upper, batch_id)
             _write_rejects(rejects, rejects_path, batch_id)
         finally:
             batch.unpersist()
     return _start(raw_orders, write, checkpoint, trigger, "orders")
 
 
-def read_orders(spark: SparkSession, path: str) -> DataFrame:
-    """The order table with lower-case names: the latest row of each id."""
-    t = sinks.read_batches(spark, path).select("batch_id", *[F.col(c.upper()).alias(c) for c in schemas.ORDER_TABLE])
-    return keep_last(t, ["id"], ["batch_id"]).drop("batch_id")
+def read_orders(spark: SparkSession, path: str, days: list[str] | None = None) -> DataFrame:
+    """The order table (of ``days``; an order's creation day does not change) with lower-case names:
+    the latest version of each id."""
+    return order_store(spark, path).read(days).select(*[F.col(c.upper()).alias(c) for c in schemas.ORDER_TABLE])
 
 
 # --- coupon alerts ---------------------------------------------------------------
 
+def _sum_panes(t: DataFrame) -> DataFrame:
+    return t.groupBy("mid", "pane", "uid", "day").agg(F.sum("n").alias("n"), F.max("clicked").alias("clicked"), F.max("batch_id").alias("batch_id"))
+
+
+def pane_store(spark: SparkSession, path: str, **layout) -> DayTable:
+    return DayTable(spark, f"{path}/panes", "day", _sum_panes, ["mid"], **layout)
+
+
+def alert_store(spark: SparkSession, path: str, **layout) -> DayTable:
+    """A window's latest state; those that no longer alert are not part of the table."""
+    return DayTable(spark, f"{path}/alerts", "day", lambda t: keep_last(t, ["mid", "w"], ["batch_id"]).where("alerting"), ["mid"], **layout)
+
+
 def start_alerts(raw: DataFrame, path: str, checkpoint: str, length: str = "5 minutes",
                  slide: str = "6 seconds", min_accounts: int = 3, every: str = "1 minute",
                  trigger: dict | None = None, parser: Parser = parse.event_logs,
-                 show: int = 0) -> StreamingQuery:
+                 show: int = 0, layout: dict | None = None) -> StreamingQuery:
     """Alerts, and no other windows, in ``{path}/alerts``; pane partials in ``{path}/panes``.
 
     A batch adds its pane partials, not its events times the windows they are
@@ -137,47 +150,44 @@ def start_alerts(raw: DataFrame, path: str, checkpoint: str, length: str = "5 mi
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
+        panes_of, alerts_of = pane_store(spark, path, **(layout or {})), alert_store(spark, path, **(layout or {}))
         batch.persist()
         try:
             events, rejects = parser(batch)
             _write_rejects(rejects, f"{path}/rejects", batch_id)
             new = alert_ops._pane_partials(events, S, "event_time")
-            _write_by_day(new.withColumn("day", F.floor(F.col("pane") / per_day).cast("int")), "day",
-                          f"{path}/panes/batch_id={batch_id}")
+            mine = panes_of.write(new.withColumn("day", F.floor(F.col("pane") / per_day).cast("int")), batch_id)
         finally:
             batch.unpersist()
-        stored = spark.read.parquet(f"{path}/panes").where(F.col("batch_id") <= batch_id)
-        mine = stored.where(F.col("batch_id") == batch_id)
-        days = _days(mine, "day")
         reach = -(-k // per_day)
-        near = sorted({d + i for d in days for i in range(-reach, reach + 1)})
+        near = sorted({d + i for d in panes_of.days(mine) for i in range(-reach, reach + 1)})
+        old = panes_of.rows(near, before=batch_id)
+        stored = mine if old is None else mine.unionByName(old.drop("batch_id"))
         # panes that share a window with a touched pane of the device: by device
         # and block of k panes, then merged over batches
         block = F.floor(F.col("pane") / k)
         touched = mine.select("mid", F.explode(F.array(block - 1, block, block + 1)).alias("block")).distinct()
-        panes = (stored.where(F.col("day").isin(near)).withColumn("block", block).join(touched, ["mid", "block"], "left_semi")
+        panes = (stored.withColumn("block", block).join(touched, ["mid", "block"], "left_semi")
                  .groupBy("mid", "pane", "uid").agg(F.sum("n").alias("n"), F.max("clicked").alias("clicked")))
-        windows = alert_ops._expand_to_windows(mine.select("mid", "pane").distinct(), k).select("mid", "w").distinct()
-        alerts = alert_ops.coupon_alerts(panes, length, slide, min_accounts).join(windows, ["mid", "w"], "left_semi")
+        alerts = alert_ops.in_windows_of(alert_ops.coupon_alerts(panes, length, slide, min_accounts), mine, k)
         alerts = alerts.withColumn("alerting", F.lit(True))
-        if sinks.has_batches(spark, f"{path}/alerts", batch_id):
-            before = keep_last(sinks.read_batches(spark, f"{path}/alerts", before=batch_id), ["mid", "w"], ["batch_id"])
-            over = (before.where("alerting").join(windows, ["mid", "w"], "left_semi").join(alerts, ["mid", "w"], "left_anti")
-                    .drop("batch_id", "doc_id").withColumn("alerting", F.lit(False)))
+        before = alerts_of.rows(near, before=batch_id)
+        if before is not None:
+            over = (alert_ops.in_windows_of(alerts_of.fold(before), mine, k).join(alerts, ["mid", "w"], "left_anti")
+                    .drop("batch_id", "doc_id", "day").withColumn("alerting", F.lit(False)))
             alerts = alerts.unionByName(over)
         step = interval_micros(every)
         keyed = alerts.withColumn("doc_id", F.concat_ws(
             ":", "mid", bucket_index(ntz_to_epoch_micros("window_end"), step).cast("string")))
-        keyed.write.mode("overwrite").parquet(f"{path}/alerts/batch_id={batch_id}")
+        mine = alerts_of.write(keyed.withColumn("day", F.floor(F.col("w") / per_day).cast("int")), batch_id)
         if show:
-            spark.read.parquet(f"{path}/alerts/batch_id={batch_id}").where("alerting").show(show, truncate=False)
+            mine.where("alerting").drop("day").show(show, truncate=False)
     return _start(raw, write, checkpoint, trigger, "alerts")
 
 
 def read_alerts(spark: SparkSession, path: str) -> DataFrame:
     """The windows that alert, by their latest state."""
-    latest = keep_last(sinks.read_batches(spark, f"{path}/alerts"), ["mid", "w"], ["batch_id"])
-    return latest.where("alerting").drop("alerting", "batch_id")
+    return alert_store(spark, path).read().drop("alerting", "batch_id", "day")
 
 
 def read_throttled_alerts(spark: SparkSession, path: str) -> DataFrame:
@@ -194,73 +204,117 @@ def order_and_detail_messages(orders: DataFrame, details: DataFrame) -> DataFram
             .unionByName(details.select(F.lit("detail").alias("kind"), "value", "received_ts")))
 
 
+#: Pairs whose user is unknown wait in so many parts, by user.
+WAITING_PARTS = 64
+
+
+def _versions(keys: list[str], version: list[str]):
+    return lambda t: keep_last(t, keys, [*version, "batch_id"])
+
+
+def sale_stores(spark: SparkSession, path: str, **layout) -> dict[str, DayTable]:
+    """Orders and lines by the day of their event time, wide rows by order day, waiting pairs by part.
+    A redelivered message at another time is a version of its own, since it may be in another bound."""
+    def waiting(t: DataFrame) -> DataFrame:
+        return keep_last(t, ["order_id", "order_detail_id"], ["batch_id", "found"]).where("not found")
+
+    return {
+        "orders": DayTable(spark, f"{path}/orders", "day", _versions(["id", "order_ts"], ORDER_VERSION), ["id"], **layout),
+        "details": DayTable(spark, f"{path}/details", "day", _versions(["id", "order_id", "detail_ts"], []), ["order_id"], **layout),
+        "sales": DayTable(spark, f"{path}/sales", "dt", _versions(["doc_id"], []), ["doc_id"], **layout),
+        "waiting": DayTable(spark, f"{path}/waiting", "part", waiting, ["order_id"], **layout | {"span": 1}),
+    }
+
+
 def start_sales(messages: DataFrame, path: str, checkpoint: str,
                 read_users: Callable[[DataFrame], DataFrame], as_of: str | None = None,
                 bound: str = "30 minutes", trigger: dict | None = None,
-                order_time: Column | None = None, detail_time: Column | None = None) -> StreamingQuery:
+                order_time: Column | None = None, detail_time: Column | None = None,
+                layout: dict | None = None) -> StreamingQuery:
     """Pairs of orders and lines at most ``bound`` apart, in either order of arrival.
 
     New orders meet stored and new lines, new lines meet stored orders, of the
-    days the bound reaches. ``read_users`` is called for each batch with its
-    user ids and returns their rows as they are then; ages are as of the day of
-    the batch unless ``as_of`` is given. Pairs whose user is unknown yet wait
-    in ``{path}/waiting`` and are tried again with each batch.
+    days the bound reaches. ``read_users`` is called once for each batch with the
+    pairs to enrich and returns their users as they are then; they are written, and
+    all that follows reads that table, so a change of the dimension in between
+    loses no pair. Ages are as of the day of the batch unless ``as_of`` is given.
+
+    Pairs whose user is unknown yet wait in ``{path}/waiting``, in parts by user. A batch tries
+    the parts of its own users and one more in turn, so what waits is not read whole by every batch.
     Event time is the message's unless a column of the bound fields is given.
     """
     reach = -(-interval_micros(bound) // 86_400_000_000)
 
-    def store(kind: str, rows: DataFrame, time: Column | None, batch_id: int) -> None:
-        ts = F.timestamp_millis("received_ts") if time is None else time
-        out = rows.withColumn(f"{kind}_ts", ts.cast("timestamp_ntz")).withColumn("day", F.to_date(f"{kind}_ts"))
-        _write_by_day(out, "day", f"{path}/{kind}s/batch_id={batch_id}")
-
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
+        stores = sale_stores(spark, path, **(layout or {}))
+
+        def store(kind: str, rows: DataFrame, time: Column | None) -> DataFrame:
+            ts = F.timestamp_millis("received_ts") if time is None else time
+            out = rows.withColumn(f"{kind}_ts", ts.cast("timestamp_ntz")).withColumn("day", F.to_date(f"{kind}_ts"))
+            return stores[f"{kind}s"].write(out, batch_id)
+
         batch.persist()
         try:
             orders, bad_orders = parse.order_infos(batch.where("kind = 'order'").drop("kind"))
             details, bad_details = parse.order_details(batch.where("kind = 'detail'").drop("kind"))
-            store("order", orders, order_time, batch_id)
-            store("detail", details, detail_time, batch_id)
+            new_o, new_d = store("order", orders, order_time), store("detail", details, detail_time)
             _write_rejects(bad_orders.unionByName(bad_details), f"{path}/rejects", batch_id)
         finally:
             batch.unpersist()
-        o = spark.read.parquet(f"{path}/orders").where(F.col("batch_id") <= batch_id)
-        d = spark.read.parquet(f"{path}/details").where(F.col("batch_id") <= batch_id)
-        new_o, new_d = o.where(F.col("batch_id") == batch_id), d.where(F.col("batch_id") == batch_id)
-
-        def within(side: DataFrame, of: DataFrame) -> DataFrame:
-            first, last = of.agg(F.min("day"), F.max("day")).first()
-            if first is None:
-                return side.where(F.lit(False))
-            return side.where(F.col("day").between(F.date_sub(F.lit(first), reach), F.date_add(F.lit(last), reach)))
-
-        old_o = o.where(F.col("batch_id") < batch_id)
-        pairs = sales.sale_rows(sales.join_orders_details(new_o, within(d, new_o), bound)).unionByName(
-            sales.sale_rows(sales.join_orders_details(within(old_o, new_d), new_d, bound)))
-        if batch_id > 0 and sinks.has_batches(spark, f"{path}/waiting", batch_id):
-            waiting = spark.read.parquet(f"{path}/waiting/batch_id={batch_id - 1}")
-            pairs = pairs.unionByName(waiting)
-        pairs.write.mode("overwrite").parquet(f"{path}/pairs/batch_id={batch_id}")
-        pairs = spark.read.parquet(f"{path}/pairs/batch_id={batch_id}")
-        users = read_users(pairs)
-        wide = sales.enrich_users(pairs, users, as_of)
-        _write_by_day(sinks.with_doc_id(sales.SALE_KEY, trailing=":")(wide), "dt", f"{path}/sales/batch_id={batch_id}")
+
+        def stored(kind: str, of: DataFrame) -> DataFrame | None:
+            """Earlier rows of the days that the bound reaches from those of ``of``."""
+            days = {d + dt.timedelta(i) for d in stores[kind].days(of) for i in range(-reach, reach + 1)}
+            rows = stores[kind].rows(days, before=batch_id)
+            return None if rows is None else rows.drop("batch_id")
+
+        old_d, old_o = stored("details", new_o), stored("orders", new_d)
+        pairs = sales.sale_rows(sales.join_orders_details(new_o, new_d if old_d is None else new_d.unionByName(old_d), bound))
+        if old_o is not None:
+            pairs = pairs.unionByName(sales.sale_rows(sales.join_orders_details(old_o, new_d, bound)))
+        part = F.pmod(F.xxhash64("user_id"), F.lit(WAITING_PARTS)).cast("int")
+        pairs = _written(pairs.withColumn("part", part), f"{path}/pairs/batch_id={batch_id}")
+        parts = {*stores["waiting"].days(pairs), batch_id % WAITING_PARTS}
+        waiting = stores["waiting"].rows(parts, before=batch_id)
+        tried = pairs
+        if waiting is not None:
+            waiting = stores["waiting"].fold(waiting).drop("batch_id", "found")
+            tried = _written(pairs.unionByName(waiting), f"{path}/tried/batch_id={batch_id}")
+        users = _written(read_users(tried), f"{path}/users/batch_id={batch_id}")
+        wide = sales.enrich_users(tried.drop("part"), users, as_of)
+        stores["sales"].write(sinks.with_doc_id(sales.SALE_KEY, trailing=":")(wide), batch_id)
         known = users.select(F.col("id").alias("user_id")).distinct()
-        pairs.join(known, "user_id", "left_anti").select(*pairs.columns).write.mode("overwrite").parquet(
-            f"{path}/waiting/batch_id={batch_id}")
+        still = pairs.join(known, "user_id", "left_anti").withColumn("found", F.lit(False))
+        if waiting is not None:
+            still = still.unionByName(waiting.join(known, "user_id", "left_semi").withColumn("found", F.lit(True)).select(*still.columns))
+        stores["waiting"].write(still.select(*pairs.columns, "found"), batch_id)
     return _start(messages, write, checkpoint, trigger, "sales")
 
 
+def _written(df: DataFrame, path: str) -> DataFrame:
+    """``df`` written (a replay overwrites) and read back: evaluated once, whatever reads it."""
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def dimension_lookup(read: Callable[[], DataFrame]) -> Callable[[DataFrame], DataFrame]:
     """Re-read a dimension for each batch, restricted to the batch's users."""
     return lambda pairs: lookup_by_ids(read(), pairs)
 
 
-def read_sales(spark: SparkSession, path: str) -> DataFrame:
-    """The wide table: the latest row of each (order, line), however often delivered."""
-    latest = keep_last(sinks.read_batches(spark, f"{path}/sales"), ["doc_id"], ["batch_id"])
-    return latest.select(*[f.name for f in schemas.SALE_DETAIL.fields])
+def read_sales(spark: SparkSession, path: str, days: list[str] | None = None) -> DataFrame:
+    """The wide table (of ``days``): the latest row of each (order, line), however often delivered."""
+    return sale_stores(spark, path)["sales"].read(days).select(*[f.name for f in schemas.SALE_DETAIL.fields])
+
+
+#: What the launcher's ``compact`` folds, by job.
+STORES = {
+    "dau": lambda spark, path: [dau_store(spark, path)],
+    "orders": lambda spark, path: [order_store(spark, path)],
+    "alerts": lambda spark, path: [pane_store(spark, path), alert_store(spark, path)],
+    "sales": lambda spark, path: list(sale_stores(spark, path).values()),
+}
 
 
 # --- change feed and logs ----------------------------------------------------------

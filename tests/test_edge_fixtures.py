@@ -131,7 +131,7 @@ def test_null_account_ignored_and_click_suppresses(spark):
     assert len({(r.mid, r.bucket) for r in t}) == len(t)
     # every window of m2 containing all three coupons: 50-slide windows hold them
     assert a.where("mid = 'm2'").count() == 50
-    acc = alerts.alert_accounts(ev, a, "5 minutes", "6 seconds")
+    acc = alerts.alert_accounts(alerts.pane_table(ev, "6 seconds"), a, "5 minutes", "6 seconds")
     assert {r.uid for r in acc.collect()} == {"u1", "u2", "u3"}
 
 
