@@ -102,8 +102,10 @@ def ingest_orders(orders: DataFrame) -> DataFrame:
 
 def typed_users(users: DataFrame) -> DataFrame:
     """Row -> typed user rows: string columns, birthday as DATE (null where
-    the text is no date, so the user's age is unknown)."""
-    return users.select(
+    the text is no date, so the user's age is unknown); of versions also
+    ``valid_from``."""
+    since = [F.col("valid_from").cast("timestamp_ntz")] if "valid_from" in users.columns else []
+    return users.select(*since,
         *[F.col(f).cast("string").alias(f) for f in schemas.USER_INFO_FIELDS if f != "birthday"],
         F.col("birthday").cast("string").try_cast("date").alias("birthday"))
 

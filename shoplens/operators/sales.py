@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shoplens import schemas
+from shoplens.operators.dimension import as_of_join
 
 SALE_KEY = ["order_id", "order_detail_id"]
 
@@ -111,6 +112,15 @@ def enrich_users(sales: DataFrame, users: DataFrame, as_of: str | None, how: str
     return joined.select(*[f.name for f in schemas.SALE_DETAIL.fields])
 
 
+def enrich_users_as_of(sales: DataFrame, versions: DataFrame, as_of: str | None) -> DataFrame:
+    """As ``enrich_users``, with the user's row that was valid when the order was created; ``versions`` are
+    user rows with ``valid_from``."""
+    timed = sales.withColumn("_ordered", F.try_to_timestamp("create_time", F.lit("yyyy-MM-dd HH:mm:ss")).cast("timestamp_ntz"))
+    joined = as_of_join(timed, versions, "user_id", "_ordered", "id", "valid_from", ["gender", "birthday", "user_level"])
+    wide = joined.withColumn("user_gender", F.col("gender")).withColumn("user_age", age_years(F.col("birthday"), as_of))
+    return wide.select(*[f.name for f in schemas.SALE_DETAIL.fields])
+
+
 def sale_wide(orders: DataFrame, details: DataFrame, users: DataFrame, as_of: str,
               bound: str | None = "30 minutes", user_how: str = "inner") -> DataFrame:
     pairs = join_orders_details(orders, details, bound)

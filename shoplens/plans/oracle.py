@@ -17,6 +17,13 @@ _EVENT_NAME = ("CASE event_type WHEN 'purchase' THEN 'coupon' WHEN 'click' THEN
 _TOK = (r"list_filter(regexp_split_to_array(regexp_replace(lower(sku_name), '(\p{Han})', ' \1 ', 'g'), "
         r"'[^\p{L}\p{N}]+'), lambda x: x <> '')")
 
+_AS_OF = """
+SELECT s.* REPLACE (coalesce((
+  SELECT arg_max(o.o_orderpriority, (o.o_orderdate + to_hours(CAST(o.o_orderkey % 24 AS INTEGER)), o.o_orderpriority)) FROM orders o
+  WHERE CAST(o.o_custkey AS VARCHAR) = s.user_id AND o.o_orderkey % 4 = 0
+    AND o.o_orderdate + to_hours(CAST(o.o_orderkey % 24 AS INTEGER)) <= CAST(s.create_time AS TIMESTAMP)), s.user_level) AS user_level)
+FROM {} s"""
+
 VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
     "startup_log": ((), """
   SELECT event_id, 'mid_' || CAST(user_id AS VARCHAR) AS mid, 'uid' || CAST(user_id AS VARCHAR) AS uid,
@@ -222,6 +229,7 @@ SELECT DISTINCT mid, window_start, window_end, item_id FROM alert_hits WHERE eve
 SELECT mid, window_start, window_end, event_id, ts, event_name FROM alert_hits"""),
     "sale_wide": _with(("sale_bounded",), "SELECT * FROM sale_bounded"),
     "sale_wide_unbounded": _with(("sale",), "SELECT * FROM sale"),
+    "sale_wide_as_of": _with(("sale",), _AS_OF.format("sale")),
     "sale_pairs_full": _with(("order_info", "order_detail"), """
 SELECT o.id AS order_id, d.order_id AS detail_order_id, d.id AS order_detail_id
 FROM order_info o FULL OUTER JOIN order_detail d ON o.id = d.order_id"""),
@@ -288,6 +296,7 @@ SELECT 'mid_' || user_id AS mid, 'uid' || user_id AS uid, 'app' AS "appId", 'are
 FROM events GROUP BY user_id, strftime(ts, '%Y-%m-%d')""",
     "stream_alerts": _with(("alerts",), f"SELECT {_ALERT_COLS} FROM alerts"),
     "stream_sale_wide": _with(("sale_bounded",), "SELECT * FROM sale_bounded"),
+    "stream_sale_as_of": _with(("sale_bounded",), _AS_OF.format("sale_bounded")),
     "stream_alerts_throttled": None,
     "upsert_latest": """
 SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_shipdate FROM (

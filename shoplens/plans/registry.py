@@ -28,6 +28,7 @@ ALERT_LENGTH, ALERT_SLIDE, ALERT_MIN_ACCOUNTS = "6 hours", "1 hour", 3
 ALERT_THROTTLE = "1 day"
 JOIN_BOUND = "30 days"
 AS_OF = "2020-08-25"
+USERS_CUT = "1995-06-01 00:00:00"
 SEARCH_DATE, SEARCH_KEYWORD, SEARCH_PAGE, SEARCH_SIZE = "1996-09-17", "red", 1, 5
 SEARCH_TWO_TOKENS = "red widget"
 SHORT_LENGTH, SHORT_SLIDE, SHORT_MIN_ACCOUNTS, SHORT_THROTTLE = "5 minutes", "6 seconds", 2, "1 minute"
@@ -227,6 +228,12 @@ def q_sale_wide_unbounded(spark, sf):
     return sale_index(spark, sf, bound=None)
 
 
+def q_sale_wide_as_of(spark, sf):
+    """Each line with the user's row that was valid when the order was created."""
+    pairs = sales.sale_rows(sales.join_orders_details(order_table(spark, sf), td.order_detail(spark, sf), None))
+    return sales.enrich_users_as_of(pairs, td.user_versions(spark, sf), AS_OF)
+
+
 def q_sale_pairs_full(spark, sf):
     pairs = sales.full_pairs(order_table(spark, sf), td.order_detail(spark, sf), bound=None)
     return pairs.select(F.col("order_id"), F.col("detail_order_id"),
@@ -337,6 +344,7 @@ QUERIES: dict[str, Query] = {
     "coupon_alert_events": q_coupon_alert_events,
     "sale_wide": q_sale_wide,
     "sale_wide_unbounded": q_sale_wide_unbounded,
+    "sale_wide_as_of": q_sale_wide_as_of,
     "sale_pairs_full": q_sale_pairs_full,
     "sale_search_total": q_sale_search_total,
     "sale_search_page": q_sale_search_page,

@@ -158,6 +158,18 @@ def user_info(spark: SparkSession, sf_dir: str) -> DataFrame:
     return user_info_from(table(spark, sf_dir, "customer"))
 
 
+def user_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """User rows over time: as of 1992 with the customer's segment as level, and anew with the priority of
+    each fourth order (by key) from that order on."""
+    users = user_info(spark, sf_dir)
+    first = users.withColumn("valid_from", F.lit("1992-01-01 00:00:00").cast("timestamp_ntz"))
+    o = table(spark, sf_dir, "orders").where("o_orderkey % 4 = 0").select(
+        _s("o_custkey").alias("id"), F.col("o_orderpriority").alias("_level"),
+        F.timestamp_add("HOUR", (F.col("o_orderkey") % 24).cast("int"), F.col("o_orderdate").cast("timestamp_ntz")).alias("valid_from"))
+    changed = users.join(o, "id").withColumn("user_level", F.col("_level")).select(*first.columns)
+    return first.unionByName(changed)
+
+
 # --- messages as the topics carry them: (value, received_ts) ---------------------
 
 def startup_messages(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -237,7 +237,8 @@ def start_sales(messages: DataFrame, path: str, checkpoint: str,
     days the bound reaches. ``read_users`` is called once for each batch with the
     pairs to enrich and returns their users as they are then; they are written, and
     all that follows reads that table, so a change of the dimension in between
-    loses no pair. Ages are as of the day of the batch unless ``as_of`` is given.
+    loses no pair. With a ``valid_from`` they are versions, of which the one valid when the order was
+    created counts. Ages are as of the day of the batch unless ``as_of`` is given.
 
     Pairs whose user is unknown yet wait in ``{path}/waiting``, in parts by user. A batch tries
     the parts of its own users and one more in turn, so what waits is not read whole by every batch.
@@ -282,7 +283,8 @@ def start_sales(messages: DataFrame, path: str, checkpoint: str,
             waiting = stores["waiting"].fold(waiting).drop("batch_id", "found")
             tried = _written(pairs.unionByName(waiting), f"{path}/tried/batch_id={batch_id}")
         users = _written(read_users(tried), f"{path}/users/batch_id={batch_id}")
-        wide = sales.enrich_users(tried.drop("part"), users, as_of)
+        enrich = sales.enrich_users_as_of if "valid_from" in users.columns else sales.enrich_users
+        wide = enrich(tried.drop("part"), users, as_of)
         stores["sales"].write(sinks.with_doc_id(sales.SALE_KEY, trailing=":")(wide), batch_id)
         known = users.select(F.col("id").alias("user_id")).distinct()
         still = pairs.join(known, "user_id", "left_anti").withColumn("found", F.lit(False))
@@ -303,6 +305,39 @@ def dimension_lookup(read: Callable[[], DataFrame]) -> Callable[[DataFrame], Dat
     return lambda pairs: lookup_by_ids(read(), pairs)
 
 
+#: Users are kept in so many parts by id.
+USER_PARTS = 64
+
+
+def user_store(spark: SparkSession, path: str, **layout) -> DayTable:
+    """Versions of user rows, each once."""
+    return DayTable(spark, path, "part", _versions(["id", "valid_from", "user_level", "gender", "birthday"], []), ["id"], **layout | {"span": 1})
+
+
+def start_users(changes: DataFrame, path: str, checkpoint: str, trigger: dict | None = None, layout: dict | None = None) -> StreamingQuery:
+    """Keep every version of the user dimension: rows of ``changes`` (id, login_name, user_level, birthday, gender,
+    valid_from), in any order. Rows without an id or a time are rejects."""
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.persist()
+        try:
+            whole = F.col("id").isNotNull() & F.col("valid_from").isNotNull()
+            typed = parse.typed_users(batch.where(whole)).withColumn("part", F.pmod(F.xxhash64("id"), F.lit(USER_PARTS)).cast("int"))
+            user_store(batch.sparkSession, path, **(layout or {})).write(typed, batch_id)
+            _write_rejects(batch.where(~whole), f"{path}_rejects", batch_id)
+        finally:
+            batch.unpersist()
+    return _start(changes, write, checkpoint, trigger, "users")
+
+
+def version_lookup(spark: SparkSession, path: str) -> Callable[[DataFrame], DataFrame]:
+    """The stored versions of the users of a batch; only the parts that those ids are in are opened."""
+    def lookup(pairs: DataFrame) -> DataFrame:
+        store = user_store(spark, path)
+        ids = pairs.select("user_id", F.pmod(F.xxhash64("user_id"), F.lit(USER_PARTS)).cast("int").alias("part"))
+        return lookup_by_ids(store.read(store.days(ids)), pairs)
+    return lookup
+
+
 def read_sales(spark: SparkSession, path: str, days: list[str] | None = None) -> DataFrame:
     """The wide table (of ``days``): the latest row of each (order, line), however often delivered."""
     return sale_stores(spark, path)["sales"].read(days).select(*[f.name for f in schemas.SALE_DETAIL.fields])

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from shoplens import schemas
 from shoplens.config import scratch_path
+from shoplens.functions import timeparts
 from shoplens.constants import EVENT_LOG_TOPIC, ORDER_INFO_TOPIC
 from shoplens.operators import dau as dau_ops
 from shoplens.operators import orders as order_ops
@@ -113,7 +114,29 @@ def stream_sale_wide(spark: SparkSession, sf: str) -> DataFrame:
     return jobs.read_sales(spark, f"{base}/out").select(*[f.name for f in schemas.SALE_DETAIL.fields])
 
 
+def stream_sale_as_of(spark: SparkSession, sf: str) -> DataFrame:
+    """Users change while sales run: by turns the changes and the sales of a span of time are delivered,
+    and each sale takes the user's row of its order's time."""
+    base = scratch_path(spark, "stream_sale_as_of")
+    versions = td.user_versions(spark, sf).withColumn("birthday", F.col("birthday").cast("string"))
+    orders, details = td.order_messages(spark, sf), td.detail_messages(spark, sf)
+    messages = jobs.order_and_detail_messages(orders, details)
+    cut = R.USERS_CUT
+    at = F.lit(cut).cast("timestamp_ntz")
+    early = F.col("received_ts") < timeparts.ntz_to_epoch_millis(at)
+    lookup = jobs.version_lookup(spark, f"{base}/users")
+    for turn in (0, 1):
+        (versions.where(F.col("valid_from") < at) if not turn else versions.where(F.col("valid_from") >= at)).write.mode("append").parquet(f"{base}/changes")
+        changes = spark.readStream.schema(versions.schema).parquet(f"{base}/changes")
+        _run(jobs.start_users(changes, f"{base}/users", f"{base}/ckpt-users", ONCE))
+        messages.where(~early if turn else early).coalesce(1).write.mode("append").parquet(f"{base}/in")
+        raw = spark.readStream.schema(messages.schema).parquet(f"{base}/in")
+        _run(jobs.start_sales(raw, f"{base}/out", f"{base}/ckpt", lookup, R.AS_OF, bound=R.JOIN_BOUND, trigger=ONCE))
+    return jobs.read_sales(spark, f"{base}/out")
+
+
 STREAM_QUERIES = {
+    "stream_sale_as_of": stream_sale_as_of,
     "stream_dau": stream_dau,
     "stream_dau_hourly": stream_dau_hourly,
     "stream_alerts": stream_alerts,
