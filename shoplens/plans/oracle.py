@@ -243,6 +243,18 @@ LIMIT {R.SEARCH_SIZE} OFFSET {(R.SEARCH_PAGE - 1) * R.SEARCH_SIZE}"""),
 SELECT * EXCLUDE (tok, tf, score), round(score, 6) AS score FROM bm25
 WHERE dt = '{R.SEARCH_DATE}' AND list_contains(tok, '{R.SEARCH_KEYWORD}')
 ORDER BY bm25.score DESC, order_id, order_detail_id LIMIT {R.SEARCH_SIZE} OFFSET {R.SEARCH_SIZE}"""),
+    "sale_search_deep_page": _with(("bm25",), f"""
+SELECT order_id, order_detail_id, dt, sku_name, round(score, 6) AS score FROM bm25
+WHERE list_contains(tok, '{R.SEARCH_KEYWORD}')
+ORDER BY bm25.score DESC, order_id, order_detail_id LIMIT {R.SEARCH_SIZE} OFFSET {(R.SEARCH_DEEP_PAGE - 1) * R.SEARCH_SIZE}"""),
+    "log_route_substring": """
+SELECT 'startup_log_topic' AS topic, count(*) AS n FROM events UNION ALL SELECT 'event_log_topic', count(*) FROM events""",
+    "user_ages_today": _with(("user_info",), """
+SELECT id, CAST(date_diff('day', birthday, current_date) // 365 AS INTEGER) AS age FROM user_info"""),
+    "append_generated_ids": _with(("alerts",), "SELECT count(*) + 1 AS n_rows, count(*) + 1 AS n_ids FROM alerts"),
+    "stream_log_archive": """
+SELECT strftime(ts, '%Y-%m-%d') AS dt, k AS "logType", 'mid_' || CASE WHEN k = 'startup' THEN user_id ELSE user_id % 25 END AS mid,
+       epoch_us(ts) // 1000 AS ts FROM events, (VALUES ('startup'), ('event')) AS kinds(k)""",
     "sale_search_two_tokens": _with(("sale_tok",), f"""
 SELECT order_id, order_detail_id, sku_name FROM sale_tok WHERE dt = '{R.SEARCH_DATE}'
 AND {" AND ".join(f"list_contains(tok, '{t}')" for t in R.SEARCH_TWO_TOKENS.split())}"""),

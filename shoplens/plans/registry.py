@@ -18,8 +18,12 @@ from shoplens.operators import dau as dau_ops
 from shoplens.operators import dedup
 from shoplens.operators import orders as order_ops
 from shoplens.operators import routing, sales, search
+from shoplens.operators.joins import bounded_broadcast
+from shoplens.operators.paging import RankedPages
+from shoplens.operators.postings import SearchIndex
 from shoplens.plans import reports
 from shoplens.sources import testdata as td
+from shoplens.streaming import sinks
 
 # Parameters of the registered queries.
 DAU_DATE = "2024-01-15"
@@ -30,7 +34,7 @@ JOIN_BOUND = "30 days"
 AS_OF = "2020-08-25"
 USERS_CUT = "1995-06-01 00:00:00"
 SEARCH_DATE, SEARCH_KEYWORD, SEARCH_PAGE, SEARCH_SIZE = "1996-09-17", "red", 1, 5
-SEARCH_TWO_TOKENS = "red widget"
+SEARCH_TWO_TOKENS, SEARCH_DEEP_PAGE = "red widget", 200
 SHORT_LENGTH, SHORT_SLIDE, SHORT_MIN_ACCOUNTS, SHORT_THROTTLE = "5 minutes", "6 seconds", 2, "1 minute"
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -88,13 +92,30 @@ def sale_index_for_day(spark, sf, date: str) -> DataFrame:
     return sales.sale_wide(parse.ingest_orders(info), td.order_detail(spark, sf), td.user_info(spark, sf), AS_OF, bound=None)
 
 
-def stored_sale_index(spark, sf) -> DataFrame:
-    """The wide table written once, in day order: a day's rows are found by the
-    files' statistics, and whatever reads it needs no join."""
-    idx = sale_index(spark, sf)
-    path = scratch_path(spark, "sale_index")
-    idx.repartitionByRange("dt").sortWithinPartitions("dt").write.parquet(path)
-    return spark.read.schema(idx.schema).parquet(path)
+#: Where this session has stored the wide table and its index, by application and input folder.
+_STORED: dict[tuple[str, str], str] = {}
+
+
+def stored_sales(spark, sf) -> tuple[DataFrame, SearchIndex]:
+    """The wide table in order of day and its inverted index, written by the first query that asks and read by
+    all of the session: a search neither joins nor sorts the sales again."""
+    key = (spark.sparkContext.applicationId, sf)
+    path = _STORED.get(key)
+    if path is None:
+        path = scratch_path(spark, "sales")
+        table = sale_index(spark, sf)
+        table.repartitionByRange("dt").sortWithinPartitions("dt").write.parquet(f"{path}/table")
+        SearchIndex(spark, f"{path}/index").update(spark.read.schema(table.schema).parquet(f"{path}/table"), 0)
+        _STORED[key] = path
+    return spark.read.parquet(f"{path}/table"), SearchIndex(spark, f"{path}/index")
+
+
+def _with_rows(spark, sf, hits: DataFrame) -> DataFrame:
+    """The wide rows of a page's hits, looked up in the files of their days; a page is small."""
+    table, _ = stored_sales(spark, sf)
+    keys = spark.createDataFrame(hits.select("dt", *search.TIE_BREAK, "score").collect(), "dt string, order_id string, order_detail_id string, score double")
+    days = [r[0] for r in keys.select("dt").distinct().collect()]
+    return table.where(F.col("dt").isin(days)).join(bounded_broadcast(keys), ["dt", *search.TIE_BREAK]).select(*table.columns, "score")
 
 
 def _search_matches(spark, sf) -> DataFrame:
@@ -244,22 +265,32 @@ def q_sale_search_total(spark, sf):
     return search.total(_search_matches(spark, sf))
 
 
-def _scored(spark, sf) -> DataFrame:
-    idx = stored_sale_index(spark, sf)
-    return search.bm25_score(search.search(idx, SEARCH_DATE, SEARCH_KEYWORD), idx, SEARCH_KEYWORD)
+def _hits(spark, sf, date=SEARCH_DATE) -> DataFrame:
+    return stored_sales(spark, sf)[1].search(SEARCH_KEYWORD, date)
+
+
+def _page_rows(spark, sf, hits) -> DataFrame:
+    rows = _with_rows(spark, sf, hits).withColumn("score", F.round("score", 6))
+    return rows
 
 
 def q_sale_search_page(spark, sf):
-    return search.page(_scored(spark, sf), SEARCH_PAGE, SEARCH_SIZE).withColumn("score", F.round("score", 6))
+    return _page_rows(spark, sf, search.page(_hits(spark, sf), SEARCH_PAGE, SEARCH_SIZE))
 
 
 def q_sale_search_page2(spark, sf):
     """The second page, by the keys of the first page's last row."""
-    m = _scored(spark, sf)
+    m = _hits(spark, sf)
     first = search.page(m, 1, SEARCH_SIZE).collect()  # one page
     last = (first[-1].score, *[first[-1][c] for c in search.TIE_BREAK]) if len(first) == SEARCH_SIZE else None
-    p = search.page_after(m, last, SEARCH_SIZE) if last else m.limit(0)
-    return p.withColumn("score", F.round("score", 6))
+    return _page_rows(spark, sf, search.page_after(m, last, SEARCH_SIZE) if last else m.limit(0))
+
+
+def q_sale_search_deep_page(spark, sf):
+    """A page far down, over all days: the files of the one or two ranges it lies in."""
+    m = _hits(spark, sf, None)
+    pages = RankedPages(m, search.ranked(m), scratch_path(spark, "ranked"))
+    return pages.page(SEARCH_DEEP_PAGE, SEARCH_SIZE).select(*search.TIE_BREAK, "dt", "sku_name", F.round("score", 6).alias("score"))
 
 
 def q_sale_search_two_tokens(spark, sf):
@@ -269,7 +300,7 @@ def q_sale_search_two_tokens(spark, sf):
 
 def q_sale_report_json(spark, sf):
     """The whole search answer as one JSON text; only its fixed parts are compared."""
-    answer = search.report_json(search.sale_report(stored_sale_index(spark, sf), SEARCH_DATE, SEARCH_KEYWORD, 1, SEARCH_SIZE))
+    answer = search.report_json(search.sale_report(stored_sales(spark, sf)[0], SEARCH_DATE, SEARCH_KEYWORD, 1, SEARCH_SIZE))
     j = F.from_json("answer", "total long, stat array<struct<title:string,options:array<struct<name:string,value:long>>>>, "
                               "detail array<struct<order_id:string,order_detail_id:string>>")
     return answer.select(j.alias("j")).select(
@@ -279,9 +310,8 @@ def q_sale_report_json(spark, sf):
 
 
 def q_sale_search_bm25(spark, sf):
-    idx = stored_sale_index(spark, sf)
-    m = search.bm25_score(search.search(idx, None, SEARCH_KEYWORD), idx, SEARCH_KEYWORD)
-    return m.select("order_id", "order_detail_id", "dt", "sku_name", F.round("score", 6).alias("score"))
+    """Every match with its score, from the postings alone."""
+    return _hits(spark, sf, None).select("order_id", "order_detail_id", "dt", "sku_name", F.round("score", 6).alias("score"))
 
 
 def q_sale_gender_stats(spark, sf):
@@ -300,6 +330,30 @@ def q_cdc_insert_route(spark, sf):
     return routing.route_changes(td.change_feed(spark, sf))
 
 
+def q_log_route_substring(spark, sf):
+    """Routing by the text itself: lines that contain the word, in whatever field."""
+    return routing.route_logs(td.raw_logs(spark, sf), mode="substring").groupBy("topic").agg(F.count("*").alias("n"))
+
+
+def q_user_ages_today(spark, sf):
+    """Ages as of the day the query runs."""
+    users = parse.typed_users(td.user_info(spark, sf).withColumn("birthday", F.col("birthday").cast("string")))
+    return users.select("id", sales.age_years(F.col("birthday"), None).alias("age"))
+
+
+def q_append_generated_ids(spark, sf):
+    """Alerts appended in two batches, the second one run twice, and a single document; each row has an id."""
+    path = scratch_path(spark, "appended")
+    write = sinks.batch_writer(path, transform=sinks.with_generated_id())
+    rows = alert_table(spark, sf)
+    half = F.pmod(F.xxhash64("mid", "w"), F.lit(2))
+    write(rows.where(half == 0), 0)
+    for _ in range(2):
+        write(rows.where(half == 1), 1)
+    write(rows.orderBy("mid", "w").limit(1), 2)
+    return sinks.read_batches(spark, path).agg(F.count("*").alias("n_rows"), F.count_distinct("doc_id").alias("n_ids"))
+
+
 def q_log_route(spark, sf):
     routed = routing.route_logs(td.raw_logs(spark, sf))
     j = F.from_json("value", "logType string, mid string, uid string, eventId string, itemId string, ts long")
@@ -345,6 +399,10 @@ QUERIES: dict[str, Query] = {
     "sale_wide": q_sale_wide,
     "sale_wide_unbounded": q_sale_wide_unbounded,
     "sale_wide_as_of": q_sale_wide_as_of,
+    "sale_search_deep_page": q_sale_search_deep_page,
+    "log_route_substring": q_log_route_substring,
+    "user_ages_today": q_user_ages_today,
+    "append_generated_ids": q_append_generated_ids,
     "sale_pairs_full": q_sale_pairs_full,
     "sale_search_total": q_sale_search_total,
     "sale_search_page": q_sale_search_page,

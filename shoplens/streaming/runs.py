@@ -105,6 +105,15 @@ def stream_alerts_from_logs(spark: SparkSession, sf: str) -> DataFrame:
     return jobs.read_alerts(spark, _alerts(spark, events, base)).select(*_ALERT_COLUMNS)
 
 
+def stream_log_archive(spark: SparkSession, sf: str) -> DataFrame:
+    """What the collector archives by day, line by line."""
+    base = scratch_path(spark, "stream_log_archive")
+    raw = dealt_stream(td.raw_logs(spark, sf).select("value", "received_ts"), f"{base}/in")
+    _run(jobs.start_log_collector(raw, f"{base}/ckpt", f"{base}/archive", fmt="files", path=f"{base}/topics", trigger=ONCE))
+    lines = spark.read.option("basePath", f"{base}/archive").text(f"{base}/archive")
+    return lines.select(F.col("dt").cast("string").alias("dt"), F.from_json("value", "logType string, mid string, ts long").alias("j")).select("dt", "j.*")
+
+
 def stream_sale_wide(spark: SparkSession, sf: str) -> DataFrame:
     base = scratch_path(spark, "stream_sales")
     messages = jobs.order_and_detail_messages(td.order_messages(spark, sf), td.detail_messages(spark, sf))
@@ -137,6 +146,7 @@ def stream_sale_as_of(spark: SparkSession, sf: str) -> DataFrame:
 
 STREAM_QUERIES = {
     "stream_sale_as_of": stream_sale_as_of,
+    "stream_log_archive": stream_log_archive,
     "stream_dau": stream_dau,
     "stream_dau_hourly": stream_dau_hourly,
     "stream_alerts": stream_alerts,

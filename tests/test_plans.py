@@ -47,14 +47,15 @@ def test_scans_read_only_needed_columns(spark):
 
 
 def test_page_and_terms_are_top_k(spark):
-    assert "TakeOrderedAndProject" in _plan(R.QUERIES["sale_search_page"](spark, SF))
+    assert "TakeOrderedAndProject" in _plan(R.search.page(R._hits(spark, SF), 3, 5))
     assert "TakeOrderedAndProject" in _plan(R.QUERIES["age_terms_top"](spark, SF))
 
 
-def test_search_statistics_are_one_subquery(spark):
-    plan = _plan(R.QUERIES["sale_search_bm25"](spark, SF))
-    ids = set(re.findall(r"Subquery subquery#(\d+)", plan))
-    assert len(ids) == 1
+def test_search_reads_postings_and_sums(spark):
+    """The search plans no scan of the sales, and its two statistics once each."""
+    df = R.QUERIES["sale_search_bm25"](spark, SF)
+    assert len(set(re.findall(r"Subquery subquery#(\d+)", _plan(df)))) == 2
+    assert {f.split("/index/")[1].split("/")[0] for f in df.inputFiles()} == {"postings"}
 
 
 def test_alerts_read_the_events_once(spark):
