@@ -230,26 +230,28 @@ def _near_words(lexicons: list[Lexicon], folds: list[list[int]]):
     """(fold, toxic, text) to (lexicon, term, pos, neg) of the spellings that match a term of a lexicon by
     one edit only, in the folds the lexicon was learned from."""
 
-    def spellings(lexicon: Lexicon, word: str) -> list[str]:
-        found = lexicon.find(word)
-        return [] if not found or found[1] else [spelling for spelling, _ in lexicon.near(word)]
+    # what no lexicon has near it, all of them together have not: most words are looked up once
+    every = Lexicon({t: w for x in lexicons for t, w in x.words.items()}, {t: w for x in lexicons for t, w in x.stems.items()})
+
+    def spellings(word: str) -> list[tuple[int, str]]:
+        if every.find(word) is None:
+            return []
+        found = [(k, x, x.find(word)) for k, x in enumerate(lexicons)]
+        return [(k, spelling) for k, x, hit in found if hit and not hit[1] for spelling, _ in x.near(word)]
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: list[dict] = [{} for _ in lexicons]
+        known: dict = {}
         for numbers, labels, texts in batches(it, ["fold", "toxic", "text"], SLICE_CHARS):
             counts = {y: Counter() for y in (True, False)}
             for fold, label, text in zip(numbers, labels, texts):
-                tokens = set((text or "").lower().split())
-                for k, lexicon in enumerate(lexicons):
-                    if fold in folds[k] and lexicon.trie:
-                        if len(known[k]) >= 300_000:
-                            known[k].clear()
-                        hits = set()
-                        for token in tokens:
-                            if token not in known[k]:
-                                known[k][token] = spellings(lexicon, plain(token))
-                            hits.update(known[k][token])
-                        counts[bool(label)].update((k, h) for h in hits)
+                hits = set()
+                for token in set((text or "").lower().split()):
+                    if token not in known:
+                        if len(known) >= 300_000:
+                            known.clear()
+                        known[token] = spellings(plain(token))
+                    hits.update(known[token])
+                counts[bool(label)].update((k, spelling) for k, spelling in hits if fold in folds[k])
             both = sorted(set(counts[True]) | set(counts[False]))
             yield pa.RecordBatch.from_arrays(
                 [pa.array([k for k, _ in both], pa.int32()), pa.array([t for _, t in both], pa.string()),
