@@ -28,30 +28,74 @@ MAX_SAMPLE_DOCS, MADE_UP = 2_000, 1_000
 #: A candidate is a secret if it is more than e^12 times likelier as a random string.
 MIN_RATIO = 12.0
 LOW, WIDTH = 32, 96
-_SPANS = "array<struct<start:int,rank:int,kind:string,end:int>>"
+#: Arrays are folded in chunks, since each append copies what is there.
+CHUNK = 256
+_SPAN = "struct<start:int,rank:int,kind:string,end:int,word:string>"
+
+
+def _let(value: Column, then) -> Column:
+    """``then`` of a value that is evaluated once, also where ``then`` uses it in a lambda."""
+    return F.transform(F.array(value), then)[0]
+
+
+def _chunks(values: Column) -> Column:
+    """A bound array cut into slices of CHUNK entries (an empty one: one empty slice)."""
+    last = F.greatest(F.floor((F.size(values) - 1) / CHUNK), F.lit(0)).cast("int")
+    return F.transform(F.sequence(F.lit(0), last), lambda i: F.slice(values, i * CHUNK + 1, CHUNK))
+
+
+def _place(pieces: Column, kind: str, rank: int, least: int) -> Column:
+    """(at, spans) of some pieces, offsets from their own beginning."""
+    def add(acc, x):
+        at = acc["at"] + x["gap"]
+        span = F.struct(at.alias("start"), F.lit(rank).alias("rank"), F.lit(kind).alias("kind"),
+                        (at + F.length(x["word"])).alias("end"), x["word"].alias("word"))
+        spans = F.when(x["value"] >= least, F.array_append(acc["spans"], span)).otherwise(acc["spans"])
+        return F.struct((at + F.length(x["word"])).alias("at"), spans.alias("spans"))
+
+    return F.aggregate(pieces, F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{_SPAN}>").alias("spans")), add)
+
+
+def _shift(s: Column, by: Column) -> Column:
+    return F.struct((s["start"] + by).alias("start"), s["rank"].alias("rank"), s["kind"].alias("kind"),
+                    (s["end"] + by).alias("end"), s["word"].alias("word"))
 
 
 def _spans(text: Column, kind: str, rank: int, pattern: str, least: int = 0, group: int = 0) -> Column:
-    """All matches, leftmost first, as structs of code point offsets. What lies between matches
-    comes from splitting at them; lengths added up give the offsets."""
+    """All matches, leftmost first, as structs of code point offsets and the matched word. What
+    lies between matches comes from splitting at them; lengths added up give the offsets."""
     between, found = F.split(text, pattern, -1), F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     value = F.regexp_extract_all(text, F.lit(pattern), F.lit(group)) if group else found
     pieces = F.arrays_zip(F.transform(F.slice(between, 1, F.size(found)), lambda x: F.length(x)).alias("gap"),
-                          F.transform(found, lambda x: F.length(x)).alias("length"), F.transform(value, lambda x: F.length(x)).alias("value"))
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(_SPANS).alias("spans"))
+                          found.alias("word"), F.transform(value, lambda x: F.length(x)).alias("value"))
+    start = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<array<{_SPAN}>>").alias("spans"))
+
+    def add(acc, chunk):
+        return _let(_place(chunk, kind, rank, least), lambda p: F.struct(
+            (acc["at"] + p["at"]).alias("at"),
+            F.array_append(acc["spans"], F.transform(p["spans"], lambda s: _shift(s, acc["at"]))).alias("spans")))
+
+    spans = _let(pieces, lambda p: F.flatten(F.aggregate(_chunks(p), start, add, lambda acc: acc["spans"])))
+    return F.when(F.rlike(text, F.lit(pattern)), spans).otherwise(F.array().cast(f"array<{_SPAN}>"))
 
-    def add(acc, x):
-        at = acc["at"] + x["gap"]
-        span = F.struct(at.alias("start"), F.lit(rank).alias("rank"), F.lit(kind).alias("kind"), (at + x["length"]).alias("end"))
-        spans = F.when(x["value"] >= least, F.array_append(acc["spans"], span)).otherwise(acc["spans"])
-        return F.struct((at + x["length"]).alias("at"), spans.alias("spans"))
 
-    spans = F.aggregate(pieces, start, add, lambda acc: acc["spans"])
-    return F.when(F.rlike(text, F.lit(pattern)), spans).otherwise(F.array().cast(_SPANS))
+def _without_word(spans: Column) -> Column:
+    return F.transform(spans, lambda s: F.struct(*[s[c].alias(c) for c in ("start", "rank", "kind", "end")]))
+
+
+def _apart(spans: Column, base: Column) -> Column:
+    """The spans that overlap no base span. A chunk of spans looks only at the base spans that
+    reach into its range, so the work grows with the spans and not with the product."""
+    def of_chunk(chunk):
+        near = F.filter(base, lambda b: (b["start"] < F.element_at(chunk, -1)["end"]) & (chunk[0]["start"] < b["end"]))
+        return _let(near, lambda n: F.filter(chunk, lambda s: ~F.exists(n, lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"]))))
+
+    some = F.filter(_chunks(spans), lambda c: F.size(c) > 0)
+    return F.flatten(F.transform(some, of_chunk))
 
 
 def base_spans(text: Column) -> list[Column]:
-    return [_spans(text, kind, i, *spec) for i, (kind, spec) in enumerate(PATTERNS.items())]
+    return [_without_word(_spans(text, kind, i, *spec)) for i, (kind, spec) in enumerate(PATTERNS.items())]
 
 
 def _code(word: Column, i: Column) -> Column:
@@ -78,9 +122,15 @@ def fit(samples: DataFrame) -> list[float]:
 
 
 def ratio(word: Column, table: Column) -> Column:
-    """The word's log-likelihood ratio, random against ordinary."""
-    return F.aggregate(F.sequence(F.lit(1), F.length(word) - 1), F.lit(0.0),
-                       lambda acc, i: acc + F.element_at(table, _code(word, i) + 1))
+    """The word's log-likelihood ratio, random against ordinary, in one pass over its characters."""
+    codes = F.transform(F.split(word, ""), lambda c: F.greatest(F.lit(0), F.least(F.lit(WIDTH - 1), F.ascii(c) - LOW)))
+    start = F.struct(F.lit(None).cast("int").alias("last"), F.lit(0.0).alias("sum"))
+
+    def add(acc, code):
+        of_pair = F.element_at(table, acc["last"] * WIDTH + code + 1)
+        return F.struct(code.alias("last"), (acc["sum"] + F.coalesce(of_pair, F.lit(0.0))).alias("sum"))
+
+    return F.aggregate(codes, start, add, lambda acc: acc["sum"])
 
 
 def labelled_samples(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -116,11 +166,10 @@ def scan(docs: DataFrame, table: list[float], id_col: str = "doc_id", text_col:
     text = F.coalesce(F.col(text_col), F.lit(""))
     out = docs.select(F.col(id_col).alias("doc_id"), text.alias("text"))
     out = out.withColumn("base", F.array_sort(F.concat(*base_spans(F.col("text")))))
-    out = out.withColumn("candidates", _spans(F.col("text"), "markov", len(PATTERNS), CANDIDATE))
-    out = out.withColumn("candidates", F.filter("candidates", lambda s: ~F.exists(
-        "base", lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"]))))
-    found = F.filter("candidates", lambda s: ratio(F.substr(F.col("text"), s["start"] + 1, s["end"] - s["start"]), ratios) >= min_ratio)
-    return out.select("doc_id", "base", found.alias("added"))
+    candidates = _spans(F.col("text"), "markov", len(PATTERNS), CANDIDATE)
+    found = F.filter(_let(candidates, lambda c: _let(F.col("base"), lambda b: _apart(c, b))),
+                     lambda s: ratio(s["word"], ratios) >= min_ratio)
+    return out.select("doc_id", "base", _without_word(found).alias("added"))
 
 
 def _joined(spans: Column) -> Column:

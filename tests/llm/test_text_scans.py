@@ -2,6 +2,7 @@
 
 import random
 import re
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -42,6 +43,37 @@ def test_base_spans(make, table):
         assert not any(a.start < b.end and b.start < a.end for a in r.added for b in r.base)
 
 
+def test_texts_of_many_candidates_take_time_in_proportion(make, table):
+    rng = random.Random(11)
+    letters = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"
+    words = ["".join(rng.choices(letters, k=20)) for _ in range(50_000)]
+    mixed = " ".join(f"token={w}" if i % 3 == 0 else w for i, w in enumerate(words[:30_000]))
+    rows = [(1, " ".join(words)), (2, mixed), (3, "".join(rng.choices(letters, k=1_000_000)))]
+    S.scan(make(rows[:0] + [(0, "warm")]), table).collect()
+    began = time.monotonic()
+    got = {r.doc_id: r for r in S.scan(make(rows[:1]), table).collect()}
+    assert time.monotonic() - began < 20  # the machine may be shared; quadratic work took hours
+    got.update({r.doc_id: r for r in S.scan(make(rows[1:]), table).collect()})
+    assert got[1].base == [] and len(got[1].added) > 49_000
+    assert all((s.start % 21, s.end - s.start) == (0, 20) for s in got[1].added)
+    assert [(s.kind, s.start, s.end) for s in got[2].base] == brute_spans(mixed)
+    plain = {m.start() for m in re.finditer(r"(?<![=A-Za-z0-9])[A-Za-z0-9]{20}", mixed)}
+    assert {s.start for s in got[2].added} <= plain and len(got[2].added) > 0.97 * len(plain)
+    assert [(s.start, s.end) for s in got[3].added] == [(0, 1_000_000)]
+
+
+def test_ratio_is_the_sum_over_pairs(spark, table):
+    rows = [("a",), ("ab",), ("zQ7~é x",), ("Xq7ZpL0vR2mWk9TnB4sYc",), ("",)]
+
+    def brute(word):
+        codes = [max(0, min(S.WIDTH - 1, ord(c) - S.LOW)) for c in word]
+        return sum(table[a * S.WIDTH + b] for a, b in zip(codes, codes[1:]))
+
+    ratios = F.split(F.lit(",".join(map(str, table))), ",").cast("array<double>")
+    for r in spark.createDataFrame(rows, "word string").select("word", S.ratio(F.col("word"), ratios).alias("got")).collect():
+        assert abs(r.got - brute(r.word)) < 1e-9
+
+
 def test_markov_models_tell_held_out_samples_apart(spark, table):
     rng = random.Random(4)
     alphabet = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"
