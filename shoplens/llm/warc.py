@@ -3,9 +3,9 @@
 Reading: files are planned as partitions of bounded size. Of each record the header block is
 parsed first; filters on record type and other header columns are pushed down and decided there,
 and the payload of a record that fails them, or that the query does not ask for, is not decoded.
-Compressed files hold a gzip member per record. Members written here carry their length in an
-"sl" extra field, so a skipped record is skipped by a seek; other members are inflated and
-dropped. Plain files are skipped by Content-Length.
+A gzip member may hold one record or many. Members written here hold one and carry their length in
+an "sl" extra field, so a skipped record is skipped by a seek; other members are inflated and
+dropped. Plain files are skipped by Content-Length. Subfolders are read too.
 
 Writing: each task writes files of its own and a commit lists them, so files of failed or
 repeated attempts are never read.
@@ -16,6 +16,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import json
+import re
 import struct
 import uuid
 import zlib
@@ -42,6 +43,8 @@ REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-dig
 #: Bytes of files in a partition, and from which on a writer begins another file.
 PARTITION_BYTES, FILE_BYTES = 128 << 20, 256 << 20
 LEVEL = 4
+#: Names of the files written here.
+WRITTEN = re.compile(r"[0-9a-f]{32}\.warc\.gz")
 
 
 def base32_sha1(payload: bytes) -> str:
@@ -142,66 +145,99 @@ class Records:
     def _members(self):
         at, size = 0, self.f.size()
         while at < size:
-            self.f.seek(at)
-            data = self.f.read(self.CHUNK)
-            if data[:3] != b"\x1f\x8b\x08":
-                raise ValueError(f"no gzip member at byte {at}")
-            skip, member = self._gzip_header(data)
-            state = zlib.decompressobj(-15)
-            out = state.decompress(data[skip:], self.CHUNK)
-            pending = state.unconsumed_tail
-            while (end := out.find(b"\r\n\r\n")) < 0 and not state.eof:
-                pending = pending or self.f.read(self.CHUNK)
-                if not pending:
-                    raise ValueError(f"a member breaks off at byte {at}")
-                out += state.decompress(pending, self.CHUNK)
-                pending = state.unconsumed_tail
-            header = parse_header(out[:end])
-            length = int(header["content-length"])
-            self.inflated += len(out)
-            box = [pending]
-
-            def inflate(start=at, box=box, state=state):
-                data = box[0] or self.f.read(1 << 18)
-                if not data:
-                    raise ValueError(f"a member breaks off after byte {start}")
-                more = state.decompress(data, 1 << 20)
-                box[0] = state.unconsumed_tail
-                self.inflated += len(more)
-                return more
-
-            def block(out=out, end=end, length=length, state=state):
-                pieces, have = [out], len(out)
-                while have < end + 4 + length and not state.eof:
-                    pieces.append(inflate())
-                    have += len(pieces[-1])
-                return b"".join(pieces)[end + 4:end + 4 + length]
-
-            yield header, block
-            if member:
-                at += member
+            member = _Member(self, at)
+            while (end := member.find_header()) is not None:
+                header = parse_header(bytes(member.data[:end]))
+                member.drop(end + 4)
+                last = member.position + int(header["content-length"])
+                yield header, lambda member=member, last=last: member.read(last - member.position)
+                if member.packed and member.whole <= last + 4:
+                    break  # nothing behind this record: the member's rest is skipped by its length
+                member.skip(last - member.position)
+            if member.packed:
+                at += member.packed
             else:  # the member's end shows only when all of it is inflated
-                while not state.eof:
-                    inflate()
-                at = self.f.tell() - len(state.unused_data) + 8
+                at = self.f.tell() - len(member.state.unused_data) + 8
 
     @staticmethod
-    def _gzip_header(data: bytes) -> tuple[int, int]:
-        """Length of the gzip header, and of the whole member if an "sl" field tells it (else 0)."""
-        flags, at, member = data[3], 10, 0
+    def _gzip_header(data: bytes) -> tuple[int, int, int]:
+        """Length of the gzip header, and of the whole member packed and inflated if an "sl" field
+        tells them (else 0)."""
+        flags, at, packed, whole = data[3], 10, 0, 0
         if flags & 4:
             (extra,) = struct.unpack_from("<H", data, at)
             field, end = at + 2, at + 2 + extra
             while field + 4 <= end:
                 name, size = data[field:field + 2], struct.unpack_from("<H", data, field + 2)[0]
                 if name == b"sl" and size >= 8:
-                    (member,) = struct.unpack_from("<I", data, field + 4)
+                    packed, whole = struct.unpack_from("<II", data, field + 4)
                 field += 4 + size
             at = end
         for flag in (8, 16):
             if flags & flag:
                 at = data.index(b"\x00", at) + 1
-        return at + (2 if flags & 2 else 0), member
+        return at + (2 if flags & 2 else 0), packed, whole
+
+
+class _Member:
+    """The inflated bytes of one gzip member, read forward. ``data`` is what is inflated and not
+    yet used, ``position`` the place of its first byte in the member."""
+
+    def __init__(self, records: Records, at: int):
+        self.records, self.at, self.position, self.data = records, at, 0, bytearray()
+        records.f.seek(at)
+        data = records.f.read(Records.CHUNK)
+        if data[:3] != b"\x1f\x8b\x08":
+            raise ValueError(f"no gzip member at byte {at}")
+        skip, self.packed, self.whole = Records._gzip_header(data)
+        self.state, self.pending = zlib.decompressobj(-15), data[skip:]
+
+    def more(self, limit: int) -> bool:
+        """Inflates a piece of at most ``limit`` bytes; False at the member's end."""
+        if self.state.eof:
+            return False
+        data = self.pending or self.records.f.read(1 << 18 if limit > Records.CHUNK else Records.CHUNK)
+        if not data:
+            raise ValueError(f"the member at byte {self.at} breaks off")
+        piece = self.state.decompress(data, limit)
+        self.pending = self.state.unconsumed_tail
+        self.records.inflated += len(piece)
+        self.data += piece
+        return True
+
+    def drop(self, n: int) -> None:
+        del self.data[:n]
+        self.position += n
+
+    def find_header(self) -> int | None:
+        """Where the next record's header ends, blank lines before it dropped; None behind the last record."""
+        seen = 0
+        while True:
+            self.drop(len(self.data) - len(self.data.lstrip(b"\r\n")))
+            end = self.data.find(b"\r\n\r\n", max(0, seen - 3))
+            if end >= 0:
+                return end
+            seen = len(self.data)
+            if not self.more(Records.CHUNK):
+                if self.data:
+                    raise ValueError(f"a record header breaks off in the member at byte {self.at}")
+                return None
+
+    def read(self, n: int) -> bytes:
+        while len(self.data) < n:
+            if not self.more(1 << 20):
+                raise ValueError(f"a record breaks off in the member at byte {self.at}")
+        block = bytes(self.data[:n])
+        self.drop(n)
+        return block
+
+    def skip(self, n: int) -> None:
+        while len(self.data) < n:
+            n -= len(self.data)
+            self.drop(len(self.data))
+            if not self.more(1 << 20):
+                raise ValueError(f"a record breaks off in the member at byte {self.at}")
+        self.drop(n)
 
 
 def http_payload(block: bytes) -> tuple[bytes, int | None]:
@@ -245,16 +281,7 @@ class WarcReader(DataSourceReader):
         if info.type == fs.FileType.File:
             found = [(root, info.size)]
         else:
-            names = {i.path: i.size for i in system.get_file_info(fs.FileSelector(root)) if i.type == fs.FileType.File}
-            commits = [p for p in names if p.rsplit("/", 1)[-1].startswith("_commit-")]
-            if commits:
-                listed = set()
-                for p in commits:
-                    with system.open_input_stream(p) as f:
-                        listed.update(json.loads(f.read()))
-                found = [(p, s) for p, s in names.items() if p.rsplit("/", 1)[-1] in listed]
-            else:
-                found = [(p, s) for p, s in names.items() if p.endswith((".warc", ".warc.gz"))]
+            found = self._archives(system, root)
         parts, have = [], PARTITION_BYTES
         for p, s in sorted(found):
             if have + s > PARTITION_BYTES and (not parts or have):
@@ -264,6 +291,26 @@ class WarcReader(DataSourceReader):
             have += s
         return [Files(p) for p in parts] or [Files([])]
 
+    @staticmethod
+    def _archives(system, root: str) -> list[tuple[str, int]]:
+        """Archives below a folder, of subfolders too (not of those whose name begins with "_" or
+        "."). In a folder that holds commits, files named as this writer names them count only if a
+        commit lists them; all other archives are read."""
+        listed: dict[str, set] = {}
+        files = []
+        for info in system.get_file_info(fs.FileSelector(root, recursive=True)):
+            folder, _, name = info.path.rpartition("/")
+            inner = folder[len(root.rstrip("/")):].split("/")
+            if info.type != fs.FileType.File or any(part[:1] in ("_", ".") for part in inner if part):
+                continue
+            if name.startswith("_commit-"):
+                with system.open_input_stream(info.path) as f:
+                    listed.setdefault(folder, set()).update(json.loads(f.read()))
+            elif name.endswith((".warc", ".warc.gz")) and name[:1] not in ("_", "."):
+                files.append((folder, name, info.size))
+        return [(f"{folder}/{name}", size) for folder, name, size in files
+                if folder not in listed or name in listed[folder] or not WRITTEN.fullmatch(name)]
+
     def _passes(self, value_of) -> bool:
         for f in self.filters:
             v = value_of(f.attribute[0])

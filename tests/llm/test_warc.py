@@ -2,6 +2,7 @@ import base64
 import gzip
 import hashlib
 import io
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -92,6 +93,37 @@ def test_unwanted_payloads_are_not_decoded(member):
     assert len(set(blocks)) == 1 and blocks[0].startswith(b"<p>text")
 
 
+@pytest.mark.parametrize("member", [W.gzip_member, gzip.compress])
+def test_members_of_several_records(member):
+    """Whatever way records are put into members, each is found, its block asked for or not."""
+    made = records(3) + [W.record_bytes("response", f"<s{i}>", "u", "d", b"x" * i, i, "D", None) for i in range(40)]
+    want = [h["warc-record-id"] for h, _ in W.Records(Spy(b"".join(made)), False)]
+    assert len(want) == 43
+    for cut in (1, 2, 5, 43):
+        data = b"".join(member(b"".join(made[i:i + cut])) for i in range(0, 43, cut))
+        assert [h["warc-record-id"] for h, _ in W.Records(Spy(data), True)] == want
+        payloads = [len(W.http_payload(b())[0]) if i % 2 else None for i, (_, b) in enumerate(W.Records(Spy(data), True))]
+        sizes = [200_003] * 3 + list(range(40))
+        assert payloads == [n if i % 2 else None for i, n in enumerate(sizes)]
+        with pytest.raises(ValueError):
+            [b() for _, b in W.Records(Spy(data[:-60]), True)]
+
+
+def test_subfolders_and_foreign_archives(spark):
+    path = archive(spark, ROWS[:2])
+    put = Path(path.removeprefix("file:"))
+    small = lambda name: W.record_bytes("response", name, "u", "d", b"x", 1, "D", None)
+    (put / "CC-1.warc.gz").write_bytes(gzip.compress(small("<a>") + small("<b>")))
+    (put / "deep" / "er").mkdir(parents=True)
+    (put / "deep" / "er" / "x.warc").write_bytes(small("<c>"))
+    (put / "deep" / f"{'0' * 32}.warc.gz").write_bytes(W.gzip_member(small("<d>")))  # no commits in this folder
+    (put / f"{'0' * 32}.warc.gz").write_bytes(W.gzip_member(small("<lost attempt>")))
+    (put / "_tmp").mkdir()
+    (put / "_tmp" / "y.warc").write_bytes(small("<hidden>"))
+    got = sorted(r.record_id for r in spark.read.format("warc").load(path).collect())
+    assert got == ["<a>", "<b>", "<c>", "<d>", "<urn:page:1>", "<urn:page:2>"]
+
+
 def test_plain_files_and_folded_lines():
     data = b"\r\n" + b"".join(records(3)).replace(b"WARC-Date: d", b"WARC-Date: d\r\n more")
     got = list(W.Records(Spy(data), False))
