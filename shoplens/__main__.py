@@ -29,7 +29,7 @@ JOBS = ["dau", "orders", "alerts", "sales", "router", "collector"]
 
 def _topic(spark, args, topic):
     from shoplens.streaming.sources import topic_stream
-    return topic_stream(spark, topic, fmt="kafka" if args.source == "kafka" else "files",
+    return topic_stream(spark, topic, fmt=args.source,
                         bootstrap_servers=args.bootstrap, group_id=args.group,
                         starting_offsets=args.starting_offsets, path=args.topics)
 
@@ -41,7 +41,7 @@ def run_job(spark, args) -> list:
     from shoplens.sources.tables import jdbc_lookup, read_dimension
     from shoplens.streaming import jobs
     trigger = {"availableNow": True} if args.once else {"processingTime": args.trigger}
-    fmt = "kafka" if args.source == "kafka" else "files"
+    fmt = args.source
     if args.name == "dau":
         parse_dau = functools.partial(parse.startup_logs, tz=args.tz)
         return [jobs.start_dau(_topic(spark, args, STARTUP_LOG_TOPIC), args.out, args.checkpoint, trigger, parse_dau)]
@@ -125,11 +125,11 @@ def parser() -> argparse.ArgumentParser:
     sub = p.add_subparsers(dest="cmd", required=True)
     j = sub.add_parser("job")
     j.add_argument("name", choices=JOBS)
-    j.add_argument("--source", choices=["kafka", "files"], default="kafka")
+    j.add_argument("--source", choices=["kafka", "files", "log"], default="kafka")
     j.add_argument("--bootstrap")
     j.add_argument("--group")
     j.add_argument("--starting-offsets", default="latest")
-    j.add_argument("--topics", help="folder of file-backed topics (source/sink 'files')")
+    j.add_argument("--topics", help="folder of the topics (source/sink 'files' or 'log')")
     j.add_argument("--out", required=True)
     j.add_argument("--checkpoint", required=True)
     j.add_argument("--trigger", default="3 seconds")
@@ -171,9 +171,13 @@ def main(argv: list[str] | None = None, spark=None) -> int:
         from shoplens.config import build_session
         spark = build_session(app=f"shoplens-{args.cmd}-{args.name}", cluster=True)
     if args.cmd == "job":
+        from shoplens.streaming import topic_log
         queries = run_job(spark, args)
         for q in queries:
-            q.awaitTermination()
+            if args.source == "log" and args.group:
+                topic_log.finish(q, args.topics, args.group)
+            else:
+                q.awaitTermination()
         return 0
     if args.cmd == "compact":
         run_compact(spark, args)

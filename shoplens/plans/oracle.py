@@ -255,6 +255,9 @@ SELECT id, CAST(date_diff('day', birthday, current_date) // 365 AS INTEGER) AS a
     "stream_log_archive": """
 SELECT strftime(ts, '%Y-%m-%d') AS dt, k AS "logType", 'mid_' || CASE WHEN k = 'startup' THEN user_id ELSE user_id % 25 END AS mid,
        epoch_us(ts) // 1000 AS ts FROM events, (VALUES ('startup'), ('event')) AS kinds(k)""",
+    "stream_consumer_group": """
+SELECT CAST(epoch_us(ts) // 1000000 % 2 + 1 AS INTEGER) AS run, 'event' AS "logType", 'mid_' || user_id % 25 AS mid,
+       epoch_us(ts) // 1000 AS ts FROM events""",
     "sale_search_two_tokens": _with(("sale_tok",), f"""
 SELECT order_id, order_detail_id, sku_name FROM sale_tok WHERE dt = '{R.SEARCH_DATE}'
 AND {" AND ".join(f"list_contains(tok, '{t}')" for t in R.SEARCH_TWO_TOKENS.split())}"""),

@@ -19,7 +19,7 @@ from shoplens.operators import dau as dau_ops
 from shoplens.operators import orders as order_ops
 from shoplens.plans import registry as R
 from shoplens.sources import testdata as td
-from shoplens.streaming import jobs
+from shoplens.streaming import jobs, topic_log
 from shoplens.streaming.sources import topic_stream
 
 ONCE = {"availableNow": True}
@@ -114,6 +114,24 @@ def stream_log_archive(spark: SparkSession, sf: str) -> DataFrame:
     return lines.select(F.col("dt").cast("string").alias("dt"), F.from_json("value", "logType string, mid string, ts long").alias("j")).select("dt", "j.*")
 
 
+def stream_consumer_group(spark: SparkSession, sf: str) -> DataFrame:
+    """Collector -> topic log -> two runs of one consumer group. The second run has a checkpoint of its
+    own and begins at the offsets the group committed; each event log comes with the run that read it."""
+    base = scratch_path(spark, "stream_group")
+    raw = td.raw_logs(spark, sf).select("value", "received_ts")
+    turn_of = F.pmod(F.expr("received_ts div 1000"), F.lit(2))
+    for turn in (0, 1):
+        raw.where(turn_of == turn).coalesce(2).write.mode("append").parquet(f"{base}/in")
+        lines = spark.readStream.schema(raw.schema).option("maxFilesPerTrigger", "1").parquet(f"{base}/in")
+        _run(jobs.start_log_collector(lines, f"{base}/ckpt-logs", f"{base}/archive", fmt="log", path=f"{base}/log", trigger=ONCE))
+        events = topic_stream(spark, EVENT_LOG_TOPIC, fmt="log", path=f"{base}/log", group_id="alerts", starting_offsets="earliest")
+        query = (events.select("value").writeStream.format("parquet").option("path", f"{base}/out/run={turn + 1}")
+                 .option("checkpointLocation", f"{base}/ckpt-{turn}").trigger(**ONCE).start())
+        topic_log.finish(query, f"{base}/log", "alerts")
+    runs = [spark.read.parquet(f"{base}/out/run={turn}").withColumn("run", F.lit(turn)) for turn in (1, 2)]
+    return runs[0].unionByName(runs[1]).select("run", F.from_json("value", "logType string, mid string, ts long").alias("j")).select("run", "j.*")
+
+
 def stream_sale_wide(spark: SparkSession, sf: str) -> DataFrame:
     base = scratch_path(spark, "stream_sales")
     messages = jobs.order_and_detail_messages(td.order_messages(spark, sf), td.detail_messages(spark, sf))
@@ -147,6 +165,7 @@ def stream_sale_as_of(spark: SparkSession, sf: str) -> DataFrame:
 STREAM_QUERIES = {
     "stream_sale_as_of": stream_sale_as_of,
     "stream_log_archive": stream_log_archive,
+    "stream_consumer_group": stream_consumer_group,
     "stream_dau": stream_dau,
     "stream_dau_hourly": stream_dau_hourly,
     "stream_alerts": stream_alerts,

@@ -16,7 +16,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from shoplens.operators.dedup import keep_last
+from shoplens.streaming import topic_log
 
+#: The jobs' name as writer of a topic log.
+WRITER = "job"
 BatchFn = Callable[[DataFrame, int], None]
 
 
@@ -114,7 +117,12 @@ def topic_sink(df: DataFrame, checkpoint: str, fmt: str = "kafka",
                bootstrap_servers: str | None = None, path: str | None = None,
                trigger: dict | None = None) -> StreamingQuery:
     """Write (topic, value) rows: to Kafka (the ``topic`` column picks the
-    topic per row), or as text lines under ``{path}/topic=<t>/``."""
+    topic per row), to a topic log (``fmt='log'``; a path has one writer), or as text
+    lines under ``{path}/topic=<t>/``."""
+    if fmt == "log":
+        if path is None:
+            raise ValueError("a topic log needs a path")
+        return topic_log.start_append(df, path, checkpoint, WRITER, trigger=trigger)
     out = df.select("topic", F.col("value").cast("string").alias("value"))
     if fmt == "kafka":
         w = out.writeStream.format("kafka")
@@ -130,8 +138,12 @@ def topic_sink(df: DataFrame, checkpoint: str, fmt: str = "kafka",
 
 def write_topics(df: DataFrame, batch_id: int, fmt: str = "kafka", bootstrap_servers: str | None = None,
                  path: str | None = None) -> None:
-    """One micro-batch of (topic, value) rows: to Kafka, or as text lines under
-    ``{path}/topic=<t>/batch-N-*`` (a replay replaces the batch's files)."""
+    """One micro-batch of (topic, value) rows: to Kafka, to a topic log (a repeated batch is left
+    out), or as text lines under ``{path}/topic=<t>/batch-N-*`` (a replay replaces the batch's files)."""
+    if fmt == "log":
+        if path is None:
+            raise ValueError("a topic log needs a path")
+        return topic_log.append_batch(df, batch_id, path, WRITER)
     out = df.select("topic", F.col("value").cast("string").alias("value"))
     if fmt == "kafka":
         w = out.write.format("kafka")

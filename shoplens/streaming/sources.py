@@ -7,6 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from shoplens.streaming import topic_log
+
 
 def topic_stream(spark: SparkSession, topic: str, fmt: str = "kafka",
                  bootstrap_servers: str | None = None, group_id: str | None = None,
@@ -16,10 +18,15 @@ def topic_stream(spark: SparkSession, topic: str, fmt: str = "kafka",
 
     ``fmt='kafka'`` subscribes to the topic; offsets live in the query's
     checkpoint, ``group_id`` names the consumer group, ``starting_offsets``
-    applies to the first run only. Any other ``fmt`` reads text lines from
-    ``{path}/topic={topic}`` (the layout ``sinks.topic_sink`` writes).
+    applies to the first run only. ``fmt='log'`` reads the topic log at ``path``
+    (``topic_log``), with the same meaning of group and offsets. Any other ``fmt``
+    reads text lines from ``{path}/topic={topic}`` (the layout ``sinks.topic_sink`` writes).
     """
     opts = dict(options or {})
+    if fmt == "log":
+        if path is None:
+            raise ValueError("a topic log needs a path")
+        return topic_log.read_stream(spark, path, topic, group_id, starting_offsets).select("value", "received_ts")
     if fmt == "kafka":
         reader = (spark.readStream.format("kafka")
                   .option("subscribe", topic)

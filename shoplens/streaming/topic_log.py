@@ -17,6 +17,7 @@ one entry a partition and a segment, never messages. A folder has one writer at
 from __future__ import annotations
 
 import json
+import time
 import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -29,10 +30,10 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import (
-    DataSource, DataSourceStreamArrowWriter, DataSourceStreamReader, InputPartition, WriterCommitMessage)
+    DataSource, DataSourceArrowWriter, DataSourceStreamArrowWriter, DataSourceStreamReader, InputPartition, WriterCommitMessage)
 from pyspark.sql.streaming import StreamingQuery
 
-SCHEMA = "topic string, partition int, offset long, value string"
+SCHEMA = "topic string, partition int, offset long, value string, received_ts long"
 #: Rows a task holds before it writes them as row groups, and rows a reading task takes.
 FLUSH_ROWS, TASK_ROWS = 65_536, 1_000_000
 
@@ -93,7 +94,7 @@ class TopicLogWriter(DataSourceStreamArrowWriter):
                 mine = rows.filter((pa.compute.field("topic") == key["topic"]) & (pa.compute.field("partition") == key["partition"]))
                 out.write_table(mine.select(["value"]).cast(schema), row_group_size=FLUSH_ROWS * 2)
                 listed.append({"topic": key["topic"], "partition": key["partition"], "rows": mine.num_rows, "file": name,
-                               "group": len(listed)})
+                               "group": len(listed), "ts": time.time_ns() // 1_000_000})
             held.clear()
 
         try:
@@ -159,11 +160,11 @@ class TopicLogReader(DataSourceStreamReader):
         if self.start == "latest":
             return self.latestOffset()
         # version 0: all commits are looked through for what lies behind the offsets
-        return {"version": 0, "ends": {} if self.start == "earliest" else {str(k): int(n) for k, n in json.loads(self.start).items()}}
+        return {"topic": self.topic, "version": 0, "ends": {} if self.start == "earliest" else {str(k): int(n) for k, n in json.loads(self.start).items()}}
 
     def latestOffset(self) -> dict:
         version = _Folder(self.path).version()
-        return {"version": version, "ends": self._ends(version)}
+        return {"topic": self.topic, "version": version, "ends": self._ends(version)}
 
     def partitions(self, start: dict, end: dict) -> list[Pieces]:
         folder, parts, have = _Folder(self.path), [], TASK_ROWS
@@ -192,7 +193,8 @@ class TopicLogReader(DataSourceStreamReader):
                     if n:
                         yield pa.RecordBatch.from_arrays(
                             [pa.array([self.topic] * n, pa.string()), pa.array([s["partition"]] * n, pa.int32()),
-                             pa.array(range(at - n, at), pa.int64()), batch.column(0)], names=["topic", "partition", "offset", "value"])
+                             pa.array(range(at - n, at), pa.int64()), batch.column(0), pa.array([s["ts"]] * n, pa.int64())],
+                            names=["topic", "partition", "offset", "value", "received_ts"])
 
     def commit(self, end: dict) -> None:
         if self.group:
@@ -202,6 +204,22 @@ class TopicLogReader(DataSourceStreamReader):
         pass
 
 
+class TopicLogBatchWriter(DataSourceArrowWriter):
+    """The same append from ``foreachBatch``; option ``batch`` is the micro-batch's number."""
+
+    def __init__(self, options: dict):
+        self.inner, self.batch = TopicLogWriter(options), int(options["batch"])
+
+    def write(self, iterator: Iterator[pa.RecordBatch]) -> Segments:
+        return self.inner.write(iterator)
+
+    def commit(self, messages) -> None:
+        self.inner.commit(messages, self.batch)
+
+    def abort(self, messages) -> None:
+        self.inner.abort(messages, self.batch)
+
+
 class TopicLogSource(DataSource):
     @classmethod
     def name(cls) -> str:
@@ -216,6 +234,9 @@ class TopicLogSource(DataSource):
     def streamWriter(self, schema, overwrite: bool) -> TopicLogWriter:  # noqa: N802
         return TopicLogWriter(dict(self.options))
 
+    def writer(self, schema, overwrite: bool) -> TopicLogBatchWriter:
+        return TopicLogBatchWriter(dict(self.options))
+
 
 def register(spark: SparkSession) -> None:
     import sys
@@ -224,26 +245,38 @@ def register(spark: SparkSession) -> None:
 
 
 def read_stream(spark: SparkSession, path: str, topic: str, group: str | None = None, starting_offsets: str = "latest") -> DataFrame:
-    """(topic, partition, offset, value) of one topic."""
+    """(topic, partition, offset, value, received_ts) of one topic; the last is the time of writing."""
     register(spark)
     reader = spark.readStream.format("topic_log").option("path", path).option("topic", topic).option("startingOffsets", starting_offsets)
     return (reader.option("group", group) if group else reader).load()
 
 
+def _dealt(df: DataFrame, key: Column | None, partitions: int) -> DataFrame:
+    register(df.sparkSession)
+    part = F.pmod(F.xxhash64(F.col("value") if key is None else key), F.lit(partitions)).cast("int")
+    return df.select(F.col("topic").cast("string").alias("topic"), part.alias("partition"), F.col("value").cast("string").alias("value"))
+
+
 def start_append(df: DataFrame, path: str, checkpoint: str, writer: str, key: Column | None = None, partitions: int = 8,
                  trigger: dict | None = None) -> StreamingQuery:
     """Appends a stream of (topic, value); ``key`` (the value, if none is given) picks the partition."""
-    register(df.sparkSession)
-    part = F.pmod(F.xxhash64(F.col("value") if key is None else key), F.lit(partitions)).cast("int")
-    out = df.select(F.col("topic").cast("string").alias("topic"), part.alias("partition"), F.col("value").cast("string").alias("value"))
-    return (out.writeStream.format("topic_log").option("path", path).option("writer", writer).option("checkpointLocation", checkpoint)
-            .trigger(**(trigger or {"processingTime": "3 seconds"})).start())
+    return (_dealt(df, key, partitions).writeStream.format("topic_log").option("path", path).option("writer", writer)
+            .option("checkpointLocation", checkpoint).trigger(**(trigger or {"processingTime": "3 seconds"})).start())
+
+
+def append_batch(df: DataFrame, batch_id: int, path: str, writer: str, key: Column | None = None, partitions: int = 8) -> None:
+    """Appends one micro-batch of (topic, value) from ``foreachBatch``; a repeated batch is left out."""
+    (_dealt(df, key, partitions).write.format("topic_log").mode("append").option("path", path).option("writer", writer)
+     .option("batch", str(batch_id)).save())
 
 
-def finish(query: StreamingQuery, path: str, topic: str, group: str) -> None:
-    """Waits for a query that reads for a group to end, and stores the offsets of its last finished batch."""
+def finish(query: StreamingQuery, path: str, group: str) -> None:
+    """Waits for a query that reads topics for a group to end, and stores the offsets of its last finished batch."""
     query.awaitTermination()
-    ends = [json.loads(p.json)["sources"][0]["endOffset"] for p in query.recentProgress]
-    ends = [e for e in ends if e is not None]
-    if ends:
-        TopicLogReader({"path": path, "topic": topic, "group": group}).commit(ends[-1])
+    ends = {}
+    for progress in query.recentProgress:
+        for source in json.loads(progress.json)["sources"]:
+            if isinstance(source["endOffset"], dict) and "topic" in source["endOffset"]:
+                ends[source["endOffset"]["topic"]] = source["endOffset"]
+    for topic, end in ends.items():
+        TopicLogReader({"path": path, "topic": topic, "group": group}).commit(end)

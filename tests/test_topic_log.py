@@ -7,7 +7,9 @@ import pyarrow as pa
 import pytest
 
 from shoplens.config import scratch_path
+from shoplens.streaming import sinks
 from shoplens.streaming import topic_log as L
+from shoplens.streaming.sources import topic_stream
 
 ONCE = {"availableNow": True}
 
@@ -26,7 +28,7 @@ def consume(spark, base, topic, run, group=None, start="earliest"):
          .foreachBatch(lambda df, _: seen.extend((r.partition, r.offset, r.value) for r in df.collect()))
          .option("checkpointLocation", f"{base}/{run}").trigger(**ONCE).start())
     if group:
-        L.finish(q, f"{base}/log", topic, group)
+        L.finish(q, f"{base}/log", group)
     else:
         q.awaitTermination()
     return seen
@@ -102,6 +104,16 @@ def test_a_large_partition_is_many_tasks(spark, monkeypatch):
     assert got == [str(i) for i in range(150, 1000)]
 
 
+def test_a_batch_job_and_its_repeated_batches(spark):
+    base = scratch_path(spark, "topic_log_batch")
+    df = spark.createDataFrame(rows("a", 0, 20) + rows("b", 0, 3), "topic string, value string")
+    for batch_id in (0, 0, 1):
+        sinks.write_topics(df, batch_id, "log", path=f"{base}/log")
+    assert values(consume(spark, base, "a", "a")) == Counter([v for _, v in rows("a", 0, 20)] * 2)
+    got = topic_stream(spark, "b", fmt="log", path=f"{base}/log", starting_offsets="earliest")
+    assert got.columns == ["value", "received_ts"]
+
+
 def test_options_are_required(spark):
     with pytest.raises(KeyError):
         L.TopicLogWriter({"path": "/tmp/x"})
