@@ -42,7 +42,7 @@ class _Folder:
     """The commits and group offsets below a path. Files are put in place by one rename."""
 
     def __init__(self, path: str):
-        self.fs, self.root = fs.FileSystem.from_uri(path if "://" in path or path.startswith("/") else f"file:{path}")
+        self.fs, self.root = fs.FileSystem.from_uri(path)  # "/x", "file:/x", "hdfs://..."
 
     def put(self, name: str, content: dict) -> None:
         folder = f"{self.root}/{name}".rpartition("/")[0]
