@@ -33,6 +33,8 @@ from .common import batches, free_name, held_out, materialize
 MAX_LABELLED, FOLDS = 20_000, 4
 STEMS = range(4, 10)
 FUZZY_LENGTH = 4
+#: Sizes of what is left of a stem without a letter or whole; words longer than ``LONG_TERM`` are told by halves.
+REST_SIZES, LONG_TERM = range(FUZZY_LENGTH - 1, STEMS[-1] + 1), 64
 #: Of the terms as telling as a kept one, the share that chance would give at most, and the least weight.
 CHANCE, LEAST_WEIGHT = 0.1, 0.5
 #: Least share of toxic documents among those of a misspelling.
@@ -57,6 +59,11 @@ def plain(token: str) -> str:
     return ""
 
 
+def rests(word: str) -> list[str]:
+    """The word, and what is left without any one of its letters."""
+    return [word, *[word[:i] + word[i + 1:] for i in range(len(word))]]
+
+
 class Lexicon:
     """Words and stems with weights, in a trie for automaton lookups. ``innocent`` holds spellings
     that are no misspelt terms."""
@@ -64,36 +71,51 @@ class Lexicon:
     def __init__(self, words: dict[str, float], stems: dict[str, float], innocent: set[str] | None = None):
         self.words, self.stems, self.innocent = words, stems, set(innocent or ())
         self.trie: dict = {}
-        self.heads: set[str] = set()
-        self.tails: set[str] = set()
-        #: Second halves of stems, with the place where they begin.
-        self.inner: set[tuple[int, str]] = set()
+        #: Terms and what is left of them without one letter. Two words one edit apart share such a rest.
+        self.word_rests: set[str] = set()
+        self.stem_rests: set[str] = set()
+        #: Of words too long for that, the two halves.
+        self.long_halves: set[str] = set()
+        self.longest = 0
         for term in [*words, *(s + "*" for s in stems)]:
             word = term.rstrip("*")
             if len(word) >= FUZZY_LENGTH:
                 node = self.trie
                 for c in word:
                     node = node.setdefault(c, {})
-                half = len(word) // 2
-                self.heads.add(word[:half])
-                if term == word:
-                    node[""] = word
-                    self.tails.add(word[half:])
+                node["" if term == word else "*"] = word
+                if len(word) > LONG_TERM:
+                    half = len(word) // 2
+                    self.long_halves.update((word[:half], word[half:]))
                 else:
-                    node["*"] = word
-                    self.inner.add((half, word[half:]))
-        self.head_sizes = sorted({len(x) for x in self.heads})
-        self.tail_sizes = sorted({len(x) for x in self.tails})
-        self.inner_places = sorted({(half, len(x), half + d) for half, x in self.inner for d in (-1, 0, 1)})
+                    (self.word_rests if term == word else self.stem_rests).update(rests(word))
+                    self.longest = max(self.longest, len(word))
+        self.half_sizes = sorted({len(x) for x in self.long_halves})
+
+    def __reduce__(self):
+        # tasks get the terms and make the trie themselves
+        return Lexicon, (self.words, self.stems, self.innocent)
+
+    def _may_be_near(self, word: str) -> bool:
+        """No for nearly all words that no term is near; never for one that has a term near."""
+        if len(word) <= self.longest + 1 and not self.word_rests.isdisjoint(rests(word)):
+            return True
+        if self.stem_rests:
+            # a beginning of the word is one edit from a stem: it shares a rest with it
+            start = word[:STEMS[-1] + 1]
+            if any(start[:k] in self.stem_rests for k in REST_SIZES):
+                return True
+            for rest in rests(start):
+                for k in REST_SIZES:
+                    if rest[:k] in self.stem_rests:
+                        return True
+        return any(word[:k] in self.long_halves or word[-k:] in self.long_halves for k in self.half_sizes)
 
     def near(self, word: str) -> list[tuple[str, float]]:
         """(spelling, weight) of the terms one edit away, innocent or not: the spelling is the word
-        or, of a stem, the word's beginning and a star. One half of the term is untouched, which
-        most words fail."""
-        if len(word) < FUZZY_LENGTH - 1:
-            return []
-        if not (any(word[:k] in self.heads for k in self.head_sizes) or any(word[-k:] in self.tails for k in self.tail_sizes)
-                or any((half, word[at:at + k]) in self.inner for half, k, at in self.inner_places)):
+        or, of a stem, the word's beginning and a star. The automaton is run only for words that
+        share a rest with some term."""
+        if len(word) < FUZZY_LENGTH - 1 or not self._may_be_near(word):
             return []
         return self._walk(word)
 

@@ -1,5 +1,6 @@
 """Operators 4, 5 and 8."""
 
+import pickle
 import random
 import re
 import time
@@ -170,6 +171,27 @@ def test_automaton_finds_what_is_one_edit_away():
         assert sorted(lexicon.near(word)) == sorted((word, weight) for t, weight in terms.items() if distance(word, t) <= 1)
 
 
+def test_no_near_term_is_missed_by_the_look_at_rests():
+    """Short and long words and stems: what ``near`` gives is what the automaton run for every word gives."""
+    rng = random.Random(3)
+
+    def letters(a, b, of="abcde"):
+        return "".join(rng.choice(of) for _ in range(rng.randint(a, b)))
+
+    for _ in range(10):
+        words = {letters(1, 9): 1.0 for _ in range(60)} | {letters(T.LONG_TERM - 2, T.LONG_TERM + 9, "ab"): 2.0 for _ in range(4)}
+        stems = {letters(4, 9): 3.0 for _ in range(25)}
+        lexicon = pickle.loads(pickle.dumps(T.Lexicon(words, stems)))
+        asked = [letters(1, 14) for _ in range(1000)]
+        for term in [*words, *stems]:
+            at = rng.randrange(len(term) + 1)
+            for rest in (term[at:], "z" + term[at:], term[at + 1:], "q" + term[at + 1:]):
+                asked += [term[:at] + rest, term[:at] + rest + "tail"]
+        found = [sorted(lexicon.near(word)) for word in asked]
+        assert found == [sorted(lexicon._walk(word)) if len(word) >= T.FUZZY_LENGTH - 1 else [] for word in asked]
+        assert any(found) and not all(found)
+
+
 def test_quotation():
     assert T.quoted('he said "you idiot" to them', 13) and T.quoted("they were called an idiot", 20)
     assert not T.quoted("you idiot", 4) and not T.quoted('"fine" you idiot', 11)
