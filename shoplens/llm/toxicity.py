@@ -90,6 +90,8 @@ class Lexicon:
                 else:
                     (self.word_rests if term == word else self.stem_rests).update(rests(word))
                     self.longest = max(self.longest, len(word))
+        #: First letters of all rests, as many as the shortest has.
+        self.starts = {rest[:REST_SIZES[0]] for rest in self.word_rests | self.stem_rests}
         self.half_sizes = sorted({len(x) for x in self.long_halves})
 
     def __reduce__(self):
@@ -98,17 +100,15 @@ class Lexicon:
 
     def _may_be_near(self, word: str) -> bool:
         """No for nearly all words that no term is near; never for one that has a term near."""
-        if len(word) <= self.longest + 1 and not self.word_rests.isdisjoint(rests(word)):
-            return True
-        if self.stem_rests:
-            # a beginning of the word is one edit from a stem: it shares a rest with it
-            start = word[:STEMS[-1] + 1]
-            if any(start[:k] in self.stem_rests for k in REST_SIZES):
+        starts = self.starts
+        # a rest of the word begins in one of these four ways
+        if word[:3] in starts or word[1:4] in starts or word[0] + word[2:4] in starts or word[:2] + word[3:4] in starts:
+            if len(word) <= self.longest + 1 and not self.word_rests.isdisjoint(rests(word)):
                 return True
-            for rest in rests(start):
-                for k in REST_SIZES:
-                    if rest[:k] in self.stem_rests:
-                        return True
+            # a beginning of the word is one edit from a stem: it shares a rest with it
+            for rest in rests(word[:STEMS[-1] + 1]) if self.stem_rests else ():
+                if rest[:3] in starts and any(rest[:k] in self.stem_rests for k in REST_SIZES):
+                    return True
         return any(word[:k] in self.long_halves or word[-k:] in self.long_halves for k in self.half_sizes)
 
     def near(self, word: str) -> list[tuple[str, float]]:
