@@ -44,10 +44,10 @@ def run_job(spark, args) -> list:
     fmt = args.source
     if args.name == "dau":
         parse_dau = functools.partial(parse.startup_logs, tz=args.tz)
-        return [jobs.start_dau(_topic(spark, args, STARTUP_LOG_TOPIC), args.out, args.checkpoint, trigger, parse_dau)]
+        return [jobs.start_dau(_topic(spark, args, STARTUP_LOG_TOPIC), args.out, args.checkpoint, trigger, parse_dau, counts=True)]
     if args.name == "orders":
         return [jobs.start_orders(_topic(spark, args, ORDER_INFO_TOPIC), args.out,
-                                  f"{args.out}_rejects", args.checkpoint, trigger)]
+                                  f"{args.out}_rejects", args.checkpoint, trigger, counts=True)]
     if args.name == "alerts":
         parse_events = functools.partial(parse.event_logs, tz=args.tz)
         return [jobs.start_alerts(_topic(spark, args, EVENT_LOG_TOPIC), args.out, args.checkpoint, args.window, args.slide,
@@ -105,9 +105,15 @@ def run_report(spark, args) -> list[dict]:
 
     if args.name == "kpi":
         dau = table(args.dau, "dau", jobs.read_dau, "log_date", None)   # a device's first day may be any
+        actives, amounts = jobs.dau_counts(spark, args.dau, [args.date]), jobs.order_counts(spark, args.orders, [args.date])
+        if actives is not None and amounts is not None:
+            return rows(reports.kpi_panel_of_counts(actives, dau, amounts, args.date))
         orders = table(args.orders, "orders", jobs.read_orders, "create_date", [args.date])
         return rows(reports.kpi_panel_for_date(dau, orders, args.date))
     if args.name == "hourly":
+        counts = jobs.dau_counts(spark, args.dau, both) if args.id == "dau" else jobs.order_counts(spark, args.orders, both)
+        if counts is not None:
+            return rows(reports.hourly_compare_of_counts(args.id, counts, args.date))
         source = (table(args.dau, "dau", jobs.read_dau, "log_date", both) if args.id == "dau"
                   else table(args.orders, "orders", jobs.read_orders, "create_date", both))
         return rows(reports.realtime_hour(args.id, source, args.date))

@@ -323,6 +323,8 @@ SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_shipdate FR
 
 SQL["stream_alerts_throttled"] = SQL["coupon_alerts_throttled"]
 SQL["stream_dau_hourly"] = SQL["dau_hourly"]
+SQL["stream_dau_counts"] = SQL["dau_hourly"]
+SQL["stream_order_counts"] = SQL["order_amount_hourly"]
 SQL["stream_alerts_from_logs"] = SQL["stream_alerts"]
 SQL["stream_order_ingest"] = _with(("order_info",), "SELECT " + ", ".join(
     c if c in ("id", "province_id", "consignee", "consignee_tel", "order_status", "user_id", "total_amount", "create_time",

@@ -117,6 +117,24 @@ def hourly_amount_compare(orders: DataFrame, date: str) -> DataFrame:
                               "create_hour", "order_amount", F.lit(0).cast(schemas.MONEY))
 
 
+def hourly_compare_of_counts(metric_id: str, counts: DataFrame, date: str) -> DataFrame:
+    """The same series from counts the jobs keep by day and hour."""
+    if metric_id == "dau":
+        return today_vs_yesterday(counts, date, "log_date", "log_hour", "dau", F.lit(0).cast("long"))
+    if metric_id == "order_amount":
+        return today_vs_yesterday(counts, date, "create_date", "create_hour", "order_amount", F.lit(0).cast(schemas.MONEY))
+    raise ValueError(f"unknown metric {metric_id!r}; known: {sorted(HOURLY_METRICS)}")
+
+
+def kpi_panel_of_counts(dau_counts: DataFrame, dau: DataFrame, order_counts: DataFrame, date: str) -> DataFrame:
+    """The panel of one date from the jobs' counts; only new devices, which need each device's whole
+    history, are counted from the DAU table."""
+    actives = dau_counts.where(F.col("log_date") == date).groupBy("log_date").agg(F.sum("dau").alias("dau"))
+    amounts = order_counts.where(F.col("create_date") == date).groupBy("create_date").agg(F.sum("order_amount").alias("order_amount"))
+    new = dau_ops.new_devices_by_date(dau).where(F.col("log_date") == date)
+    return _dense_panel(kpi_panel_of(actives, new, amounts), date)
+
+
 HOURLY_METRICS: dict[str, Callable[[DataFrame, str], DataFrame]] = {
     "dau": hourly_dau_compare,
     "order_amount": hourly_amount_compare,

@@ -27,7 +27,8 @@ from shoplens.operators import dau as dau_ops
 from shoplens.operators import routing, sales
 from shoplens.operators.dedup import keep_first, keep_last
 from shoplens.sources.tables import lookup_by_ids
-from shoplens.streaming import sinks
+from shoplens.streaming import counters, sinks
+from shoplens.streaming.counters import count_store
 from shoplens.streaming.state import DayTable
 
 DEFAULT_TRIGGER = {"processingTime": "3 seconds"}
@@ -49,13 +50,15 @@ def dau_store(spark: SparkSession, path: str, **layout) -> DayTable:
 
 
 def start_dau(raw: DataFrame, path: str, checkpoint: str, trigger: dict | None = None,
-              parser: Parser = parse.startup_logs, keep: str = "arrival", layout: dict | None = None) -> StreamingQuery:
+              parser: Parser = parse.startup_logs, keep: str = "arrival", layout: dict | None = None,
+              counts: bool = False) -> StreamingQuery:
     """Keep one startup per (date, device) in the 11-column table, names upper-cased.
 
     A batch is reduced to its earliest row per key (a partial aggregate, so a
     busy device is one row per task) and compared with the stored rows of its
     days. ``keep='arrival'`` adds keys not stored yet; ``keep='earliest'`` also
     adds a row earlier than the stored one, which ``read_dau`` then returns.
+    ``counts``: also keep the counts by day and hour (``dau_counts``).
     """
     def write(batch: DataFrame, batch_id: int) -> None:
         store = dau_store(batch.sparkSession, path, **(layout or {}))
@@ -66,12 +69,19 @@ def start_dau(raw: DataFrame, path: str, checkpoint: str, trigger: dict | None =
             table = rows.select(*[F.col(c).alias(c.upper()) for c in schemas.DAU_TABLE])
             first = keep_first(table, store.keys, ["TS"]).persist()
             stored = store.rows(store.days(first), before=batch_id)
-            out = first
+            out = first.withColumn("_hour", F.lit(None).cast("string"))
             if stored is not None:
-                known = stored.groupBy(*store.keys).agg(F.min("TS").alias("_ts"))
+                earliest = F.min(F.struct("TS", "LOG_HOUR"))
+                known = stored.groupBy(*store.keys).agg(earliest.alias("_k")).select(*store.keys, F.col("_k.TS").alias("_ts"), F.col("_k.LOG_HOUR").alias("_hour"))
                 new = F.col("_ts").isNull()
                 out = first.join(known, store.keys, "left").where(new | (F.col("TS") < F.col("_ts")) if keep == "earliest" else new)
+            if counts:
+                out = out.persist()
             store.write(out.select(*first.columns), batch_id)
+            if counts:
+                counters.add(count_store(batch.sparkSession, path, **(layout or {})), store, counters.first_rows(out), batch_id,
+                             "LOG_DATE", "LOG_HOUR")
+                out.unpersist()
             first.unpersist()
         finally:
             batch.unpersist()
@@ -83,6 +93,12 @@ def read_dau(spark: SparkSession, path: str, days: list[str] | None = None) -> D
     return dau_store(spark, path).read(days).select(*[F.col(c.upper()).alias(c) for c in schemas.DAU_TABLE])
 
 
+def dau_counts(spark: SparkSession, path: str, days: list[str] | None = None) -> DataFrame | None:
+    """(log_date, log_hour, dau) as kept by the job; None while they are behind the table."""
+    found = counters.read(count_store(spark, path), dau_store(spark, path), days)
+    return None if found is None else found.select(F.col("day").alias("log_date"), F.col("hour").alias("log_hour"), F.col("n").alias("dau"))
+
+
 # --- orders ------------------------------------------------------------------
 
 #: Which of an order's versions stands: the last change, then the last delivery.
@@ -95,17 +111,24 @@ def order_store(spark: SparkSession, path: str, **layout) -> DayTable:
 
 
 def start_orders(raw_orders: DataFrame, path: str, rejects_path: str, checkpoint: str,
-                 trigger: dict | None = None, layout: dict | None = None) -> StreamingQuery:
+                 trigger: dict | None = None, layout: dict | None = None, counts: bool = False) -> StreamingQuery:
     """Order ingestion: parse, mask, derive date/hour into the 20-column table,
     names upper-cased; malformed rows to a rejects folder in the same batch.
-    The table's key is the order id (``read_orders``): a redelivery replaces, an older version does not."""
+    The table's key is the order id (``read_orders``): a redelivery replaces, an older version does not.
+    ``counts``: also keep the amounts by day and hour (``order_counts``)."""
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.persist()  # parsed by two consumers: rows and rejects
         try:
             rows, rejects = parse.order_infos(batch)
             rows = keep_last(rows.select(*schemas.ORDER_TABLE), ["id"], ORDER_VERSION)
             upper = rows.select(*[F.col(c).alias(c.upper()) for c in schemas.ORDER_TABLE])
-            order_store(batch.sparkSession, path, **(layout or {})).write(upper, batch_id)
+            store = order_store(batch.sparkSession, path, **(layout or {}))
+            mine = store.write(upper, batch_id)
+            if counts:
+                old = store.rows(store.days(mine), before=batch_id)
+                version = [*(c.upper() for c in ORDER_VERSION), "batch_id"]
+                counters.add(count_store(batch.sparkSession, path, **(layout or {})), store, counters.order_versions(mine, old, version, batch_id),
+                             batch_id, "CREATE_DATE", "CREATE_HOUR", "TOTAL_AMOUNT")
             _write_rejects(rejects, rejects_path, batch_id)
         finally:
             batch.unpersist()
@@ -118,6 +141,13 @@ def read_orders(spark: SparkSession, path: str, days: list[str] | None = None) -
     return order_store(spark, path).read(days).select(*[F.col(c.upper()).alias(c) for c in schemas.ORDER_TABLE])
 
 
+def order_counts(spark: SparkSession, path: str, days: list[str] | None = None) -> DataFrame | None:
+    """(create_date, create_hour, order_amount) as kept by the job; None while they are behind the table."""
+    found = counters.read(count_store(spark, path), order_store(spark, path), days)
+    return None if found is None else found.select(F.col("day").alias("create_date"), F.col("hour").alias("create_hour"),
+                                                   F.col("amount").alias("order_amount"))
+
+
 # --- coupon alerts ---------------------------------------------------------------
 
 def _sum_panes(t: DataFrame) -> DataFrame:
@@ -345,8 +375,8 @@ def read_sales(spark: SparkSession, path: str, days: list[str] | None = None) ->
 
 #: What the launcher's ``compact`` folds, by job.
 STORES = {
-    "dau": lambda spark, path: [dau_store(spark, path)],
-    "orders": lambda spark, path: [order_store(spark, path)],
+    "dau": lambda spark, path: [count_store(spark, path), dau_store(spark, path)],
+    "orders": lambda spark, path: [count_store(spark, path), order_store(spark, path)],
     "alerts": lambda spark, path: [pane_store(spark, path), alert_store(spark, path)],
     "sales": lambda spark, path: list(sale_stores(spark, path).values()),
 }

@@ -132,6 +132,27 @@ def stream_consumer_group(spark: SparkSession, sf: str) -> DataFrame:
     return runs[0].unionByName(runs[1]).select("run", F.from_json("value", "logType string, mid string, ts long").alias("j")).select("run", "j.*")
 
 
+def stream_dau_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """Actives by hour as the job keeps them: earlier startups that come late move devices to their hour."""
+    base = scratch_path(spark, "stream_dau_counts")
+    raw = dealt_stream(td.startup_messages(spark, sf), f"{base}/in")
+    _run(jobs.start_dau(raw, f"{base}/out", f"{base}/ckpt", ONCE, keep="earliest", counts=True))
+    return jobs.dau_counts(spark, f"{base}/out")
+
+
+def stream_order_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """Amounts by hour as the job keeps them. Each order comes three times, in any order: with an amount
+    that is wrong, corrected, and the correction again."""
+    base = scratch_path(spark, "stream_order_counts")
+    last = td.order_messages(spark, sf)
+    draft = last.withColumn("value", F.regexp_replace("value", '"total_amount":"?[^,"}]*"?', '"total_amount":"7.00"'))
+    fixed = last.withColumn("value", F.concat(F.lit('{"operate_time":"9999",'), F.substring("value", 2, 1 << 20)))
+    again = fixed.withColumn("received_ts", F.col("received_ts") + 1)
+    raw = dealt_stream(draft.unionByName(fixed).unionByName(again), f"{base}/in")
+    _run(jobs.start_orders(raw, f"{base}/out", f"{base}/rejects", f"{base}/ckpt", ONCE, counts=True))
+    return jobs.order_counts(spark, f"{base}/out")
+
+
 def stream_sale_wide(spark: SparkSession, sf: str) -> DataFrame:
     base = scratch_path(spark, "stream_sales")
     messages = jobs.order_and_detail_messages(td.order_messages(spark, sf), td.detail_messages(spark, sf))
@@ -168,6 +189,8 @@ STREAM_QUERIES = {
     "stream_consumer_group": stream_consumer_group,
     "stream_dau": stream_dau,
     "stream_dau_hourly": stream_dau_hourly,
+    "stream_dau_counts": stream_dau_counts,
+    "stream_order_counts": stream_order_counts,
     "stream_alerts": stream_alerts,
     "stream_alerts_throttled": stream_alerts_throttled,
     "stream_alerts_from_logs": stream_alerts_from_logs,
