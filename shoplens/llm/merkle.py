@@ -3,8 +3,8 @@
 Rows are leaves, hashed by Spark; per group they ascend by id, every ``fanout`` consecutive nodes become
 a parent (SHA-256 of the children's hex digests) until one is left, and the groups' tops form a tree in
 the same way. The manifest is a table of nodes. Each node's row also keeps a copy of the state that
-its parent's hash had before the node's slot, so a changed node is folded upward by resuming that state
-with the new digest and the right siblings only; nothing to the left is hashed again.
+its parent's hash had before the node's slot, so a leaf, changed or not, is folded upward by resuming that
+state with its digest and the right siblings only; nothing to the left is hashed again.
 
 Trees are built in blocks of at most ``BLOCK`` leaves, whole subtrees that one task each builds; the tops of
 the blocks are the leaves of the next round. What a block needs from above, its path to the root, is one
@@ -19,6 +19,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -284,13 +285,9 @@ def _prove(fanout: int):
         hexes = np.stack([h for h, _ in near], axis=1) if near else np.empty((n, 0, 64), np.uint8)
         there = np.stack([t for _, t in near], axis=1) if near else np.empty((n, 0), bool)
         proof = [hashlib.sha256(h[t].tobytes() + beyond).digest() for h, t in zip(hexes, there)]
-        changed = leaves["changed"].to_pylist()
-        at = np.array([i for i, c in enumerate(changed) if c is not None], np.int64)
-        folded = [root] * n
-        if len(at):
-            tops = fold_path(path, tree.fold(at, np.frombuffer(b"".join(changed[i] for i in at), np.uint8).reshape(-1, 32)))
-            for i, top in zip(at, tops):
-                folded[i] = top.tobytes()
+        start = pa.compute.coalesce(leaves["changed"], leaves["digest"])
+        tops = fold_path(path, tree.fold(np.arange(n), np.frombuffer(b"".join(start.to_pylist()), np.uint8).reshape(-1, 32)))
+        folded = [top.tobytes() for top in tops]
         return pa.table({"doc_id": leaves["doc_id"], "leaf": leaves["digest"], "subroot": pa.array([subroot] * n, pa.binary()),
                          "root": pa.array([root] * n, pa.binary()), "proof": pa.array(proof, pa.binary()), "folded": pa.array(folded, pa.binary())})
 
@@ -299,7 +296,7 @@ def _prove(fanout: int):
 
 def prove(manifest: Manifest) -> DataFrame:
     """Per leaf, digests as binary: doc_id, leaf, subroot, root, proof (SHA-256 of the siblings' hex digests up to the
-    root) and folded (the root with ``changed`` in the leaf's place)."""
+    root) and folded (the root hashed anew from ``changed``, else from the leaf)."""
     parts = thin_parts(manifest.tops.sparkSession, manifest.blocks)
     left = manifest.rounds[0].drop("top").repartition(parts, "grp", "block").groupBy("grp", "block")
     right = paths(manifest).repartition(parts, "grp", "block").groupBy("grp", "block")

@@ -108,6 +108,22 @@ def test_hard_rows(spark, tmp_path):
     assert sorted(got, key=repr) == brute(rows)
 
 
+def test_unchanged_leaves_are_folded_too(spark):
+    """A leaf that is not tampered with is hashed up to the root like the others: altered in the
+    manifest, or against another root, it does not verify."""
+    from pyspark.sql import functions as F
+    rows = [(g, i, bytes([i]) * 32, None) for g in (b"a", b"b") for i in range(5)]
+    leaves = spark.createDataFrame(rows, "grp binary, doc_id long, leaf binary, changed binary")
+    manifest = M.build_manifest(leaves)
+    assert all(r.folded == r.root for r in M.prove(manifest).collect())
+    first = (F.col("grp") == b"a") & (F.col("level") == 0) & (F.col("at") == 0)
+    manifest.rounds[0] = manifest.rounds[0].withColumn("digest", F.when(first, F.lit(b"x" * 32)).otherwise(F.col("digest")))
+    # its right sibling resumes the state saved before, so only its own fold meets the altered digest
+    assert [r.folded == r.root for r in M.prove(manifest).collect()].count(False) == 1
+    manifest.tops = manifest.tops.withColumn("root", F.lit(b"y" * 32))
+    assert not any(r.folded == r.root for r in M.prove(manifest).collect())
+
+
 def test_largest_count_is_tampered_without_overflow(spark, tmp_path):
     top = 2 ** 63 - 1
     rows = [(i, "s", "en", top, "t") for i in range(30)]
