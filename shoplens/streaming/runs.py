@@ -1,9 +1,10 @@
 """Streaming jobs run to completion over the driver's tables.
 
 Each run writes its messages to a fresh folder under the checkpoint root, dealt
-by hash over ``FILES`` files, and streams them with one file per micro-batch: rows
-arrive in no order of time, and every batch but the first meets what earlier
-ones stored. What the job's reader returns is comparable with the batch twin.
+in turn over the files of ``BATCHES`` micro-batches: rows arrive in no order of
+time, and every batch but the first meets what earlier ones stored. A micro-batch
+has files in proportion to the tables, so no task reads a fixed share of them.
+What the job's reader returns is comparable with the batch twin.
 """
 
 from __future__ import annotations
@@ -23,7 +24,9 @@ from shoplens.streaming import jobs, topic_log
 from shoplens.streaming.sources import topic_stream
 
 ONCE = {"availableNow": True}
-FILES = 4
+BATCHES = 4
+#: Bytes of the tables, as stored, for each file of messages made from them.
+FILE_BYTES = 2 << 20
 
 
 def _run(query) -> None:
@@ -32,12 +35,34 @@ def _run(query) -> None:
         raise RuntimeError(str(query.exception()))
 
 
-def dealt_stream(messages: DataFrame, path: str, files: int = FILES) -> DataFrame:
-    """``messages`` as a stream of ``files`` micro-batches, dealt by hash."""
-    spark = messages.sparkSession
-    part = F.pmod(F.xxhash64(*messages.columns), F.lit(files))
-    messages.withColumn("part", part).repartitionByRange(files, "part").drop("part").write.parquet(path)
-    return spark.readStream.schema(messages.schema).option("maxFilesPerTrigger", "1").parquet(path)
+def files_per_batch(messages: DataFrame, batches: int) -> int:
+    """So many files a micro-batch that a file is made from ``FILE_BYTES`` of the tables behind ``messages``."""
+    spark, size = messages.sparkSession, 0
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    for name in messages.inputFiles():
+        p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(name)
+        size += p.getFileSystem(conf).getFileStatus(p).getLen()
+    return max(1, -(-size // (batches * FILE_BYTES)))
+
+
+def write_dealt(messages: DataFrame, path: str, batches: int) -> int:
+    """Append ``messages`` to ``path`` in files of about as many rows, equal messages apart too; returns the files of
+    a micro-batch."""
+    per = files_per_batch(messages, batches)
+    messages.repartition(batches * per).write.mode("append").parquet(path)
+    return per
+
+
+def dealt_stream(messages: DataFrame, path: str, batches: int = BATCHES) -> DataFrame:
+    """``messages`` as a stream of ``batches`` micro-batches."""
+    per = write_dealt(messages, path, batches)
+    return messages.sparkSession.readStream.schema(messages.schema).option("maxFilesPerTrigger", str(per)).parquet(path)
+
+
+def _topic(spark: SparkSession, topic: str, path: str, messages: DataFrame) -> DataFrame:
+    """A topic of files made from ``messages``; where they are few, four files are one micro-batch."""
+    per = max(BATCHES, files_per_batch(messages, BATCHES))
+    return topic_stream(spark, topic, fmt="files", path=path, options={"maxFilesPerTrigger": str(per)})
 
 
 def _dau(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -60,7 +85,7 @@ def _orders(spark: SparkSession, feed: DataFrame, name: str) -> DataFrame:
     base = scratch_path(spark, name)
     stream = dealt_stream(feed, f"{base}/feed")
     _run(jobs.start_change_router(stream, f"{base}/ckpt-route", fmt="files", path=f"{base}/topics", trigger=ONCE))
-    raw_orders = topic_stream(spark, ORDER_INFO_TOPIC, fmt="files", path=f"{base}/topics", options={"maxFilesPerTrigger": "4"})
+    raw_orders = _topic(spark, ORDER_INFO_TOPIC, f"{base}/topics", feed)
     _run(jobs.start_orders(raw_orders, f"{base}/orders", f"{base}/rejects", f"{base}/ckpt-orders", ONCE))
     return jobs.read_orders(spark, f"{base}/orders")
 
@@ -99,9 +124,10 @@ def stream_alerts_throttled(spark: SparkSession, sf: str) -> DataFrame:
 def stream_alerts_from_logs(spark: SparkSession, sf: str) -> DataFrame:
     """Raw log lines -> collector -> event topic -> bind -> alerts."""
     base = scratch_path(spark, "stream_alerts_logs")
-    raw = dealt_stream(td.raw_logs(spark, sf).select("value", "received_ts"), f"{base}/in")
+    logs = td.raw_logs(spark, sf).select("value", "received_ts")
+    raw = dealt_stream(logs, f"{base}/in")
     _run(jobs.start_log_collector(raw, f"{base}/ckpt-logs", f"{base}/archive", fmt="files", path=f"{base}/topics", trigger=ONCE))
-    events = topic_stream(spark, EVENT_LOG_TOPIC, fmt="files", path=f"{base}/topics", options={"maxFilesPerTrigger": "4"})
+    events = _topic(spark, EVENT_LOG_TOPIC, f"{base}/topics", logs)
     return jobs.read_alerts(spark, _alerts(spark, events, base)).select(*_ALERT_COLUMNS)
 
 
@@ -121,8 +147,8 @@ def stream_consumer_group(spark: SparkSession, sf: str) -> DataFrame:
     raw = td.raw_logs(spark, sf).select("value", "received_ts")
     turn_of = F.pmod(F.expr("received_ts div 1000"), F.lit(2))
     for turn in (0, 1):
-        raw.where(turn_of == turn).coalesce(2).write.mode("append").parquet(f"{base}/in")
-        lines = spark.readStream.schema(raw.schema).option("maxFilesPerTrigger", "1").parquet(f"{base}/in")
+        per = write_dealt(raw.where(turn_of == turn), f"{base}/in", 2)
+        lines = spark.readStream.schema(raw.schema).option("maxFilesPerTrigger", str(per)).parquet(f"{base}/in")
         _run(jobs.start_log_collector(lines, f"{base}/ckpt-logs", f"{base}/archive", fmt="log", path=f"{base}/log", trigger=ONCE))
         events = topic_stream(spark, EVENT_LOG_TOPIC, fmt="log", path=f"{base}/log", group_id="alerts", starting_offsets="earliest")
         query = (events.select("value").writeStream.format("parquet").option("path", f"{base}/out/run={turn + 1}")
@@ -177,7 +203,7 @@ def stream_sale_as_of(spark: SparkSession, sf: str) -> DataFrame:
         (versions.where(F.col("valid_from") < at) if not turn else versions.where(F.col("valid_from") >= at)).write.mode("append").parquet(f"{base}/changes")
         changes = spark.readStream.schema(versions.schema).parquet(f"{base}/changes")
         _run(jobs.start_users(changes, f"{base}/users", f"{base}/ckpt-users", ONCE))
-        messages.where(~early if turn else early).coalesce(1).write.mode("append").parquet(f"{base}/in")
+        write_dealt(messages.where(~early if turn else early), f"{base}/in", 1)
         raw = spark.readStream.schema(messages.schema).parquet(f"{base}/in")
         _run(jobs.start_sales(raw, f"{base}/out", f"{base}/ckpt", lookup, R.AS_OF, bound=R.JOIN_BOUND, trigger=ONCE))
     return jobs.read_sales(spark, f"{base}/out")

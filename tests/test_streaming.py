@@ -289,3 +289,20 @@ def test_read_dimension_from_files(spark):
     dim = read_dimension(spark, fmt="parquet", path=out)
     assert dict(dim.dtypes)["birthday"] == "date"
     assert dim.count() == users.count()
+
+
+def test_dealt_files_grow_with_the_tables_and_spread_equal_messages(spark, tmp_path, monkeypatch):
+    from shoplens.streaming import runs
+    spark.range(4000).selectExpr("uuid() AS u").write.parquet(f"{tmp_path}/t")
+    # every message is the same but one in ten
+    messages = spark.read.parquet(f"{tmp_path}/t").select(F.when(F.col("u") < "1", F.col("u")).otherwise("same").alias("value"))
+    assert runs.files_per_batch(messages, 4) == 1
+    monkeypatch.setattr(runs, "FILE_BYTES", 4 << 10)
+    per = runs.write_dealt(messages, f"{tmp_path}/in", 4)
+    counts = [r[0] for r in spark.read.parquet(f"{tmp_path}/in").groupBy(F.input_file_name()).count().select("count").collect()]
+    assert per > 1 and len(counts) == 4 * per and sum(counts) == 4000
+    assert max(counts) < 2 * 4000 / len(counts)
+    query = (runs.dealt_stream(messages, f"{tmp_path}/stream").writeStream.format("noop")
+             .option("checkpointLocation", f"{tmp_path}/ckpt").trigger(availableNow=True).start())
+    query.awaitTermination()
+    assert [p.numInputRows > 0 for p in query.recentProgress].count(True) == 4
