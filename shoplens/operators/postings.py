@@ -37,18 +37,17 @@ class SearchIndex:
         self.sums = DayTable(spark, f"{path}/sums", "part", added, ["part"], **layout | {"span": 1})
 
     def _tokens(self, rows: DataFrame) -> DataFrame:
-        """(token, key, dt, name, tf, length) of each row's tokens."""
+        """(token, key, dt, name, length, tf) of each row's tokens; ``rows`` has a row per key, so they are counted in it."""
         cut = rows.select(*TIE_BREAK, "dt", self.field, tokens(self.field).alias("_t")).withColumn("length", F.coalesce(F.size("_t"), F.lit(0)))
-        each = cut.select("*", F.explode("_t").alias("token"))
-        return each.groupBy("token", *TIE_BREAK, "dt", self.field, "length").agg(F.count("*").cast("int").alias("tf"))
+        each = cut.select("*", F.explode(F.array_distinct("_t")).alias("token"))
+        return each.select("token", *TIE_BREAK, "dt", self.field, "length", F.expr("size(_t) - size(array_remove(_t, token))").alias("tf"))
 
     def update(self, batch: DataFrame, batch_id: int) -> None:
         """Add the rows of a batch (key, ``dt``, name), or replace rows of the same key and day. A batch that is
         run again replaces what it wrote."""
         new = keep_last(batch.select(*TIE_BREAK, "dt", self.field), TIE_BREAK, ["dt"])
-        days = self.rows.days(new)
-        old = self.rows.rows(days, before=batch_id)
         mine = self.rows.write(new, batch_id)
+        old = self.rows.rows(self.rows.days(mine), before=batch_id)
         found = self._tokens(mine)
         sums = self._size(mine, 1)
         if old is not None:

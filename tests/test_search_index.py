@@ -53,3 +53,11 @@ def test_any_page(spark, size):
         assert len({f.split("_range=")[1].split("/")[0] for f in page.inputFiles()}) <= 2
     with pytest.raises(ValueError):
         pages.page(0, 5)
+
+
+def test_tokens_are_counted_without_a_shuffle(spark, tmp_path):
+    rows = spark.createDataFrame([("1", "a", "2024-01-01", "Red red bolt"), ("1", "b", "2024-01-01", None), ("2", "a", "2024-01-01", "")],
+                                 "order_id string, order_detail_id string, dt string, sku_name string")
+    found = SearchIndex(spark, str(tmp_path))._tokens(rows)
+    assert sorted((r.token, r.order_id, r.order_detail_id, r.length, r.tf) for r in found.collect()) == [("bolt", "1", "a", 3, 1), ("red", "1", "a", 3, 2)]
+    assert "Exchange" not in found._jdf.queryExecution().executedPlan().toString()
