@@ -1,5 +1,9 @@
 """JSON binding and enrichment of raw messages.
 
+A message is parsed once: the parsed object comes out of an ``explode`` of one element, since of a plain
+column the optimizer puts a copy of the parsing into each condition on a field. ``keep`` gets the
+parsed messages, from which rows and rejects both come, and returns them (persisted, say).
+
 ``from_json`` binds fields by name like the reference's bean binding; numbers
 bound to string fields keep their text ("38"). Rows whose JSON is malformed or
 lacks a required field go to a rejects output instead of failing the batch.
@@ -7,6 +11,8 @@ lacks a required field go to a rejects output instead of failing the batch.
 
 from __future__ import annotations
 
+from typing import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -15,10 +21,11 @@ from shoplens import schemas
 from shoplens.functions import masking, timeparts
 
 _CORRUPT = "_corrupt_record"
+Keep = Callable[[DataFrame], DataFrame]
 
 
 def bind_json(df: DataFrame, schema: T.StructType, value_col: str = "value",
-              required: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame]:
+              required: tuple[str, ...] = (), keep: Keep | None = None) -> tuple[DataFrame, DataFrame]:
     """Parse ``value_col`` into the fields of ``schema``.
 
     Returns ``(rows, rejects)``: rejects keep the raw text plus a reason.
@@ -30,8 +37,8 @@ def bind_json(df: DataFrame, schema: T.StructType, value_col: str = "value",
     carried = [c for c in df.columns if c != value_col and c not in field_names]
     parsed = df.select(
         F.col(value_col).alias("_raw"),
-        F.from_json(F.col(value_col), with_corrupt,
-                    {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT}).alias("_j"),
+        F.explode(F.array(F.from_json(F.col(value_col), with_corrupt,
+                                      {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT}))).alias("_j"),
         *carried)
     missing = [F.when(F.col(f"_j.{f}").isNull(), F.lit(f)) for f in required]
     reason = F.when(F.col("_raw").isNull(), F.lit("null message")) \
@@ -40,19 +47,23 @@ def bind_json(df: DataFrame, schema: T.StructType, value_col: str = "value",
         reason = reason.otherwise(
             F.when(F.concat_ws(",", *missing) != "", F.concat(F.lit("missing: "), F.concat_ws(",", *missing))))
     tagged = parsed.withColumn("_reason", reason)
+    if keep is not None:
+        # the text only of rejects
+        text = F.when(F.col("_reason").isNotNull(), F.col("_raw"))
+        tagged = keep(tagged.withColumn("_raw", text))
     rows = tagged.where(F.col("_reason").isNull()).select("_j.*", *carried).drop(_CORRUPT)
     rejects = tagged.where(F.col("_reason").isNotNull()).select(
         F.col("_raw").alias("value"), F.col("_reason").alias("reason"))
     return rows, rejects
 
 
-def startup_logs(raw: DataFrame, value_col: str = "value", tz: str | None = "UTC"):
-    rows, rejects = bind_json(raw, schemas.STARTUP_LOG, value_col, required=("mid", "ts"))
+def startup_logs(raw: DataFrame, value_col: str = "value", tz: str | None = "UTC", keep: Keep | None = None):
+    rows, rejects = bind_json(raw, schemas.STARTUP_LOG, value_col, required=("mid", "ts"), keep=keep)
     return timeparts.with_log_parts(rows, "ts", tz), rejects
 
 
-def event_logs(raw: DataFrame, value_col: str = "value", tz: str | None = "UTC"):
-    rows, rejects = bind_json(raw, schemas.EVENT_LOG, value_col, required=("mid", "ts"))
+def event_logs(raw: DataFrame, value_col: str = "value", tz: str | None = "UTC", keep: Keep | None = None):
+    rows, rejects = bind_json(raw, schemas.EVENT_LOG, value_col, required=("mid", "ts"), keep=keep)
     return timeparts.with_log_parts(rows, "ts", tz), rejects
 
 
@@ -71,20 +82,20 @@ def _not_money(c: str) -> Column:
     return F.col(c).isNotNull() & F.col(c).try_cast(schemas.MONEY).isNull()
 
 
-def order_infos(raw: DataFrame, value_col: str = "value"):
+def order_infos(raw: DataFrame, value_col: str = "value", keep: Keep | None = None):
     """JSON order rows -> masked, typed order rows (see ``ingest_orders``). An
     amount that is no number and a ``create_time`` without date and hour are
     rejects."""
     rows, rejects = bind_json(raw, schemas.ORDER_INFO, value_col,
-                              required=("id", "create_time", "consignee"))
+                              required=("id", "create_time", "consignee"), keep=keep)
     reason = (F.when(_not_money("total_amount"), F.lit("bad total_amount"))
               .when(~F.col("create_time").rlike(_CREATE_TIME), F.lit("bad create_time")))
     rows, rejects = _split(rows, rejects, reason, schemas.ORDER_INFO_FIELDS)
     return ingest_orders(rows), rejects
 
 
-def order_details(raw: DataFrame, value_col: str = "value"):
-    rows, rejects = bind_json(raw, schemas.ORDER_DETAIL, value_col, required=("id", "order_id"))
+def order_details(raw: DataFrame, value_col: str = "value", keep: Keep | None = None):
+    rows, rejects = bind_json(raw, schemas.ORDER_DETAIL, value_col, required=("id", "order_id"), keep=keep)
     return _split(rows, rejects, F.when(_not_money("order_price"), F.lit("bad order_price")),
                   schemas.ORDER_DETAIL_FIELDS)
 

@@ -13,6 +13,8 @@ rejects folder. ``layout``: arguments of the job's tables (``span``, ``fold_ever
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Iterator
+from contextlib import contextmanager
 from typing import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -32,13 +34,30 @@ from shoplens.streaming.counters import count_store
 from shoplens.streaming.state import DayTable
 
 DEFAULT_TRIGGER = {"processingTime": "3 seconds"}
-Parser = Callable[[DataFrame], tuple[DataFrame, DataFrame]]
+#: Called with the messages and ``keep`` (see ``parse``).
+Parser = Callable[..., tuple[DataFrame, DataFrame]]
 
 
 def _write_rejects(rejects: DataFrame, path: str, batch_id: int) -> None:
     rejects.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
 
+@contextmanager
+def _parsed(parser: Parser, messages: DataFrame) -> Iterator[tuple[DataFrame, DataFrame]]:
+    """Rows and rejects of ``messages``, which are read and parsed once, whatever reads the two."""
+    kept: list[DataFrame] = []
+
+    def keep(df: DataFrame) -> DataFrame:
+        kept.append(df.persist())
+        return kept[-1]
+
+    try:
+        yield parser(messages, keep=keep)
+    finally:
+        for df in kept:
+            df.unpersist()
+
+
 def _start(raw: DataFrame, write, checkpoint: str, trigger: dict | None, name: str) -> StreamingQuery:
     return sinks.start_foreach(raw, write, checkpoint, "append", trigger or DEFAULT_TRIGGER, name)
 
@@ -62,9 +81,7 @@ def start_dau(raw: DataFrame, path: str, checkpoint: str, trigger: dict | None =
     """
     def write(batch: DataFrame, batch_id: int) -> None:
         store = dau_store(batch.sparkSession, path, **(layout or {}))
-        batch.persist()
-        try:
-            rows, rejects = parser(batch)
+        with _parsed(parser, batch) as (rows, rejects):
             _write_rejects(rejects, f"{path}_rejects", batch_id)
             table = rows.select(*[F.col(c).alias(c.upper()) for c in schemas.DAU_TABLE])
             first = keep_first(table, store.keys, ["TS"]).persist()
@@ -83,8 +100,6 @@ def start_dau(raw: DataFrame, path: str, checkpoint: str, trigger: dict | None =
                              "LOG_DATE", "LOG_HOUR")
                 out.unpersist()
             first.unpersist()
-        finally:
-            batch.unpersist()
     return _start(raw, write, checkpoint, trigger, "dau")
 
 
@@ -117,9 +132,7 @@ def start_orders(raw_orders: DataFrame, path: str, rejects_path: str, checkpoint
     The table's key is the order id (``read_orders``): a redelivery replaces, an older version does not.
     ``counts``: also keep the amounts by day and hour (``order_counts``)."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.persist()  # parsed by two consumers: rows and rejects
-        try:
-            rows, rejects = parse.order_infos(batch)
+        with _parsed(parse.order_infos, batch) as (rows, rejects):
             rows = keep_last(rows.select(*schemas.ORDER_TABLE), ["id"], ORDER_VERSION)
             upper = rows.select(*[F.col(c).alias(c.upper()) for c in schemas.ORDER_TABLE])
             store = order_store(batch.sparkSession, path, **(layout or {}))
@@ -130,8 +143,6 @@ def start_orders(raw_orders: DataFrame, path: str, rejects_path: str, checkpoint
                 counters.add(count_store(batch.sparkSession, path, **(layout or {})), store, counters.order_versions(mine, old, version, batch_id),
                              batch_id, "CREATE_DATE", "CREATE_HOUR", "TOTAL_AMOUNT")
             _write_rejects(rejects, rejects_path, batch_id)
-        finally:
-            batch.unpersist()
     return _start(raw_orders, write, checkpoint, trigger, "orders")
 
 
@@ -181,14 +192,10 @@ def start_alerts(raw: DataFrame, path: str, checkpoint: str, length: str = "5 mi
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         panes_of, alerts_of = pane_store(spark, path, **(layout or {})), alert_store(spark, path, **(layout or {}))
-        batch.persist()
-        try:
-            events, rejects = parser(batch)
+        with _parsed(parser, batch) as (events, rejects):
             _write_rejects(rejects, f"{path}/rejects", batch_id)
             new = alert_ops._pane_partials(events, S, "event_time")
             mine = panes_of.write(new.withColumn("day", F.floor(F.col("pane") / per_day).cast("int")), batch_id)
-        finally:
-            batch.unpersist()
         reach = -(-k // per_day)
         near = sorted({d + i for d in panes_of.days(mine) for i in range(-reach, reach + 1)})
         old = panes_of.rows(near, before=batch_id)
@@ -285,14 +292,10 @@ def start_sales(messages: DataFrame, path: str, checkpoint: str,
             out = rows.withColumn(f"{kind}_ts", ts.cast("timestamp_ntz")).withColumn("day", F.to_date(f"{kind}_ts"))
             return stores[f"{kind}s"].write(out, batch_id)
 
-        batch.persist()
-        try:
-            orders, bad_orders = parse.order_infos(batch.where("kind = 'order'").drop("kind"))
-            details, bad_details = parse.order_details(batch.where("kind = 'detail'").drop("kind"))
+        with (_parsed(parse.order_infos, batch.where("kind = 'order'").drop("kind")) as (orders, bad_orders),
+              _parsed(parse.order_details, batch.where("kind = 'detail'").drop("kind")) as (details, bad_details)):
             new_o, new_d = store("order", orders, order_time), store("detail", details, detail_time)
             _write_rejects(bad_orders.unionByName(bad_details), f"{path}/rejects", batch_id)
-        finally:
-            batch.unpersist()
 
         def stored(kind: str, of: DataFrame) -> DataFrame | None:
             """Earlier rows of the days that the bound reaches from those of ``of``."""

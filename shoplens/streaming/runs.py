@@ -26,7 +26,7 @@ from shoplens.streaming.sources import topic_stream
 ONCE = {"availableNow": True}
 BATCHES = 4
 #: Bytes of the tables, as stored, for each file of messages made from them.
-FILE_BYTES = 2 << 20
+FILE_BYTES = 1 << 20
 
 
 def _run(query) -> None:

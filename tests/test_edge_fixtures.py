@@ -2,6 +2,7 @@
 
 import datetime as dt
 import json
+import tempfile
 
 import pytest
 from pyspark.sql import functions as F
@@ -53,6 +54,31 @@ def test_rejects_for_malformed_and_missing(spark):
     assert reasons == ["malformed json", "missing: create_time", "null message"]
 
 
+@pytest.mark.parametrize("parser", [parse.startup_logs, parse.event_logs, parse.order_infos, parse.order_details])
+def test_a_message_is_parsed_once(spark, parser):
+    """Rows need one parsing of a message, however many of its fields are asked about; with ``keep`` rows and
+    rejects have it in common."""
+    msgs = ['{"id":"1","order_id":"2","mid":"m","ts":1,"create_time":"2020-08-19 00:08:13","consignee":"Wang","order_price":"1"}',
+            '{not json', '{"id":"2"}', None, '{"id":"1","order_id":"2","mid":"m","ts":"x","create_time":"2020","order_price":"no"}']
+    path = tempfile.mkdtemp(prefix="msgs-")
+    spark.createDataFrame([(m, 5) for m in msgs], "value string, received_ts long").write.mode("overwrite").parquet(path)
+    raw = spark.read.parquet(path)
+    kept = []
+
+    def keep(df):
+        kept.append(df.persist())
+        return kept[-1]
+
+    plain, once = parser(raw), parser(raw, keep=keep)
+    assert plain[0]._jdf.queryExecution().optimizedPlan().toString().count("from_json") == 1
+    assert len(kept) == 1
+    for a, b in zip(plain, once):
+        assert a.columns == b.columns
+        assert sorted(map(repr, a.collect())) == sorted(map(repr, b.collect()))
+    assert plain[0].count() + plain[1].count() == len(msgs)
+    kept[0].unpersist()
+
+
 def test_bad_values_are_rejects_or_null(spark):
     line = '{"id":"1","order_id":"2","order_price":"%s"}'
     rows, rejects = parse.order_details(spark.createDataFrame([(line % "1.25",), (line % "cheap",)], "value string"))
