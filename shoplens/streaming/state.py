@@ -105,6 +105,16 @@ class DayTable:
         number = c if isinstance(kind, T.IntegralType) else F.datediff(c, F.lit(EPOCH))
         return F.coalesce(F.floor(number / self.span).cast("long"), F.lit(NO_DAY).cast("long"))
 
+    def _among(self, days: list) -> Column:
+        """Whether a row's day is one of ``days``. As one expression: ``isin`` makes a literal at a time, which
+        takes a second and a half for 2,500 days."""
+        def literal(day) -> str:
+            if isinstance(day, str):
+                return "'" + day.replace("\\", "\\\\").replace("'", "\\'") + "'"
+            return f"DATE'{day.isoformat()}'" if isinstance(day, dt.date) else str(int(day))
+
+        return F.expr(f"`{self.day}` IN ({', '.join(map(literal, days))})")
+
     def days(self, df: DataFrame) -> list:
         """The distinct days of ``df``: a value per calendar day."""
         return sorted(df.agg(F.collect_set(self.day)).first()[0])
@@ -119,7 +129,8 @@ class DayTable:
     def _rows(self, manifest: dict, spans: set[int] | None = None) -> DataFrame:
         base, live = self._files(manifest, spans)
         schema = T.StructType.fromJson(manifest["schema"]).add("batch_id", "long")
-        out = self.spark.createDataFrame([], schema) if not base and not live else None
+        none = self.spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema])
+        out = none if not base and not live else None
         if base:
             out = self.spark.read.schema(schema).parquet(*[f"{self.path}/{f}" for f in base])
         if live:
@@ -137,7 +148,7 @@ class DayTable:
             return self._rows(manifest)
         days = sorted(days)
         out = self._rows(manifest, {self._span_of(d) for d in days})
-        return out.where(F.col(self.day).isin(days)) if days else out.where(F.lit(False))
+        return out.where(self._among(days)) if days else out.where(F.lit(False))
 
     def read(self, days: Iterable | None = None, before: int | None = None) -> DataFrame:
         """The table: rows folded, whatever part of them is in the base yet."""

@@ -48,6 +48,19 @@ def test_files_opened_stay_level_over_200_batches(spark):
     assert len([f for f in os.listdir(t.path) if f.startswith("batch_id=")]) <= 40 + 2 * 16
 
 
+def test_days_of_any_text_are_found(spark):
+    days = ["2024-01-01", "it's", "a\\b", 'say "x"', "a`b\nc", ""]
+    t = DayTable(spark, tempfile.mkdtemp(prefix="days-"), "day", lambda t: keep_last(t, ["k"], ["v", "batch_id"]), ["k"])
+    t.write(spark.createDataFrame([(f"k{i}", i, d) for i, d in enumerate(days)], "k string, v int, day string"), 0)
+    for i, d in enumerate(days):
+        assert content(t.read([d])) == [(f"k{i}", i)]
+    assert content(t.read(days[1:3])) == [("k1", 1), ("k2", 2)]
+    many = [DAY0 + dt.timedelta(i) for i in range(3000)]
+    t = table(spark, tempfile.mkdtemp(prefix="days-"))
+    t.write(batch(spark, [("a", 1, many[0]), ("b", 2, many[-1]), ("c", 3, many[-1] + dt.timedelta(1))]), 0)
+    assert content(t.read(many)) == [("a", 1), ("b", 2)]
+
+
 def test_replay_and_crash_before_the_manifest(spark):
     t = table(spark, tempfile.mkdtemp(prefix="crash-"), fold_every=2)
     for n in range(5):
