@@ -92,7 +92,10 @@ class Lexicon:
                     self.longest = max(self.longest, len(word))
         #: First letters of all rests, as many as the shortest has.
         self.starts = {rest[:REST_SIZES[0]] for rest in self.word_rests | self.stem_rests}
+        self.stem_starts = {rest[:REST_SIZES[0]] for rest in self.stem_rests}
         self.half_sizes = sorted({len(x) for x in self.long_halves})
+        #: First letters of the stems, as many as the shortest has.
+        self.stem_heads = {s[:STEMS[0]] for s in stems}
 
     def __reduce__(self):
         # tasks get the terms and make the trie themselves
@@ -107,9 +110,9 @@ class Lexicon:
                 return True
             # a beginning of the word is one edit from a stem: it shares a rest with it
             for rest in rests(word[:STEMS[-1] + 1]) if self.stem_rests else ():
-                if rest[:3] in starts and any(rest[:k] in self.stem_rests for k in REST_SIZES):
+                if rest[:3] in self.stem_starts and any(rest[:k] in self.stem_rests for k in REST_SIZES):
                     return True
-        return any(word[:k] in self.long_halves or word[-k:] in self.long_halves for k in self.half_sizes)
+        return bool(self.half_sizes) and any(word[:k] in self.long_halves or word[-k:] in self.long_halves for k in self.half_sizes)
 
     def near(self, word: str) -> list[tuple[str, float]]:
         """(spelling, weight) of the terms one edit away, innocent or not: the spelling is the word
@@ -149,9 +152,10 @@ class Lexicon:
         """(weight, exact) of the term that a plain word matches."""
         if word in self.words:
             return self.words[word], True
-        for k in STEMS:
-            if k <= len(word) and word[:k] in self.stems:
-                return self.stems[word[:k]], True
+        if word[:STEMS[0]] in self.stem_heads:
+            for k in STEMS:
+                if k <= len(word) and word[:k] in self.stems:
+                    return self.stems[word[:k]], True
         weights = [w for spelling, w in self.near(word) if spelling not in self.innocent]
         return (max(weights), False) if weights else None
 
@@ -165,18 +169,23 @@ def quoted(text: str, at: int, window: int = 80) -> bool:
 
 
 class Finder:
-    """A document's features; remembers words looked up before."""
+    """A document's features; remembers words looked up before, those that match nothing in a set of their own,
+    so that most of a document's words are passed over at once."""
 
     def __init__(self, lexicon: Lexicon, keep: int = 300_000):
-        self.lexicon, self.keep, self.known = lexicon, keep, {}
+        self.lexicon, self.keep, self.known, self.misses = lexicon, keep, {}, set()
 
     def look(self, token: str):
         if token in self.known:
             return self.known[token]
-        if len(self.known) >= self.keep:
-            self.known.clear()
         found = self.lexicon.find(plain(token))
-        self.known[token] = found
+        if len(self.known) + len(self.misses) >= self.keep:
+            self.known.clear()
+            self.misses.clear()
+        if found:
+            self.known[token] = found
+        else:
+            self.misses.add(token)
         return found
 
     def features(self, text: str | None) -> list[float]:
@@ -185,7 +194,7 @@ class Finder:
         quoted only if it is at every place."""
         low = (text or "").lower()
         tokens = set(low.split())
-        hits = {token: found for token in tokens if (found := self.look(token))}
+        hits = {token: found for token in tokens - self.misses if (found := self.look(token))}
         words: dict[str, tuple] = {}
         if hits:
             for m in re.finditer(r"\S+", low):

@@ -273,6 +273,22 @@ def test_each_place_of_a_word_is_judged():
         assert got[0] == 0 < got[2], text
 
 
+def test_words_without_a_match_are_looked_up_once(monkeypatch):
+    lexicon = T.Lexicon({"idiot": 4.0, "scum": 3.0}, {"moron": 2.0}, {"sum"})
+    texts = ["you idiot , the sum is scumm", "the moronic sum is it", "idiot idiot it is", "", None, "the sum of it is moronn"]
+    want = [T.Finder(lexicon).features(t) for t in texts]
+    for keep in (1, 3, 300_000):  # whenever the finder forgets
+        finder = T.Finder(lexicon, keep)
+        assert [finder.features(t) for t in texts + texts] == want + want
+    finder, asked = T.Finder(lexicon), []
+    look = finder.look
+    monkeypatch.setattr(finder, "look", lambda token: asked.append(token) or look(token))
+    finder.features("the sum of it")
+    assert sorted(asked) == ["it", "of", "sum", "the"]
+    finder.features("the sum of it and the idiot")
+    assert sorted(asked[4:]) == ["and", "idiot"]
+
+
 def test_a_spelling_is_barred_by_share():
     assert T.innocent(0, 1) and T.innocent(1, 1) and T.innocent(5, 4)
     assert not T.innocent(3, 0) and not T.innocent(30, 1)
