@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from shoplens.config import shuffles_dropped
+
 
 class RankedPages:
     def __init__(self, rows: DataFrame, order: list[Column], path: str, ranges: int | None = None):
@@ -16,8 +18,9 @@ class RankedPages:
         rows would make one range long)."""
         spark = rows.sparkSession
         dealt = rows.repartitionByRange(*([ranges] if ranges else []), *order).sortWithinPartitions(*order)
-        dealt.withColumn("_range", F.spark_partition_id()).withColumn("_place", F.monotonically_increasing_id()).write.mode(
-            "overwrite").partitionBy("_range").parquet(path)
+        with shuffles_dropped(spark):
+            dealt.withColumn("_range", F.spark_partition_id()).withColumn("_place", F.monotonically_increasing_id()).write.mode(
+                "overwrite").option("compression", "zstd").partitionBy("_range").parquet(path)
         self.columns = rows.columns
         self.spark, self.path, self.schema = spark, path, rows.schema.add("_place", "long")
         #: Rows of each range: as many numbers as there are ranges.

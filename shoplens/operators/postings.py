@@ -13,6 +13,7 @@ import zlib
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shoplens.config import in_turn, turns
 from shoplens.functions.text import query_tokens, tokens
 from shoplens.operators.dedup import keep_last
 from shoplens.operators.search import BM25_B, BM25_K1, TIE_BREAK
@@ -45,7 +46,8 @@ class SearchIndex:
     def update(self, batch: DataFrame, batch_id: int) -> None:
         """Add the rows of a batch (key, ``dt``, name), or replace rows of the same key and day. A batch that is
         run again replaces what it wrote."""
-        new = keep_last(batch.select(*TIE_BREAK, "dt", self.field), TIE_BREAK, ["dt"])
+        named, k = batch.select(*TIE_BREAK, "dt", self.field), turns(batch)
+        new = [keep_last(in_turn(named, TIE_BREAK, i, k), TIE_BREAK, ["dt"]) for i in range(k)]
         mine = self.rows.write(new, batch_id)
         old = self.rows.rows(self.rows.days(mine), before=batch_id)
         found = self._tokens(mine)

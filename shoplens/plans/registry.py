@@ -11,7 +11,7 @@ from typing import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shoplens.config import scratch_path
+from shoplens.config import in_turn, scratch_path, shuffles_dropped, turns
 from shoplens.functions import parse, timeparts
 from shoplens.operators import alerts as alert_ops
 from shoplens.operators import dau as dau_ops
@@ -98,13 +98,18 @@ _STORED: dict[tuple[str, str], str] = {}
 
 def stored_sales(spark, sf) -> tuple[DataFrame, SearchIndex]:
     """The wide table in order of day and its inverted index, written by the first query that asks and read by
-    all of the session: a search neither joins nor sorts the sales again."""
+    all of the session: a search neither joins nor sorts the sales again. Large tables are joined in turns by
+    order, each in order of day, so that only one turn's shuffle files are on the disks."""
     key = (spark.sparkContext.applicationId, sf)
     path = _STORED.get(key)
     if path is None:
         path = scratch_path(spark, "sales")
-        table = sale_index(spark, sf)
-        table.repartitionByRange("dt").sortWithinPartitions("dt").write.parquet(f"{path}/table")
+        orders, details, users = order_table(spark, sf), td.order_detail(spark, sf), td.user_info(spark, sf)
+        k = turns(orders, details)
+        for i in range(k):
+            table = sales.sale_wide(in_turn(orders, ["id"], i, k), in_turn(details, ["order_id"], i, k), users, AS_OF, bound=None)
+            with shuffles_dropped(spark):
+                table.repartitionByRange("dt").sortWithinPartitions("dt").write.mode("append").option("compression", "zstd").parquet(f"{path}/table")
         SearchIndex(spark, f"{path}/index").update(spark.read.schema(table.schema).parquet(f"{path}/table"), 0)
         _STORED[key] = path
     return spark.read.parquet(f"{path}/table"), SearchIndex(spark, f"{path}/index")

@@ -16,12 +16,14 @@ from __future__ import annotations
 import datetime as dt
 import json
 import re
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from shoplens.config import shuffles_dropped
+
 #: Batches in front of the base, batches that folders outlive their manifest, manifests kept.
 FOLD_EVERY, GRACE, MANIFESTS = 16, 1200, 50
 Fold = Callable[[DataFrame], DataFrame]
@@ -30,6 +32,11 @@ EPOCH, DAY = dt.date(1970, 1, 1), re.compile(r"[0-9]{4}-[0-9]{2}-[0-9]{2}")
 NO_DAY = -10 ** 9
 
 
+def _store(writer: DataFrameWriter, spark: SparkSession, path: str) -> None:
+    with shuffles_dropped(spark):
+        writer.option("compression", "zstd").parquet(path)
+
+
 class DayTable:
     """Rows with a ``day`` (a date, a 'yyyy-MM-dd' text or a number) under ``path``.
 
@@ -159,12 +166,15 @@ class DayTable:
 
     # --- writing ---
 
-    def write(self, df: DataFrame, batch_id: int) -> DataFrame:
+    def write(self, df: DataFrame | Sequence[DataFrame], batch_id: int) -> DataFrame:
         """Store a batch and return what was stored. Rows without a day are stored too; only readers of
-        all days see them."""
+        all days see them. Of a batch in several parts one is written after the other, so that only one's
+        shuffle files are on the disks at a time."""
         target = f"{self.path}/batch_id={batch_id}"
-        df.sortWithinPartitions(self.day).write.mode("overwrite").parquet(target)
-        mine = self.spark.read.schema(df.schema).parquet(target)
+        parts = [df] if isinstance(df, DataFrame) else df
+        for i, part in enumerate(parts):
+            _store(part.sortWithinPartitions(self.day).write.mode("append" if i else "overwrite"), self.spark, target)
+        mine = self.spark.read.schema(parts[0].schema).parquet(target)
         touched = mine.agg(F.collect_set(self._span(mine))).first()[0]
         manifest = self.manifest(batch_id) or {"base": {}, "live": {}, "dropped": [], "schema": mine.schema.jsonValue()}
         if len(manifest["live"]) >= self.fold_every:
@@ -186,8 +196,8 @@ class DayTable:
         spans = {s for touched in manifest["live"].values() for s in touched}
         rows = self.fold(self._rows(manifest, spans))
         rows = rows.withColumn("_span", self._span(rows)).where(F.col("_span").isin(sorted(spans)))
-        rows.repartition("_span", F.pmod(F.xxhash64(*self.keys), F.lit(8))).sortWithinPartitions("_span", self.day, *self.keys).write.mode(
-            "overwrite").partitionBy("_span").parquet(f"{self.path}/{folder}")
+        dealt = rows.repartition("_span", F.pmod(F.xxhash64(*self.keys), F.lit(8))).sortWithinPartitions("_span", self.day, *self.keys)
+        _store(dealt.write.mode("overwrite").partitionBy("_span"), self.spark, f"{self.path}/{folder}")
         fs, p = self._fs(f"{self.path}/{folder}")
         there = {f.getPath().getName() for f in fs.listStatus(p)}
         base, old = dict(manifest["base"]), []
