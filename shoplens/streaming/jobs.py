@@ -146,10 +146,13 @@ def start_orders(raw_orders: DataFrame, path: str, rejects_path: str, checkpoint
     return _start(raw_orders, write, checkpoint, trigger, "orders")
 
 
-def read_orders(spark: SparkSession, path: str, days: list[str] | None = None) -> DataFrame:
-    """The order table (of ``days``; an order's creation day does not change) with lower-case names:
-    the latest version of each id."""
-    return order_store(spark, path).read(days).select(*[F.col(c.upper()).alias(c) for c in schemas.ORDER_TABLE])
+def read_orders(spark: SparkSession, path: str, days: list[str] | None = None, columns: list[str] | None = None) -> DataFrame:
+    """The order table (of ``days``; an order's creation day does not change) with lower-case names (those of
+    ``columns``): the latest version of each id. A batch has one version of an id, so no other column chooses."""
+    names = columns or schemas.ORDER_TABLE
+    store = order_store(spark, path)
+    return store.read(days, columns=[c.upper() for c in {"id": 1} | dict.fromkeys(ORDER_VERSION) | dict.fromkeys(names)]).select(
+        *[F.col(c.upper()).alias(c) for c in names])
 
 
 def order_counts(spark: SparkSession, path: str, days: list[str] | None = None) -> DataFrame | None:

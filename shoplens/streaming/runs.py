@@ -3,17 +3,20 @@
 Each run writes its messages to a fresh folder under the checkpoint root, dealt
 in turn over the files of ``BATCHES`` micro-batches: rows arrive in no order of
 time, and every batch but the first meets what earlier ones stored. A micro-batch
-has files in proportion to the tables, so no task reads a fixed share of them.
+has files in proportion to the tables, so no task reads a fixed share of them; what
+a finished one has read is deleted.
 What the job's reader returns is comparable with the batch twin.
 """
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shoplens import schemas
-from shoplens.config import scratch_path
+from shoplens.config import scratch_path, shuffles_dropped, stored_bytes
 from shoplens.functions import timeparts
 from shoplens.constants import EVENT_LOG_TOPIC, ORDER_INFO_TOPIC
 from shoplens.operators import dau as dau_ops
@@ -37,31 +40,76 @@ def _run(query) -> None:
 
 def files_per_batch(messages: DataFrame, batches: int) -> int:
     """So many files a micro-batch that a file is made from ``FILE_BYTES`` of the tables behind ``messages``."""
-    spark, size = messages.sparkSession, 0
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    for name in messages.inputFiles():
-        p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(name)
-        size += p.getFileSystem(conf).getFileStatus(p).getLen()
-    return max(1, -(-size // (batches * FILE_BYTES)))
+    return max(1, -(-stored_bytes(messages) // (batches * FILE_BYTES)))
+
+
+def _files(spark: SparkSession, path: str) -> list[str]:
+    """The data files below ``path``."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(p):
+        return []
+    found, names = fs.listFiles(p, True), []
+    while found.hasNext():
+        names.append(found.next().getPath().toString())
+    return [n for n in names if not n.rsplit("/", 1)[1].startswith(("_", "."))]
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    """Messages that no later step reads."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
 def write_dealt(messages: DataFrame, path: str, batches: int) -> int:
     """Append ``messages`` to ``path`` in files of about as many rows, equal messages apart too; returns the files of
-    a micro-batch."""
-    per = files_per_batch(messages, batches)
-    messages.repartition(batches * per).write.mode("append").parquet(path)
-    return per
+    a micro-batch. Each task deals its rows over a file of every micro-batch, so none is shuffled; a stream takes files
+    in order of their time, which is set to that of their micro-batch."""
+    spark, row = messages.sparkSession, F.monotonically_increasing_id()
+    tables = messages.inputFiles()
+    with shuffles_dropped(spark):
+        rows = spark.read.parquet(*tables).count() if tables else 0
+    per_file = max(1, -(-rows // (batches * files_per_batch(messages, batches))))
+    # of each ``batches`` rows in a row one goes to each micro-batch, in an order of their own
+    order = F.pmod(F.xxhash64(F.expr(f"monotonically_increasing_id() div {batches}")), F.lit(batches))
+    turn = ((row + order) % batches).cast("int")
+    before = set(_files(spark, path))
+    # a task writes its files side by side: no sort by ``_turn``
+    settings = {"spark.sql.optimizer.plannedWrite.enabled": "false", "spark.sql.maxConcurrentOutputFileWriters": str(batches)}
+    held = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        with shuffles_dropped(spark):
+            messages.withColumn("_turn", turn).write.mode("append").option("compression", "zstd").option(
+                "maxRecordsPerFile", per_file).partitionBy("_turn").parquet(path)
+    finally:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+    new = [f for f in _files(spark, path) if f not in before]
+    now, jvm = int(time.time() * 1000), spark.sparkContext._jvm
+    for f in new:
+        p = jvm.org.apache.hadoop.fs.Path(f)
+        at = now - 1000 * (batches - int(f.split("/_turn=")[1].split("/")[0]))
+        p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).setTimes(p, at, -1)
+    return max(1, -(-len(new) // batches))
+
+
+def message_stream(spark: SparkSession, schema, path: str, per: int) -> DataFrame:
+    """What ``write_dealt`` wrote, ``per`` files a micro-batch; a file goes when its micro-batch is done."""
+    return (spark.readStream.schema(schema).option("recursiveFileLookup", "true").option("maxFilesPerTrigger", str(per))
+            .option("cleanSource", "delete").parquet(path))
 
 
 def dealt_stream(messages: DataFrame, path: str, batches: int = BATCHES) -> DataFrame:
     """``messages`` as a stream of ``batches`` micro-batches."""
     per = write_dealt(messages, path, batches)
-    return messages.sparkSession.readStream.schema(messages.schema).option("maxFilesPerTrigger", str(per)).parquet(path)
+    return message_stream(messages.sparkSession, messages.schema, path, per)
 
 
-def _topic(spark: SparkSession, topic: str, path: str, messages: DataFrame) -> DataFrame:
-    """A topic of files made from ``messages``; where they are few, four files are one micro-batch."""
-    per = max(BATCHES, files_per_batch(messages, BATCHES))
+def _topic(spark: SparkSession, topic: str, path: str) -> DataFrame:
+    """A topic of files in ``BATCHES`` micro-batches; where they are few, four files are one."""
+    per = max(BATCHES, -(-len(_files(spark, f"{path}/topic={topic}")) // BATCHES))
     return topic_stream(spark, topic, fmt="files", path=path, options={"maxFilesPerTrigger": str(per)})
 
 
@@ -80,14 +128,15 @@ def stream_dau_hourly(spark: SparkSession, sf: str) -> DataFrame:
     return dau_ops.dau_by_hour(_dau(spark, sf, "stream_dau_hourly"))
 
 
-def _orders(spark: SparkSession, feed: DataFrame, name: str) -> DataFrame:
-    """Change feed -> router -> order_info topic -> bind, mask -> order table."""
+def _orders(spark: SparkSession, feed: DataFrame, name: str, columns: list[str] | None = None) -> DataFrame:
+    """Change feed -> router -> order_info topic -> bind, mask -> order table (``columns`` of it)."""
     base = scratch_path(spark, name)
     stream = dealt_stream(feed, f"{base}/feed")
     _run(jobs.start_change_router(stream, f"{base}/ckpt-route", fmt="files", path=f"{base}/topics", trigger=ONCE))
-    raw_orders = _topic(spark, ORDER_INFO_TOPIC, f"{base}/topics", feed)
+    _delete(spark, f"{base}/feed")
+    raw_orders = _topic(spark, ORDER_INFO_TOPIC, f"{base}/topics")
     _run(jobs.start_orders(raw_orders, f"{base}/orders", f"{base}/rejects", f"{base}/ckpt-orders", ONCE))
-    return jobs.read_orders(spark, f"{base}/orders")
+    return jobs.read_orders(spark, f"{base}/orders", columns=columns)
 
 
 def stream_order_ingest(spark: SparkSession, sf: str) -> DataFrame:
@@ -97,7 +146,7 @@ def stream_order_ingest(spark: SparkSession, sf: str) -> DataFrame:
 def stream_order_redelivery(spark: SparkSession, sf: str) -> DataFrame:
     """Every message delivered twice; the amounts count each order once."""
     feed = td.change_feed(spark, sf)
-    return order_ops.amount_by_date(_orders(spark, feed.unionByName(feed), "stream_redelivery"))
+    return order_ops.amount_by_date(_orders(spark, feed.unionByName(feed), "stream_redelivery", ["create_date", "total_amount"]))
 
 
 _ALERT_COLUMNS = ["mid", "window_start", "window_end", "coupon_accounts", "n_events"]
@@ -127,7 +176,7 @@ def stream_alerts_from_logs(spark: SparkSession, sf: str) -> DataFrame:
     logs = td.raw_logs(spark, sf).select("value", "received_ts")
     raw = dealt_stream(logs, f"{base}/in")
     _run(jobs.start_log_collector(raw, f"{base}/ckpt-logs", f"{base}/archive", fmt="files", path=f"{base}/topics", trigger=ONCE))
-    events = _topic(spark, EVENT_LOG_TOPIC, f"{base}/topics", logs)
+    events = _topic(spark, EVENT_LOG_TOPIC, f"{base}/topics")
     return jobs.read_alerts(spark, _alerts(spark, events, base)).select(*_ALERT_COLUMNS)
 
 
@@ -148,7 +197,7 @@ def stream_consumer_group(spark: SparkSession, sf: str) -> DataFrame:
     turn_of = F.pmod(F.expr("received_ts div 1000"), F.lit(2))
     for turn in (0, 1):
         per = write_dealt(raw.where(turn_of == turn), f"{base}/in", 2)
-        lines = spark.readStream.schema(raw.schema).option("maxFilesPerTrigger", str(per)).parquet(f"{base}/in")
+        lines = message_stream(spark, raw.schema, f"{base}/in", per)
         _run(jobs.start_log_collector(lines, f"{base}/ckpt-logs", f"{base}/archive", fmt="log", path=f"{base}/log", trigger=ONCE))
         events = topic_stream(spark, EVENT_LOG_TOPIC, fmt="log", path=f"{base}/log", group_id="alerts", starting_offsets="earliest")
         query = (events.select("value").writeStream.format("parquet").option("path", f"{base}/out/run={turn + 1}")
@@ -203,8 +252,9 @@ def stream_sale_as_of(spark: SparkSession, sf: str) -> DataFrame:
         (versions.where(F.col("valid_from") < at) if not turn else versions.where(F.col("valid_from") >= at)).write.mode("append").parquet(f"{base}/changes")
         changes = spark.readStream.schema(versions.schema).parquet(f"{base}/changes")
         _run(jobs.start_users(changes, f"{base}/users", f"{base}/ckpt-users", ONCE))
-        write_dealt(messages.where(~early if turn else early), f"{base}/in", 1)
-        raw = spark.readStream.schema(messages.schema).parquet(f"{base}/in")
+        # one micro-batch: of sales with the same ids in one batch the largest stands, else the last to come
+        per = write_dealt(messages.where(~early if turn else early), f"{base}/in", 1)
+        raw = message_stream(spark, messages.schema, f"{base}/in", per)
         _run(jobs.start_sales(raw, f"{base}/out", f"{base}/ckpt", lookup, R.AS_OF, bound=R.JOIN_BOUND, trigger=ONCE))
     return jobs.read_sales(spark, f"{base}/out")
 

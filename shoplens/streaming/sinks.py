@@ -117,7 +117,7 @@ def topic_sink(df: DataFrame, checkpoint: str, fmt: str = "kafka",
                bootstrap_servers: str | None = None, path: str | None = None,
                trigger: dict | None = None) -> StreamingQuery:
     """Write (topic, value) rows: to Kafka (the ``topic`` column picks the
-    topic per row), to a topic log (``fmt='log'``; a path has one writer), or as text
+    topic per row), to a topic log (``fmt='log'``; a path has one writer), or as gzipped text
     lines under ``{path}/topic=<t>/``."""
     if fmt == "log":
         if path is None:
@@ -131,7 +131,7 @@ def topic_sink(df: DataFrame, checkpoint: str, fmt: str = "kafka",
     else:
         if path is None:
             raise ValueError("a file-backed topic sink needs a path")
-        w = out.writeStream.format("text").partitionBy("topic").option("path", path)
+        w = out.writeStream.format("text").option("compression", "gzip").partitionBy("topic").option("path", path)
     return (w.option("checkpointLocation", checkpoint)
             .trigger(**(trigger or {"processingTime": "3 seconds"})).start())
 

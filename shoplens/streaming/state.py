@@ -157,12 +157,12 @@ class DayTable:
         out = self._rows(manifest, {self._span_of(d) for d in days})
         return out.where(self._among(days)) if days else out.where(F.lit(False))
 
-    def read(self, days: Iterable | None = None, before: int | None = None) -> DataFrame:
-        """The table: rows folded, whatever part of them is in the base yet."""
+    def read(self, days: Iterable | None = None, before: int | None = None, columns: list[str] | None = None) -> DataFrame:
+        """The table (of ``columns``, which ``fold`` must do with): rows folded, whatever part of them is in the base yet."""
         found = self.rows(days, before)
         if found is None:
             raise ValueError(f"no batch is stored under {self.path}")
-        return self.fold(found)
+        return self.fold(found if columns is None else found.select(*columns, "batch_id"))
 
     # --- writing ---
 

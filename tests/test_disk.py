@@ -1,5 +1,6 @@
 """What the jobs and stored tables leave on the disks, and steps done in turns."""
 
+import os
 import time
 
 from pyspark.sql import functions as F
@@ -8,7 +9,7 @@ from shoplens import config
 from shoplens.operators import search
 from shoplens.operators.postings import SearchIndex
 from shoplens.plans import registry as R
-from shoplens.streaming import state
+from shoplens.streaming import runs, state
 
 SF = "/root/testdata/sf0.001"
 
@@ -78,3 +79,39 @@ def test_a_batch_in_parts_is_one_batch_also_when_run_again(spark, tmp_path):
         assert sorted(r.k for r in mine.collect()) == [1, 2, 3]
     assert sorted(r.k for r in table.read().collect()) == [1, 2, 3]
     assert sorted(r.k for r in table.read([1]).collect()) == [1, 2]
+
+
+def test_dealing_messages_shuffles_nothing_and_keeps_every_row(spark, tmp_path, monkeypatch):
+    spark.range(0, 4000, 1, 3).selectExpr("cast(id as string) AS value").write.parquet(f"{tmp_path}/t")
+    table = spark.read.parquet(f"{tmp_path}/t")
+    monkeypatch.setattr(runs, "FILE_BYTES", 1 << 10)
+    for turn in (1, 2):     # appended
+        per = runs.write_dealt(table.unionByName(table), f"{tmp_path}/in", 4)
+        assert per > 1
+        dealt = spark.read.parquet(f"{tmp_path}/in")
+        assert dealt.groupBy("value").count().where(F.col("count") != 2 * turn).count() == 0
+    by_turn = {r._turn: r["count"] for r in dealt.groupBy("_turn").count().collect()}
+    assert sorted(by_turn) == [0, 1, 2, 3] and max(by_turn.values()) - min(by_turn.values()) < 100
+    apart = dealt.groupBy("value").agg(F.count_distinct("_turn").alias("n")).where("n > 1").count()
+    assert apart > 2000
+    times = {}
+    for f in runs._files(spark, f"{tmp_path}/in"):
+        times.setdefault(f.split("_turn=")[1][0], []).append(os.stat(f.removeprefix("file:")).st_mtime)
+    assert max(map(min, times.values())) == min(times["3"]) and min(map(min, times.values())) == min(times["0"])
+    fresh = shuffle_files(spark)
+    runs.write_dealt(table, f"{tmp_path}/again", 4)
+    assert gone(spark, fresh)
+
+
+def test_orders_read_from_the_feed_leave_no_messages(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(runs, "scratch_path", lambda spark, name: f"{tmp_path}/{name}")
+    got = runs.stream_order_redelivery(spark, SF)
+    once = R.order_ops.amount_by_date(R.order_table(spark, SF).dropDuplicates(["id"]))
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, once.collect()))
+    base = f"{tmp_path}/stream_redelivery"
+    assert runs._files(spark, f"{base}/feed") == []
+    topics = runs._files(spark, f"{base}/topics")
+    assert topics and all(f.endswith(".gz") or "_spark_metadata" in f for f in topics)
+    names = ["create_date", "total_amount"]
+    want = runs.jobs.read_orders(spark, f"{base}/orders").select(*names)
+    assert sorted(map(tuple, runs.jobs.read_orders(spark, f"{base}/orders", columns=names).collect())) == sorted(map(tuple, want.collect()))
