@@ -17,6 +17,7 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 from typing import Callable
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -44,11 +45,12 @@ def _write_rejects(rejects: DataFrame, path: str, batch_id: int) -> None:
 
 @contextmanager
 def _parsed(parser: Parser, messages: DataFrame) -> Iterator[tuple[DataFrame, DataFrame]]:
-    """Rows and rejects of ``messages``, which are read and parsed once, whatever reads the two."""
+    """Rows and rejects of ``messages``, which are read and parsed once, whatever reads the two. They are kept on the
+    executors' disks: a batch may be large, and the memory is for the sorts of what reads it."""
     kept: list[DataFrame] = []
 
     def keep(df: DataFrame) -> DataFrame:
-        kept.append(df.persist())
+        kept.append(df.persist(StorageLevel.DISK_ONLY))
         return kept[-1]
 
     try:

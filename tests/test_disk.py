@@ -3,6 +3,7 @@
 import os
 import time
 
+from pyspark import StorageLevel
 from pyspark.sql import functions as F
 
 from shoplens import config
@@ -115,3 +116,16 @@ def test_orders_read_from_the_feed_leave_no_messages(spark, tmp_path, monkeypatc
     names = ["create_date", "total_amount"]
     want = runs.jobs.read_orders(spark, f"{base}/orders").select(*names)
     assert sorted(map(tuple, runs.jobs.read_orders(spark, f"{base}/orders", columns=names).collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_parsed_messages_are_kept_on_disk(spark):
+    kept = []
+
+    def parser(messages, keep):
+        kept.append(keep(messages))
+        return kept[0], kept[0]
+
+    with runs.jobs._parsed(parser, spark.range(10).toDF("value")) as (rows, _):
+        assert rows.count() == 10
+        assert kept[0].storageLevel == StorageLevel.DISK_ONLY
+    assert kept[0].storageLevel == StorageLevel.NONE
